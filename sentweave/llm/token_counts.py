@@ -29,8 +29,8 @@ def frequent_words(docs: DataFrame, text: str = "text", k: int = FREQUENT) -> li
     words = docs.select(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("g"), F.explode(F.split(text_of(docs, text), " ")).alias("w"))
     words = words.filter(F.col("w").rlike("^[a-zA-Z\\u00c0-\\u024f]{1,40}$"))
     sketches = words.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(w, {TRACKED})").alias("s"))
-    found = sketches.agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {k})").alias("top"))
-    return [x["item"] for x in (found.first()["top"] or [])]
+    found = sketches.withColumn("all", F.lit(0)).groupBy("all").agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(s, {TRACKED}), {k})").alias("top")).first()
+    return [x["item"] for x in found["top"]] if found else []  # no group without any word
 
 
 class Counter:

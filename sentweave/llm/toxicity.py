@@ -220,5 +220,5 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: st
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``docs`` without the rows that are predicted toxic."""
-    judged = score(docs.withColumn("_text", docs["text"]), labels, threshold, keep=(*[c for c in docs.columns if c != "text"], "_text"))
-    return judged.filter(F.col("predicted") == 0).withColumnRenamed("_text", "text").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
+    return score(rows, labels, threshold, keep=("_row",)).filter(F.col("predicted") == 0).select("_row.*")
