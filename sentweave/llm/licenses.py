@@ -51,9 +51,8 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     t = text_of(docs, text)
     lines = F.transform(F.filter(F.split(t, "\n", -1), lambda x: F.lower(x).rlike(NOTICE_HINT)), digest)
     rows = docs.select(*names, digest(t).alias("text_digest"), lines.alias("_lines"))
-    licenses = F.broadcast(known(docs.sparkSession))
-    found = rows.join(licenses, F.col("text_digest") == F.col("license_digest"), "left")
-    one = F.broadcast(known(docs.sparkSession).agg(F.map_from_entries(F.collect_list(F.struct("license_digest", "license_id"))).alias("_known")))
-    hits = F.filter(F.transform(F.col("_lines"), lambda d: F.try_element_at(F.col("_known"), F.coalesce(d, F.lit("")))), lambda x: x.isNotNull())
-    out = found.join(one)
-    return out.select(*names, "text_digest", "license_id", F.size(hits).cast("bigint").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notices"))
+    table = known(docs.sparkSession)
+    found = rows.join(F.broadcast(table), F.col("text_digest") == F.col("license_digest"), "left")
+    ids = F.create_map(*[F.lit(x) for r in table.collect() for x in r])  # as many entries as the fixed list has
+    hits = F.filter(F.transform(F.col("_lines"), lambda d: F.try_element_at(ids, F.coalesce(d, F.lit("")))), lambda x: x.isNotNull())
+    return found.select(*names, "text_digest", "license_id", F.size(hits).cast("bigint").alias("n_notices"), F.array_join(F.array_sort(F.array_distinct(hits)), ",").alias("notices"))
