@@ -29,12 +29,12 @@ def charset_info(name: Column) -> Column:
 
 
 def guess(raw: bytes | None) -> str | None:
-    """ascii, or the first of 7bit-jis, utf8, euc-jp and shiftjis that decodes the bytes strictly; null if none does."""
+    """ascii, or the first of 7bit-jis, euc-jp, shiftjis and utf8 that decodes the bytes strictly; null if none does."""
     if raw is None:
         return None
     if raw.isascii():
         return "7bit-jis" if b"\x1b$" in raw else "ascii"
-    for name in ("utf8", "euc-jp", "shiftjis"):
+    for name in ("euc-jp", "shiftjis", "utf8"):
         try:
             raw.decode(CODECS[name])
             return name
