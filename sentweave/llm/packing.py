@@ -4,7 +4,7 @@ Each map task tokenises its documents and packs them as it goes: a bounded pool
 takes, again and again, the piece with the largest dot product of its sizes and the room left. When no piece fits the
 room for tokens, one is cut to fill it. A task gives out full sequences only; what is left in its pool (less than a
 sequence and what the other limits hold back) is packed once more over groups of tasks, so that padding does not grow
-with the number of tasks. Sequence ids are unique: they hold the task and the running number.
+with the number of tasks; the last tokens of a group go into sequences of power-of-two lengths. Sequence ids are unique: they hold the task and the running number.
 """
 
 import re
@@ -84,9 +84,10 @@ class Packer:
         self.sizes = self.sizes[:-1]
         return piece
 
-    def sequence(self) -> list[Piece]:
-        """Fill one sequence from the pool; its pieces, in order."""
+    def sequence(self, tokens: int | None = None) -> list[Piece]:
+        """Fill one sequence (of at most ``tokens``) from the pool; its pieces, in order."""
         room, chosen = self.limits.copy(), []
+        room[0] = tokens or room[0]
         while self.pool and room.min() > 0:
             fits = (self.sizes <= room).all(axis=1)
             if fits.any():
@@ -117,8 +118,10 @@ class Packer:
             yield self.rows(self.sequence())
 
     def rest(self) -> Iterator[list[tuple]]:
+        """All that is left; what fills no sequence goes into lengths that are powers of two, which need no padding."""
         while self.pool:
-            yield self.rows(self.sequence())
+            left = int(self.sizes[:, 0].sum())
+            yield self.rows(self.sequence(1 << (left.bit_length() - 1) if left < self.limits[0] else None))
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
