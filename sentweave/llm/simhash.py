@@ -4,7 +4,8 @@ A fingerprint is cut into ``BLOCKS`` parts. Two that differ in at most four bits
 least two of six parts are equal: each fingerprint is filed under every pair of parts (15 keys of 20 to 22 bits), and only
 fingerprints under one key are compared. Equal fingerprints are one node throughout. Under a key the links are found by
 following the near neighbours of each fingerprint once, so that at most one link a member is written: those links
-connect exactly what all close pairs would, without writing the pairs of a group of near copies.
+connect exactly what all close pairs would, without writing the pairs of a group of near copies. A key that more than
+``TOGETHER`` fingerprints share is not compared; its members are filed again under longer keys.
 """
 
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ from sentweave.llm.components import components
 
 SHINGLE, DISTANCE, SEED, BLOCKS = 4, 4, 42, 6
 _AT_ONCE = 65536
+#: Fingerprints under one key that a task compares, and the most parts that a key may have.
+TOGETHER, MAX_SHARED = 20_000, 8
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -53,15 +56,12 @@ def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", sh
     return rows.mapInArrow(work, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
 
 
-def _keys(blocks: int, distance: int):
-    """Key expressions: one for each set of ``blocks - distance`` parts that a close pair may share."""
+def _masks(blocks: int, distance: int) -> list[int]:
+    """Bit masks, one for each set of ``blocks - distance`` parts that a close pair may share."""
     cuts = [64 * i // blocks for i in range(blocks + 1)]
-    part = lambda i: F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1))
-    for n, chosen in enumerate(combinations(range(blocks), blocks - distance)):
-        key = F.lit(n).cast("bigint")
-        for i in chosen:
-            key = F.shiftleft(key, cuts[i + 1] - cuts[i]).bitwiseOR(part(i))
-        yield key
+    part = lambda i: (1 << cuts[i + 1]) - (1 << cuts[i])
+    masks = [sum(map(part, chosen)) for chosen in combinations(range(blocks), blocks - distance)]
+    return np.array(masks, np.uint64).view(np.int64).tolist()
 
 
 def _near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
@@ -84,47 +84,83 @@ def _links(fps: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
                 front.extend(found)
 
 
-def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """Links ``(u, v)`` between distinct fingerprints ``fp`` whose components are those of all close pairs."""
+def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, together: int = TOGETHER) -> DataFrame:
+    """Links ``(u, v)`` between distinct fingerprints ``fp`` whose components are those of all close pairs.
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest_k, rest_f = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-        def links(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
-            u: list[np.ndarray] = []
-            v: list[np.ndarray] = []
-            bounds = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
-            sizes = np.diff(bounds)
-            for size in range(2, 5):  # small groups together: every pair
-                at = bounds[:-1][sizes == size]
-                for i, j in combinations(range(size), 2):
-                    a, b = f[at + i], f[at + j]
-                    close = _near(a, b, distance)
-                    u.append(a[close])
-                    v.append(b[close])
-            for n in np.flatnonzero(sizes >= 5):
-                if pairs := list(_links(f[bounds[n] : bounds[n + 1]], distance)):
-                    a, b = np.array(pairs, np.int64).T
-                    u.append(a)
-                    v.append(b)
-            join = lambda x: pa.array(np.concatenate(x) if x else np.zeros(0, np.int64))
-            return pa.RecordBatch.from_arrays([join(u), join(v)], names=["u", "v"])
+    A task compares at most ``together`` fingerprints under one key. Those of fuller keys are handed on uncompared and filed
+    anew in more and longer keys (two blocks more a round, each round complete by the same argument), until the keys leave
+    fewer bits than a crowd needs; what crowds there are in the last round are compared as they are.
+    """
+    found = None
+    while True:
+        last = blocks + 2 - distance > MAX_SHARED
+        masks = F.array(*map(F.lit, _masks(blocks, distance)))
+        filed = fps.select("fp", F.posexplode(masks).alias("n", "mask")).select(F.xxhash64("n", F.col("fp").bitwiseAND(F.col("mask"))).alias("k"), "fp")
+        dealt = filed.repartition("k").sortWithinPartitions("k", "fp")
+        links = dealt.mapInArrow(_comparer(distance, None if last else together), "u bigint, v bigint")
+        links = links.distinct() if last else materialise(links.distinct(), "links")[0]
+        own = links.filter(F.col("v").isNotNull())
+        found = own if found is None else found.unionByName(own)
+        crowded = None if last else links.filter(F.col("v").isNull()).select(F.col("u").alias("fp"))
+        if last or crowded.isEmpty():
+            return found
+        fps, blocks = crowded, blocks + 2
+
+
+def _comparer(distance: int, together: int | None):
+    """The work of a task on its sorted ``(k, fp)`` rows: links, and ``(fp, null)`` for the members of crowded keys."""
+
+    def batch_of(u: list[np.ndarray], v: list[np.ndarray], crowd: list[np.ndarray]) -> pa.RecordBatch:
+        ends = [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64)) for x in (u + crowd, v)]
+        n = sum(map(len, crowd))
+        return pa.RecordBatch.from_arrays([ends[0], pa.concat_arrays([ends[1], pa.nulls(n, pa.int64())])], names=["u", "v"])
+
+    def links(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+        u: list[np.ndarray] = []
+        v: list[np.ndarray] = []
+        crowd: list[np.ndarray] = []
+        bounds = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
+        sizes = np.diff(bounds)
+        for size in range(2, 5):  # small groups together: every pair
+            at = bounds[:-1][sizes == size]
+            for i, j in combinations(range(size), 2):
+                a, b = f[at + i], f[at + j]
+                close = _near(a, b, distance)
+                u.append(a[close])
+                v.append(b[close])
+        for n in np.flatnonzero(sizes >= 5):
+            own = f[bounds[n] : bounds[n + 1]]
+            if together and len(own) > together:
+                crowd.append(own)
+            elif pairs := list(_links(own, distance)):
+                a, b = np.array(pairs, np.int64).T
+                u.append(a)
+                v.append(b)
+        return batch_of(u, v, crowd)
 
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest_k, rest_f, full = np.zeros(0, np.int64), np.zeros(0, np.int64), None
         for batch in batches:
-            if not batch.num_rows:
-                continue
             k = np.concatenate([rest_k, batch.column(0).to_numpy(zero_copy_only=False)])
             f = np.concatenate([rest_f, batch.column(1).to_numpy(zero_copy_only=False)])
+            if full is not None and len(k):  # what follows of a key that is known to be crowded
+                cut = int(np.searchsorted(k, full, "right"))
+                yield batch_of([], [], [f[:cut]])
+                k, f, full = k[cut:], f[cut:], full if cut == len(k) else None
+            if not len(k):
+                rest_k, rest_f = k, f
+                continue
             cut = int(np.searchsorted(k, k[-1]))  # the last key may go on in the next batch
             if cut:
                 yield links(k[:cut], f[:cut])
             rest_k, rest_f = k[cut:], f[cut:]
+            if together and len(rest_k) > together:
+                yield batch_of([], [], [rest_f])
+                full, rest_k, rest_f = rest_k[-1], rest_k[:0], rest_f[:0]
         if len(rest_k):
             yield links(rest_k, rest_f)
 
-    filed = fps.select(F.explode(F.array(*_keys(blocks, distance))).alias("k"), "fp")
-    dealt = filed.repartition("k").sortWithinPartitions("k", "fp")
-    return dealt.mapInArrow(compare, "u bigint, v bigint").distinct()
+    return compare
 
 
 def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS, text: str = "text", id_col: str = "doc_id") -> DataFrame:
