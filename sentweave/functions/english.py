@@ -108,8 +108,14 @@ def split_english(c: Column) -> Column:
     return F.transform(F.filter(F.split(F.array_join(marked, ""), "\n"), lambda s: F.trim(s) != ""), lambda s: F.trim(s))
 
 
-def tokenize(c: Column, language: str = "en") -> Column:
-    """Tokens of a line as one string with single blanks between them."""
+def tokenize(c: Column, language: str = "en", prefixes: dict[str, int] | None = None) -> Column:
+    """Tokens of a line as one string with single blanks between them.
+
+    ``prefixes``: another language's abbreviations (``readers.prefixes`` reads them from a file), 1 for such whose period
+    always stays with them, 2 for such before a number; without them, those of the language or else English ones count.
+    """
+    always = [p for p, kind in prefixes.items() if kind == 1] if prefixes is not None else PREFIXES.get(language, PREFIXES["en"])
+    numeric = [p for p, kind in prefixes.items() if kind == 2] if prefixes is not None else NUMERIC_PREFIXES.get(language, NUMERIC_PREFIXES["en"])
     t = F.concat(F.lit(" "), c, F.lit(" "))
     put = lambda t, pattern, by: F.regexp_replace(t, pattern, by)
     t = put(t, "([^\\p{IsAlphabetic}\\p{Nd}\\s.'`,\\-])", " $1 ")
@@ -138,8 +144,8 @@ def tokenize(c: Column, language: str = "en") -> Column:
 
     def period(w: Column, i: Column) -> Column:
         stem = F.regexp_replace(w, "\\.$", "")
-        keep = (stem.contains(".") & stem.rlike(f"[{letter}]")) | stem.isin(*PREFIXES.get(language, PREFIXES["en"])) | following(i).rlike("^\\p{Ll}")
-        number = stem.isin(*NUMERIC_PREFIXES.get(language, NUMERIC_PREFIXES["en"])) & following(i).rlike("^[0-9]")
+        keep = (stem.contains(".") & stem.rlike(f"[{letter}]")) | stem.isin(*always) | following(i).rlike("^\\p{Ll}")
+        number = stem.isin(*numeric) & following(i).rlike("^[0-9]")
         return F.when(w.rlike("^\\S+\\.$") & ~keep & ~number, F.concat(stem, F.lit(" ."))).otherwise(w)
 
     return F.translate(F.array_join(F.transform(words, period), " "), dots, ".")

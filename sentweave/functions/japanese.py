@@ -14,7 +14,7 @@ EMOTICONS = ["（＊＾−＾＊）", "（＾＾；）", "（＞▽＜）", "（
 MARKS = ["（笑）", "（爆）", "（怒）", "（汗）", "（泣）", "（涙）"]
 #: Marks that open a heading or a list line, enumerations that stay, characters of menu bars.
 LINE_MARKS = "□■◇◆▽△▼▲○◎●〇◯★☆・＜《【［"
-ENUMERATION = [chr(0xFF10 + i) for i in range(1, 10)] + ["１" + chr(0xFF10 + i) for i in range(10)] + ["２０"]
+ENUMERATION = [chr(0xFF10 + i) for i in range(1, 10)]
 PARTICLES = "がをにはので"
 JAPANESE = "[\\p{IsHiragana}\\p{IsKatakana}ー\\p{IsHan}\\p{P}]"
 JAPANESE_LETTERS = "[\\p{IsHiragana}\\p{IsKatakana}ー\\p{IsHan}]"

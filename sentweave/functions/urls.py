@@ -23,7 +23,7 @@ def file_of(url: Column) -> Column:
 
 def wanted_href(href: Column) -> Column:
     """Neither mail nor script nor within the page nor an image."""
-    return href.isNotNull() & (href != "") & ~href.rlike("^mail|javascript|#|\\.(jpe?g|gif|png|bmp|ico)$")
+    return href.isNotNull() & (href != "") & ~href.rlike("^mail|javascript|#|\\.(jpe?g|gif|png)$")
 
 
 def _clean_path(path: Column) -> Column:

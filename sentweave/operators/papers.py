@@ -6,22 +6,49 @@ from pyspark.sql import functions as F
 from sentweave.functions import text
 
 
-def divide_text(c: Column, keys: list[str]) -> Column:
-    """``struct<main, rest>``: the article up to the last line that opens with one of the keys, and from there on."""
-    quoted = "|".join("".join(f"\\x{{{ord(ch):x}}}" for ch in k) for k in keys)
+#: Keys of reference lists and acknowledgements; what follows a + must come later in the line.
+REFERENCE_KEYS = ["参考文献", "引用文献", "文献＋pp", "文献＋pages", "文献＋Proc"]
+REFERENCE_PATTERNS = ["[Rr]eferences? 1", "[Rr]eferences? \\[ 1", "[Rr]eference＋pp\\.", "[Rr]eference＋Vol\\.", "REFERENCES? 1", "REFERENCES? \\[ 1", "REFERENCE＋pp\\.", "REFERENCE＋Vol\\."]
+THANKS_PATTERNS = ["謝辞＋感謝", "謝辞＋謝意", "謝辞＋深謝", "謝辞＋本論文", "謝辞＋本研究", "謝辞＋援助", "謝辞＋協力", "[Aa]cknowledgement＋[Tt]hank", "[Aa]cknowledgement＋acknowledge", "[Aa]cknowledgement＋grateful", "ACKNOWLEDGEMENT＋[Tt]hank", "ACKNOWLEDGEMENT＋acknowledge", "ACKNOWLEDGEMENT＋grateful"]
+#: What may stand between the first letters of a key, and right before a key as part of what it opens.
+GAP, LEAD = "[ .,'　]", "[ <\\[〔【]"
+
+
+def _key_patterns(keys: list[str], patterns: list[str]) -> list[str]:
+    """Regular expressions of whole lines, with what stands before the key and what it opens as groups."""
+    literal = lambda s: "".join(f"\\x{{{ord(ch):x}}}" for ch in s)
+    out = []
+    for key, spaced in [(k, True) for k in keys] + [(p, False) for p in patterns]:
+        main, plus, sub = key.partition("＋")
+        if spaced:
+            main = f"{GAP}*".join(literal(x) for x in [*main[:3], main[3:]] if x)
+            sub = literal(sub)
+        out.append(f"^(.*?)({LEAD}*{main}{f'.+{sub}' if plus else ''}.*)$")
+    return out
+
+
+def divide_text(c: Column, keys: list[str], patterns: list[str] = ()) -> Column:
+    """``struct<main, rest>``: the article up to the last place in a line that a key opens, and from there on.
+
+    ``keys`` are literal (blanks and points may stand between their first four letters), ``patterns`` regular expressions;
+    ``a＋b`` means a with b later in the line. The first key that a line has counts.
+    """
+    found = _key_patterns(list(keys), list(patterns))
     lines = F.split(c, "\n")
-    hits = F.filter(F.transform(lines, lambda line, i: F.when(line.rlike(f"^[\\s　0-9０-９．.]*({quoted})"), i)), lambda i: i.isNotNull())
-    at = F.when(F.size(hits) > 0, F.array_max(hits))
-    n = F.size(lines)
-    main = F.when(at.isNull(), c).otherwise(F.array_join(F.slice(lines, F.lit(1), F.coalesce(at, n)), "\n"))
-    rest = F.when(at.isNull(), F.lit("")).otherwise(F.array_join(F.slice(lines, F.coalesce(at, F.lit(0)) + 1, n), "\n"))
-    return F.struct(main.alias("main"), rest.alias("rest"))
+    opens = lambda line: F.coalesce(*[F.when(line.rlike(p), F.length(F.regexp_extract(line, p, 1))) for p in found])
+    hits = F.filter(F.transform(lines, lambda line, i: F.when(opens(line).isNotNull(), F.struct(i.alias("i"), opens(line).alias("n")))), lambda h: h.isNotNull())
+    last = F.get(hits, F.size(hits) - 1)
+    at, front = last["i"], last["n"]
+    line = F.get(lines, at)
+    main = F.array_join(F.concat(F.slice(lines, F.lit(1), F.coalesce(at, F.lit(0))), F.array(F.substring(line, F.lit(1), front))), "\n")
+    rest = F.array_join(F.concat(F.array(F.substring(line, front + 1, F.length(line))), F.slice(lines, F.coalesce(at, F.lit(0)) + 2, F.size(lines))), "\n")
+    return F.struct(F.coalesce(F.when(at.isNotNull(), main), c).alias("main"), F.coalesce(F.when(at.isNotNull(), rest), F.lit("")).alias("rest"))
 
 
-def paper_page(c: Column, references: list[str], thanks: list[str]) -> Column:
+def paper_page(c: Column, references: list[str] = REFERENCE_KEYS, thanks: list[str] = (), reference_patterns: list[str] = REFERENCE_PATTERNS, thanks_patterns: list[str] = THANKS_PATTERNS) -> Column:
     """An article as a page with blocks for the main text, acknowledgements and references."""
-    first = divide_text(text.drop_ocr_noise(c), references)
-    second = divide_text(first["main"], thanks)
+    first = divide_text(text.drop_ocr_noise(c), references, reference_patterns)
+    second = divide_text(first["main"], thanks, thanks_patterns)
     block = lambda kind, body: F.when(body != "", F.concat(F.lit(f'<DIV myblocktype="{kind}">'), escape(body), F.lit("</DIV>\n"))).otherwise(F.lit(""))
     return F.concat(F.lit("<HTML><BODY>\n"), block("maintext", second["main"]), block("acknowledgement", second["rest"]), block("reference", first["rest"]), F.lit("</BODY></HTML>"))
 

@@ -113,7 +113,7 @@ def canonical(url: str) -> str:
 ANCHORS = f"""a0 AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*>[^<]*</a\\s*>')) AS a, unnest(range(len(regexp_extract_all(html, '(?is)<a\\b[^>]*>[^<]*</a\\s*>')))) AS pos FROM pages),
 a1 AS (SELECT page_id, url, CAST(pos AS INT) AS pos, {attribute("regexp_extract(a, '(?is)^(<a\\b[^>]*>)', 1)", "href")} AS href, trim(regexp_replace({decode_entities("regexp_replace(a, '</?[a-zA-Z][^>]*>', '', 'g')")}, '\\s+', ' ', 'g')) AS anchor FROM a0),
 a2 AS (SELECT *, CASE WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/?#]*)', 1) || href ELSE href END AS full_url FROM a1
- WHERE href IS NOT NULL AND href <> '' AND NOT regexp_matches(href, '^mail|javascript|#|\\.(jpe?g|gif|png|bmp|ico)$') AND anchor <> ''),
+ WHERE href IS NOT NULL AND href <> '' AND NOT regexp_matches(href, '^mail|javascript|#|\\.(jpe?g|gif|png)$') AND anchor <> ''),
 anchors AS (SELECT page_id AS from_id, url AS from_url, pos, href, {canonical('full_url')} AS to_url, anchor FROM a2)"""
 
 KNOWN = f"""known AS (SELECT regexp_replace({canonical('url')}, '^https?://', '') AS k, min(CAST(page_id AS VARCHAR)) AS id FROM pages GROUP BY 1),

@@ -225,12 +225,14 @@ def typed_dependencies(spark, sf_dir):
     return strings(spark, DEPENDENCIES).select("id", F.explode(annotate.typed_dependencies(F.col("c"))).alias("d")).select("id", "d.rel", "d.head", "d.dep")
 
 
-ARTICLES = ["本文\n参考文献リスト\n[1] A", "本文だけ\n二行目", "序\n参考文献 の話\n続き\n参考文献\n[1]"]
+ARTICLES = ["本文\n参考文献リスト\n[1] A", "本文だけ\n二行目", "序\n参考文献 の話\n続き\n参考文献\n[1]", "序 [参 考文.献 A\nB"]
 
 
 @query(f"""WITH l AS (SELECT id, unnest(string_split(c, chr(10))) AS line, unnest(range(len(string_split(c, chr(10))))) AS i FROM {strings_sql(ARTICLES)}),
-m AS (SELECT id, max(i) AS cut_at FROM l WHERE starts_with(line, '参考文献') GROUP BY id)
-SELECT l.id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE cut_at IS NULL OR i < cut_at), '') AS main, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE i >= cut_at), '') AS rest FROM l LEFT JOIN m USING (id) GROUP BY l.id""")
+k AS (SELECT *, '[ <\\[〔【]*参[ .,''　]*考[ .,''　]*文[ .,''　]*献.*$' AS p FROM l),
+m AS (SELECT id, max(i) AS cut_at FROM k WHERE regexp_matches(line, p) GROUP BY id),
+s AS (SELECT k.*, cut_at, CASE WHEN i = cut_at THEN length(regexp_extract(line, '^(.*?)' || p, 1)) WHEN i > cut_at THEN 0 ELSE length(line) END AS n FROM k LEFT JOIN m USING (id))
+SELECT id, string_agg(line[:n], chr(10) ORDER BY i) FILTER (WHERE cut_at IS NULL OR i <= cut_at) AS main, coalesce(string_agg(line[n + 1:], chr(10) ORDER BY i) FILTER (WHERE i >= cut_at), '') AS rest FROM s GROUP BY id""")
 def paper_divide(spark, sf_dir):
     return strings(spark, ARTICLES).select("id", papers.divide_text(F.col("c"), ["参考文献"]).alias("d")).select("id", "d.main", "d.rest")
 

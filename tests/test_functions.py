@@ -57,6 +57,7 @@ def test_english_tokens(spark):
     cases = {"Mr. Smith isn't here.": "Mr. Smith isn 't here .", "5,300 units, ok": "5,300 units , ok", "No. 5 wins.": "No. 5 wins .", "No. Never.": "No . Never .", "wait... what?": "wait ... what ?", "": ""}
     assert run(spark, english.tokenize, list(cases)) == list(cases.values())
     assert run(spark, lambda c: english.tokenize(c, "fr"), ["l'eau"]) == ["l' eau"]
+    assert run(spark, lambda c: english.tokenize(c, "de", {"bzw": 1, "Nr": 2}), ["A bzw. B. Nr. 5 Nr. X"]) == ["A bzw. B . Nr. 5 Nr . X"]
 
 
 @pytest.mark.parametrize(
@@ -152,8 +153,10 @@ def test_chunks_and_dependencies(spark):
 
 
 def test_papers(spark):
-    assert run(spark, lambda c: papers.divide_text(c, ["参考文献"]), ["本文\n参考文献リスト\n[1] A", "x"]) == [("本文", "参考文献リスト\n[1] A"), ("x", "")]
-    page = run(spark, lambda c: papers.paper_page(c, ["参考文献"], ["謝辞"]), ["本文 <b>\n謝辞\n有難う\n参考文献\n[1]"])[0]
+    assert run(spark, lambda c: papers.divide_text(c, ["参考文献"]), ["本文\n参考文献リスト\n[1] A", "x"]) == [("本文\n", "参考文献リスト\n[1] A"), ("x", "")]
+    got = run(spark, lambda c: papers.divide_text(c, papers.REFERENCE_KEYS, papers.REFERENCE_PATTERNS), ["a 文 献 x pp. 3\nb", "a 文献 x", "body References [ 1 x", "[参考文献", None])
+    assert got == [("a", " 文 献 x pp. 3\nb"), ("a 文献 x", ""), ("body", " References [ 1 x"), ("", "[参考文献"), (None, "")]
+    page = run(spark, papers.paper_page, ["本文 <b>\n謝辞 感謝します\n有難う\n参考文献\n[1]"])[0]
     assert page.count("<DIV") == 3 and "本文 &lt;b&gt;" in page
     rows = spark.createDataFrame([(["ab", "c", "de", "cde"], "cde")], "a array<string>, t string")
     assert rows.select(papers.tag_spans(F.col("a"), F.col("t"))).first()[0] == "B:1,E:2/B:3,E:3"
