@@ -25,6 +25,11 @@ def replace_all(c: Column, *pairs: tuple[str, str]) -> Column:
     return c
 
 
+def bind(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once: inside lambdas an expression would be worked out for every element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def is_blank(c: Column) -> Column:
     """True for a segment of white space and full-width blanks only."""
     return c.rlike("^[\\u3000\\s]*$")

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentweave.functions.text import bind
+
 MAX_CHARS = 130
 DIGITS = "[０-９0-9　 ]{10,}"
 _ANALYZERS: dict[str, Callable[[], Callable[[str], str]]] = {}
@@ -127,8 +129,8 @@ def typed_dependencies(text: Column) -> Column:
 
 def predicates(deps: Column) -> Column:
     """Predicate-argument pairs of dependencies; heads that are no word of the sentence are dropped."""
-    words = F.transform(deps, lambda d: d["dep"])
-    return F.filter(deps, lambda d: (d["head"] > 0) & (F.array_contains(words, d["head"]) | d["rel"].isin("nsubj", "dobj", "iobj", "nsubjpass")))
+    of = lambda deps: F.filter(deps, lambda d: (d["head"] > 0) & (F.array_contains(F.transform(deps, lambda x: x["dep"]), d["head"]) | d["rel"].isin("nsubj", "dobj", "iobj", "nsubjpass")))
+    return bind(deps, of)
 
 
 def attach_sids(conll: DataFrame, sids: DataFrame, order: str) -> DataFrame:

@@ -34,15 +34,17 @@ def divide_text(c: Column, keys: list[str], patterns: list[str] = ()) -> Column:
     ``a＋b`` means a with b later in the line. The first key that a line has counts.
     """
     found = _key_patterns(list(keys), list(patterns))
-    lines = F.split(c, "\n")
     opens = lambda line: F.coalesce(*[F.when(line.rlike(p), F.length(F.regexp_extract(line, p, 1))) for p in found])
-    hits = F.filter(F.transform(lines, lambda line, i: F.when(opens(line).isNotNull(), F.struct(i.alias("i"), opens(line).alias("n")))), lambda h: h.isNotNull())
-    last = F.get(hits, F.size(hits) - 1)
-    at, front = last["i"], last["n"]
-    line = F.get(lines, at)
-    main = F.array_join(F.concat(F.slice(lines, F.lit(1), F.coalesce(at, F.lit(0))), F.array(F.substring(line, F.lit(1), front))), "\n")
-    rest = F.array_join(F.concat(F.array(F.substring(line, front + 1, F.length(line))), F.slice(lines, F.coalesce(at, F.lit(0)) + 2, F.size(lines))), "\n")
-    return F.struct(F.coalesce(F.when(at.isNotNull(), main), c).alias("main"), F.coalesce(F.when(at.isNotNull(), rest), F.lit("")).alias("rest"))
+    places = lambda lines: F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("i"), opens(line).alias("n"))), lambda h: h["n"].isNotNull())
+    uncut = F.struct(c.alias("main"), F.lit("").alias("rest"))
+
+    def cut(lines: Column, hit: Column) -> Column:
+        line = F.get(lines, hit["i"])
+        main = F.concat(F.slice(lines, F.lit(1), hit["i"]), F.array(F.substring(line, F.lit(1), hit["n"])))
+        rest = F.concat(F.array(F.substring(line, hit["n"] + 1, F.length(line))), F.slice(lines, hit["i"] + 2, F.size(lines)))
+        return F.when(hit.isNull(), uncut).otherwise(F.struct(F.array_join(main, "\n").alias("main"), F.array_join(rest, "\n").alias("rest")))
+
+    return text.bind(F.split(c, "\n"), lambda lines: text.bind(F.get(F.reverse(places(lines)), F.lit(0)), lambda hit: cut(lines, hit)))
 
 
 def paper_page(c: Column, references: list[str] = REFERENCE_KEYS, thanks: list[str] = (), reference_patterns: list[str] = REFERENCE_PATTERNS, thanks_patterns: list[str] = THANKS_PATTERNS) -> Column:
@@ -103,8 +105,15 @@ def tag_spans(tokens: Column, tag: Column) -> Column:
 
     The tag must start where a token starts and end where one ends.
     """
-    whole = F.array_join(tokens, "")
-    places = F.sequence(F.lit(0), F.greatest(F.size(tokens), F.lit(1)))
-    ends = F.transform(places, lambda i: F.length(F.array_join(F.slice(tokens, F.lit(1), i), "")))
-    spans = F.flatten(F.transform(places, lambda i: F.transform(F.filter(places, lambda j: (j > i) & (F.get(ends, j) - F.get(ends, i) == F.length(tag)) & (whole.substr(F.get(ends, i) + 1, F.length(tag)) == tag)), lambda j: F.concat(F.lit("B:"), i.cast("string"), F.lit(",E:"), (j - 1).cast("string")))))
-    return F.when(F.length(tag) > 0, F.array_join(spans, "/")).otherwise(F.lit(""))
+    size = F.length(tag)
+    begin = F.struct(F.lit(0).alias("n"), F.array(F.lit(0)).alias("ends"))
+    ends = F.aggregate(tokens, begin, lambda s, t: F.struct((s["n"] + F.length(t)).alias("n"), F.array_append(s["ends"], s["n"] + F.length(t)).alias("ends")))["ends"]
+    opens = F.filter(F.transform(tokens, lambda t, i: F.when(F.startswith(tag, t), i)), lambda i: i.isNotNull())  # few tokens spell the tag's start
+
+    def spans(known: Column) -> Column:
+        spelt = F.filter(opens, lambda i: known["whole"].substr(F.get(known["ends"], i) + 1, size) == tag)
+        return F.transform(spelt, lambda i: F.struct(i.alias("i"), (F.array_position(known["ends"], F.get(known["ends"], i) + size) - 2).alias("j")))
+
+    found = F.filter(text.bind(F.struct(F.array_join(tokens, "").alias("whole"), ends.alias("ends")), spans), lambda s: s["j"] >= s["i"])
+    shown = F.transform(found, lambda s: F.concat(F.lit("B:"), s["i"].cast("string"), F.lit(",E:"), s["j"].cast("string")))
+    return F.when(size > 0, F.array_join(shown, "/")).otherwise(F.lit(""))

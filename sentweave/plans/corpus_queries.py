@@ -84,22 +84,22 @@ def page_directories(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", corpus.directory_of(F.col("page_id"), 100).alias("directory"))
 
 
-@query("SELECT d.doc_id, CASE WHEN l.doc_id IS NULL THEN NULL ELSE 'q' || l.quality END AS meta FROM documents d LEFT JOIN labels l ON l.doc_id = CASE WHEN EXISTS (SELECT 1 FROM labels x WHERE x.doc_id = d.doc_id) THEN d.doc_id ELSE d.doc_id + 1 END AND (l.doc_id = d.doc_id OR d.doc_id % 2 = 0)")
+@query("SELECT d.doc_id, coalesce('q' || o.quality, 'q' || p.quality) AS meta FROM documents d LEFT JOIN labels o ON o.doc_id = d.doc_id LEFT JOIN labels p ON p.doc_id = d.doc_id + 1 - 2 * (d.doc_id % 2)")
 def metadata_lookup(spark, sf_dir):
-    """Metadata by a document's id, or by its alias: each even id is also known as the next odd one."""
+    """Metadata by a document's id, or by its alias: an even id and the next odd one are names of each other."""
     documents = table(spark, sf_dir, "documents").select("doc_id")
     meta = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("string").alias("id"), F.concat(F.lit("q"), F.col("quality").cast("string")).alias("meta"))
-    aliases = documents.filter("doc_id % 2 = 0").select(F.col("doc_id").cast("string").alias("a"), (F.col("doc_id") + 1).cast("string").alias("b"))
-    one_way = papers.with_metadata(documents.filter("doc_id % 2 = 0"), meta, aliases)
-    return one_way.unionByName(papers.with_metadata(documents.filter("doc_id % 2 = 1"), meta, aliases.limit(0)))
+    even = F.col("doc_id") - F.col("doc_id") % 2
+    aliases = documents.select(even.cast("string").alias("a"), (even + 1).cast("string").alias("b")).distinct()
+    return papers.with_metadata(documents, meta, aliases)
 
 
-@query("WITH w AS (SELECT DISTINCT string_split(text, chr(10))[1] AS line FROM documents) SELECT d.doc_id, length(w.line) AS n FROM documents d JOIN w ON string_split(d.text, chr(10))[1] = w.line")
+@query(f"WITH {_LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, length(line) AS n FROM lines")
 def distinct_annotate_join(spark, sf_dir):
-    """Each distinct first line worked on once, then joined back."""
-    first = table(spark, sf_dir, "documents").select("doc_id", F.get(F.split("text", "\n", -1), F.lit(0)).alias("line"))
-    done = first.select("line").distinct().withColumn("n", F.length("line").cast("bigint"))
-    return first.join(done, "line").select("doc_id", "n")
+    """Each distinct line worked on once, then joined back."""
+    found = lines(spark, sf_dir)
+    done = found.select("line").distinct().withColumn("n", F.length("line").cast("bigint"))
+    return found.join(done, "line").select("doc_id", "line_no", "n")
 
 
 @query(f"WITH {_LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, length(line) <= 130 AND length(line) > 0 AND NOT regexp_matches(line, '[０-９0-9　 ]{{10,}}') AS wanted FROM lines")
@@ -122,7 +122,6 @@ def vocabulary(spark, sf_dir):
 
 @query()
 def tag_positions(spark, sf_dir):
-    """Where a document's third and fourth words stand as a run of its first line's tokens."""
-    words = english.words_of(F.get(F.split("text", "\n", -1), F.lit(0)))
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.slice(words, F.lit(1), F.lit(12)).alias("w")).filter("size(w) >= 4")
-    return docs.select("doc_id", papers.tag_spans(F.col("w"), F.concat(F.get("w", F.lit(2)), F.get("w", F.lit(3)))).alias("spans"))
+    """Where a line's third and fourth words stand as a run of its tokens, for every line that has them."""
+    found = lines(spark, sf_dir).select("doc_id", "line_no", english.words_of(F.col("line")).alias("w")).filter("size(w) >= 4")
+    return found.select("doc_id", "line_no", papers.tag_spans(F.col("w"), F.concat(F.get("w", F.lit(2)), F.get("w", F.lit(3)))).alias("spans"))

@@ -180,15 +180,11 @@ def tokenizer_languages(spark, sf_dir):
     return rows.select("id", *[english.tokenize(F.col("c"), lang).alias(lang) for lang in ("en", "fr", "de")])
 
 
-@query("""SELECT doc_id, len(string_split(t, ' ')) AS n_tokens, md5(t) AS digest FROM (
- SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(' ' || line || ' ', '([^\\p{L}\\p{Nd}\\s.''`,\\-])', ' \\1 ', 'g'), ',', ' , ', 'g'), '\\s+', ' ', 'g'), '([^\\s.])\\. $', '\\1 . '), ' +', ' ', 'g')) AS t
- FROM (SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents) WHERE NOT regexp_matches(line, '[0-9''`]|\\.[^ ]|\\. .|(^| |[^\\p{L}])(i\\.e|rev|e\\.g|v|vs|[A-Z]|Adj|Adm|Con|Art|No|Res|Rep|Gen|St|Op|Ord|Hon)\\.|,,') AND regexp_matches(line, '[\\p{L}]\\.$'))""")
+@query()
 def english_tokenize(spark, sf_dir):
-    """First lines without digits, quotes and inner periods, where the rules come down to three replacements."""
-    first = docs(spark, sf_dir).select("doc_id", F.get(F.split("text", "\n", -1), F.lit(0)).alias("line"))
-    plain = first.filter(~F.col("line").rlike("[0-9'`]|\\.[^ ]|\\. .|(^| |[^\\p{L}])(i\\.e|rev|e\\.g|v|vs|[A-Z]|Adj|Adm|Con|Art|No|Res|Rep|Gen|St|Op|Ord|Hon)\\.|,,") & F.col("line").rlike("\\p{L}\\.$"))
+    """Tokens of every line of every document."""
     token = english.tokenize(F.col("line"))
-    return plain.select("doc_id", F.size(F.split(token, " ")).cast("bigint").alias("n_tokens"), F.md5(token).alias("digest"))
+    return lines(spark, sf_dir).select("doc_id", "line_no", F.size(english.words_of(token)).cast("bigint").alias("n_tokens"), F.md5(token).alias("digest"))
 
 
 @query()
@@ -198,10 +194,10 @@ def annotated_sentences(spark, sf_dir):
     return annotate.annotate(found).select("doc_id", "line_no", "k", F.md5("analysis").alias("analysis"), "error")
 
 
-@query("""WITH words AS (SELECT doc_id, unnest(regexp_extract_all(string_split(text, chr(10))[1], '[^\\x20\\x09-\\x0D]+')) AS form, unnest(range(len(regexp_extract_all(string_split(text, chr(10))[1], '[^\\x20\\x09-\\x0D]+')))) AS i FROM documents)
+@query("""WITH words AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS form, unnest(range(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')))) AS i FROM documents)
 SELECT doc_id, CAST(i + 1 AS INT) AS tok, form, lower(form) AS lemma FROM words""")
 def conll_rows(spark, sf_dir):
-    words = english.words_of(F.get(F.split("text", "\n", -1), F.lit(0)))
+    words = english.words_of(F.col("text"))
     tagged = docs(spark, sf_dir).withColumn("analysis", annotate.tagged_conll(words, F.transform(words, lambda w: F.lit("X"))))
     return annotate.conll_rows(tagged, "analysis", "doc_id").select("doc_id", "tok", "form", "lemma")
 

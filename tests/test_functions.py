@@ -1,5 +1,8 @@
 """Unit cases of the column functions."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +171,47 @@ def test_alignment():
     assert provenance.align(["missing"], page) == [(-1, -1)]
     assert provenance.align(["ａｂ"], "ab") == [(0, 2)]
     assert provenance.align([], "") == []
+
+
+def brute_spans(tokens, tag):
+    whole = [(i, j) for i in range(len(tokens)) for j in range(i, len(tokens)) if "".join(tokens[i : j + 1]) == tag]
+    return "/".join(f"B:{i},E:{j}" for i, j in whole)
+
+
+def test_tag_spans_are_brute_force(spark):
+    pick = random.Random(3)
+    rows = [([pick.choice(["a", "b", "ab", "漢", "ba"]) for _ in range(pick.randrange(12))], "".join(pick.choices("ab漢", k=pick.randrange(5)))) for _ in range(300)]
+    found = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, w array<string>, t string")
+    got = found.select("i", papers.tag_spans(F.col("w"), F.col("t")).alias("s")).orderBy("i").collect()
+    assert [r["s"] for r in got] == [brute_spans(*r) for r in rows]
+
+
+def brute_tokens(line):
+    """The English rules letter by letter, for lines without backquotes and doubled quotes or commas."""
+    out = []
+    for i, ch in enumerate(line):
+        before, after = line[i - 1 : i] or " ", line[i + 1 : i + 2] or " "
+        if ch == ",":
+            out.append("," if before.isnumeric() and after.isnumeric() else " , ")
+        elif ch == "'":
+            if before.isnumeric() and after != "s" and after.isalpha():
+                out.append("'")
+            else:
+                out.append(" '" if (before.isalpha() or before.isnumeric() and after == "s") and after.isalpha() else "'" if before.isnumeric() and not after.isalpha() and after.isnumeric() else " ' ")
+        else:
+            out.append(ch if ch.isalnum() or ch.isspace() or ch in ".-" else f" {ch} ")
+    words = "".join(out).split()
+    for i, w in enumerate(words):
+        stem, after = w[:-1], words[i + 1] if i + 1 < len(words) else ""
+        if len(w) > 1 and w[-1] == "." and not ("." in stem and any(map(str.isalpha, stem)) or stem in english.PREFIXES["en"] or after[:1].islower() or stem in english.NUMERIC_PREFIXES["en"] and after[:1].isdigit()):
+            words[i] = stem + " ."
+    return " ".join(words)
+
+
+def test_tokens_of_documents_are_brute_force(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.explode(F.split("text", "\n")).alias("line")).distinct()
+    rows = lines.select("line", english.tokenize(F.col("line")).alias("t")).collect()
+    plain = [r for r in rows if not re.search(r"``|`|''|,,|\.\.|[0-9]'[^s]|''|'[^\w]|[^\w]'|[^\x00-\u024f]", r["line"])]
+    assert len(plain) > 0.5 * len(rows)
+    wrong = [(r["line"], r["t"], brute_tokens(r["line"])) for r in plain if r["t"] != brute_tokens(r["line"])]
+    assert not wrong, wrong[:3]
