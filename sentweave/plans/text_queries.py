@@ -183,8 +183,8 @@ def tokenizer_languages(spark, sf_dir):
 @query()
 def english_tokenize(spark, sf_dir):
     """Tokens of every line of every document."""
-    token = english.tokenize(F.col("line"))
-    return lines(spark, sf_dir).select("doc_id", "line_no", F.size(english.words_of(token)).cast("bigint").alias("n_tokens"), F.md5(token).alias("digest"))
+    digests = lambda t: F.struct(F.size(F.filter(F.split(t, " "), lambda w: w != "")).cast("bigint").alias("n_tokens"), F.md5(t).alias("digest"))
+    return lines(spark, sf_dir).select("doc_id", "line_no", text.bind(english.tokenize(F.col("line")), digests).alias("t")).select("doc_id", "line_no", "t.*")
 
 
 @query()
