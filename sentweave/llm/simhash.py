@@ -44,16 +44,16 @@ def fingerprint(text: str, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, fp)`` for each row; ``fp`` is the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shingle: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, fp)`` for each row; ``fp`` is the fingerprint as a signed long."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], names=["doc_id", "fp"])
+            fps = np.array([fingerprint(t, shingle) for t in batch.column("_text").to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fps)], names=[*batch.schema.names[:-1], "fp"])
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(docs, text).alias("t"))
-    return rows.mapInArrow(work, f"doc_id {docs.schema[id_col].dataType.simpleString()}, fp bigint")
+    rows = docs.select(F.col(id_col).alias("doc_id"), *keep, text_of(docs, text).alias("_text"))
+    return rows.mapInArrow(work, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", fp bigint")
 
 
 def _masks(blocks: int, distance: int) -> list[int]:
@@ -171,20 +171,34 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     gives an empty result; other columns never enter.
     """
     rows, _ = materialise(fingerprints(docs, text, id_col, shingle), "fingerprints")
-    nodes, _ = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
-    linked = components(near_links(nodes.select("fp"), distance, blocks))
-    named = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    named = _named(rows, distance, blocks)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
     by_fp = named.join(least, "component").select("fp", "component_id")
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
+def _named(rows: DataFrame, distance: int, blocks: int) -> DataFrame:
+    """``(fp, first_id, component)`` for each distinct fingerprint; a component's name is one of its fingerprints."""
+    nodes, _ = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "nodes")
+    linked = components(near_links(nodes.select("fp"), distance, blocks))
+    return nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+
+
 def hex_fingerprint(fp="fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the least id, once."""
-    kept = near_groups(docs, **options).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    found = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    return found.dropDuplicates(["doc_id"])
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """``docs`` with one row of each group of near copies: the one with the least id (a null one only where all are null).
+
+    Rows of one id with different texts are rows of their own; of repeated rows one stays. Rows are known by two hashes of
+    id and text, on which they are shuffled once.
+    """
+    row = [F.coalesce(docs["doc_id"].cast("string"), F.lit("")), docs["doc_id"].isNull(), text_of(docs)]
+    keyed = docs.withColumn("_k1", F.xxhash64(*row)).withColumn("_k2", F.xxhash64(F.lit(7), *row))
+    rows, _ = materialise(fingerprints(keyed, shingle=shingle, keep=("_k1", "_k2")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")).alias("first")
+    by_fp, _ = materialise(rows.groupBy("fp").agg(first), "first-rows")
+    named = by_fp.join(_named(rows, distance, blocks).select("fp", "component"), "fp")
+    kept = named.groupBy("component").agg(F.min("first").alias("first")).select("first._k1", "first._k2")
+    return keyed.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*docs.columns)

@@ -119,6 +119,9 @@ def test_one_document_of_each_group_stays(spark, odd, empty):
     groups = {r["component_id"] for r in simhash.near_groups(odd).collect()}
     assert {r["doc_id"] for r in kept} == groups
     assert kept[0].__fields__ == odd.columns and simhash.keep_one_of_each(empty).collect() == []
+    rows = [(1, sentence(1, 80)), (1, sentence(2, 80)), (None, sentence(3, 80)), (None, sentence(4, 80)), (None, sentence(2, 80)), (5, sentence(4, 80)), (1, sentence(1, 80))]
+    one = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert Counter(map(tuple, one)) == Counter([rows[0], rows[1], rows[2], rows[5]])
 
 
 def test_components_of_a_chain_and_a_star(spark):
