@@ -92,8 +92,8 @@ def tags_by_both_names(tags: DataFrame, aliases: DataFrame, key: str = "fid") ->
 
 
 def tag_lines(lines: DataFrame, order: str = "pos", column: str = "value") -> DataFrame:
-    """``(fid, type, pattern, string)`` of match lines, each under the paper line before it."""
-    upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0) if "file" not in lines.columns else Window.partitionBy("file").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    """``(fid, type, pattern, string)`` of match lines, each under the paper line before it in its ``file``."""
+    upto = Window.partitionBy("file").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     fid = F.nullif(F.regexp_extract(column, "^<PAPER\\b.*source=\"?([^\".>\\s]+)", 1), F.lit(""))
     marked = lines.withColumn("fid", F.last(fid, ignorenulls=True).over(upto)).filter(F.col(column).startswith("<MATCH"))
     part = lambda name: F.regexp_extract(column, f"\\b{name}=\"?([^\"\\s>]+)", 1)

@@ -108,12 +108,11 @@ def articles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def medical_reports(spark: SparkSession, path: str) -> DataFrame:
-    """Columns 0, 5, 6 and 7 of a tab-separated file with a header: id, findings, impression, order."""
-    raw = spark.read.csv(path, sep="\t", header=False).withColumn("_line", F.monotonically_increasing_id())
-    names = raw.columns
+    """Columns 0, 5, 6 and 7 of tab-separated files, each with a header line: id, findings, impression, order."""
+    raw = spark.read.csv(path, sep="\t", header=True)
+    raw = raw.toDF(*map(str, range(len(raw.columns)))).withColumn("pos", F.monotonically_increasing_id())
     wanted = {0: "fid", 5: "findings", 6: "impression", 7: "order_text"}
-    rows = raw.select("_line", *[F.col(names[i]).alias(n) for i, n in wanted.items()])
-    return rows.filter(F.col("_line") > 0).withColumnRenamed("_line", "pos")
+    return raw.select("pos", *[F.col(str(i)).alias(n) for i, n in wanted.items()])
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
