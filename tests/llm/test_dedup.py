@@ -2,9 +2,10 @@ import hashlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
+import corpus_pipeline
 import xxhash
 from tests.llm.conftest import odd_texts, sentence
-from sentweave.llm import components, line_dedup, quality, simhash
+from sentweave.llm import components, line_dedup, minhash, quality, simhash
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -164,3 +165,43 @@ def test_quality_of_an_empty_table(empty):
 
 def test_kept_digest():
     assert hashlib.sha256(brute_lines(["A\nB"] * 2, 2)[0].encode()).hexdigest() == hashlib.sha256(b"").hexdigest() and len(odd_texts()) > 20
+
+
+def brute_near(texts, similarity=0.8):
+    """The least index of each text's group by the sets of its five-word shingles."""
+    words = [(t or "").encode().lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in words]
+    least = list(range(len(texts)))
+    for i, j in combinations(range(len(texts)), 2):
+        if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) and least[i] != least[j]:
+            a, b = sorted((least[i], least[j]))
+            least = [a if x == b else x for x in least]
+    return least
+
+
+def test_near_copies_are_those_that_share_their_shingles(spark):
+    """Edits in several places beyond the four bits of op10, short texts, pairs below 0.8, and a crowd that only a chain connects."""
+
+    def edited(seed, n, *at):
+        words = sentence(seed, n).split(" ")
+        for i in at:
+            words[i] = f"edit{i}"
+        return " ".join(words)
+
+    texts = [edited(1, 400), edited(1, 400, 20, 90, 160, 230), edited(1, 400, 0, 399), edited(2, 40), edited(2, 40, 39), edited(2, 40, 20), edited(3, 200), edited(3, 200, *range(10, 190, 20))]
+    chain = edited(4, 300).split(" ")
+    for step in range(80):  # each step edits one word more of three hundred
+        chain[step * 3] = f"step{step}"
+        texts.append(" ".join(chain))
+    texts += [edited(5, 300, i, 299 - i) for i in range(100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    want = set(brute_near(texts))
+    assert {r["doc_id"] for r in minhash.keep_one_of_each(docs).collect()} == want and 0 in want and 1 not in want and 7 in want
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == want
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} != want  # the four bits of fingerprints say less
+
+
+def test_near_copies_on_documents_are_brute_force(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
+    docs = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(rows)], "doc_id bigint, text string")
+    assert {r["doc_id"] for r in minhash.keep_one_of_each(docs).collect()} == set(brute_near([r["text"] for r in rows]))
