@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentweave.functions.urls import absolute
 from sentweave.llm.common import ascii_lower
 from sentweave.llm.components import components
 
@@ -64,10 +65,17 @@ def matched(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def target_of(url: Column, target: Column) -> Column:
+    """A link's target seen from its page; a mere fragment is the page itself, an empty target and other schemes such as mailto: are null."""
+    base = F.when(url.contains("://"), F.concat(F.lit("http://"), host_of(url), path_of(url)))  # clean forms don't have the scheme
+    return F.when(target.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), target).when(target.startswith("#"), url).when(target != "", absolute(base, target))
+
+
 def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(u, v)``: clean forms that canonical links and redirects of the pages connect; only absolute targets count."""
-    tags = pages.filter(F.col(html).rlike(LINK_TAG)).select(clean_form(F.col(url)).alias("u"), F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK_TAG), F.lit(0))).alias("tag"))
-    return tags.select("u", clean_form(F.regexp_extract("tag", TARGET, 1)).alias("v")).filter(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
+    """``(u, v)``: clean forms that canonical links and redirects of the pages connect; relative targets are seen from the page's url (``<base>`` isn't read)."""
+    tags = pages.filter(F.col(html).rlike(LINK_TAG)).select(F.col(url).alias("url"), F.explode(F.regexp_extract_all(F.col(html), F.lit(LINK_TAG), F.lit(0))).alias("tag"))
+    ends = tags.select(clean_form(F.col("url")).alias("u"), clean_form(target_of(F.col("url"), F.regexp_extract("tag", TARGET, 1))).alias("v"))
+    return ends.filter(F.col("u").isNotNull() & F.col("v").isNotNull() & (F.col("u") != F.col("v")))
 
 
 def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url: str = "url", html: str = "html", links: DataFrame | None = None) -> DataFrame:

@@ -86,6 +86,17 @@ def test_aliases_take_decisions(spark):
     assert {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(table.filter("page_id <> 5"), links=links).collect()}[10] == "block"
 
 
+def test_relative_targets_are_aliases(spark):
+    link = '<link rel="canonical" href="{}">'
+    pages = [
+        page(1, "http://x.com/en/7"), page(2, "HTTP://x.com/a/b?q=1", link.format("/en/7")), page(3, "http://x.com/en2/p", '<meta http-equiv="refresh" content="0; url=../en/7">'),
+        page(4, "https://y.io/z", link.format("//x.com/en/7")), page(5, "http://x.com/n", link.format("#top")), page(6, "http://x.com/m", link.format("mailto:a@x.com")), page(7, "no scheme", link.format("/en/7")),
+        page(8, "http://x.com/r", link.format("/go?to=http://x.com/en/7")),
+    ]
+    got = {r["page_id"]: (r["verdict"], r["decided_by"]) for r in url_filter.judge_urls(spark.createDataFrame(pages, "page_id bigint, url string, html string")).collect()}
+    assert got == {1: ("block", "rule")} | {i: ("block", "alias") for i in (2, 3, 4)} | {i: ("allow", "default") for i in (5, 6, 7, 8)}
+
+
 def test_toxicity_on_held_out_documents(spark):
     from pyspark.sql import functions as F
 
