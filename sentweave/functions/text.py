@@ -1,10 +1,14 @@
 """Cleaning and normalising of text: row-local column expressions."""
 
+from html.entities import html5, name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Named character entities that pages use, and the character each stands for.
-ENTITIES = {"amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "copy": "©", "reg": "®", "middot": "·", "hellip": "…", "mdash": "—", "ndash": "–", "laquo": "«", "raquo": "»", "ldquo": "“", "rdquo": "”", "lsquo": "‘", "rsquo": "’", "bull": "•", "yen": "¥", "cent": "¢", "pound": "£", "sect": "§", "deg": "°", "times": "×", "trade": "™", "euro": "€"}
+#: Named character entities as HTML defines them, from Python's own table: those of HTML 4 with their semicolon, and the oldest without it too.
+ENTITIES = {f"{name};": chr(code) for name, code in name2codepoint.items()} | {name: char for name, char in html5.items() if not name.endswith(";")} | {"apos;": "'"}
+#: A character reference, by name or number.
+REFERENCE = "&(?:#[0-9]{1,7};?|#[xX][0-9a-fA-F]{1,6};?|[a-zA-Z][a-zA-Z0-9]{1,31};?)"
 #: Half-width katakana in code order, what each widens to, and the marks that join the letter before them.
 HALF_KANA = "｡｢｣､･ｦｧｨｩｪｫｬｭｮｯｰｱｲｳｴｵｶｷｸｹｺｻｼｽｾｿﾀﾁﾂﾃﾄﾅﾆﾇﾈﾉﾊﾋﾌﾍﾎﾏﾐﾑﾒﾓﾔﾕﾖﾗﾘﾙﾚﾛﾜﾝﾞﾟ"
 FULL_KANA = "。「」、・ヲァィゥェォャュョッーアイウエオカキクケコサシスセソタチツテトナニヌネノハヒフヘホマミムメモヤユヨラリルレロワン゛゜"
@@ -36,20 +40,26 @@ def is_blank(c: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Non-breaking blanks become blanks, then named and numeric character entities are decoded; ``&amp;`` last."""
-    c = replace_all(c, ("&(#160|nbsp);", " "))
-    for name, char in ENTITIES.items():
-        if name != "amp":
-            c = F.replace(c, F.lit(f"&{name};"), F.lit(char))
-    pieces = F.regexp_extract_all(c, F.lit("&#([0-9]{1,7});|[^&]+|&"), F.lit(0))
-    numbers = F.transform(pieces, lambda p: F.when(p.rlike("^&#[0-9]{1,7};$"), _char(F.regexp_extract(p, "([0-9]+)", 1))).otherwise(p))
-    c = F.when(c.rlike("&#[0-9]{1,7};"), F.array_join(numbers, "")).otherwise(c)
-    return F.replace(c, F.lit("&amp;"), F.lit("&"))
+    """Non-breaking blanks become blanks, then character references are decoded, once: by name, decimal or hexadecimal number.
+
+    What names no character stays as it is; a number that is none becomes U+FFFD.
+    """
+    known = F.map_from_arrays(*[F.split(F.lit("\n".join(x)), "\n") for x in (ENTITIES, ENTITIES.values())])  # folded to one constant
+
+    def decoded(p: Column) -> Column:
+        hexadecimal = F.conv(F.regexp_extract(p, "^&#[xX]([0-9a-fA-F]+)", 1), 16, 10)
+        number = F.when(p.rlike("^&#[xX]"), hexadecimal).otherwise(F.regexp_extract(p, "^&#([0-9]+)", 1))
+        named = F.coalesce(F.try_element_at(known, F.substring(p, 2, 40)), p)
+        return F.when(p.rlike("^&#"), F.when(F.regexp_like(p, F.lit(f"^{REFERENCE}$")), _char(number)).otherwise(p)).when(F.length(p) > 1, named).otherwise(p)
+
+    blank = F.regexp_replace(c, "&(#160|#[xX][aA]0|nbsp);", " ")
+    pieces = F.transform(F.regexp_extract_all(blank, F.lit(f"{REFERENCE}|[^&]+|&"), F.lit(0)), lambda p: F.when(p.startswith("&"), decoded(p)).otherwise(p))
+    return F.when(c.contains("&"), F.array_join(pieces, "")).otherwise(c)
 
 
 def _char(number: Column) -> Column:
-    """The character of a decimal code point, by its UTF-32 bytes; an impossible one becomes U+FFFD."""
-    n = number.cast("bigint")
+    """The character of a code point, by its UTF-32 bytes; an impossible one becomes U+FFFD."""
+    n = number.try_cast("bigint")
     good = (n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF)
     return F.when(good, F.decode(F.unhex(F.lpad(F.hex(F.when(good, n).otherwise(F.lit(0xFFFD))), 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
 

@@ -3,6 +3,8 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sentweave.functions.text import bind
+
 UNKNOWN_ID = "999999999"
 
 
@@ -37,10 +39,17 @@ def _clean_path(path: Column) -> Column:
 
 def canonical(url: Column) -> Column:
     """The url without fragment and with a clean path; null unless it is http or https."""
-    host = F.regexp_extract(url, "^(?i)(https?)://([^/?#]+)", 0)
-    rest = F.regexp_replace(F.substring(url, F.length(host) + 1, F.length(url)), "#.*$", "")
-    path, query = F.regexp_extract(rest, "^([^?]*)", 1), F.regexp_extract(rest, "(\\?.*)$", 1)
-    return F.when(host != "", F.concat(F.lower(host), F.when(path == "", "/").otherwise(_clean_path(path)), query))
+
+    def cleaned(rest: Column) -> Column:
+        path = F.regexp_extract(rest, "^([^?]*)", 1)
+        return F.concat(F.when(path == "", "/").otherwise(_clean_path(path)), F.regexp_extract(rest, "(\\?.*)$", 1))
+
+    def whole(u: Column) -> Column:
+        host = F.regexp_extract(u, "^(?i)(https?)://([^/?#]+)", 0)
+        rest = F.regexp_replace(F.substring(u, F.length(host) + 1, F.length(u)), "#.*$", "")
+        return F.when(host != "", F.concat(F.lower(host), bind(rest, cleaned)))
+
+    return bind(url, whole)
 
 
 def absolute(base: Column, href: Column) -> Column:

@@ -49,13 +49,16 @@ segments AS (SELECT page_id, seg_no, string_agg(token, '' ORDER BY pos) AS text,
  FROM flagged WHERE kind = 'T' AND NOT in_title GROUP BY page_id, seg_no)"""
 
 
+def _entity_map() -> str:
+    return "MAP {" + ", ".join(f"{q('&' + name)}: {q(char)}" for name, char in text.ENTITIES.items()) + "}"
+
+
 def decode_entities(c: str) -> str:
-    """Named entities only; the driver's pages have no numeric ones but ``&#160;``."""
-    c = f"regexp_replace({c}, '&(#160|nbsp);', ' ', 'g')"
-    for name, char in text.ENTITIES.items():
-        if name != "amp":
-            c = f"replace({c}, '&{name};', {q(char)})"
-    return f"replace({c}, '&amp;', '&')"
+    """Character references, each decoded by itself: a list of pieces, a map of names, and ``chr`` of numbers."""
+    number = "CASE WHEN regexp_matches(p, '^&#[xX]') THEN CAST('0x' || regexp_extract(p, '^&#[xX]([0-9a-fA-F]+)', 1) AS BIGINT) ELSE CAST(regexp_extract(p, '^&#([0-9]+)', 1) AS BIGINT) END"
+    one = f"CASE WHEN regexp_matches(p, '^&#([0-9]|[xX][0-9a-fA-F])') THEN CASE WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr(CAST({number} AS INT)) ELSE chr(65533) END ELSE coalesce({_entity_map()}[p], p) END"
+    pieces = f"regexp_extract_all(regexp_replace({c}, '&(#160|#[xX][aA]0|nbsp);', ' ', 'g'), {q(text.REFERENCE + '|[^&]+|&')})"
+    return f"CASE WHEN contains({c}, '&') THEN array_to_string(list_transform({pieces}, lambda p: CASE WHEN starts_with(p, '&') THEN {one} ELSE p END), '') ELSE {c} END"
 
 
 def clean_segment(c: str) -> str:
@@ -98,9 +101,10 @@ def japanese_score(c: str, pattern: str = JAPANESE) -> str:
 
 
 def clean_path(path: str) -> str:
-    """For paths without ``..`` (the driver's have none): no empty steps and no ``.``."""
+    """No empty steps and no ``.``; ``..`` takes the step before it back; a closing slash stays."""
     steps = f"list_filter(string_split({path}, '/'), lambda s: s NOT IN ('', '.'))"
-    return f"'/' || array_to_string({steps}, '/') || CASE WHEN len({steps}) > 0 AND ends_with({path}, '/') THEN '/' ELSE '' END"
+    done = f"coalesce(list_reduce(list_prepend('', {steps}), lambda done, s: CASE WHEN s = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || s END), '')"
+    return f"{done} || CASE WHEN {done} = '' OR regexp_matches({path}, '/[.]{{0,2}}$') THEN '/' ELSE '' END"
 
 
 def canonical(url: str) -> str:
