@@ -23,9 +23,14 @@ def byte_letters() -> dict[int, str]:
 LETTERS = byte_letters()
 
 
+def shown(pre_token: str) -> str:
+    """A pre-token as the letters that stand for its bytes."""
+    return pre_token.encode().decode("latin-1").translate(LETTERS)
+
+
 def ids_of(tokenizer, pre_token: str) -> list[int]:
     """Ids of one pre-token that the tokenizer's normalizer has already seen."""
-    return [t.id for t in tokenizer.model.tokenize(pre_token.encode().decode("latin-1").translate(LETTERS))]
+    return [t.id for t in tokenizer.model.tokenize(shown(pre_token))]
 
 
 class Cache(dict):

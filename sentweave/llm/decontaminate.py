@@ -1,8 +1,10 @@
 """Benchmark decontamination: documents are scanned for the word windows of benchmark items.
 
-The windows become a broadcast hash set: words as small integers, a rolling 64-bit hash for each window length, and the
-windows themselves for verifying a hit. Only benchmarks of at most ``block_windows`` windows go in one broadcast; larger
-ones are taken in blocks of that size, each scanned against all documents, and the hits of a document are merged.
+The windows are a table, worked out by the tasks: their words, and the items that they stem from. They become a broadcast
+hash set: words as small integers, a rolling 64-bit hash for each window length, and the windows themselves for verifying a
+hit. At most about ``block_windows`` windows are broadcast at a time. A larger benchmark is dealt into blocks by a hash of the
+window; each block is collected, broadcast, scanned against all documents, its hits are written, and it is freed
+before the next one; then the hits of a document are put together.
 """
 
 import hashlib
@@ -14,33 +16,45 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentweave.llm.common import text_of
+from sentweave.llm.common import broadcast, free, materialise, remove, row_key, text_of
 
 WINDOW = 10
 BLOCK_WINDOWS = 1_000_000
 #: Words of the ASCII-lower-cased UTF-8 bytes: digits, a-z and everything beyond ASCII.
 _WORDS = re.compile(rb"[0-9a-z\x80-\xff]+")
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
+MADE = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text"]
 
 
 def words_of(text: str | None) -> list[bytes]:
     return _WORDS.findall((text or "").encode().lower())
 
 
+def window_table(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
+    """``(words, items)``: the distinct windows of the benchmark, blank-separated words, with the items that have them."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for item, text in zip(*(c.to_pylist() for c in batch.columns)):
+                words = words_of(text)
+                n = min(size, len(words))
+                own = sorted({b" ".join(words[i : i + n]) for i in range(len(words) - n + 1)}) if words else []
+                yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in own], pa.string()), pa.array([item] * len(own), pa.string())], names=["words", "item"])
+
+    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_of(benchmark).alias("text"))
+    return rows.mapInArrow(cut, "words string, item string").groupBy("words").agg(F.collect_set("item").alias("items"))
+
+
 class Windows:
-    """The windows of some benchmark items, by length."""
+    """Some windows, by length."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], size: int = WINDOW):
+    def __init__(self, windows: list[tuple[str, list[str]]]):
         self.ids: dict[bytes, int] = {}
-        self.names = [name for name, _ in items]
-        self.by_length: dict[int, dict[bytes, list[int]]] = {}
-        for k, (_, words) in enumerate(items):
-            if words:
-                n = min(size, len(words))
-                ids = np.array([self.ids.setdefault(w, len(self.ids) + 1) for w in words], np.int64)
-                known = self.by_length.setdefault(n, {})
-                for i in range(len(words) - n + 1):
-                    known.setdefault(ids[i : i + n].tobytes(), []).append(k)
+        self.by_length: dict[int, dict[bytes, list[str]]] = {}
+        for text, items in windows:
+            words = text.encode().split(b" ")
+            ids = np.array([self.ids.setdefault(w, len(self.ids) + 1) for w in words], np.int64)
+            self.by_length.setdefault(len(words), {})[ids.tobytes()] = items
         self.hashes = {n: np.unique(self.hash(np.frombuffer(b"".join(known), np.int64).reshape(-1, n))) for n, known in self.by_length.items()}
 
     @staticmethod
@@ -69,26 +83,92 @@ class Windows:
             for i in at[hashes[place] == h]:
                 if found := self.by_length[n].get(ids[i : i + n].tobytes()):
                     hit[i : i + n] = True
-                    items.update(self.names[k] for k in found)
+                    items.update(found)
         return np.flatnonzero(hit).tolist(), items
 
 
-def _blocks(benchmark: DataFrame, size: int, block_windows: int) -> Iterator[Windows]:
-    """The benchmark in blocks of at most ``block_windows`` windows (an item with more is a block of its own)."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), text_of(benchmark).alias("text")).toLocalIterator()
-    items, n = [], 0
-    for row in rows:
-        words = words_of(row["text"])
-        more = max(1, len(words) - size + 1)
-        if items and n + more > block_windows:
-            yield Windows(items, size)
-            items, n = [], 0
-        items.append((row["item"], words))
-        n += more
-    yield Windows(items, size)
+_RESULT = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("clean_text", pa.string())])
+
+
+def _told(text: str, n_words: int, hits: list[int], items: set[str]) -> tuple:
+    digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    return n_words, len(hits), len(items), digest, without_words(text, set(hits)) if hits else text
+
+
+def _structs(rows: list[tuple]) -> pa.StructArray:
+    columns = list(zip(*rows)) or [()] * len(_RESULT)
+    return pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _RESULT)], fields=list(_RESULT))
+
 
+def _scanned(docs: DataFrame, windows: Windows, text: str, name: str) -> DataFrame:
+    """``docs`` and the struct ``name``, with all windows in one broadcast."""
+    sent = docs.sparkSession.sparkContext.broadcast(windows)
 
-def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, text: str = "text") -> DataFrame:
+    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield _structs([_told(t, len(w), *sent.value.scan(w)) for t in batch.to_pylist() for w in [words_of(t)]])
+
+    judge.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return docs.withColumn(name, F.arrow_udf(judge, _DDL)(text_of(docs, text)))
+
+
+_DDL = "struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,clean_text:string>"
+
+
+def _block_hits(docs: DataFrame, windows: DataFrame, blocks: int, text: str, id_col: str) -> tuple[DataFrame, list[str]]:
+    """``(k1, k2, hits, items)`` of the documents with hits; one block of windows is in memory at a time."""
+    spark, paths, found = docs.sparkSession, [], None
+    key = row_key(docs, id_col, text)
+    keyed = docs.select(key[0].alias("k1"), key[1].alias("k2"), text_of(docs, text).alias("text"))
+    for b in range(blocks):
+        own = windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b).toArrow()
+        with broadcast(spark, Windows(list(zip(own.column("words").to_pylist(), own.column("items").to_pylist())))) as sent:
+
+            def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    rows = [(k1, k2, *sent.value.scan(words_of(t))) for k1, k2, t in zip(*(c.to_pylist() for c in batch.columns))]
+                    k1, k2, hits, items = zip(*[(a, b, h, sorted(i)) for a, b, h, i in rows if h]) if any(r[2] for r in rows) else ((), (), (), ())
+                    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.string())]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((k1, k2, hits, items), kinds)], names=["k1", "k2", "hits", "items"])
+
+            part, path = materialise(keyed.mapInArrow(scan, "k1 bigint, k2 bigint, hits array<int>, items array<string>"), "benchmark-hits")
+        paths.append(path)
+        found = part if found is None else found.unionByName(part)
+    sets = lambda c: F.array_distinct(F.flatten(F.collect_set(c)))
+    return found.groupBy("k1", "k2").agg(sets("hits").alias("hits"), sets("items").alias("items")), paths
+
+
+def _in_blocks(docs: DataFrame, windows: DataFrame, blocks: int, text: str, id_col: str, name: str) -> DataFrame:
+    """``docs`` and the struct ``name``, from the hits of all blocks."""
+    k1, k2, hits, items = free(docs, "k1", "k2", "hits", "items")
+    found, _ = _block_hits(docs, windows, blocks, text, id_col)
+    found = found.select(*[F.col(a).alias(b) for a, b in zip(("k1", "k2", "hits", "items"), (k1, k2, hits, items))])
+    key = row_key(docs, id_col, text)
+
+    def tell(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, hit, item in batches:
+            yield _structs([_told(t, len(words_of(t)), h or [], set(i or [])) for t, h, i in zip(texts.to_pylist(), hit.to_pylist(), item.to_pylist())])
+
+    tell.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    joined = docs.withColumn(k1, key[0]).withColumn(k2, key[1]).join(found, [k1, k2], "left")
+    return joined.withColumn(name, F.arrow_udf(tell, _DDL)(text_of(joined, text), F.col(hits), F.col(items)))
+
+
+def _judged(docs: DataFrame, benchmark: DataFrame, window: int, block_windows: int, text: str, id_col: str) -> tuple[DataFrame, str]:
+    """``docs`` and a struct of what was found in each, and the struct's name."""
+    (name,) = free(docs, "found")
+    windows, path = materialise(window_table(benchmark, window), "benchmark-windows")
+    n = windows.count()
+    if n <= block_windows:
+        own = windows.toArrow()
+        judged = _scanned(docs, Windows(list(zip(own.column("words").to_pylist(), own.column("items").to_pylist()))), text, name)
+    else:
+        judged = _in_blocks(docs, windows, -(-n // block_windows), text, id_col, name)
+    remove(docs.sparkSession, path)
+    return judged, name
+
+
+def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_windows: int = BLOCK_WINDOWS, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with ``n_words``, ``n_hit``, ``n_items``, ``items_sha256``, ``contaminated`` and ``clean_text``.
 
     ``clean_text`` is the text without its hit words and what separates them. Null and empty texts have no words and are
@@ -96,36 +176,13 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     rows and null ids are documents of their own; empty tables give an empty or an all-clean result; other columns pass
     through (those of the names above are replaced).
     """
-    spark = docs.sparkSession
-    made = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", "clean_text"]
-    base = docs.select(*[c for c in docs.columns if c not in made])
-    blocks = _blocks(benchmark, window, block_windows)
-    sent = [spark.sparkContext.broadcast(b) for b in blocks]
-    result = "struct<n_words:bigint,n_hit:bigint,n_items:bigint,items_sha256:string,clean_text:string>"
+    judged, name = _judged(docs, benchmark, window, block_windows, text, id_col)
+    own = [judged[f"`{c}`"] for c in docs.columns if c.lower() not in MADE]
+    part = lambda c: judged[f"`{name}`"][c]
+    return judged.select(*own, *[part(c).alias(c) for c in MADE[:4]], (part("n_hit") > 0).alias("contaminated"), part("clean_text").alias("clean_text"))
 
-    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in texts:
-            out = []
-            for t in batch.to_pylist():
-                words, hits, items = words_of(t), set(), set()
-                for block in sent:
-                    found, own = block.value.scan(words)
-                    hits.update(found)
-                    items |= own
-                digest = hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
-                out.append((len(words), len(hits), len(items), digest, without(t, hits) if hits else t or ""))
-            names = [f.split(":")[0] for f in result[7:-1].split(",")]
-            columns = list(zip(*out)) or [[]] * 5
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, types)], names=names)
 
-    judge.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    found = F.arrow_udf(judge, result)
-    r = base.withColumn("_r", found(text_of(base, text)))
-    return r.select(*base.columns, *[F.col(f"_r.{c}").alias(c) for c in ("n_words", "n_hit", "n_items", "items_sha256")], (F.col("_r.n_hit") > 0).alias("contaminated"), F.col("_r.clean_text").alias("clean_text"))
-
-
-def without(text: str, hits: set[int]) -> str:
+def without_words(text: str, hits: set[int]) -> str:
     """The text without the words at these positions; what follows a removed word goes with it."""
     raw = text.encode()
     kept, at = [], 0
@@ -138,9 +195,13 @@ def without(text: str, hits: set[int]) -> str:
     return b"".join([*kept, raw[at:]]).decode()
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", **options) -> DataFrame:
-    """``docs`` without contaminated documents, or (``remove="spans"``) with the hit words cut out of their texts."""
-    judged = find_benchmark(docs, benchmark, **options)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", window: int = WINDOW, block_windows: int = BLOCK_WINDOWS) -> DataFrame:
+    """``docs`` without contaminated documents, or (``remove="spans"``) with the hit words cut out of their texts.
+
+    All columns pass through as they are, whatever their names.
+    """
+    judged, name = _judged(docs, benchmark, window, block_windows, "text", "doc_id")
+    found = judged[f"`{name}`"]
     if remove == "documents":
-        return judged.filter(~F.col("contaminated")).select(*docs.columns)
-    return judged.withColumn("text", F.col("clean_text")).select(*docs.columns)
+        return judged.filter(found["n_hit"] == 0).select(*[judged[f"`{c}`"] for c in docs.columns])
+    return judged.select(*[found["clean_text"].alias(c) if c.lower() == "text" else judged[f"`{c}`"] for c in docs.columns])

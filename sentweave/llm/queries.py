@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentweave.llm import decontaminate, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter
-from sentweave.llm.license_texts import LICENSES, NOTICES, SPELLINGS
+from sentweave.llm.license_texts import NOTICES, SPELLINGS
+from sentweave.plans.sql import attribute, clean_path, decode_entities
 from sentweave.session import table
 
 
@@ -44,7 +45,8 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end_id=2, max_tokens=4096)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +54,8 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge_quality(table(spark, sf_dir, "documents"))
+    judged = quality.judge_quality(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_boilerplate_words", "kept", F.sha2("clean_text", 256).alias("clean_sha256"))
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,11 +86,13 @@ def _canonical_sql(t: str) -> str:
 
 
 OP3_SQL = f"""
-WITH known AS (SELECT sha256({_canonical_sql('t')}) AS digest, id FROM (VALUES {", ".join(f"({_quoted(t)}, {_quoted(n)})" for t, n in [*((t, n) for n, t in LICENSES.items()), *NOTICES.items()])}) v(t, id)),
+WITH listed AS (SELECT sha256({_canonical_sql('t')}) AS digest, id FROM (VALUES {", ".join(f"({_quoted(t)}, {_quoted(n)})" for t, n in licenses.built_in())}) v(t, id)),
+known AS (SELECT digest, min(id) AS id FROM listed GROUP BY digest),
+noted AS (SELECT sha256({_canonical_sql('t')}) AS digest, id FROM (VALUES {", ".join(f"({_quoted(t)}, {_quoted(n)})" for t, n in NOTICES.items())}) v(t, id)),
 {ROWS},
 whole AS (SELECT rid, doc_id, {_canonical_sql('text')} AS c FROM rows_),
 lines AS (SELECT rid, line FROM (SELECT rid, unnest(string_split(text, chr(10))) AS line FROM rows_) WHERE regexp_matches(lower(line), 'licen[cs]e|released under|rights reserved')),
-hits AS (SELECT l.rid, count(*) AS n, array_to_string(list_sort(list(DISTINCT k.id)), ',') AS ids FROM lines l JOIN known k ON sha256({_canonical_sql('l.line')}) = k.digest GROUP BY l.rid)
+hits AS (SELECT l.rid, count(*) AS n, array_to_string(list_sort(list(DISTINCT k.id)), ',') AS ids FROM lines l JOIN noted k ON sha256({_canonical_sql('l.line')}) = k.digest GROUP BY l.rid)
 SELECT w.doc_id, CASE WHEN c <> '' THEN sha256(c) END AS text_digest, k.id AS license_id, coalesce(h.n, 0) AS n_notices, coalesce(h.ids, '') AS notices
 FROM whole w LEFT JOIN known k ON c <> '' AND sha256(c) = k.digest LEFT JOIN hits h ON h.rid = w.rid"""
 
@@ -116,34 +121,44 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(len(s.
 FROM docs d LEFT JOIN hit h USING (rid) LEFT JOIN named s USING (rid)"""
 
 
-def _rule_sql() -> str:
+def _rule_sql(host: str = "host", path: str = "path") -> str:
     out = "NULL"
     for r in sorted(url_filter.RULES, key=lambda r: len(r.name)):
-        out = f"CASE WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') THEN '{r.name}' ELSE {out} END"
+        out = f"CASE WHEN ({host} = '{r.host}' OR ends_with({host}, '.{r.host}')) AND starts_with({path}, '{r.path}') THEN '{r.name}' ELSE {out} END"
     return out
 
 
-_KEY_SQL = """CASE WHEN contains({u}, '://') THEN translate(regexp_extract({u}, '^(?s:.*?)://([^/?#]*)', 1), """ + AZ + """) || regexp_replace(regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '/+$', '')
- || CASE WHEN {q} <> '' THEN '?' || {q} ELSE '' END END"""
-_QUERY_SQL = "regexp_replace(regexp_replace(regexp_extract({u}, '^(?s:.*?)://[^?#]*\\?([^#]*)', 1), '(^|&)(utm_[a-z]*|ref|fbclid|gclid)=[^&]*', '', 'g'), '^&+', '')"
+_VERDICT_SQL = "CASE {} " + " ".join(f"WHEN '{r.name}' THEN '{r.verdict}'" for r in url_filter.RULES) + " END"
 
 
-def _key(u: str) -> str:
-    return _KEY_SQL.format(u=u, q=_QUERY_SQL.format(u=u))
+def _node(u: str) -> str:
+    """A url without its fragment, scheme and host lower-cased, an empty path as a slash; null without ``://``."""
+    rest = f"regexp_extract({u}, '^(?s:.*?)://[^/?#]*([^#]*)', 1)"
+    slash = f"CASE WHEN starts_with({rest}, '/') THEN '' ELSE '/' END"
+    return f"CASE WHEN contains({u}, '://') THEN translate(regexp_extract({u}, '^((?s:.*?)://[^/?#]*)', 1), {AZ}) || {slash} || {rest} END"
 
 
+_PATHED = "'^[a-zA-Z][a-zA-Z0-9+.-]*:'"
+
 OP8_SQL = f"""
-WITH RECURSIVE p AS (SELECT page_id, url, html, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), {AZ}) AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path, {_key('url')} AS k FROM pages),
+WITH RECURSIVE p AS (SELECT page_id, url, html, translate(coalesce(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), ''), {AZ}) AS host, coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path, {_node('url')} AS k FROM pages),
 r AS (SELECT *, {_rule_sql()} AS rule FROM p),
-v AS (SELECT *, CASE rule {" ".join(f"WHEN '{r.name}' THEN '{r.verdict}'" for r in url_filter.RULES)} END AS said FROM r),
-tags AS (SELECT k AS a, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*(?:rel=["'']?canonical|http-equiv=["'']?refresh)[^>]*>')) AS tag FROM p),
-targets AS (SELECT a, regexp_extract(tag, '(?i)(?:href=|url=)["'']?([^"''\\x20>]+)', 1) AS t FROM tags),
-one AS (SELECT a, {_key('t')} AS b FROM targets),
-edges AS (SELECT a, b FROM one WHERE a IS NOT NULL AND b IS NOT NULL UNION SELECT b, a FROM one WHERE a IS NOT NULL AND b IS NOT NULL),
+v AS (SELECT *, {_VERDICT_SQL.format('rule')} AS said FROM r),
+seen AS (SELECT k, path, url, regexp_replace(html, '(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>', '', 'g') AS html FROM p WHERE k IS NOT NULL AND regexp_matches(html, '(?i)canonical|refresh')),
+tags AS (SELECT k, path, url, unnest(regexp_extract_all(html, '(?is)<(?:link|meta)\\b[^>]*>')) AS tag FROM seen),
+named_ AS (SELECT k, path, url, lower({attribute('tag', 'rel')}) AS rel, lower({attribute('tag', 'http-equiv')}) AS equiv, {attribute('tag', 'href')} AS href, {attribute('tag', 'content')} AS content, regexp_matches(tag, '(?i)^<link') AS is_link FROM tags),
+raw AS (SELECT k, path, url, trim({decode_entities("CASE WHEN is_link AND list_contains(regexp_split_to_array(trim(rel), '[ \\x09-\\x0d]+'), 'canonical') THEN href WHEN NOT is_link AND equiv = 'refresh' THEN nullif(rtrim(regexp_extract(content, '(?i)^[ 0-9.]*[;,][ ]*url[ ]*=[ ]*[\"'']?([^\"'']*)', 1)), '') END")}) AS t FROM named_),
+full_ AS (SELECT k, url, t, regexp_extract(k, '^([a-z][a-z0-9+.-]*):', 1) AS scheme, regexp_extract(k, '^([^/]*//[^/?#]*)', 1) AS origin, path FROM raw WHERE t IS NOT NULL AND t <> ''),
+there AS (SELECT k AS a, CASE WHEN regexp_matches(t, '^[a-zA-Z][a-zA-Z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t WHEN starts_with(t, '#') THEN url WHEN regexp_matches(t, {_PATHED}) THEN NULL
+ WHEN starts_with(t, '?') THEN origin || {clean_path('path')} || t
+ ELSE origin || {clean_path("CASE WHEN starts_with(t, '/') THEN '' ELSE regexp_replace(path, '[^/]*$', '') END || regexp_extract(t, '^([^?#]*)', 1)")} || regexp_extract(t, '^[^?#]*(.*)$', 1) END AS b FROM full_),
+one AS (SELECT a, {_node('b')} AS b FROM there),
+edges AS (SELECT a, b FROM one WHERE b IS NOT NULL AND a <> b UNION SELECT b, a FROM one WHERE b IS NOT NULL AND a <> b),
 reach AS (SELECT DISTINCT a AS k, a AS c FROM edges UNION SELECT e.b, reach.c FROM reach JOIN edges e ON e.a = reach.k),
 named AS (SELECT k, min(c) AS c FROM reach GROUP BY k),
-g AS (SELECT v.*, coalesce(named.c, v.k) AS c FROM v LEFT JOIN named USING (k)),
-decided AS (SELECT c, bool_or(said = 'allow') AS ok FROM g WHERE said IS NOT NULL AND c IS NOT NULL GROUP BY c)
+g AS (SELECT v.*, named.c FROM v LEFT JOIN named USING (k)),
+ends_ AS (SELECT k, c, regexp_extract(k, '^(?s:.*?)://([^/?#]*)', 1) AS host, regexp_extract(k, '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path FROM named),
+decided AS (SELECT c, bool_or({_VERDICT_SQL.format(_rule_sql())} = 'allow') AS ok FROM ends_ WHERE {_rule_sql()} IS NOT NULL GROUP BY c)
 SELECT g.page_id, g.host, g.path, g.rule, CASE WHEN g.said IS NOT NULL THEN g.said WHEN d.ok = false THEN 'block' ELSE 'allow' END AS verdict,
  CASE WHEN g.said IS NOT NULL THEN 'rule' WHEN d.ok IS NOT NULL THEN 'alias' ELSE 'default' END AS decided_by
 FROM g LEFT JOIN decided d ON g.c = d.c"""
@@ -159,12 +174,14 @@ repeats AS (SELECT rid, count(*) FILTER (WHERE c) AS n FROM covered GROUP BY rid
 lines AS (SELECT rid, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM docs),
 real AS (SELECT *, row_number() OVER (PARTITION BY rid, line ORDER BY i) AS k, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS lw FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 dups AS (SELECT rid, count(*) FILTER (WHERE k > 1) AS n FROM real GROUP BY rid),
-normal AS (SELECT r.rid, d.host, d.text, translate(array_to_string(lw, ' '), {AZ}) AS h, len(lw) AS n FROM real r JOIN docs d USING (rid)),
-frequent AS (SELECT host, h FROM normal GROUP BY host, h HAVING count(DISTINCT text) > {quality.MAX_DOCS}),
+normal AS (SELECT r.rid, r.i, d.host, translate(array_to_string(lw, ' '), {AZ}) AS h, len(lw) AS n FROM real r JOIN docs d USING (rid)),
+frequent AS (SELECT host, h FROM normal GROUP BY host, h HAVING count(DISTINCT rid) > {quality.MAX_DOCS}),
 lost AS (SELECT rid, sum(n) AS n FROM normal JOIN frequent USING (host, h) GROUP BY rid),
+gone AS (SELECT rid, i FROM normal JOIN frequent USING (host, h)),
+cleaned AS (SELECT l.rid, coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') AS t FROM lines l LEFT JOIN gone g ON g.rid = l.rid AND g.i = l.i GROUP BY l.rid),
 base AS (SELECT d.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
- coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_boilerplate_words
- FROM docs d LEFT JOIN repeats USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN lost USING (rid))
+ coalesce(dups.n, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_boilerplate_words, sha256(cleaned.t) AS clean_sha256
+ FROM docs d LEFT JOIN cleaned USING (rid) LEFT JOIN repeats USING (rid) LEFT JOIN dups USING (rid) LEFT JOIN lost USING (rid))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_boilerplate_words >= {quality.MIN_KEPT} * n_words AS kept FROM base"""
 

@@ -3,13 +3,13 @@
 A node that holds k shards is split at the byte-weighted point floor(k/2)/k of its widest metadata dimension, until
 each leaf is one shard of the target bytes. Dimensions are numbers worked out from the text, so that equal texts have equal
 coordinates. Every split point is found exactly, level by level for all nodes together: bytes are summed in at most
-``BINS`` bins of a node, the bin with the point is refined, and only these sums reach the driver. The order within a
+1,024 bins of a node, the bin with the point is picked and refined, and one row a node reaches the driver. What holds for a
+node (its dimension, its point) is joined to the rows as a small table, so that plans don't grow with the tree. The order within a
 dimension goes on through a hash of the text and a hash of the row, so ties never leave a split without a point; a cut
 stays at the edge of a group of equal texts if the group is small beside a shard, and passes through it only if it is large.
 """
 
-import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentweave.llm.common import materialise, remove, text_of
@@ -31,49 +31,53 @@ def _metadata(docs: DataFrame, text: str) -> dict:
     return {"size": size.cast("long"), "lines": lines.cast("long"), "plain": F.greatest(F.lit(0.0), ascii_share * 1e6).cast("long")}
 
 
+def _nodes(spark, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table of the tree's nodes (at most as many as there are shards), for a broadcast."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
+
+
 def _cut(rows: DataFrame, weights: dict[int, float], slack: float) -> dict[int, tuple[int, int, int]]:
     """For each node, the first (value, text hash, row hash) of its right side; ``weights``: bytes wanted on the left.
 
-    ``rows``: node, size, and the order ``a`` (value, 31 bits), ``b`` (text hash, 63 bits), ``c`` (row hash, 63 bits).
+    ``rows``: node, size, and the order ``a`` (value, 31 bits), ``b`` (text hash, 63 bits), ``c`` (row hash, 63 bits). All
+    nodes go on together: a round sums the bytes of a node's bins and picks the bin with the point, as one row a node.
     """
+    spark = rows.sparkSession
     prefix = {n: (0, 0) for n in weights}  # the bits fixed so far of the 31 + 63 + 63, as a number, and how many
     before = dict.fromkeys(weights, 0.0)
     done: dict[int, tuple[int, int, int]] = {}
     columns = [("a", 31), ("b", 63), ("c", 63)]
+    in_order = Window.partitionBy("node").orderBy("bin")
     for name, width in columns:
         fixed = 0
         while fixed < width and len(done) < len(weights):
             bits = min(BINS_BITS, width - fixed)
-            wanted = F.lit(False)
-            for n in weights:
-                if n not in done:
-                    own = F.col("node") == n
-                    p = prefix[n]
-                    for (c, w), v in zip(columns, _parts(p, columns)):
-                        if v[1]:
-                            own = own & (F.shiftright(c, w - v[1]) == v[0])
-                    wanted = wanted | own
+            open_ = [n for n in weights if n not in done]
+            parts = {n: _parts(prefix[n], columns) for n in open_}
+            have = [v[1] for v in parts[open_[0]]]  # the same for all open nodes
+            nodes = _nodes(spark, [(n, weights[n], before[n], *(v[0] for v in parts[n])) for n in open_], "node bigint, wanted double, before double, pa bigint, pb bigint, pc bigint")
+            same = [F.shiftright(F.col(c), w - h) == F.col(f"p{c}") for (c, w), h in zip(columns, have) if h]
+            within = rows.join(nodes, "node")
+            for condition in same:
+                within = within.filter(condition)
             bin_ = F.shiftright(F.col(name), width - fixed - bits).bitwiseAND(F.lit((1 << bits) - 1))
-            sums = rows.filter(wanted).groupBy("node", bin_.alias("bin")).agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n")).collect()
-            by_node: dict[int, list] = {}
-            for r in sums:
-                by_node.setdefault(r["node"], []).append((r["bin"], float(r["bytes"]), r["n"]))
-            for n in weights:
-                if n in done:
-                    continue
-                found = sorted(by_node.get(n, []))
-                if not found:
+            sums = within.groupBy("node", "wanted", "before", bin_.alias("bin")).agg(F.sum("size").cast("double").alias("bytes"), F.count(F.lit(1)).alias("n"))
+            running = sums.withColumn("high", F.col("before") + F.sum("bytes").over(in_order))
+            # the last bin that starts at or below the point
+            picked = running.withColumn("low", F.col("high") - F.col("bytes")).filter((F.col("low") <= F.col("wanted")) | (F.col("low") <= F.col("before")))
+            found = {r["node"]: r["x"] for r in picked.groupBy("node").agg(F.max(F.struct("bin", "low", "high", "n")).alias("x")).collect()}
+            for n in open_:
+                x = found.get(n)
+                if x is None:
                     done[n] = _edge(prefix[n], 0, 0, columns)
                     continue
-                edges = before[n] + np.concatenate([[0], np.cumsum([x for _, x, _ in found])])
-                k = int(np.clip(np.searchsorted(edges, weights[n], "right") - 1, 0, len(found) - 1))
-                low, high = abs(edges[k] - weights[n]), abs(edges[k + 1] - weights[n])
-                last = found[k][2] == 1 or (fixed + bits == width and name == "c")
+                low, high = abs(x["low"] - weights[n]), abs(x["high"] - weights[n])
+                last = x["n"] == 1 or (fixed + bits == width and name == "c")
                 if min(low, high) <= slack or last:
-                    done[n] = _edge(prefix[n], bits, int(found[k][0]) + int(high < low), columns)
+                    done[n] = _edge(prefix[n], bits, int(x["bin"]) + int(high < low), columns)
                 else:
-                    before[n] = float(edges[k])
-                    prefix[n] = ((prefix[n][0] << bits) | found[k][0], prefix[n][1] + bits)
+                    before[n] = x["low"]
+                    prefix[n] = ((prefix[n][0] << bits) | x["bin"], prefix[n][1] + bits)
             fixed += bits
     return done
 
@@ -115,42 +119,36 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     meta = _metadata(docs, text)
     rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("text_crc32"), F.xxhash64(t).bitwiseAND(F.lit((1 << 63) - 1)).alias("b"), *[meta[d].alias(f"d_{d}") for d in DIMENSIONS])
     rows = rows.withColumn("c", F.xxhash64("doc_id", "b").bitwiseAND(F.lit((1 << 63) - 1)))
-    base, base_path = materialise(rows, "shard-rows")
     spark = docs.sparkSession
-    total, n_rows = base.agg(F.sum("size"), F.count(F.lit(1))).first()
+    now, path = materialise(rows.withColumn("node", F.lit(0).cast("bigint")), "shard-rows")
+    total, n_rows = now.agg(F.sum("size"), F.count(F.lit(1))).first()
     if shards is None:
         shards = max(1, -(-(total or 0) // target_bytes))
     slack = TOLERANCE * (total or 0) / shards
     tree = {0: (0, shards)}  # node: first shard and number of shards
-    now, path = base.withColumn("node", F.lit(0)), None
     while any(k > 1 for _, k in tree.values()) and n_rows:
-        open_ = {n for n, (_, k) in tree.items() if k > 1}
-        spread = now.filter(F.col("node").isin(*open_)).groupBy("node").agg(F.sum("size").alias("bytes"), *[(F.stddev_pop(F.log1p(f"d_{d}")) / F.greatest(F.lit(1e-9), F.max(F.log1p(f"d_{d}")))).alias(d) for d in DIMENSIONS]).collect()
-        widest = {r["node"]: max(DIMENSIONS, key=lambda d: r[d] or 0.0) for r in spread}
+        split = _nodes(spark, [(n,) for n, (_, k) in tree.items() if k > 1], "node bigint")
+        spread = now.join(split, "node").groupBy("node").agg(F.sum("size").alias("bytes"), *[(F.stddev_pop(F.log1p(f"d_{d}")) / F.greatest(F.lit(1e-9), F.max(F.log1p(f"d_{d}")))).alias(d) for d in DIMENSIONS]).collect()
+        widest = {r["node"]: max(range(len(DIMENSIONS)), key=lambda i: r[DIMENSIONS[i]] or 0.0) for r in spread}
         bytes_ = {r["node"]: float(r["bytes"]) for r in spread}
-        value = F.lit(0).cast("long")
-        for n, d in widest.items():
-            value = F.when(F.col("node") == n, F.col(f"d_{d}")).otherwise(value)
-        ordered = now.withColumn("a", F.least(value, F.lit((1 << 31) - 1)))
+        values = F.array(*[F.col(f"d_{d}") for d in DIMENSIONS])
+        along = _nodes(spark, list(widest.items()), "node bigint, dimension int")
+        ordered = now.join(along, "node", "left").withColumn("a", F.coalesce(F.least(F.get(values, F.col("dimension")), F.lit((1 << 31) - 1)), F.lit(0)).cast("bigint")).drop("dimension")
         cuts = _cut(ordered, {n: bytes_[n] * (tree[n][1] // 2) / tree[n][1] for n in widest}, slack)
-        node = F.col("node") * 2 + 1  # a leaf keeps to the left
-        for n, (a, b, c) in cuts.items():
-            right = (F.col("a") > a) | ((F.col("a") == a) & ((F.col("b") > b) | ((F.col("b") == b) & (F.col("c") >= c))))
-            node = F.when(F.col("node") == n, F.col("node") * 2 + 1 + right.cast("int")).otherwise(node)
+        points = _nodes(spark, [(n, *x) for n, x in cuts.items()], "node bigint, ca bigint, cb bigint, cc bigint")
+        right = (F.col("a") > F.col("ca")) | ((F.col("a") == F.col("ca")) & ((F.col("b") > F.col("cb")) | ((F.col("b") == F.col("cb")) & (F.col("c") >= F.col("cc")))))
+        node = F.col("node") * 2 + 1 + F.coalesce(right, F.lit(False)).cast("int")  # a leaf keeps to the left
         after = {}
         for n, (first, k) in tree.items():
             left = k // 2 if n in cuts else min(k, 1)  # a node without rows has no more to split
             after[2 * n + 1] = (first, left)
             if n in cuts:
                 after[2 * n + 2] = (first + left, k - left)
-        now, new_path = materialise(ordered.withColumn("node", node).drop("a"), "shard-level")
-        if path:
-            remove(spark, path)
-        path, tree = new_path, after
-    shard = F.lit(0)
-    for n, (first, _) in tree.items():
-        shard = F.when(F.col("node") == n, F.lit(first)).otherwise(shard)
-    return _slots(now.withColumn("shard", shard.cast("int")), n_rows)
+        level, new_path = materialise(ordered.join(points, "node", "left").withColumn("node", node).drop("a", "ca", "cb", "cc"), "shard-level")
+        remove(spark, path)
+        now, path, tree = level, new_path, after
+    leaves = _nodes(spark, [(n, first) for n, (first, _) in tree.items()], "node bigint, shard int")
+    return _slots(now.join(leaves, "node"), n_rows)
 
 
 def _slots(rows: DataFrame, n_rows: int) -> DataFrame:
@@ -158,10 +156,8 @@ def _slots(rows: DataFrame, n_rows: int) -> DataFrame:
     bins = max(1, n_rows // SLOT_ROWS)
     rows = rows.withColumn("bin", F.pmod(F.xxhash64("c", "b"), F.lit(bins)))
     sizes = rows.groupBy("shard", "bin").agg(F.count(F.lit(1)).alias("n"))
-    rows.createOrReplaceTempView("_sw_shard_rows")
-    sizes.createOrReplaceTempView("_sw_shard_bins")
-    return rows.sparkSession.sql("""
-        WITH starts AS (SELECT shard, bin, sum(n) OVER (PARTITION BY shard ORDER BY bin) - n AS first FROM _sw_shard_bins),
-        numbered AS (SELECT *, row_number() OVER (PARTITION BY shard, bin ORDER BY c, b) - 1 AS k FROM _sw_shard_rows)
-        SELECT n.doc_id, n.size, n.text_crc32, n.shard, s.first + n.k AS slot
-        FROM numbered n JOIN starts s ON n.shard = s.shard AND n.bin = s.bin""")
+    first = F.coalesce(F.sum("n").over(Window.partitionBy("shard").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = sizes.select("shard", "bin", first.alias("first"))
+    place = F.row_number().over(Window.partitionBy("shard", "bin").orderBy("c", "b")) - 1
+    numbered = rows.withColumn("place", place).join(starts, ["shard", "bin"])
+    return numbered.select("doc_id", "size", "text_crc32", "shard", (F.col("first") + F.col("place")).alias("slot"))

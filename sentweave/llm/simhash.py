@@ -17,7 +17,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sentweave.llm.common import materialise, text_of
+from sentweave.llm import wide_fingerprints
+from sentweave.llm.common import free, materialise, remove, row_key, text_of
 from sentweave.llm.components import components
 
 SHINGLE, DISTANCE, SEED, BLOCKS = 4, 4, 42, 6
@@ -173,7 +174,7 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     rows, _ = materialise(fingerprints(docs, text, id_col, shingle), "fingerprints")
     named = _named(rows, distance, blocks)
     least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    by_fp = named.join(least, "component").select("fp", "component_id")
+    by_fp, _ = materialise(named.join(least, "component").select("fp", "component_id"), "named-fingerprints")  # as many as there are fingerprints
     return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
 
 
@@ -188,17 +189,25 @@ def hex_fingerprint(fp="fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
-    """``docs`` with one row of each group of near copies: the one with the least id (a null one only where all are null).
+def keep_one_fingerprint(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, blocks: int = BLOCKS) -> DataFrame:
+    """``docs`` with one row of each group of linked fingerprints: the one with the least id (a null one only where all are null).
 
     Rows of one id with different texts are rows of their own; of repeated rows one stays. Rows are known by two hashes of
-    id and text, on which they are shuffled once.
+    id and text, on which they are shuffled once. Columns may have any names.
     """
-    row = [F.coalesce(docs["doc_id"].cast("string"), F.lit("")), docs["doc_id"].isNull(), text_of(docs)]
-    keyed = docs.withColumn("_k1", F.xxhash64(*row)).withColumn("_k2", F.xxhash64(F.lit(7), *row))
-    rows, _ = materialise(fingerprints(keyed, shingle=shingle, keep=("_k1", "_k2")), "fingerprints")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_k1", "_k2")).alias("first")
+    k1, k2 = free(docs, "k1", "k2")
+    key = row_key(docs)
+    keyed = docs.withColumn(k1, key[0]).withColumn(k2, key[1])
+    own = docs.select(docs["doc_id"], key[0].alias("k1"), key[1].alias("k2"), text_of(docs).alias("text"))
+    rows, at_rows = materialise(fingerprints(own, shingle=shingle, keep=("k1", "k2")), "fingerprints")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")).alias("first")
     by_fp, _ = materialise(rows.groupBy("fp").agg(first), "first-rows")
     named = by_fp.join(_named(rows, distance, blocks).select("fp", "component"), "fp")
-    kept = named.groupBy("component").agg(F.min("first").alias("first")).select("first._k1", "first._k2")
-    return keyed.join(kept, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    remove(docs.sparkSession, at_rows)
+    kept = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
+    return keyed.join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*[keyed[f"`{c}`"] for c in docs.columns])
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = wide_fingerprints.SHINGLE, similarity: float = wide_fingerprints.SIMILARITY) -> DataFrame:
+    """``docs`` with one row of each group of near copies, by the similarity of their word shingles; see :mod:`wide_fingerprints`."""
+    return wide_fingerprints.keep_one_of_each(docs, shingle, similarity)

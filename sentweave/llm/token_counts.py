@@ -14,13 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.llm import bpe
-from sentweave.llm.common import text_of
+from sentweave.llm.common import free, text_of
 
 #: Entries of tier one, and items that a frequent-item sketch tracks.
 FREQUENT, TRACKED = 8192, 32768
 SKETCH_GROUPS = 64
-#: Texts with anything else than single blanks, line feeds and these scripts (or with a special string) go whole to the library:
-#: only there could another Unicode version or a run of white space move a pre-token's bounds.
+#: Texts with anything else than single blanks, line feeds and these scripts are cut into pre-tokens by the library: there another
+#: Unicode version or a run of white space could move their bounds. Only texts with a special string go to it whole.
 _WHOLE = re.compile(r"[^\x21-\x7e\xa1-՗‐-‧‰-⁞ \n]|[ \n][ \n]")
 
 
@@ -46,6 +46,8 @@ class Counter:
         self.pre_tokens = bpe.Cache(lambda p: len(bpe.ids_of(self.tokenizer, p)), table)
         fixed = {p[1:]: n for p, n in table.items() if p[0] == " "}
         self.pieces = bpe.Cache(self.piece, fixed)
+        #: the same by the letters that the library shows bytes as
+        self.shown = bpe.Cache(lambda p: len(self.tokenizer.model.tokenize(p)), {bpe.shown(p): n for p, n in table.items()})
 
     def piece(self, piece: str) -> int:
         """Tokens of a blank and ``piece``; a piece that opens a line starts with its line feed and has no blank."""
@@ -56,8 +58,10 @@ class Counter:
     def __call__(self, text: str) -> int:
         if not text:
             return 0
-        if _WHOLE.search(text) or any(s in text for s in self.special):
+        if any(s in text for s in self.special):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if _WHOLE.search(text):
+            return sum(self.shown[p] for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text))
         pieces = text.replace("\n", " \n").split(" ")
         pieces[0] = "\n" + pieces[0]
         return sum(map(self.pieces.__getitem__, pieces)) - 1
@@ -76,6 +80,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
     table gives an empty result; columns not in ``keep`` never enter the plan.
     """
     spark = docs.sparkSession
+    (whole,) = free(docs, "whole")
     table = spark.sparkContext.broadcast(frequent_lengths(tokenizer, frequent_words(docs, text)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,7 +89,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, text: str = "text", limit: int
             n = pa.array([counter(t) for t in batch.column(batch.num_columns - 1).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], n], names=[*batch.schema.names[:-1], "n_tokens"])
 
-    rows = docs.select(*keep, F.octet_length(text_of(docs, text)).cast("bigint").alias("n_bytes"), text_of(docs, text).alias("_text"))
+    rows = docs.select(*keep, F.octet_length(text_of(docs, text)).cast("bigint").alias("n_bytes"), text_of(docs, text).alias(whole))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]) + ", n_tokens bigint"
     counted = rows.mapInArrow(count, schema)
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

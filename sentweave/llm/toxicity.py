@@ -1,20 +1,24 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-For each class, a word's probability is its absolutely discounted continuation count: the number of distinct words it
-follows in that class. The discounted mass backs off to the class's continuation counts of the word's first letters, and
-from there to counts that both classes share (distinct words with those first letters), so that a rare expression scores
-as its relatives do and an unknown one scores nearly alike in both. Discounts come from the counts of counts.
-
-Counts are gathered over every labelled training row by shuffled aggregations; words and first letters are hashed into
-a fixed number of buckets (``WORD_BITS``, ``STEM_BITS``), which bounds what is broadcast (two 8 MB arrays a class) at any corpus size.
-
-A text's score compares the length-normalised log-likelihoods of the two models: over the whole text and over its most
-telling expressions (the mean of the top 1, 3 and 5 words). A logistic curve through these, fitted on at most
-``MAX_FITTED`` training rows (drawn by a hash of the id) scored by models that have not seen their third of the rows, gives the probability.
+Each class has a bigram model. A word after another has its absolutely discounted count, the number of distinct labelled
+texts of the class that hold the pair; the discounted mass goes to the word's continuation probability: the discounted
+number of distinct words that it follows in the class. What is discounted there goes to continuation counts that both
+classes share, so that a rare expression scores nearly alike in both. The discounts take all of what a single word pair
+or a single text says (``WORD_DISCOUNTS``, ``PAIR_DISCOUNT``): only repeated evidence sets the classes apart.
+
+The log-likelihood ratio of a word then comes from three tables: of its pair where that is known well enough, or else of
+the word and of the word before it. They are gathered over every labelled training row, keyed by 64-bit hashes of the
+words and as large as the corpus makes them; nothing is put in a fixed number of buckets. They are broadcast up to
+``BROADCAST_KEYS`` keys; beyond, the words of the texts are joined to them by a shuffle.
+
+A text's evidence is the sum of its words' ratios beyond ``MARGIN``, over the square root of its length. A logistic
+curve in this one number, never falling, gives the score; it is fitted on at most ``MAX_FITTED`` training rows (drawn by a hash
+of the id) with the evidence of models that haven't seen their third of the texts.
 """
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -23,202 +27,265 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.llm import bpe
-from sentweave.llm.common import materialise, text_of
+from sentweave.llm.common import free, materialise, remove, row_key, text_of, without
 
-WORD_BITS, STEM_BITS, CONTEXT_BITS, STEM = 21, 17, 21, 4
+#: Discounts of continuation counts of 1, 2, and 3 or more; discount of the texts that hold a pair; least ratio that counts.
+WORD_DISCOUNTS, PAIR_DISCOUNT, MARGIN = (1.0, 1.5, 2.0), 3, 2.0
 #: Rows that the curve is fitted on, at most; the counts have no bound.
 MAX_FITTED = 50_000
-#: Labels are broadcast up to so many rows; beyond, they are joined by a shuffle.
-BROADCAST_LABELS = 2_000_000
-FEATURES = ["mean", "top1", "top3", "top5", "length", "root"]
+#: Labels are broadcast up to so many rows, the tables of ratios up to so many keys; beyond, they are joined by a shuffle.
+BROADCAST_LABELS, BROADCAST_KEYS = 2_000_000, 3_000_000
+#: Parts of the texts that the curve's models leave out in turn; variant 0 of a model leaves none out.
+PARTS = 3
+_FLUSH = 2_000_000
 _WORDS = re.compile(r"[^\W_]+").findall
-_EX = ["n", "ex0", "ex1", "ex3"]
+_COUNTS = [f"c{toxic}{part}" for toxic in (0, 1) for part in range(PARTS)]
 
 
 def held_out(id_col: Column | str = "doc_id") -> Column:
     """True for the rows whose labels are never learnt from."""
-    return fold(id_col) == 2
+    found = F.col(id_col) if isinstance(id_col, str) else id_col
+    return F.coalesce(F.pmod(F.crc32(found.cast("string")), F.lit(4)) == 2, F.lit(False))
 
 
-def fold(id_col: Column | str = "doc_id") -> Column:
-    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(4)), F.lit(0)).cast("int")
+def _hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word) - (1 << 63)
 
 
-def _place(word: str) -> tuple[int, int]:
-    """Buckets of a word and of its first letters."""
-    return xxhash.xxh64_intdigest(word) & ((1 << WORD_BITS) - 1), xxhash.xxh64_intdigest(word[:STEM], 1) & ((1 << STEM_BITS) - 1)
+def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """One key for a pair of word hashes."""
+    with np.errstate(over="ignore"):
+        mixed = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return ((mixed ^ (mixed >> np.uint64(29))) + word.view(np.uint64)).view(np.int64)
 
 
-def gather(rows: DataFrame) -> DataFrame:
-    """Continuation counts of ``(text, toxic, fold)`` rows: a row for each class, word bucket and stem bucket.
+def _hashed(texts: list[str], hashes: bpe.Cache) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, of the words before them (0 at a text's start), and how many words each text has."""
+    words = [_WORDS(t.lower()) for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    h = np.fromiter((hashes[w] for own in words for w in own), np.int64, int(sizes.sum()))
+    before = np.concatenate([[0], h[:-1]]) if len(h) else h
+    before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
+    return before, h, sizes
 
-    ``n`` counts the distinct words before it over all folds, ``exK`` over all folds but K.
-    """
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = bpe.Cache(_place)
+def pair_counts(rows: DataFrame) -> DataFrame:
+    """``(v, w, c00 …)`` of ``(text, toxic, part)`` rows: for each word pair, the texts that hold it by class and part."""
+    schema = "v bigint, w bigint, " + ", ".join(f"{c} int" for c in _COUNTS)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, n = bpe.Cache(_hash), [], 0
+
+        def counted() -> pa.RecordBatch:
+            key, v, w, column = (np.concatenate(x) for x in zip(*held))
+            _, first, place = np.unique(key, return_index=True, return_inverse=True)
+            found = np.bincount(place * len(_COUNTS) + column, minlength=len(first) * len(_COUNTS)).reshape(-1, len(_COUNTS)).astype(np.int32)
+            return pa.RecordBatch.from_arrays([pa.array(v[first]), pa.array(w[first]), *map(pa.array, found.T)], names=["v", "w", *_COUNTS])
+
         for batch in batches:
-            keys, classes, masks = [], [], []
-            for text, toxic, f in zip(*(c.to_pylist() for c in batch.columns)):
-                words = _WORDS(text.lower())
-                if words:
-                    found = np.array([places[w] for w in words], np.int64)
-                    before = np.concatenate([[0], found[:-1, 0] + 1]) & ((1 << CONTEXT_BITS) - 1)
-                    key = np.unique((((before << WORD_BITS) | found[:, 0]) << STEM_BITS) | found[:, 1])
-                    keys.append(key)
-                    classes.append(np.full(len(key), toxic, np.int8))
-                    masks.append(np.full(len(key), 1 << f, np.int8))
-            if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, classes, masks)], names=["k", "toxic", "mask"])
-
-    seen = rows.select("text", "toxic", "fold").mapInArrow(pairs, "k bigint, toxic tinyint, mask tinyint")
-    distinct = seen.groupBy("k", "toxic").agg(F.bit_or("mask").alias("mask"))
-    counts = [F.count(F.lit(1)).alias("n")] + [F.sum((F.col("mask").bitwiseAND(F.lit(0xF & ~(1 << f))) != 0).cast("int")).alias(f"ex{f}") for f in (0, 1, 3)]
-    word = F.col("k").bitwiseAND(F.lit((1 << (WORD_BITS + STEM_BITS)) - 1))
-    return distinct.groupBy("toxic", word.alias("w")).agg(*counts)
-
-
-class Model:
-    """Log-likelihood ratios of words, toxic against ordinary."""
-
-    def __init__(self, words: list[np.ndarray], stems: list[np.ndarray], shared: np.ndarray):
-        self.words, self.stems, self.shared = words, stems, shared
-        self.kinds = float(shared.sum())
-        self.totals, self.discounts, self.left, self.stem_part = [], [], [], []
-        base = (shared + 0.5) / (self.kinds + 0.5 * len(shared))
-        for w, s in zip(words, stems):
-            total, d, ds = max(float(w.sum()), 1.0), _discount(w), _discount(s)
-            self.totals.append(total)
-            self.discounts.append(d)
-            self.left.append(max(d * np.count_nonzero(w) / total, 1e-6))
-            stem = np.maximum(s - ds, 0) / total + max(ds * np.count_nonzero(s) / total, 1e-6) * base
-            self.stem_part.append((stem / (shared + 1)).astype(np.float32))
-
-    def ratio(self, place: tuple[int, int]) -> float:
-        w, s = place
-        p = [max(float(self.words[c][w]) - self.discounts[c], 0.0) / self.totals[c] + self.left[c] * float(self.stem_part[c][s]) for c in (0, 1)]
-        return float(np.log(p[1] / p[0]))
-
-
-def _discount(counts: np.ndarray) -> float:
-    """The usual estimate of Kneser-Ney's discount, from how many counts are 1 and 2."""
-    n1, n2 = np.count_nonzero(counts == 1), np.count_nonzero(counts == 2)
-    return n1 / (n1 + 2 * n2) if n1 + n2 else 0.5
-
-
-def features(ratios: np.ndarray) -> list[float]:
-    n = len(ratios)
-    if not n:
-        return [0.0] * len(FEATURES)
-    top = np.zeros(5)
-    best = np.sort(ratios if n <= 5 else np.partition(ratios, n - 5)[-5:])[::-1]
-    top[: len(best)] = best
-    return [float(ratios.mean()), top[0], top[:3].mean(), top.mean(), float(np.log1p(n)), float(ratios.sum() / np.sqrt(n))]
+            for text, toxic, part in zip(*(c.to_pylist() for c in batch.columns)):
+                v, w, _ = _hashed([text], hashes)
+                if len(w):
+                    key, first = np.unique(_pair(v, w), return_index=True)
+                    held.append((key, v[first], w[first], np.full(len(key), toxic * PARTS + part)))
+                    n += len(key)
+                if n > _FLUSH:
+                    yield counted()
+                    held, n = [], 0
+        if held:
+            yield counted()
+
+    seen = rows.select("text", "toxic", "part").mapInArrow(count, schema)
+    return seen.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+
+
+@dataclass
+class Ratios:
+    """Log-likelihood ratios, toxic against ordinary: an array for each key, by variant (0, and 1 + the part left out)."""
+
+    words: DataFrame  # w, l
+    contexts: DataFrame  # v, l
+    pairs: DataFrame  # v, w, l
+    unknown: list[float]  # of words that are in no table
+    paths: list[str]  # where the tables lie
+
+    def keys(self) -> int:
+        return sum(t.count() for t in (self.words, self.contexts, self.pairs))
+
+
+def _discounted(n: Column) -> Column:
+    """What is taken off a continuation count."""
+    one, two, more = WORD_DISCOUNTS
+    return F.when(n == 0, 0.0).when(n == 1, one).when(n == 2, two).otherwise(more)
+
+
+def ratios(pairs: DataFrame) -> Ratios:
+    """The tables of ratios from :func:`pair_counts`; keys that all models treat alike are left out of them."""
+    variants = range(PARTS + 1)
+    in_class = {(y, k): sum((F.col(f"c{y}{p}") for p in range(PARTS) if p != k - 1), F.lit(0)) for y in (0, 1) for k in variants}
+    columns = [f"{y}{k}" for y in (0, 1) for k in variants]
+    counted = pairs.select("v", "w", *[c.cast("bigint").alias(f"c{y}{k}") for (y, k), c in in_class.items()])
+    seen = lambda k: (F.col(f"c0{k}") + F.col(f"c1{k}") > 0).cast("bigint")
+    words = counted.groupBy("w").agg(*[F.sum((F.col(f"c{x}") > 0).cast("bigint")).alias(f"n{x}") for x in columns], *[F.sum(seen(k)).alias(f"s{k}") for k in variants])
+    words, at_words = materialise(words, "toxic-words")
+    sums = [F.sum(f"n{x}").alias(f"n{x}") for x in columns] + [F.sum(_discounted(F.col(f"n{x}"))).alias(f"d{x}") for x in columns] + [F.sum(f"s{k}").alias(f"s{k}") for k in variants] + [F.count_if(F.col(f"s{k}") > 0).alias(f"k{k}") for k in variants]
+    total = {name: float(value or 0) for name, value in words.agg(*sums).first().asDict().items()}
+    left = {x: max(total[f"d{x}"] / total[f"n{x}"], 1e-6) if total[f"n{x}"] else 1.0 for x in columns}
+
+    def word(y: int, k: int) -> Column:
+        x = f"{y}{k}"
+        shared = (F.col(f"s{k}") + 0.5) / (total[f"s{k}"] + 0.5 * (total[f"k{k}"] + 1))
+        return (F.col(f"n{x}") - _discounted(F.col(f"n{x}"))) / max(total[f"n{x}"], 1.0) + left[x] * shared
+
+    all_ = lambda f: F.array(*[f(k) for k in variants])
+    probable = words.select("w", *[word(y, k).alias(f"p{y}{k}") for y in (0, 1) for k in variants], F.greatest(*[F.col(f"n{y}0") for y in (0, 1)]).alias("most"))
+    told = probable.filter("most > 1").select("w", all_(lambda k: F.log(F.col(f"p1{k}") / F.col(f"p0{k}"))).alias("l"))
+
+    often = counted.filter(F.greatest("c00", "c10") > PAIR_DISCOUNT)
+    kept = lambda x: F.least(F.col(f"c{x}"), F.lit(PAIR_DISCOUNT))
+    # a context without any such pair hands all of its mass on in both classes and says nothing
+    contexts = counted.groupBy("v").agg(*[F.sum(f"c{x}").alias(f"n{x}") for x in columns], *[F.sum(kept(x)).alias(f"r{x}") for x in columns]).filter(" OR ".join(f"n{y}0 > r{y}0" for y in (0, 1)))
+    contexts, at_contexts = materialise(contexts, "toxic-contexts")
+    handed_on = lambda x: (F.col(f"r{x}") + 1) / (F.col(f"n{x}") + 1)
+    opened = contexts.select("v", all_(lambda k: F.log(handed_on(f"1{k}") / handed_on(f"0{k}"))).alias("l"))
+    met = often.join(contexts, "v").join(probable, "w")
+    both = lambda x: (F.col(f"c{x}") - kept(x) + (F.col(f"r{x}") + 1) * F.col(f"p{x}")) / (F.col(f"n{x}") + 1)
+    paired, at_pairs = materialise(met.select("v", "w", all_(lambda k: F.log(both(f"1{k}") / both(f"0{k}"))).alias("l")), "toxic-ratios")
+    return Ratios(told, opened, paired, [float(np.log(left[f"1{k}"] / left[f"0{k}"])) for k in variants], [at_words, at_contexts, at_pairs])
+
+
+class Lookup:
+    """The tables of ratios as sorted arrays, for a Python worker."""
+
+    def __init__(self, found: Ratios):
+        self.unknown = np.array(found.unknown)
+        self.words = self._sorted(found.words, "w")
+        self.contexts = self._sorted(found.contexts, "v")
+        self.pairs = self._sorted(found.pairs, "v", "w")
+
+    @staticmethod
+    def _sorted(table: DataFrame, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+        got = table.toArrow()
+        own = [got.column(k).to_numpy() for k in keys]
+        key = own[0] if len(own) == 1 else _pair(*own)
+        order = np.argsort(key)
+        values = np.stack(got.column("l").to_numpy()) if len(key) else np.zeros((0, PARTS + 1))
+        return key[order], values[order]
+
+    @staticmethod
+    def _at(table: tuple[np.ndarray, np.ndarray], key: np.ndarray, variant: np.ndarray, default) -> np.ndarray:
+        keys, values = table
+        if not len(keys):
+            return np.broadcast_to(default, key.shape)
+        place = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+        return np.where(keys[place] == key, values[place, variant], default)
+
+    def evidence(self, before: np.ndarray, words: np.ndarray, sizes: np.ndarray, variant: np.ndarray) -> np.ndarray:
+        """The evidence of each text."""
+        of_word = np.repeat(variant, sizes)
+        apart = self._at(self.words, words, of_word, self.unknown[of_word]) + self._at(self.contexts, before, of_word, 0.0)
+        found = self._at(self.pairs, _pair(before, words), of_word, apart)
+        over = np.concatenate([[0.0], np.cumsum(np.maximum(found - MARGIN, 0.0))])
+        ends = np.cumsum(sizes)
+        return (over[ends] - over[ends - sizes]) / np.sqrt(np.maximum(sizes, 1))
 
 
 class Curve:
-    """Logistic regression on standardised features, by Newton steps with a ridge."""
+    """A logistic curve in the evidence that never falls, by Newton steps with a ridge."""
 
     def __init__(self, x: np.ndarray, y: np.ndarray, ridge: float = 1.0):
-        self.mean, self.scale = (x.mean(0), x.std(0) + 1e-9) if len(x) else (np.zeros(len(FEATURES)), np.ones(len(FEATURES)))
-        z = self._z(x)
-        self.w = np.zeros(z.shape[1])
-        if len(x):
-            share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-            self.w[0] = np.log(share / (1 - share))
-        for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(z @ self.w, -35, 35)))
-            slope = z.T @ (p - y) + ridge * np.concatenate([[0.0], self.w[1:]])
-            self.w -= np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + ridge * np.eye(len(self.w)), slope)
+        self.scale = float(x.std()) + 1e-9 if len(x) else 1.0
+        share = float(np.clip(y.mean(), 1e-3, 1 - 1e-3)) if len(y) else 0.5
+        self.base, self.slope = float(np.log(share / (1 - share))), 0.0
+        z = np.stack([np.ones(len(x)), self._z(x)], axis=1)
+        for _ in range(50 if len(x) else 0):
+            p = 1 / (1 + np.exp(-np.clip(z @ [self.base, self.slope], -35, 35)))
+            slope = z.T @ (p - y) + [0.0, ridge * self.slope]
+            self.base, self.slope = np.array([self.base, self.slope]) - np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + ridge * np.eye(2), slope)
+        self.slope = max(self.slope, 0.0)
 
     def _z(self, x: np.ndarray) -> np.ndarray:
-        return np.concatenate([np.ones((len(x), 1)), (x.reshape(-1, len(FEATURES)) - self.mean) / self.scale], axis=1)
+        return np.sqrt(x / self.scale)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self._z(x) @ self.w, -35, 35)))
-
+        return 1 / (1 + np.exp(-np.clip(self.base + self.slope * self._z(x), -35, 35)))
 
-def _featured(rows: DataFrame, models: dict[int, object], keep: list[str], by_fold: bool) -> DataFrame:
-    """Columns ``keep`` and the array ``x`` of features, by the model of the row's fold or by model -1."""
-    schema = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep) + ", x array<double>"
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        caches = {f: bpe.Cache(lambda w, m=m: m.value.ratio(_place(w))) for f, m in models.items()}
-        for batch in batches:
-            x = []
-            for text, f in zip(batch.column("text").to_pylist(), batch.column("fold").to_pylist()):
-                ratios = caches[f if by_fold else -1]
-                words = _WORDS(text.lower())
-                x.append(features(np.fromiter(map(ratios.__getitem__, words), float, len(words))))
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in keep], pa.array(x, pa.list_(pa.float64()))], names=[*keep, "x"])
+def _with_evidence(rows: DataFrame, found: Ratios, text: Column, variant: Column, name: str, key: list[Column], most_keys: int) -> DataFrame:
+    """``rows`` and their evidence as column ``name``: by a broadcast of the tables, or by joining the words to them."""
+    context = rows.sparkSession.sparkContext
+    if found.keys() <= most_keys:
+        sent = context.broadcast(Lookup(found))
 
-    return rows.select(*dict.fromkeys([*keep, "text", "fold"])).mapInArrow(work, schema)
+        def judge(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            hashes = bpe.Cache(_hash)
+            for texts, variants in batches:
+                yield pa.array(sent.value.evidence(*_hashed(texts.to_pylist(), hashes), variants.to_numpy(zero_copy_only=False)))
 
+        judge.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+        return rows.withColumn(name, F.arrow_udf(judge, "double")(text, variant.cast("int")))
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text") -> tuple[Model, Curve]:
-    """The model and its curve, from labelled rows that aren't held out. Contradicting labels of an id count each."""
-    marks = labels.filter(F.col("toxic").isin(0, 1)).select(F.col(id_col).alias("_id"), F.col("toxic").cast("tinyint").alias("toxic"))
-    marks = marks.filter(F.col("_id").isNotNull() & ~held_out("_id"))
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = bpe.Cache(_hash)
+        for batch in batches:
+            for k1, k2, k, t in zip(*(c.to_pylist() for c in batch.columns)):
+                v, w, _ = _hashed([t], hashes)
+                _, first, n = np.unique(_pair(v, w), return_index=True, return_counts=True)
+                same = [pa.array(np.full(len(n), x)) for x in (k1, k2, k, len(w))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(v[first]), pa.array(w[first]), pa.array(n)], names=["k1", "k2", "variant", "size", "v", "w", "n"])
+
+    k1, k2 = free(rows, "k1", "k2")
+    keyed = rows.withColumn(k1, key[0]).withColumn(k2, key[1])
+    own = keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"), variant.cast("bigint").alias("variant"), text.alias("text")).dropDuplicates(["k1", "k2"])
+    words = own.mapInArrow(spread, "k1 bigint, k2 bigint, variant bigint, size bigint, v bigint, w bigint, n bigint")
+    named = lambda t, c: t.withColumnRenamed("l", c)
+    met = words.join(named(found.words, "lw"), "w", "left").join(named(found.contexts, "lv"), "v", "left").join(named(found.pairs, "lp"), ["v", "w"], "left")
+    at = lambda c: F.get(c, F.col("variant").cast("int"))
+    ratio = F.coalesce(at("lp"), F.coalesce(at("lw"), at(F.array(*map(F.lit, found.unknown)))) + F.coalesce(at("lv"), F.lit(0.0)))
+    sums = met.groupBy("k1", "k2").agg((F.sum(F.col("n") * F.greatest(ratio - MARGIN, F.lit(0.0))) / F.sqrt(F.first("size"))).alias(name))
+    sums = sums.select(F.col("k1").alias(k1), F.col("k2").alias(k2), name)
+    return keyed.join(sums, [k1, k2], "left").withColumn(name, F.coalesce(name, F.lit(0.0))).drop(k1, k2)
+
+
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", most_keys: int = BROADCAST_KEYS) -> tuple[Ratios, Curve]:
+    """The ratios and the curve, from labelled rows that aren't held out.
+
+    Each distinct text counts once a class, whatever its copies; contradicting labels of a text count in either class.
+    """
+    marks = labels.filter(F.col("toxic").isin(0, 1)).select(F.col(id_col).alias("id"), F.col("toxic").cast("int").alias("toxic"))
+    marks = marks.filter(F.col("id").isNotNull() & ~held_out("id"))
     n_marks = marks.count()
     marks = F.broadcast(marks) if n_marks <= BROADCAST_LABELS else marks
-    own = docs.select(F.col(id_col).alias("_id"), text_of(docs, text).alias("text")).join(marks, "_id").withColumn("fold", fold("_id"))
-    counts, _ = materialise(gather(own), "toxic-counts")
-    stem = F.col("w").bitwiseAND(F.lit((1 << STEM_BITS) - 1))
-    place = F.shiftright("w", STEM_BITS)
-    sums = lambda key: counts.groupBy("toxic", key.cast("int").alias("b")).agg(*[F.sum(c).cast("int").alias(c) for c in _EX])
-    words, stems = sums(place).toArrow(), sums(stem).toArrow()
-    shared = counts.select("w").distinct().groupBy(stem.cast("int").alias("b")).agg(F.count(F.lit(1)).cast("int").alias("n")).toArrow()
-
-    def dense(found: pa.Table, c: str, bits: int) -> list[np.ndarray]:
-        out = [np.zeros(1 << bits, np.int32) for _ in range(2)]
-        kind, b, n = (found.column(x).to_numpy() for x in ("toxic", "b", c))
-        for k in (0, 1):
-            out[k][b[kind == k]] = n[kind == k]
-        return out
-
-    both = np.zeros(1 << STEM_BITS, np.int64)
-    both[shared.column("b").to_numpy()] = shared.column("n").to_numpy()
-    make = lambda c: Model(dense(words, c, WORD_BITS), dense(stems, c, STEM_BITS), both)
-    context = docs.sparkSession.sparkContext
-    some = own.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < 1_000_000 * MAX_FITTED // max(n_marks, MAX_FITTED))
-    x, y = [], []
-    for f in (0, 1, 3):
-        sent = context.broadcast(make(f"ex{f}"))
-        got = _featured(some.filter(F.col("fold") == f), {f: sent}, ["toxic"], True).toArrow()
-        x += got.column("x").to_pylist()
-        y += got.column("toxic").to_pylist()
-        sent.unpersist()
-    return make("n"), Curve(np.array(x, float).reshape(-1, len(FEATURES)), np.array(y, float))
-
-
-def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
+    t = text_of(docs, text)
+    own = docs.select(docs[f"`{id_col}`"].alias("id"), t.alias("text"), F.xxhash64(t).alias("t")).join(marks, "id").withColumn("part", F.pmod("t", F.lit(PARTS)).cast("int"))
+    first = own.groupBy("t", "toxic").agg(F.min("id").alias("id"))
+    first = F.broadcast(first) if n_marks <= BROADCAST_LABELS else first
+    once = own.join(first, ["t", "toxic", "id"], "left_semi").select("text", "toxic", "part")
+    counts, at_counts = materialise(pair_counts(once), "toxic-pairs")
+    found = ratios(counts)
+    remove(docs.sparkSession, at_counts)
+    some = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * MAX_FITTED // max(n_marks, MAX_FITTED)).select("id", "text", "toxic", "part")
+    got = _with_evidence(some, found, F.col("text"), F.col("part") + 1, "x", row_key(some, "id"), most_keys).select("toxic", "x").toArrow()
+    return found, Curve(got.column("x").to_numpy(), got.column("toxic").to_numpy().astype(float))
+
+
+def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, id_col: str = "doc_id", text: str = "text", keep: tuple[str, ...] | None = None, most_keys: int = BROADCAST_KEYS) -> DataFrame:
     """Columns ``keep`` (all but the text), ``held_out``, ``score`` (0 to 1) and ``predicted`` for each row.
 
-    Null and empty texts have no word and score what the curve gives no evidence; null ids count as fold 0; without
-    any labelled row every score is that of no evidence; repeated rows score alike; other columns pass through.
+    Null and empty texts have no word and score what the curve gives no evidence; null ids are not held out; without
+    any labelled row every score is that of no evidence; repeated rows score alike; an empty table gives an empty result;
+    other columns pass through, but for those of the names above.
     """
-    spark = docs.sparkSession
-    model, curve = train(docs, labels, id_col, text)
-    sent = spark.sparkContext.broadcast(model)
-    made = ("held_out", "score", "predicted")
-    names = list(keep if keep is not None else [c for c in docs.columns if c not in (text, *made)])
-    schema = "struct<score:double>"
-
-    def judge(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ratios = bpe.Cache(lambda w: sent.value.ratio(_place(w)))
-        for batch in texts:
-            x = []
-            for t in batch.to_pylist():
-                words = _WORDS(t.lower())
-                x.append(features(np.fromiter(map(ratios.__getitem__, words), float, len(words))))
-            yield pa.StructArray.from_arrays([pa.array(curve(np.array(x, float)))], names=["score"])
-
-    judge.__annotations__ = {"texts": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    out = docs.withColumn("_s", F.arrow_udf(judge, schema)(text_of(docs, text)))
-    return out.select(*names, held_out(id_col).alias("held_out"), F.col("_s.score").alias("score"), (F.col("_s.score") >= threshold).cast("int").alias("predicted"))
+    found, curve = train(docs, labels, id_col, text, most_keys)
+    (evidence,) = free(docs, "evidence")
+    judged = _with_evidence(docs, found, text_of(docs, text), F.lit(0), evidence, row_key(docs, id_col, text), most_keys)
+    own = [judged[f"`{c}`"] for c in keep] if keep is not None else without(judged, text, evidence, "held_out", "score", "predicted")
+    z = F.lit(curve.base) + curve.slope * F.sqrt(F.col(evidence) / curve.scale)
+    chance = 1 / (1 + F.exp(-F.greatest(F.lit(-35.0), F.least(F.lit(35.0), z))))
+    return judged.select(*own, held_out(judged[f"`{id_col}`"]).alias("held_out"), chance.alias("score"), (chance >= threshold).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
-    """``docs`` without the rows that are predicted toxic."""
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
-    return score(rows, labels, threshold, keep=("_row",)).filter(F.col("predicted") == 0).select("_row.*")
+    """``docs`` without the rows that are predicted toxic; all columns pass through."""
+    rows = docs.select(F.struct(*without(docs)).alias("row"), docs["doc_id"], docs["text"])
+    return score(rows, labels, threshold, keep=("row",)).filter(F.col("predicted") == 0).select("row.*")

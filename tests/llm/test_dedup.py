@@ -3,9 +3,10 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import corpus_pipeline
+import pytest
 import xxhash
 from tests.llm.conftest import odd_texts, sentence
-from sentweave.llm import components, line_dedup, minhash, quality, simhash
+from sentweave.llm import components, line_dedup, quality, simhash
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -22,8 +23,8 @@ def brute_lines(texts, least):
 
 def test_line_dedup_is_brute_force(odd):
     rows = odd.collect()
-    for fanout, batches in ((2, 4), (3, 7), (10, 1)):
-        got = line_dedup.drop_repeated_lines(odd, min_docs=3, batches=batches, fanout=fanout).collect()
+    for fanout, batches, most in ((2, 4, 1000), (3, 7, 0), (10, 1, 1000)):  # 0: the lines are joined, not handed to the tasks
+        got = line_dedup.drop_repeated_lines(odd, min_docs=3, batches=batches, fanout=fanout, most=most).collect()
         want = Counter((r["doc_id"], t) for r, t in zip(rows, brute_lines([r["text"] for r in rows], 3)))
         assert Counter((r["doc_id"], r["text"]) for r in got) == want
         assert got[0].__fields__[-2:] == ["n_lines", "n_dropped"] and "_h1" in got[0].__fields__
@@ -37,6 +38,22 @@ def test_runs_are_compacted_and_counts_add_up(spark):
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     assert runs.frequent().count() == 1
     assert {r["text"] for r in runs.apply(docs).collect()} == {sentence(i, 5) for i in range(12)}
+    # a later job opens the folder, under any number of shuffle partitions, and goes on
+    with pytest.raises(ValueError):
+        line_dedup.LineRuns(spark, runs.path, min_docs=3)
+    again = line_dedup.LineRuns(spark, runs.path, min_docs=12, buckets=99)
+    assert again.levels == runs.levels and again.buckets == runs.buckets and again.generation == runs.generation == 4
+    again.add(spark.createDataFrame([(i, "common\nnew line") for i in range(12)], "doc_id bigint, text string"))
+    assert again.frequent().count() == 2 and len(again.runs()) == 2
+
+
+def test_runs_meet_without_a_shuffle(spark):
+    runs = line_dedup.LineRuns(spark, fanout=9)
+    for b in range(2):
+        runs.add(spark.createDataFrame([(i, sentence(i + b, 5)) for i in range(50)], "doc_id bigint, text string"))
+    with line_dedup._in_order(spark):
+        plan = runs._merged(runs.runs())._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort " not in plan and "SortMergeJoin" in plan
 
 
 def test_line_dedup_of_an_empty_table(empty):
@@ -115,13 +132,13 @@ def test_a_crowded_key_over_many_batches(spark):
 
 
 def test_one_document_of_each_group_stays(spark, odd, empty):
-    kept = simhash.keep_one_of_each(odd).collect()
+    kept = simhash.keep_one_fingerprint(odd).collect()
     assert len({r["doc_id"] for r in kept}) == len(kept)
     groups = {r["component_id"] for r in simhash.near_groups(odd).collect()}
     assert {r["doc_id"] for r in kept} == groups
-    assert kept[0].__fields__ == odd.columns and simhash.keep_one_of_each(empty).collect() == []
+    assert kept[0].__fields__ == odd.columns and simhash.keep_one_fingerprint(empty).collect() == []
     rows = [(1, sentence(1, 80)), (1, sentence(2, 80)), (None, sentence(3, 80)), (None, sentence(4, 80)), (None, sentence(2, 80)), (5, sentence(4, 80)), (1, sentence(1, 80))]
-    one = simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    one = simhash.keep_one_fingerprint(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert Counter(map(tuple, one)) == Counter([rows[0], rows[1], rows[2], rows[5]])
 
 
@@ -137,26 +154,30 @@ def brute_quality(texts, hosts, max_docs, min_kept):
     lines = [[x for x in (t or "").split("\n") if x.encode().split()] for t in texts]
     norm = lambda x: b" ".join(x.encode().split()).lower()
     holders = defaultdict(set)
-    for t, h, own in zip(texts, hosts, lines):
+    for i, (h, own) in enumerate(zip(hosts, lines)):
         for x in own:
-            holders[h or "", norm(x)].add(t)
+            holders[h or "", norm(x)].add(i)
     for t, h, own in zip(texts, hosts, lines):
         words = (t or "").encode().split()
         windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
         n = Counter(windows)
         covered = {j for i, w in enumerate(windows) if n[w] > 1 for j in range(i, i + 3)}
-        lost = sum(len(x.encode().split()) for x in own if len(holders[h or "", norm(x)]) > max_docs)
+        gone = {x for x in own if len(holders[h or "", norm(x)]) > max_docs}
+        lost = sum(len(x.encode().split()) for x in own if x in gone)
         failed = len(words) < 50 or 100 * len(covered) > 50 * len(words)
-        out.append((len(words), sum(len(w.decode()) for w in words), sum((t or "").count(c) for c in "#*$%&|<>"), len(own) - len(set(own)), len(covered), failed, lost, not failed and len(words) - lost >= min_kept * len(words)))
+        out.append((len(words), sum(len(w.decode()) for w in words), sum((t or "").count(c) for c in "#*$%&|<>"), len(own) - len(set(own)), len(covered), failed, lost, not failed and len(words) - lost >= min_kept * len(words), "\n".join(x for x in (t or "").split("\n") if x not in gone)))
     return out
 
 
 def test_quality_is_brute_force(odd):
     rows = odd.collect()
     for max_docs, min_kept in ((1, 0.9), (20, 0.3)):
-        got = quality.judge_quality(odd, max_docs, min_kept).collect()
         want = brute_quality([r["text"] for r in rows], [r["source"] for r in rows], max_docs, min_kept)
-        assert Counter(map(tuple, got)) == Counter((r["doc_id"], *w) for r, w in zip(rows, want))
+        for most in (1000, 0):  # 0: boilerplate is joined, not broadcast
+            got = quality.judge_quality(odd, max_docs, min_kept, most=most).select("doc_id", *quality.MADE).collect()
+            assert Counter(map(tuple, got)) == Counter((r["doc_id"], *w) for r, w in zip(rows, want))
+    good = quality.keep_good(odd, max_docs=1, min_kept=0.3)
+    assert good.columns == odd.columns and good.count() == sum(w[7] for w in brute_quality([r["text"] for r in rows], [r["source"] for r in rows], 1, 0.3))
 
 
 def test_quality_of_an_empty_table(empty):
@@ -196,12 +217,12 @@ def test_near_copies_are_those_that_share_their_shingles(spark):
     texts += [edited(5, 300, i, 299 - i) for i in range(100)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
     want = set(brute_near(texts))
-    assert {r["doc_id"] for r in minhash.keep_one_of_each(docs).collect()} == want and 0 in want and 1 not in want and 7 in want
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == want and 0 in want and 1 not in want and 7 in want
     assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == want
-    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} != want  # the four bits of fingerprints say less
+    assert {r["doc_id"] for r in simhash.keep_one_fingerprint(docs).collect()} != want  # the four bits of fingerprints say less
 
 
 def test_near_copies_on_documents_are_brute_force(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
     docs = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(rows)], "doc_id bigint, text string")
-    assert {r["doc_id"] for r in minhash.keep_one_of_each(docs).collect()} == set(brute_near([r["text"] for r in rows]))
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == set(brute_near([r["text"] for r in rows]))

@@ -1,14 +1,15 @@
 import __spark_entry__ as entry
 import corpus_pipeline
-from sentweave.llm import decontaminate, line_dedup, packing, simhash
+from sentweave.llm import common, decontaminate, line_dedup, packing, simhash
 
 
 def test_each_stage_keeps_the_columns(spark, odd):
-    docs = odd.select("doc_id", "text", "lang", "source", "n_chars").filter("doc_id IS NOT NULL")
-    for _, stage in corpus_pipeline.STAGES[:-1]:
+    docs = odd.withColumnRenamed("n_lines", "row").withColumnRenamed("_h1", "evidence")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, "/root/testdata/sf0.001")
-        assert out.columns == docs.columns and out.dtypes == docs.dtypes
-        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes and out.count() > 0, name
+        assert stage(spark, docs.limit(0), "/root/testdata/sf0.001").count() == 0, name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").columns == [n for n in packing.NAMES if n != "task"]
 
 
 def test_the_stages_in_a_row(spark, sf_dir):
@@ -18,9 +19,10 @@ def test_the_stages_in_a_row(spark, sf_dir):
     one = simhash.keep_one_of_each(lines)
     clean = decontaminate.decontaminate(one, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     want = {r["doc_id"] for r in clean.select("doc_id").collect()}
+    before = set(common._WRITTEN)
     got = corpus_pipeline.run(spark, sf_dir)
-    assert got.columns == [c.split(" ")[0] for c in packing.PIECES.split(", ")]
     assert {r["doc_id"] for r in got.select("doc_id").collect()} == want and 0 < len(want) < docs.count()
+    assert set(common._WRITTEN) == before  # nothing of the stages' own is left
 
 
 def test_the_entry_has_all_eleven():
