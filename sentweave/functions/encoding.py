@@ -3,6 +3,7 @@
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,6 +67,17 @@ def resolve_encoding(raw: Column, forced: str | None = None, given: Column | Non
     return F.when((encoding == "utf8") | (english == F.lit(language == "english")), encoding)
 
 
+def normalise_nfkc(c: Column) -> Column:
+    """Compatibility forms as their plain characters (NFKC)."""
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pc.utf8_normalize(batch, "NFKC")
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "string")(c)
+
+
 def _decodes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     for raw, name in batches:
         yield pa.array([None if r is None or n not in CODECS else r.decode(CODECS[n], "replace") for r, n in zip(raw.to_pylist(), name.to_pylist())], pa.string())

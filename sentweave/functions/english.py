@@ -1,4 +1,9 @@
-"""English sentence boundaries and tokens: row-local column expressions over word arrays."""
+"""English sentence boundaries and tokens: row-local column expressions over word arrays.
+
+Whether a sentence ends after a word follows from a code of six letters: what kind of mark the word has, what the next two
+words are, and three things about what stands before the mark. ``ENDS`` lists the codes that end a sentence. Tokens are
+the matches of one regular expression for each group of languages; a second look decides about closing periods.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -27,79 +32,49 @@ def capital(w: Column) -> Column:
     return w.rlike("^[A-Z]")
 
 
-def is_honorific(w: Column) -> Column:
-    return w.isin(*HONORIFICS)
-
-
-def is_terminal(w: Column) -> Column:
-    return w.isin(*TERMINALS)
-
-
-def is_time_zone(w: Column) -> Column:
-    return F.substring(w, 1, 3).isin(*TIME_ZONES)
-
-
-def ends_in_quote(w: Column) -> Column:
-    return w.rlike("['\"]$")
-
-
-def starts_with_quote(w: Column) -> Column:
-    return w.rlike("^['\"`]")
-
-
-def starts_with_left_paren(w: Column) -> Column:
-    return w.rlike("^([{(]|-LBR-)")
-
-
-def starts_with_left_quote(w: Column) -> Column:
-    return w.rlike("^[`\"]")
-
-
-def is_right_paren(w: Column) -> Column:
-    return w.isin(*RIGHT_PARENS)
-
-
-def is_right_quote(w: Column) -> Column:
-    return w.isin(*RIGHT_QUOTES)
-
-
-def is_right_end(w: Column) -> Column:
-    return is_right_paren(w) | is_right_quote(w)
-
-
-def is_left_start(w: Column) -> Column:
-    return starts_with_left_quote(w) | starts_with_left_paren(w) | capital(w)
+#: What the next word is, in order: nothing, a capital, double quote or backtick, single quote, opening bracket, the closing
+#: bracket by its treebank name, another closing bracket, a dash, a lone period; else ``o``.
+FOLLOWERS = {"C": "^[A-Z]", "B": "^[\"`]", "A": "^'", "P": "^([{(]|-LBR-)", "r": "^-RBR-$", "R": "^[})]$", "D": "^--$", "S": "^\\.$"}
+#: Codes of sentence ends. 1st letter: l for a bare ? or !, p for a bare period, c for a mark before a closing bracket or quote, x for one
+#: before anything else. 2nd and 3rd: the next words (N: there is none). 4th, of what stands before the mark: n a title, a time before its
+#: zone or a quoted word, t an abbreviation that may end a sentence, i initials, o other. 5th: q if it ends in a quote. 6th: e if it is empty.
+ENDS = [
+    "[lpcx]NN...",  # the text's end
+    "c[BPC]....",
+    "l[CBAS]....",
+    "l[Dr]C...",
+    "p[BAPR]....",
+    "pr[^D]...",
+    "pS...[^e]",
+    "pDC.[^q].",
+    "pD[BA]...",
+    "pC.[to]..",
+]
+END = "^(" + "|".join(ENDS) + ")$"
+#: A word that may end a sentence: before its last mark, the mark, and what follows the mark.
+MARKED = "(?s)^(.*)([.?!])([^.?!]*)$"
+
+
+def _follower(w: Column, nothing: Column) -> Column:
+    kind = F.when(nothing, "N")
+    for letter, pattern in FOLLOWERS.items():
+        kind = kind.when(w.rlike(pattern), letter)
+    return kind.otherwise("o")
+
+
+def boundary_code(word: Column, next_: Column, after: Column) -> Column:
+    """The six letters of a word with one of ``.?!``; ``next_`` and ``after`` are the words that follow it, empty at the end."""
+    before, mark, behind = (F.regexp_extract(word, MARKED, i) for i in (1, 2, 3))
+    last = (next_ == "") & (after == "")
+    kind = F.when(behind == "", F.when(mark == ".", "p").otherwise("l")).when(behind.isin(*RIGHT_PARENS, *RIGHT_QUOTES), "c").otherwise("x")
+    timed = before.isin("p.m", "a.m") & F.substring(next_, 1, 3).isin(*TIME_ZONES)
+    left = F.when(F.concat(before, F.lit(".")).isin(*HONORIFICS) | timed | before.rlike("^['\"`]"), "n").when(before.isin(*TERMINALS), "t").when(before.rlike("^([A-Z]\\.)*[A-Z]$"), "i").otherwise("o")
+    return F.concat(kind, _follower(next_, last), _follower(after, last), left, F.when(before.rlike("['\"]$"), "q").otherwise("-"), F.when(before == "", "e").otherwise("-"))
 
 
 def ends_sentence(word: Column, next_: Column, after: Column) -> Column:
-    """Whether a sentence ends after ``word``; ``next_`` and ``after`` are the two words that follow, empty at the end.
-
-    The candidate is the right-most of ``.?!`` in the word; what stands before and after it decides with the next words.
-    """
-    mark = F.regexp_extract(word, "(?s)([.?!])[^.?!]*$", 1)
-    before = F.regexp_extract(word, "(?s)^(.*)[.?!][^.?!]*$", 1)
-    behind = F.regexp_extract(word, "(?s)[.?!]([^.?!]*)$", 1)
-    bare, cap = behind == "", capital(next_)
-    last = (next_ == "") & (after == "")
-    closes = is_right_end(behind) & is_left_start(next_)
-    dash = next_ == "--"
-    loud = last | (bare & (cap | starts_with_quote(next_) | (next_.isin("--", "-RBR-") & capital(after)) | (next_ == "."))) | closes
-    name = (before.isin("p.m", "a.m") & is_time_zone(next_)) | is_honorific(F.concat(before, F.lit("."))) | starts_with_quote(before)
-    period = (
-        F.when(last, True)
-        .when(bare & (starts_with_quote(next_) | starts_with_left_paren(next_)), True)
-        .when(bare & (next_ == "-RBR-") & (after == "--"), False)
-        .when(bare & is_right_paren(next_), True)
-        .when(bare & (next_ == "."), before != "")
-        .when(bare & dash & capital(after) & ends_in_quote(before), False)
-        .when(bare & dash & (capital(after) | starts_with_quote(after)), True)
-        .when(bare & cap & name, False)
-        .when(bare & cap & is_terminal(before), True)
-        .when(bare & cap & before.rlike("^([A-Z]\\.)*[A-Z]$"), False)
-        .when(bare & cap, True)
-        .otherwise(closes)
-    )
-    return F.when(mark == "", False).when(mark.isin("?", "!"), loud).otherwise(period)
+    """Whether a sentence ends after ``word``."""
+    return F.when(word.rlike("[.?!]"), boundary_code(word, next_, after).rlike(END)).otherwise(False)
 
 
 def split_english(c: Column) -> Column:
@@ -107,54 +82,48 @@ def split_english(c: Column) -> Column:
 
     def marked(words: Column) -> Column:
         at = lambda i: F.coalesce(F.get(words, i), F.lit(""))
-        return F.transform(words, lambda w, i: F.concat(w, F.when(w.rlike("[.?!]"), F.when(ends_sentence(w, at(i + 1), at(i + 2)), F.lit("\n")).otherwise(F.lit(" "))).otherwise(F.lit(" "))))
+        return F.transform(words, lambda w, i: F.concat(w, F.when(ends_sentence(w, at(i + 1), at(i + 2)), F.lit("\n")).otherwise(F.lit(" "))))
 
     return F.transform(F.filter(F.split(F.array_join(bind(words_of(c), marked), ""), "\n"), lambda s: F.trim(s) != ""), lambda s: F.trim(s))
 
 
-def tokenize(c: Column, language: str = "en", prefixes: dict[str, int] | None = None) -> Column:
-    """Tokens of a line as one string with single blanks between them.
+_LETTER, _NUMBER = "\\p{IsAlphabetic}", "[\\p{Nd}\\p{Nl}]"
+#: What goes on within a word: letters, digits, hyphens, a lone period, a comma between numbers.
+_INNER = f"[{_LETTER}\\p{{Nd}}-]|(?<!\\.)\\.(?!\\.)|(?<={_NUMBER}),(?={_NUMBER})"
+_REST = "''|\\S"
+#: One pattern for each group of languages: English contractions go with what follows the apostrophe, French and Italian ones with what
+#: precedes it, and elsewhere an apostrophe stands alone. Runs of periods stay together.
+TOKENS = {
+    "en": f"\\.{{2,}}|(?:(?<={_LETTER})'(?={_LETTER})|(?<={_NUMBER})'(?=s))?(?:{_INNER}|(?<=\\p{{Nd}})'(?={_LETTER})(?!'s))+|{_REST}",
+    "fr": f"\\.{{2,}}|(?:{_INNER})+(?:(?<={_LETTER})'(?={_LETTER}))?|{_REST}",
+    "other": f"\\.{{2,}}|(?:{_INNER})+|{_REST}",
+}
+_GROUPS = {"en": "en", "fr": "fr", "it": "fr"}
+
+
+def tokens(c: Column, language: str = "en", prefixes: dict[str, int] | None = None) -> Column:
+    """Tokens of a line.
 
     ``prefixes``: another language's abbreviations (``readers.prefixes`` reads them from a file), 1 for such whose period
     always stays with them, 2 for such before a number; without them, those of the language or else English ones count.
     """
-    always = [p for p, kind in prefixes.items() if kind == 1] if prefixes is not None else PREFIXES.get(language, PREFIXES["en"])
-    numeric = [p for p, kind in prefixes.items() if kind == 2] if prefixes is not None else NUMERIC_PREFIXES.get(language, NUMERIC_PREFIXES["en"])
-    t = F.concat(F.lit(" "), c, F.lit(" "))
-    put = lambda t, pattern, by: F.regexp_replace(t, pattern, by)
-    t = put(t, "([^\\p{IsAlphabetic}\\p{Nd}\\s.'`,\\-])", " $1 ")
-    dots = "\ue000"  # a run of dots is kept apart, a private character for each dot
-    t = F.array_join(F.transform(F.regexp_extract_all(t, F.lit("\\.{2,}[^.]?|\\.|[^.]+"), F.lit(0)), lambda p: F.when(p.rlike("^\\.\\."), F.concat(F.lit(" "), F.translate(p.substr(F.lit(1), F.length(F.regexp_extract(p, "^(\\.+)", 1))), ".", dots), F.lit(" "), F.regexp_extract(p, "^\\.+([^.]?)$", 1))).otherwise(p)), "")
-    t = put(t, "(?<=[^\\p{N}]),(?=[^\\p{N}])", " , ")
-    t = put(t, "(?<=\\p{N}),(?=[^\\p{N}])", " , ")
-    t = put(t, "(?<=[^\\p{N}]),(?=\\p{N})", " , ")
-    t = put(F.translate(t, "`", "'"), "''", ' " ')
-    letter = "\\p{IsAlphabetic}"
-    if language == "en":
-        t = put(t, f"(?<=[^{letter}])'(?=[^{letter}])", " ' ")
-        t = put(t, f"(?<=[^{letter}\\p{{N}}])'(?=[{letter}])", " ' ")
-        t = put(t, f"(?<=[{letter}])'(?=[^{letter}])", " ' ")
-        t = put(t, f"(?<=[{letter}])'(?=[{letter}])", " '")
-        t = put(t, "(?<=\\p{N})'(?=s)", " '")
-    elif language in ("fr", "it"):
-        t = put(t, f"(?<=[^{letter}])'(?=[^{letter}])", " ' ")
-        t = put(t, f"(?<=[^{letter}])'(?=[{letter}])", " ' ")
-        t = put(t, f"(?<=[{letter}])'(?=[^{letter}])", " ' ")
-        t = put(t, f"(?<=[{letter}])'(?=[{letter}])", "' ")
-    else:
-        t = put(t, "'", " ' ")
-    def periods(words: Column) -> Column:
-        def period(w: Column, i: Column) -> Column:
-            following = F.coalesce(F.get(words, i + 1), F.lit(""))
-            stem = F.regexp_replace(w, "\\.$", "")
-            keep = (stem.contains(".") & stem.rlike(f"[{letter}]")) | stem.isin(*always) | following.rlike("^\\p{Ll}")
-            number = stem.isin(*numeric) & following.rlike("^[0-9]")
-            return F.when(w.rlike("^\\S+\\.$"), F.when(keep | number, w).otherwise(F.concat(stem, F.lit(" .")))).otherwise(w)
-
-        return F.transform(words, period)
-
-    return F.translate(F.array_join(bind(words_of(t), periods), " "), dots, ".")
-
-
-def tokens(c: Column, language: str = "en") -> Column:
-    return F.filter(F.split(tokenize(c, language), " "), lambda t: t != "")
+    if prefixes is None:
+        prefixes = dict.fromkeys(PREFIXES.get(language, PREFIXES["en"]), 1) | dict.fromkeys(NUMERIC_PREFIXES.get(language, NUMERIC_PREFIXES["en"]), 2)
+    always, numeric = ([p for p, kind in prefixes.items() if kind == k] for k in (1, 2))
+    found = F.regexp_extract_all(F.translate(c, "`", "'"), F.lit(TOKENS[_GROUPS.get(language, "other")]), F.lit(0))
+
+    def settled(words: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            stem, following = F.regexp_replace(w, "\\.$", ""), F.coalesce(F.get(words, i + 1), F.lit(""))
+            stays = (stem.contains(".") & stem.rlike(f"[{_LETTER}]")) | stem.isin(*always) | following.rlike("^\\p{Ll}") | (stem.isin(*numeric) & following.rlike("^[0-9]"))
+            closes = w.rlike("[^.]\\.$") & ~stays
+            return F.when(w == "''", F.array(F.lit('"'))).when(closes, F.array(stem, F.lit("."))).otherwise(F.array(w))
+
+        return F.flatten(F.transform(words, one))
+
+    return bind(found, settled)
+
+
+def tokenize(c: Column, language: str = "en", prefixes: dict[str, int] | None = None) -> Column:
+    """Tokens of a line as one string with single blanks between them."""
+    return F.array_join(tokens(c, language, prefixes), " ")

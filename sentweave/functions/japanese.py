@@ -1,5 +1,13 @@
-"""Japanese sentences, scores and brackets: row-local column expressions, folds over arrays where order matters."""
+"""Japanese sentences, scores and brackets.
 
+Scores and rules are column expressions. Splitting needs a state that goes on through a text (open brackets, what the last
+sentence was), so each text is split in one linear pass of an Arrow function.
+"""
+
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,7 +22,7 @@ EMOTICONS = ["（＊＾−＾＊）", "（＾＾；）", "（＞▽＜）", "（
 MARKS = ["（笑）", "（爆）", "（怒）", "（汗）", "（泣）", "（涙）"]
 #: Marks that open a heading or a list line, enumerations that stay, characters of menu bars.
 LINE_MARKS = "□■◇◆▽△▼▲○◎●〇◯★☆・＜《【［"
-ENUMERATION = [chr(0xFF10 + i) for i in range(1, 10)]
+ENUMERATION = ["１", "２", "３", "４", "５", "６", "７", "８", "９"]
 PARTICLES = "がをにはので"
 JAPANESE = "[\\p{IsHiragana}\\p{IsKatakana}ー\\p{IsHan}\\p{P}]"
 JAPANESE_LETTERS = "[\\p{IsHiragana}\\p{IsKatakana}ー\\p{IsHan}]"
@@ -27,6 +35,7 @@ def _alternatives(words: list[str]) -> str:
 
 
 FACES = _alternatives(EMOTICONS + MARKS)
+_FACES = re.compile(f"(?:{FACES})+")
 
 
 def japanese_score(c: Column, punctuation: bool = True) -> Column:
@@ -41,71 +50,121 @@ def particle_ratio(c: Column, doubled: bool = False) -> Column:
     return F.round(F.regexp_count(c, F.lit(f"[{PARTICLES}]")) / F.nullif(n + n if doubled else n, F.lit(0)), 5)
 
 
-def _level(text: Column, start: Column) -> Column:
-    """The bracket level after ``text``, never below 0."""
-    marks = F.filter(F.split(text, ""), lambda ch: F.lit(OPEN + CLOSE).contains(ch) & (ch != ""))
-    return F.aggregate(marks, start, lambda level, ch: F.greatest(F.lit(0), level + F.when(F.lit(OPEN).contains(ch), 1).otherwise(-1)))
-
-
-def _pieces(c: Column) -> Column:
-    """The text cut after each candidate end."""
-    return F.regexp_extract_all(c, F.lit(f"(?s).*?{CUT}|.+$"), F.lit(0))
-
-
-def _close(out: Column, s: Column) -> Column:
-    return F.concat(out, F.array(s))
+_END = re.compile(CUT)
+_OPEN, _CLOSE = set(OPEN), set(CLOSE)
+_LEAD = re.compile("^(（.+?）)(.+)$", re.S)
+_CLOSERS, _ITEM = re.compile(f"{CLOSERS}*"), re.compile(f"^{ITEM}$")
+_STRANGE = re.compile(f"([！？]|{CLOSERS})$")
+_BLANKS = " \t\n\x0b\x0c\r\u3000"
+
+
+def _pieces(text: str) -> list[tuple[str, str]]:
+    """The text cut after each candidate end, as (body, end); the last one may have no end."""
+    out, at = [], 0
+    for m in _END.finditer(text):
+        out.append((text[at : m.start()], m.group()))
+        at = m.end()
+    return out + ([(text[at:], "")] if at < len(text) else [])
+
+
+def _outside_brackets(text: str) -> list[str]:
+    """Cut at ends outside brackets; a run of middle dots alone ends nothing."""
+    out, open_, level = [], [], 0
+    for body, end in _pieces(text):
+        for ch in body:
+            if ch in _OPEN:
+                level += 1
+            elif ch in _CLOSE and level:
+                level -= 1
+        open_ += [body, end]
+        if end and not level and (body or not end.startswith("・")):
+            out.append("".join(open_))
+            open_ = []
+    return [s for s in [*out, "".join(open_)] if s]
+
+
+def sentences_of(text: str) -> list[str]:
+    """Sentences of a paragraph: cut at ends outside brackets; a bracketed remark that opens a sentence stands alone."""
+    apart: list[str] = []
+    for s in _outside_brackets(text):
+        lead = _LEAD.match(s)
+        apart += [a + b for a, b in _pieces(lead[1])] + [lead[2]] if lead else [s]
+    closed: list[list[str]] = []  # parts of each sentence, put together at the end
+    odd: list[bool] = []
+    for s in (x.strip(_BLANKS) for x in apart):
+        if not s:
+            continue
+        closers = _CLOSERS.match(s)[0]
+        if not closed:
+            closed.append([s])
+            odd.append(s.count("”") % 2 == 1)
+        elif (odd[-1] and s.count("”") % 2) or (len(closed[-1]) == 1 and _ITEM.match(closed[-1][0])):  # halves of a pair, a lone item header
+            closed[-1].append(s)
+            odd[-1] = odd[-1] != (s.count("”") % 2 == 1)
+        else:
+            if closers:  # closing brackets that open a sentence go back
+                closed[-1].append(closers)
+                s = s[len(closers) :]
+            if s:
+                closed.append([s])
+                odd.append(s.count("”") % 2 == 1)
+    out: list[list[str]] = []
+    for s in map("".join, closed):
+        # と, っ or です after ！, ？ or a closing bracket go on with the sentence, and so do と, や, の after an item header
+        goes_on = out and ((s.startswith(("と", "っ", "です")) and _STRANGE.search(out[-1][-1])) or (s.startswith(("と", "や", "の")) and re.search(f"{ITEM}$", out[-1][-1])))
+        out[-1].append(s) if goes_on else out.append([s])
+    return ["".join(x) for x in out]
+
+
+def with_faces_apart(sentences: list[str]) -> list[str]:
+    """Sentences end after faces and laugh marks; marks in a row stay together; blanks at the ends go."""
+    cut = (part.strip(_BLANKS) for s in sentences for part in _FACES.sub(lambda m: m[0] + "\n", s).split("\n"))
+    return [s for s in cut if s]
+
+
+def items_merged(sentences: list[str]) -> list[str]:
+    """After a sentence that ends with 、 ， or ：, item lines (Ａ．) and the first other line join it, with a full-width blank between."""
+    out: list[list[str]] = []
+    listing = False
+    for s in sentences:
+        if listing and out:
+            out[-1].append(s)
+        else:
+            out.append([s])
+        if not re.match(ITEM, s):
+            listing = s.endswith(("、", "，", "："))
+    return ["　".join(x) for x in out]
 
 
-def split_japanese(c: Column) -> Column:
-    """Sentences of a paragraph: cut at ends outside brackets; a bracketed remark that opens a sentence stands alone."""
-    start = F.struct(F.lit(0).alias("level"), F.lit("").alias("open"), F.array().cast("array<string>").alias("out"))
+def _over(work: Callable, kind: pa.DataType):
+    """An Arrow function that does ``work`` on each value; null stays null."""
 
-    def add(state: Column, piece: Column) -> Column:
-        ended = piece.rlike(f"(?s){CUT}$")
-        body = F.when(ended, F.regexp_replace(piece, f"{CUT}$", "")).otherwise(piece)
-        dots_only = (body == "") & piece.rlike("^・{3,}")
-        level = F.when(dots_only, state["level"]).otherwise(_level(body, state["level"]))
-        whole = F.concat(state["open"], piece)
-        cut = ended & (level == 0) & ~dots_only
-        return F.struct(level.alias("level"), F.when(cut, "").otherwise(whole).alias("open"), F.when(cut, _close(state["out"], whole)).otherwise(state["out"]).alias("out"))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if v is None else work(v) for v in batch.to_pylist()], kind)
 
-    done = F.aggregate(_pieces(c), start, add)
-    cut = F.filter(F.concat(done["out"], F.array(done["open"])), lambda s: s != "")
-    lead = "(?s)^(（.+?）)(.+)$"
-    apart = F.flatten(F.transform(cut, lambda s: F.when(s.rlike(lead), F.concat(_pieces(F.regexp_extract(s, lead, 1)), F.array(F.regexp_extract(s, lead, 2)))).otherwise(F.array(s))))
-    trimmed = F.transform(apart, lambda s: F.regexp_replace(F.regexp_replace(s, "^[\\s　]+", ""), "[\\s　]+$", ""))
-    return _join_forward(_close_brackets(F.filter(trimmed, lambda s: s != "")))
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
 
 
-def _close_brackets(sentences: Column) -> Column:
-    """Closing brackets that open a sentence go back; halves of a ” pair and lone item headers join their neighbours."""
-    odd = lambda s: F.pmod(F.length(s) - F.length(F.replace(s, F.lit("”"), F.lit(""))), F.lit(2)) == 1
+_STRINGS = pa.list_(pa.string())
 
-    def add(out: Column, s: Column) -> Column:
-        last = F.coalesce(F.element_at(out, F.lit(-1)), F.lit(""))
-        closers = F.regexp_extract(s, f"^({CLOSERS}*)", 1)
-        rest = F.regexp_replace(s, f"^{CLOSERS}+", "")
-        head = F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0)))
-        joins = (odd(last) & odd(s)) | last.rlike(f"^{ITEM}$")
-        back = F.concat(head, F.array(F.concat(last, closers)))
-        return F.when(F.size(out) == 0, F.array(s)).when(joins, F.concat(head, F.array(F.concat(last, s)))).when(closers != "", F.when(rest == "", back).otherwise(F.concat(back, F.array(rest)))).otherwise(F.concat(out, F.array(s)))
 
-    safe = lambda out: F.when(F.size(out) > 0, out).otherwise(F.array(F.lit("")))
-    empty = F.array().cast("array<string>")
-    return F.aggregate(sentences, empty, lambda out, s: F.when(F.size(out) == 0, F.array(s)).otherwise(add(safe(out), s)))
+def split_japanese(c: Column) -> Column:
+    """Sentences of a paragraph; see :func:`sentences_of`."""
+    return F.arrow_udf(_over(sentences_of, _STRINGS), "array<string>")(c)
 
 
-def _join_forward(sentences: Column) -> Column:
-    """A sentence that goes on after ！, ？ or a closing bracket with と, っ or です joins it; so do と, や, の after an item header."""
+def split_paragraphs(paragraphs: Column, merge_items: bool = True) -> Column:
+    """For each paragraph of an array its sentences: split, cut at faces, with item lists merged where asked for."""
+    finish = items_merged if merge_items else list
+    work = lambda paras: [finish(with_faces_apart(sentences_of(p))) for p in paras if p is not None]
+    return F.arrow_udf(_over(work, pa.list_(_STRINGS)), "array<array<string>>")(paragraphs)
 
-    def add(out: Column, s: Column) -> Column:
-        last = F.element_at(out, F.lit(-1))
-        goes_on = (s.rlike("^(と|っ|です)") & last.rlike(f"([！？]|{CLOSERS})$")) | (s.rlike("^[とやの]") & last.rlike(f"{ITEM}$"))
-        head = F.slice(out, F.lit(1), F.size(out) - 1)
-        return F.when(goes_on, F.concat(head, F.array(F.concat(last, s)))).otherwise(F.concat(out, F.array(s)))
 
-    empty = F.array().cast("array<string>")
-    return F.aggregate(sentences, empty, lambda out, s: F.when(F.size(out) == 0, F.array(s)).otherwise(add(F.when(F.size(out) > 0, out).otherwise(F.array(F.lit(""))), s)))
+def merge_items(sentences: Column) -> Column:
+    """Item lists of an array of sentences joined to what announces them; see :func:`items_merged`."""
+    return F.arrow_udf(_over(items_merged, _STRINGS), "array<string>")(sentences)
 
 
 def split_at_emoticons(c: Column) -> Column:
@@ -113,20 +172,6 @@ def split_at_emoticons(c: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(c, f"((?:{FACES})+)", "$1\n"), "\n"), lambda s: s != "")
 
 
-def merge_items(sentences: Column) -> Column:
-    """After a sentence that ends with 、 ， or ：, item lines (Ａ．) and the first other line join it, with a full-width blank between."""
-    start = F.struct(F.lit(False).alias("listing"), F.array().cast("array<string>").alias("out"))
-
-    def add(state: Column, s: Column) -> Column:
-        item = s.rlike(f"^{ITEM}")
-        out, n = state["out"], F.size(state["out"])
-        joined = F.concat(F.slice(out, F.lit(1), F.greatest(n - 1, F.lit(0))), F.array(F.concat_ws("　", F.get(out, n - 1), s)))
-        listing = F.when(item, state["listing"]).otherwise(s.rlike("[、，：]$"))
-        return F.struct(listing.alias("listing"), F.when(state["listing"] & (n > 0), joined).otherwise(F.concat(out, F.array(s))).alias("out"))
-
-    return F.aggregate(sentences, start, add)["out"]
-
-
 def has_emoticon(c: Column) -> Column:
     return c.rlike(FACES)
 

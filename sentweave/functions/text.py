@@ -95,12 +95,17 @@ def squeeze_blanks(c: Column, preformatted: bool = True) -> Column:
 
 def widen(c: Column) -> Column:
     """Half-width ASCII, blanks and katakana become full-width; voiced marks join their letter."""
-    for marks, mark in ((VOICED, "ﾞ"), (SEMI_VOICED, "ﾟ")):
-        has = c.contains(mark)
-        joined = c
-        for half, full in marks.items():
-            joined = F.replace(joined, F.lit(half + mark), F.lit(full))
-        c = F.when(has, joined).otherwise(c)
+
+    def joined(marks: dict[str, str], mark: str):
+        def one(v: Column) -> Column:
+            out = v
+            for half, full in marks.items():
+                out = F.replace(out, F.lit(half + mark), F.lit(full))
+            return F.when(v.contains(mark), out).otherwise(v)
+
+        return one
+
+    c = bind(bind(c, joined(VOICED, "ﾞ")), joined(SEMI_VOICED, "ﾟ"))
     return F.translate(c, ASCII + " " + HALF_KANA, WIDE_ASCII + "　" + FULL_KANA)
 
 
@@ -110,8 +115,10 @@ def narrow_ascii(c: Column) -> Column:
 
 
 def kana_long_mark(c: Column) -> Column:
-    """A hyphen-like character after katakana becomes the long-vowel mark."""
-    return F.regexp_replace(c, "(?<=\\p{IsKatakana}[ー―−─━‐]{0,64})[―−─━‐]", "ー")
+    """A hyphen-like character after katakana becomes the long-vowel mark, and so do all that follow it."""
+    pieces = F.regexp_extract_all(c, F.lit("\\p{IsKatakana}[ー―−─━‐]*|[^\\p{IsKatakana}]+"), F.lit(0))
+    marked = F.transform(pieces, lambda p: F.when(p.rlike("^\\p{IsKatakana}."), F.translate(p, "―−─━‐", "ーーーーー")).otherwise(p))
+    return F.when(c.rlike("\\p{IsKatakana}ー*[―−─━‐]"), F.array_join(marked, "")).otherwise(c)
 
 
 def remap_unsafe(c: Column) -> Column:
@@ -142,7 +149,7 @@ def join_japanese(c: Column) -> Column:
 def drop_ocr_noise(c: Column) -> Column:
     """Single Japanese letters that stand alone between Latin words, and whatever follows an English abstract heading, go."""
     c = F.regexp_replace(c, "(?<=[A-Za-z] )[\\p{IsHiragana}\\p{IsKatakana}](?= [A-Za-z])", "")
-    return F.regexp_replace(c, "(?s)\\n(Abstract|ABSTRACT)\\b.{0,4000}?(?=\\n\\p{IsHan})", "")
+    return F.regexp_replace(c, "(?s)\\n(Abstract|ABSTRACT)\\b.*?(?=\\n\\p{IsHan})", "")
 
 
 def delete_blanks(c: Column) -> Column:

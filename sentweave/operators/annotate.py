@@ -6,7 +6,9 @@ shows the contract.
 """
 
 import re
+import signal
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -62,40 +64,78 @@ def wanted(sentence: Column, is_normal: Column | None = None, block_type: Column
     return F.coalesce(ok, F.lit(False))
 
 
-def analyses(texts: DataFrame, name: str = "rules", column: str = "text") -> DataFrame:
-    """``(text, analysis, error)`` of each row; a failing sentence has a null analysis and the error's name."""
+class TimeLimit(Exception):
+    """An analysis took too long."""
+
+
+@contextmanager
+def _limited(seconds: float | None) -> Iterator[None]:
+    """Within the block, ``TimeLimit`` is raised after so many seconds (in the main thread of a Python worker)."""
+    if not seconds:
+        yield
+        return
+
+    def stop(*_) -> None:
+        raise TimeLimit
+
+    before = signal.signal(signal.SIGALRM, stop)
+    signal.setitimer(signal.ITIMER_REAL, seconds)
+    try:
+        yield
+    finally:
+        signal.setitimer(signal.ITIMER_REAL, 0)
+        signal.signal(signal.SIGALRM, before)
+
+
+def analyses(texts: DataFrame, name: str = "rules", column: str = "text", seconds: float | None = 60, restart_after: int | None = None) -> DataFrame:
+    """``(text, analysis, error)`` of each row; a failing sentence has a null analysis and the error's name.
+
+    A sentence may take ``seconds``; then its error is TimeLimit. An analyzer is made anew after ``restart_after`` uses, and after an error.
+    """
     make = annotator(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        analyze = make()
+        analyze, used = make(), 0
         for batch in batches:
             done, errors = [], []
             for t in batch.column(0).to_pylist():
+                if restart_after and used >= restart_after:
+                    analyze, used = make(), 0
+                used += 1
                 try:
-                    done.append(analyze(t.replace("\n", " ")))
+                    with _limited(seconds):
+                        done.append(analyze(t.replace("\n", " ")))
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001  an analyzer may raise anything; the row says so
                     done.append(None)
                     errors.append(type(e).__name__)
+                    analyze, used = make(), 0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(done, pa.string()), pa.array(errors, pa.string())], names=["text", "analysis", "error"])
 
     return texts.select(F.col(column).alias("text")).mapInArrow(run, "text string, analysis string, error string")
 
 
-def annotate(found: DataFrame, name: str = "rules", column: str = "raw_string", cache: DataFrame | None = None, condition: Column | None = None) -> DataFrame:
+def annotate(found: DataFrame, name: str = "rules", column: str = "raw_string", cache: DataFrame | None = None, condition: Column | None = None, roles: list[str] | None = None, **limits) -> DataFrame:
     """Adds ``analysis`` and ``error``: each distinct wanted text is analysed once, texts of ``cache`` (text, analysis) not at all.
 
-    Sentences that aren't wanted keep a null analysis.
+    Sentences that aren't wanted keep a null analysis; ``roles`` are those that are (title, keywords, description, body). For link texts,
+    ``column`` is their anchor. ``limits`` go to :func:`analyses`.
     """
     ok = wanted(F.col(column)) if condition is None else condition
-    marked = found.withColumn("_text", F.when(ok, F.col(column)))
-    texts = marked.filter(F.col("_text").isNotNull()).select(F.col("_text").alias("text")).distinct()
+    if roles is not None:
+        ok = ok & F.col("role").isin(*roles)
+    marked = found.withColumn("_wanted", F.coalesce(ok, F.lit(False)))
+    due = marked.filter("_wanted").drop("_wanted")
+    texts = due.select(F.col(column).alias("text")).distinct()
     if cache is not None:
         known = cache.select("text", "analysis").dropDuplicates(["text"]).withColumn("error", F.lit(None).cast("string"))
-        done = texts.join(known, "text").unionByName(analyses(texts.join(known.select("text"), "text", "left_anti"), name))
+        done = texts.join(known, "text").unionByName(analyses(texts.join(known.select("text"), "text", "left_anti"), name, **limits))
     else:
-        done = analyses(texts, name)
-    return marked.join(done.withColumnRenamed("text", "_text"), "_text", "left").drop("_text")
+        done = analyses(texts, name, **limits)
+    # sentences that aren't wanted have no part in the join: they would all meet under one key
+    joined = due.join(done.withColumnRenamed("text", "_text"), F.col(column) == F.col("_text"), "left").drop("_text")
+    rest = marked.filter(~F.col("_wanted")).drop("_wanted")
+    return joined.unionByName(rest, allowMissingColumns=True)
 
 
 def conll_rows(found: DataFrame, analysis: str = "analysis", *keep: str) -> DataFrame:
@@ -180,6 +220,30 @@ def drop_annotation(annotations: Column, scheme: str) -> Column:
     return F.filter(annotations, lambda a: a["scheme"] != scheme)
 
 
+def annotate_annotations(found: DataFrame, scheme: str, new_scheme: str, name: str, **limits) -> DataFrame:
+    """Sentence rows whose annotation of one scheme is analysed in turn; the result is added as an annotation of ``new_scheme``.
+
+    Each distinct annotation text is analysed once; rows without one stay as they are.
+    """
+    given = found.withColumn("_given", F.get(F.filter("annotations", lambda a: a["scheme"] == scheme), F.lit(0))["cdata"])
+    done = annotate(given, name, "_given", condition=F.col("_given").isNotNull(), **limits)
+    return done.withColumn("annotations", add_annotation(F.col("annotations"), new_scheme, name, F.col("analysis"))).select(*found.columns)
+
+
+def xml_chunks(xml: Column) -> Column:
+    """Chunks that an external analyser gives as XML: ``<Result><Chunk Id= Head= Type=><Token Id= Surf= Orig= Pos=/>…``; null for what is no XML."""
+    token = "STRUCT<_Id: STRING, _Surf: STRING, _Orig: STRING, _Pos: STRING>"
+    read = F.from_xml(xml, f"Chunk ARRAY<STRUCT<_Id: STRING, _Head: STRING, _Type: STRING, Token: ARRAY<{token}>>>", {"mode": "PERMISSIVE"})["Chunk"]
+    tokens = lambda c: F.transform(c["Token"], lambda t: F.struct(t["_Id"].alias("id"), t["_Surf"].alias("surf"), t["_Orig"].alias("orig"), t["_Pos"].alias("pos")))
+    return F.transform(read, lambda c: F.struct(c["_Id"].alias("id"), c["_Head"].alias("head"), c["_Type"].alias("type"), tokens(c).alias("tokens")))
+
+
+def annotation_dump(docs: DataFrame, scheme: str, id_col: str = "doc_id") -> DataFrame:
+    """``(doc_id, sent_no, raw_string, cdata)`` of all annotations of one scheme, in order within a document."""
+    rows = docs.select(id_col, F.explode("sentences").alias("s")).select(id_col, "s.sent_no", "s.raw_string", F.explode("s.annotations").alias("a"))
+    return rows.filter(F.col("a.scheme") == scheme).select(id_col, "sent_no", "raw_string", F.col("a.cdata").alias("cdata"))
+
+
 def cdata_lines(docs: DataFrame, scheme: str, id_col: str = "doc_id") -> DataFrame:
     """Annotation texts of one scheme with ids by role: ``-T`` title, ``-D`` description, ``-K`` keywords, ``-n`` sentences."""
     rows = docs.select(id_col, F.explode("sentences").alias("s")).select(id_col, "s.role", "s.sent_no", F.explode("s.annotations").alias("a")).filter(F.col("a.scheme") == scheme)

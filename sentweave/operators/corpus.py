@@ -4,6 +4,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LONGEST = 200
+#: Lengths whose first characters strings are looked up by in containment: each string by the longest that it has.
+LENGTH_CLASSES = (1, 2, 4, 8, 16, 32, 64)
 COUNT = "COUNT:([0-9]+)"
 
 
@@ -45,16 +47,23 @@ def reduce_contained(rows: DataFrame, group: list[str], column: str) -> DataFram
     """Distinct strings of a group that no other string of the group contains.
 
     Candidates are found by an equi-join, not by comparing a whole group: a string that contains another holds that one's
-    first characters somewhere, so the longer one is filed under each of its pieces of the shortest length in the group.
+    first characters somewhere. Each string is looked up by as many of its first characters as its length class has, and filed
+    under all its pieces of the lengths that its group's classes have; so one short string doesn't bring all others together.
     """
     one = rows.select(*group, column).distinct()
-    least = one.groupBy(*group).agg(F.min(F.length(column)).alias("_n"))
-    known = one.join(least, group)
-    starts = F.sequence(F.lit(1), F.greatest(F.length(column) - F.col("_n") + 1, F.lit(1)))
-    pieces = known.select(*group, F.col(column).alias("_whole"), F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(column), i, F.col("_n"))))).alias("_piece"))
-    heads = known.withColumn("_piece", F.substring(F.col(column), F.lit(1), F.col("_n")))
+    size = F.length(column)
+    class_ = F.lit(1).cast("int")
+    for n in LENGTH_CLASSES:
+        class_ = F.when(size >= n, n).otherwise(class_)
+    classes = one.select(*group, class_.alias("_n")).distinct()
+    longer = one.join(classes, group).filter(size >= F.col("_n"))
+    starts = F.sequence(F.lit(1), F.greatest(size - F.col("_n") + 1, F.lit(1)))
+    pieces = longer.select(*group, "_n", F.col(column).alias("_whole"), F.explode(F.array_distinct(F.transform(starts, lambda i: F.substring(F.col(column), i, F.col("_n"))))).alias("_piece"))
+    all_ = one.groupBy(*group).agg(F.max(column).alias("_whole"))  # whatever there is contains the empty string
+    pieces = pieces.unionByName(all_.select(*group, F.lit(1).alias("_n"), "_whole", F.lit("").alias("_piece")))
+    heads = one.withColumn("_n", class_).withColumn("_piece", F.substring(F.col(column), F.lit(1), F.col("_n")))
     within = (F.length("_whole") > F.length(column)) & F.contains(F.col("_whole"), F.col(column))
-    return heads.join(pieces, [*group, "_piece"], "left").groupBy(*group, column).agg(F.coalesce(F.bool_or(within), F.lit(False)).alias("_within")).filter(~F.col("_within")).drop("_within")
+    return heads.join(pieces, [*group, "_n", "_piece"], "left").groupBy(*group, column).agg(F.coalesce(F.bool_or(within), F.lit(False)).alias("_within")).filter(~F.col("_within")).drop("_within")
 
 
 def version_suffix(rows: DataFrame, key: str, order: str) -> DataFrame:

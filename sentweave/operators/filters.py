@@ -22,8 +22,8 @@ def has_particles(text: Column, threshold: float = PARTICLE_THRESHOLD) -> Column
 
 
 def is_text(raw: Column) -> Column:
-    """No NUL among the bytes, and at most a third of control bytes in the first 4096."""
-    head = F.decode(F.substring(raw, 1, 4096), "ISO-8859-1")
+    """No NUL among the bytes, and at most a third of control bytes."""
+    head = F.decode(raw, "ISO-8859-1")
     return ~head.contains("\x00") & (3 * F.regexp_count(head, F.lit("[\\x01-\\x08\\x0e-\\x1a\\x1c-\\x1f\\x7f]")) <= F.length(head))
 
 

@@ -2,13 +2,15 @@
 
 Tokens come from one regular expression whose matches, put together, are the page again, so a token's byte offset is the
 running sum of the sizes before it. Segments and mode flags follow from window functions over a page's tokens: one
-shuffle by page id, which the aggregation to segments reuses. A page is bounded by the size filter, so no task holds more
-than whole pages.
+shuffle by page id, which the aggregation to segments reuses. Pages beyond the size filter's bound are left out, so that a
+window never holds more than that.
 """
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentweave.operators.filters import within_bytes
+
 #: Tags that end a segment, in either form.
 DELIMITERS = "address blockquote br caption center dd dir div dl dt fieldset form h1 h2 h3 h4 h5 h6 hr isindex li listing menu multicol noframes noscript ol option p plaintext pre select table tbody td tfoot th thead tr ul xmp".split()
 LISTS = ["dir", "dl", "menu", "ol", "ul"]
@@ -26,7 +28,7 @@ def attribute(tag: Column, name: str) -> Column:
 
 def tokens(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """``(id, pos, kind, tag, token, byte_off, byte_len)``; kinds: S and E tags, T text, C comment, D declaration, X script or style."""
-    base = pages.select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
+    base = pages.filter(within_bytes(F.col(html))).select(id_col, F.posexplode(F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
     token = F.col("token")
     kind = F.when(token.startswith("<!--"), "C").when(token.rlike("^<[!?]"), "D").when(token.rlike("(?i)^<(script|style)\\b"), "X").when(token.startswith("</"), "E").when(token.rlike("^<[a-zA-Z]"), "S").otherwise("T")
     order = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -113,34 +115,41 @@ def flagged(toks: DataFrame, id_col: str = "page_id", ignore_br: bool = False, a
 
 
 def segments(pages: DataFrame, id_col: str = "page_id", html: str = "html", ignore_br: bool = False, always_countup: bool = False, uniq_br: bool = False, compound_nouns: DataFrame | None = None) -> DataFrame:
-    """Segments of the page bodies: text between delimiter tags, byte span, and the flags at their last text token."""
+    """Segments of the page bodies: text between delimiter tags, byte span, the flags at their last text token, and their text tokens (``pieces``)."""
     toks = tokens(pages, id_col, html)
     if compound_nouns is not None:
         toks = mark_link_breaks(toks, compound_nouns, id_col)
     marked = flagged(toks, id_col, ignore_br, always_countup, joined=compound_nouns is not None)
-    text = F.col("token")
+    text, cut = F.col("token"), F.lit(False)
     if uniq_br:
-        text = F.when((F.col("kind_before") == "S") & F.col("last_tag").isin("br", "p"), F.regexp_replace(text, "^\\n", "")).otherwise(text)
+        cut = F.coalesce((F.col("kind_before") == "S") & F.col("last_tag").isin("br", "p") & text.startswith("\n"), F.lit(False))
+        text = F.when(cut, F.substring(text, F.lit(2), F.length(text))).otherwise(text)
     shown = marked.filter((F.col("kind") == "T") & ~F.col("in_title"))
     if ignore_br:
         brs = marked.filter((F.col("kind") == "S") & (F.col("tag") == "br")).withColumn("token", F.lit("\n")).withColumn("byte_len", F.lit(0).cast("bigint"))
         shown = shown.unionByName(brs)
-    shown = shown.withColumn("token", text)
-    ordered = F.sort_array(F.collect_list(F.struct("pos", "token")))
+    off = F.col("byte_off") + cut.cast("int")
+    shown = shown.withColumns({"token": text, "byte_off": off, "byte_len": F.col("byte_len") - cut.cast("int")})
+    ordered = F.sort_array(F.collect_list(F.struct("pos", "byte_off", "token")))
     flags = ["heading", "center", "list", "table", "pre", "fontsize", "block_type"]
     return shown.groupBy(id_col, "seg_no").agg(
         F.array_join(F.transform(ordered, lambda x: x["token"]), "").alias("text"),
         F.min("byte_off").alias("offset"),
         (F.max(F.col("byte_off") + F.col("byte_len")) - F.min("byte_off")).alias("length"),
         *[F.max_by(c, "pos").alias(c) for c in flags],
+        F.transform(ordered, lambda x: F.struct(x["byte_off"].alias("byte_off"), x["token"].alias("token"))).alias("pieces"),
     )
 
 
 def header_segments(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
-    """Title, keywords and description as segments with a role; only those there are."""
-    parts = [("title", title_of(F.col(html))), ("keywords", meta_of(F.col(html), "keyword")), ("description", meta_of(F.col(html), "description"))]
-    rows = F.array(*[F.struct(F.lit(i).alias("slot"), F.lit(role).alias("role"), c.alias("text")) for i, (role, c) in enumerate(parts)])
-    return pages.select(id_col, F.explode(F.filter(rows, lambda r: r["text"].isNotNull())).alias("r")).select(id_col, "r.*")
+    """Title, keywords and description as segments with a role; only those there are. The title has its place in the page (``pieces``)."""
+    h = F.col(html)
+    at = F.octet_length(F.regexp_extract(h, "(?is)^(.*?<title\\b[^>]*>)[^<]+", 1)).cast("bigint")
+    placed = F.array(F.struct(at.alias("byte_off"), title_of(h).alias("token")))
+    nowhere = F.lit(None).cast("array<struct<byte_off:bigint,token:string>>")
+    parts = [("title", title_of(h), placed), ("keywords", meta_of(h, "keyword"), nowhere), ("description", meta_of(h, "description"), nowhere)]
+    rows = F.array(*[F.struct(F.lit(i).alias("slot"), F.lit(role).alias("role"), c.alias("text"), where.alias("pieces")) for i, (role, c, where) in enumerate(parts)])
+    return pages.filter(within_bytes(h)).select(id_col, F.explode(F.filter(rows, lambda r: r["text"].isNotNull())).alias("r")).select(id_col, "r.*")
 
 
 def mark_link_breaks(toks: DataFrame, compound_nouns: DataFrame, id_col: str = "page_id", least: int = 1000) -> DataFrame:

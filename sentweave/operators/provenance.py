@@ -20,18 +20,23 @@ def span(html: Column, offset: Column, length: Column) -> Column:
     return F.decode(F.substring(F.encode(html, "UTF-8"), offset.cast("int") + 1, length.cast("int")), "UTF-8")
 
 
-def verify(found: DataFrame, pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
-    """Sentences beside the page bytes they name: ``source`` (cleaned) and whether it holds the sentence."""
+def verify(found: DataFrame, pages: DataFrame, id_col: str = "page_id", html: str = "html", language: str = "english") -> DataFrame:
+    """Sentences beside the page bytes they name: ``source``, cleaned as the sentence was, and whether both are equal (``matches``).
+
+    Blanks don't count: tags between two words may have stood where the sentence has a blank, or the other way round.
+    """
     joined = found.filter(F.col("offset").isNotNull()).join(pages.select(id_col, html), id_col)
-    source = F.regexp_replace(clean_segment(strip_tags(span(F.col(html), F.col("offset"), F.col("length")))), "\\s+", " ")
-    return joined.withColumn("source", source).withColumn("matches", F.contains(F.col("source"), F.regexp_replace("raw_string", "\\s+", " "))).drop(html)
+    source = clean_segment(strip_tags(span(F.col(html), F.col("offset"), F.col("length"))))
+    source = F.regexp_replace(source, "\\s+", " ") if language == "english" else text.normalise_japanese(source)
+    bare = lambda c: F.regexp_replace(c, "[\\s\\u3000]+", "")
+    return joined.withColumn("source", source).withColumn("matches", bare(F.col("source")) == bare(F.col("raw_string"))).drop(html)
 
 
 def padded_entities(c: Column) -> Column:
     """Entities decoded with blanks after them, so that the text keeps its length in bytes."""
-    pieces = F.regexp_extract_all(c, F.lit("&#?[0-9A-Za-z]{1,8};|[^&]+|&"), F.lit(0))
-    pad = lambda p: F.rpad(text.decode_entities(p), F.length(text.decode_entities(p)) + F.octet_length(p) - F.octet_length(text.decode_entities(p)), " ")
-    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^&.+;$") & (F.octet_length(text.decode_entities(p)) <= F.octet_length(p)), pad(p)).otherwise(p)), "")
+    pieces = F.regexp_extract_all(c, F.lit(f"{text.REFERENCE}|[^&]+|&"), F.lit(0))
+    pad = lambda p: text.bind(text.decode_entities(p), lambda d: F.when(F.octet_length(d) <= F.octet_length(p), F.concat(d, F.repeat(F.lit(" "), F.octet_length(p) - F.octet_length(d)))).otherwise(p))
+    return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^&."), pad(p)).otherwise(p)), "")
 
 
 def _same(raw: str, page: str) -> bool:

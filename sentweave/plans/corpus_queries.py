@@ -56,12 +56,15 @@ def containment_reduce(spark, sf_dir):
     return corpus.reduce_contained(table(spark, sf_dir, "part"), ["p_brand"], "p_type")
 
 
-CONTAINED = [(1, "ab"), (1, "abc"), (1, "abc"), (1, "d"), (2, "ab"), (2, "b"), (2, "xaby"), (3, "q")]
+_PARTS = "SELECT DISTINCT p_size AS g, unnest([p_name, split_part(p_name, ' ', 1), split_part(p_name, ' ', 2), p_type, split_part(p_type, ' ', 3), left(p_type, 1)]) AS s FROM part"
 
 
-@query(f"WITH d AS (SELECT DISTINCT g, s FROM {sql.values(CONTAINED, 'g, s')}) SELECT a.g, a.s FROM d a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE a.g = b.g AND a.s <> b.s AND contains(b.s, a.s))")
+@query(f"WITH d AS ({_PARTS}) SELECT a.g, a.s FROM d a WHERE NOT EXISTS (SELECT 1 FROM d b WHERE a.g = b.g AND a.s <> b.s AND contains(b.s, a.s))")
 def contained_tags(spark, sf_dir):
-    return corpus.reduce_contained(spark.createDataFrame(CONTAINED, "g int, s string"), ["g"], "s")
+    """Names, types and their words, one letter long and longer, by size: those that no other of a size contains."""
+    word = lambda c, i: F.split_part(c, F.lit(" "), F.lit(i))
+    tags = F.array("p_name", word("p_name", 1), word("p_name", 2), "p_type", word("p_type", 3), F.left("p_type", F.lit(1)))
+    return corpus.reduce_contained(table(spark, sf_dir, "part").select(F.col("p_size").alias("g"), F.explode(tags).alias("s")), ["g"], "s")
 
 
 @query("SELECT conv_id, turn, CASE WHEN n = 0 THEN CAST(conv_id AS VARCHAR) ELSE conv_id || '-' || n END AS version FROM (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS n FROM conversations)")
@@ -94,12 +97,11 @@ def metadata_lookup(spark, sf_dir):
     return papers.with_metadata(documents, meta, aliases)
 
 
-@query(f"WITH {_LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, length(line) AS n FROM lines")
+@query(f"WITH {_LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, CASE WHEN length(line) BETWEEN 1 AND 130 AND NOT regexp_matches(line, '[０-９0-9　 ]{{10,}}') THEN len(string_split(line, ' ')) - len(list_filter(string_split(line, ' '), lambda w: w = '')) END AS n FROM lines")
 def distinct_annotate_join(spark, sf_dir):
-    """Each distinct line worked on once, then joined back."""
-    found = lines(spark, sf_dir)
-    done = found.select("line").distinct().withColumn("n", F.length("line").cast("bigint"))
-    return found.join(done, "line").select("doc_id", "line_no", "n")
+    """Each distinct wanted line analysed once, then joined back: how many tokens the analysis has."""
+    done = annotate.annotate(lines(spark, sf_dir), column="line")
+    return done.select("doc_id", "line_no", F.when(F.col("analysis").isNotNull(), F.when(F.col("analysis") == "", 0).otherwise(F.size(F.split("analysis", "\n")))).cast("bigint").alias("n"))
 
 
 @query(f"WITH {_LINES} SELECT doc_id, CAST(line_no AS INT) AS line_no, length(line) <= 130 AND length(line) > 0 AND NOT regexp_matches(line, '[０-９0-9　 ]{{10,}}') AS wanted FROM lines")
@@ -120,7 +122,14 @@ def vocabulary(spark, sf_dir):
     return corpus.dedup_count(words, "word")
 
 
-@query()
+_ALL = "regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')"
+
+
+@query(f"""WITH {_LINES}, w AS (SELECT doc_id, line_no, {_ALL} AS w, {_ALL}[3] || {_ALL}[4] AS tag FROM lines WHERE len({_ALL}) >= 4),
+p AS (SELECT doc_id, line_no, tag, array_to_string(w, '') AS whole, unnest(w) AS t, unnest(range(len(w))) AS i FROM w),
+o AS (SELECT *, CAST(sum(length(t)) OVER (PARTITION BY doc_id, line_no ORDER BY i) AS BIGINT) AS ends FROM p),
+s AS (SELECT a.doc_id, a.line_no, a.i, b.i AS j FROM o a JOIN o b ON a.doc_id = b.doc_id AND a.line_no = b.line_no AND b.ends = a.ends - length(a.t) + length(a.tag) AND b.i >= a.i WHERE substr(a.whole, a.ends - length(a.t) + 1, length(a.tag)) = a.tag)
+SELECT w.doc_id, CAST(w.line_no AS INT) AS line_no, string_agg('B:' || i || ',E:' || j, '/' ORDER BY i) AS spans FROM w JOIN s USING (doc_id, line_no) GROUP BY 1, 2""")
 def tag_positions(spark, sf_dir):
     """Where a line's third and fourth words stand as a run of its tokens, for every line that has them."""
     found = lines(spark, sf_dir).select("doc_id", "line_no", english.words_of(F.col("line")).alias("w")).filter("size(w) >= 4")

@@ -1,5 +1,6 @@
 """Queries over the link graph of the pages."""
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sentweave.functions import urls
@@ -55,13 +56,19 @@ def url_canonical(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", urls.canonical(F.col("url")).alias("canonical"))
 
 
-HREFS = [("http://h/a/b.html", "/x.html", "http://h/x.html"), ("http://h/a/b/c.html", "../x.html", "http://h/a/x.html"), ("http://h/a/b.html", "./x.html", "http://h/a/x.html"), ("http://h/a/b.html", "x", "http://h/a/x"), ("https://h", "//k/z", "https://k/z"), ("http://h/p?q=1", "?r=2", "http://h/p?r=2"), ("http://h/", "http://h/a/./b//../c/?q=1#f", "http://h/a/c/?q=1"), ("http://h/a/", "mailto:x@y", None), ("http://h/a/b/", "../../../x", "http://h/x")]
+#: Links of every shape, made from each page's number.
+HREFS = ["/x{}.html", "../x{}", "./y/../x{}", "x{}?q=1#f", "//K.example/z{}", "?r={}", "HTTP://h{}/a/./b//../c/", "mailto:x{}@y", "../../../../x{}/", "ftp://h/{}"]
+_DIR = "regexp_replace(base || CASE WHEN regexp_matches(base, '^https?://[^/]*$') THEN '/' ELSE '' END, '[^/]*$', '')"
 
 
-@query(f"SELECT base, href, expected AS target FROM {sql.values(HREFS, 'base, href, expected')}")
+@query(f"""WITH h AS (SELECT page_id, url, regexp_extract(url, '^(https?://[^?#]*)', 1) AS base, unnest({[*range(len(HREFS))]}) AS shape, unnest([{', '.join(sql.q(h) for h in HREFS)}]) AS t FROM pages),
+f AS (SELECT *, replace(t, '{{}}', CAST(page_id AS VARCHAR)) AS href FROM h),
+g AS (SELECT *, CASE WHEN regexp_matches(href, '^(?i)https?://') THEN href WHEN starts_with(href, '//') THEN regexp_extract(url, '^(https?:)', 1) || href WHEN starts_with(href, '/') THEN regexp_extract(url, '^(https?://[^/?#]*)', 1) || href
+ WHEN starts_with(href, '?') THEN base || href WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN NULL ELSE {_DIR} || href END AS u FROM f)
+SELECT page_id, href, {sql.canonical('u')} AS target FROM g""")
 def url_absolute(spark, sf_dir):
-    rows = spark.createDataFrame([h[:2] for h in HREFS], "base string, href string")
-    return rows.select("base", "href", urls.absolute(F.col("base"), F.col("href")).alias("target"))
+    made = F.explode(F.array(*[F.replace(F.lit(h), F.lit("{}"), F.col("page_id").cast("string")) for h in HREFS])).alias("href")
+    return pages(spark, sf_dir).select("page_id", "url", made).select("page_id", "href", urls.absolute(F.col("url"), F.col("href")).alias("target"))
 
 
 @query(f"{_LINKED} SELECT from_id, pos, to_url, to_id, anchor FROM named")
@@ -122,14 +129,25 @@ def pages_with_urls(spark, sf_dir):
     return links.with_page_urls(p.select("page_id", "html"), p.select(F.col("page_id").alias("doc_id"), "url"))
 
 
-@query()
+_ESCAPED = "replace(replace(replace(replace({}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;')"
+
+
+@query(f"""{_LINKED}, g AS (SELECT from_id, anchor, string_agg('<DocID Url="' || {_ESCAPED.format('to_url')} || '">' || to_id || '</DocID>', '' ORDER BY pos) AS ids FROM named GROUP BY 1, 2)
+SELECT from_id AS doc_id, md5('<OutLinks>' || string_agg('<OutLink><RawString>' || {_ESCAPED.format('anchor')} || '</RawString><DocIDs>' || ids || '</DocIDs></OutLink>', '' ORDER BY encode(anchor)) || '</OutLinks>') AS digest FROM g GROUP BY 1""")
 def links_xml(spark, sf_dir):
     found = links.out_links(linked(spark, sf_dir)).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "targets"))).alias("g"))
     return found.select("doc_id", F.md5(standard_format.links_xml(F.col("g"))).alias("digest"))
 
 
-@query()
+@query(f"""WITH {sql.TOKENS}, l AS (SELECT *, coalesce(last_value(CASE WHEN tag = 'a' AND kind = 'S' THEN true WHEN tag = 'a' AND kind = 'E' THEN false END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos), false) AND kind = 'T' AS linked FROM tokens),
+p AS (SELECT page_id, pos, lag(token) OVER (PARTITION BY page_id ORDER BY pos) AS prev, token FROM l WHERE linked)
+SELECT page_id, count(*) AS n, count(*) FILTER (WHERE prev IS NOT NULL AND hash_ % 2 = 1) AS breaks FROM (SELECT *, length(prev || token) AS hash_ FROM p) GROUP BY page_id""")
 def joined_link_texts(spark, sf_dir):
-    """Segments where adjacent link texts join if they make a frequent compound noun (from an inline dictionary)."""
-    nouns = spark.createDataFrame([("Theand", 1500), ("attionto", 10)], "noun string, df bigint")
-    return html.segments(pages(spark, sf_dir), compound_nouns=nouns).select("page_id", "seg_no", "text")
+    """Where a link's text breaks from the one before: unless both together are a frequent compound noun; here those of even length are."""
+    toks = html.tokens(pages(spark, sf_dir))
+    linked_ = toks.withColumn("link", F.last(F.when(F.col("tag") == "a", F.col("kind") == "S"), ignorenulls=True).over(Window.partitionBy("page_id").orderBy("pos"))).filter("link AND kind = 'T'")
+    pairs = linked_.select(F.concat(F.lag("token").over(Window.partitionBy("page_id").orderBy("pos")), "token").alias("noun")).filter("noun IS NOT NULL").distinct()
+    nouns = pairs.select("noun", F.when(F.length("noun") % 2 == 0, 1500).otherwise(10).cast("bigint").alias("df"))
+    marked = html.mark_link_breaks(toks, nouns)
+    texts = marked.join(linked_.select("page_id", "pos"), ["page_id", "pos"], "left_semi")
+    return texts.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("break").alias("breaks"))

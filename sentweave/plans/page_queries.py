@@ -39,9 +39,16 @@ def page_status(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", filters.page_status(F.col("html"), max_bytes=8192).alias("status"))
 
 
-@query("SELECT page_id, regexp_extract(lower(html), 'charset\\s*=\\s*[\"'']?\\s*([a-z0-9_-]+)', 1) AS charset, 'utf8' AS encoding FROM pages")
+#: Charsets that pages are made to declare, by their ids, with the encodings that they are read as in Japanese.
+_CHARSETS = [("utf-8", "utf8"), ("EUC-JP", "euc-jp"), ("Shift_JIS", "shiftjis"), ("iso-8859-1", None), ("x-sjis", "shiftjis"), ("koi8-r", "utf8")]
+
+
+@query(f"SELECT page_id, ['{"', '".join(c.lower() for c, _ in _CHARSETS)}'][page_id % {len(_CHARSETS)} + 1] AS charset, [{', '.join('NULL' if e is None else sql.q(e) for _, e in _CHARSETS)}][page_id % {len(_CHARSETS)} + 1] AS encoding FROM pages")
 def page_encoding(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", encoding.declared_charset(F.col("html")).alias("charset"), encoding.charset_info(encoding.declared_charset(F.col("html")))["encoding"].alias("encoding"))
+    """Pages that declare several charsets; one that isn't known is guessed from the bytes, one of another language refused."""
+    named = F.get(F.array(*[F.lit(c) for c, _ in _CHARSETS]), (F.col("page_id") % len(_CHARSETS)).cast("int"))
+    told = pages(spark, sf_dir).select("page_id", F.concat(F.lit("<meta http-equiv=Content-Type content='text/html; charset="), named, F.lit("'>"), F.regexp_replace("html", "(?i)charset", "set"), F.lit("Á")).alias("html"))
+    return told.select("page_id", encoding.declared_charset(F.col("html")).alias("charset"), encoding.resolve_encoding(F.encode("html", "UTF-8"), language="japanese").alias("encoding"))
 
 
 @query(f"WITH {sql.TOKENS} SELECT page_id, pos, kind, tag, token, byte_off, byte_len FROM tokens")
@@ -69,9 +76,13 @@ def page_title(spark, sf_dir):
     return pages(spark, sf_dir).select("page_id", html.title_of(F.col("html")).alias("title"))
 
 
-@query("SELECT page_id, CAST(NULL AS VARCHAR) AS keywords, CAST(NULL AS VARCHAR) AS description FROM pages WHERE NOT regexp_matches(html, '(?is)<meta[^>]*name=')")
+@query("SELECT page_id, 'words ' || page_id AS keywords, CASE WHEN page_id % 2 = 0 THEN 'about ' || page_id ELSE 'older' END AS description FROM pages")
 def page_meta(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", html.meta_of(F.col("html"), "keyword").alias("keywords"), html.meta_of(F.col("html"), "description").alias("description"))
+    """Keywords and descriptions put into the pages; of two of a kind the last one counts."""
+    number = F.col("page_id").cast("string")
+    metas = F.concat(F.lit("<META content='older' name=description><meta name=\"Keywords\" content=\"words "), number, F.lit("\">"), F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("<meta name=description content='about "), number, F.lit("'/>"))).otherwise(""))
+    told = pages(spark, sf_dir).select("page_id", F.concat(metas, "html").alias("html"))
+    return told.select("page_id", html.meta_of(F.col("html"), "keyword").alias("keywords"), html.meta_of(F.col("html"), "description").alias("description"))
 
 
 _STRIP = "(?is)<!--.*?-->|<script\\b[^>]*>.*?</script\\s*>|<style\\b[^>]*>.*?</style\\s*>|<[!?][^>]*>|</?[a-z][^>]*>"
@@ -94,7 +105,10 @@ def strip_outside(spark, sf_dir):
 
 @query("SELECT page_id, regexp_replace(html, '(?is)<head\\b.*?</head>', '', 'g') AS html FROM pages")
 def drop_blog_template(spark, sf_dir):
-    return pages(spark, sf_dir).select("page_id", html.drop_blog_template(F.col("html")).alias("html"))
+    """Pages within a blog's template: of it nothing stays."""
+    before = '<div id="banner">a blog</div><p class="content-nav">back | on</p>'
+    after = '<p class="entry-footer">posted</p><DIV class="trackbacks">x<div>y<div>z</div></div></DIV><div id="comments"><div>one</div><div>two</div></div><div class="beta-inner">side</div>'
+    return pages(spark, sf_dir).select("page_id", html.drop_blog_template(F.concat(F.lit(before), "html", F.lit(after))).alias("html"))
 
 
 @query(f"WITH {sql.SEGMENTS} SELECT page_id, seg_no, {sql.clean_segment('text')} AS clean FROM segments WHERE NOT regexp_matches(text, '^[\\x{{3000}}\\s]*$')")
@@ -103,13 +117,19 @@ def text_clean(spark, sf_dir):
     return found.select("page_id", "seg_no", sentences.clean_segment(F.col("text")).alias("clean"))
 
 
+_TITLE = "(?is)<title\\b[^>]*>([^<]+)"
 _SENTENCES = f"""{sql.SEGMENTS},
-body AS (SELECT page_id, seg_no, {sql.clean_segment('text')} AS c, "offset", length, block_type, heading FROM segments WHERE NOT regexp_matches(text, '^[\\x{{3000}}\\s]*$')),
+{sql.WORDS},
+body AS (SELECT page_id, seg_no, {sql.clean_segment('text')} AS c, block_type, heading FROM segments WHERE NOT regexp_matches(text, '^[\\x{{3000}}\\s]*$')),
 paras AS (SELECT *, unnest(regexp_split_to_array(regexp_replace(regexp_replace(c, '^\\n+', ''), '\\n+$', ''), '\\n{{2,}}')) AS para, unnest(range(len(regexp_split_to_array(regexp_replace(regexp_replace(c, '^\\n+', ''), '\\n+$', ''), '\\n{{2,}}')))) AS para_no FROM body),
 keyed AS (SELECT page_id || '-' || seg_no || '-' || para_no AS pk, * FROM paras),
 {sql.split_english('keyed', 'pk', 'para')},
-parts AS (SELECT k.page_id, k.seg_no, k.para_no, c.k, 'body' AS role, c.sentence AS raw_string, k."offset", k.length, k.block_type, k.heading FROM cut c JOIN keyed k USING (pk)
- UNION ALL SELECT page_id, -3, 0, 0, 'title', regexp_replace({sql.clean_segment("regexp_extract(html, '(?is)<title\\b[^>]*>([^<]+)', 1)")}, '\\s+', ' ', 'g'), NULL, NULL, NULL, 0 FROM pages WHERE regexp_extract(html, '(?is)<title\\b[^>]*>([^<]+)', 1) <> ''),
+sized AS (SELECT k.*, c.k, c.sentence, len(regexp_extract_all(c.sentence, '[^\\x20\\x09-\\x0D]+')) AS n FROM cut c JOIN keyed k USING (pk)),
+numbered AS (SELECT *, sum(n) OVER (PARTITION BY page_id, seg_no ORDER BY para_no, k) AS upto FROM sized),
+titles AS (SELECT page_id, regexp_extract(html, {sql.q(_TITLE)}, 1) AS t, strlen(regexp_extract(html, {sql.q('(?is)^(.*?<title' + chr(92) + 'b[^>]*>)[^<]+')}, 1)) AS title_off FROM pages WHERE strlen(html) <= 5242880),
+parts AS (SELECT s.page_id, s.seg_no, s.para_no, s.k, 'body' AS role, s.sentence AS raw_string, CAST(f.a AS BIGINT) AS "offset", CAST(l.b - f.a AS BIGINT) AS length, s.block_type, s.heading
+ FROM numbered s JOIN word_spans f ON f.page_id = s.page_id AND f.seg_no = s.seg_no AND f.wn = s.upto - s.n JOIN word_spans l ON l.page_id = s.page_id AND l.seg_no = s.seg_no AND l.wn = s.upto - 1
+ UNION ALL SELECT page_id, -3, 0, 0, 'title', regexp_replace({sql.clean_segment("t")}, '\\s+', ' ', 'g'), CAST(title_off + strlen(regexp_extract(t, '^\\s*', 0)) AS BIGINT), CAST(strlen(regexp_replace(regexp_replace(t, '^\\s+', ''), '\\s+$', '')) AS BIGINT), NULL, 0 FROM titles WHERE t <> ''),
 sentences AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY seg_no, para_no, k) AS INT) AS sent_no, CAST(dense_rank() OVER (PARTITION BY page_id ORDER BY seg_no, para_no) AS INT) AS paragraph,
  role, raw_string, "offset", length, block_type, heading, {sql.japanese_score('raw_string')} AS japanese_score FROM parts WHERE raw_string <> '' AND length(raw_string) <= 200)"""
 
@@ -137,11 +157,14 @@ def provenance_span(spark, sf_dir):
     return found.select("page_id", "sent_no", provenance.span(F.col("html"), F.col("offset"), F.col("length")).alias("source"))
 
 
-@query(f"WITH {_SENTENCES} SELECT page_id, count(*) AS n, count(*) AS matching FROM sentences WHERE \"offset\" IS NOT NULL GROUP BY page_id")
+_SOURCE = sql.clean_segment("regexp_replace(decode(CAST(encode(p.html) AS BLOB)[CAST(s.\"offset\" AS INT) + 1:CAST(s.\"offset\" + s.length AS INT)]), " + sql.q(_STRIP) + ", '', 'g')")
+
+
+@query(f"WITH {_SENTENCES} SELECT s.page_id, count(*) AS n, count(*) FILTER (WHERE regexp_replace({_SOURCE}, '\\s+', '', 'g') = regexp_replace(s.raw_string, '\\s+', '', 'g')) AS matching, CAST(sum(s.length) AS BIGINT) AS bytes FROM sentences s JOIN pages p USING (page_id) WHERE s.\"offset\" IS NOT NULL GROUP BY s.page_id")
 def provenance_roundtrip(spark, sf_dir):
-    """Every sentence is found in the bytes that it names, so both counts agree."""
+    """Sentences that are equal to the bytes that they name, cleaned, and how many bytes these are."""
     p = pages(spark, sf_dir)
-    return provenance.verify(sentences.sentences(p), p).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("matches").alias("matching"))
+    return provenance.verify(sentences.sentences(p), p).groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.count_if("matches").alias("matching"), F.sum("length").alias("bytes"))
 
 
 @query(f"WITH {_SENTENCES} SELECT page_id, array_to_string(list(raw_string ORDER BY CASE role WHEN 'title' THEN 1 WHEN 'keywords' THEN 2 WHEN 'description' THEN 3 ELSE 4 END, sent_no), chr(10)) AS nodes FROM sentences GROUP BY page_id")
@@ -155,13 +178,18 @@ def plain_documents(spark, sf_dir):
     return standard_format.plain_text(standard_format.assemble(sentences.sentence_ids(sentences.sentences(p)), p))
 
 
-@query()
+@query(f"""WITH {_SENTENCES}, ids AS (SELECT *, page_id || '-' || row_number() OVER (PARTITION BY page_id, role = 'body' ORDER BY sent_no) AS sid FROM sentences)
+SELECT i.page_id AS doc_id, any_value(p.url) AS url, coalesce(max(raw_string) FILTER (WHERE role = 'title'), '') AS title, coalesce(string_agg(sid, ',' ORDER BY sent_no) FILTER (WHERE role = 'body'), '') AS ids,
+ coalesce(string_agg(raw_string, chr(10) ORDER BY sent_no) FILTER (WHERE role = 'body'), '') AS raw_strings, coalesce(string_agg("offset" || '+' || length, ',' ORDER BY sent_no) FILTER (WHERE role = 'body'), '') AS spans FROM ids i JOIN pages p USING (page_id) GROUP BY i.page_id""")
 def xml_documents(spark, sf_dir):
     """StandardFormat XML of every page, parsed again: the ids and raw strings that went in."""
     p = pages(spark, sf_dir)
     xml = standard_format.to_xml(standard_format.assemble(sentences.sentence_ids(sentences.sentences(p)), p))
     parsed = standard_format.parse_xml(xml)
-    return parsed.select("doc_id", "url", "title", F.array_join("ids", ",").alias("ids"), F.array_join("raw_strings", "\n").alias("raw_strings"))
+    body = lambda f, by: F.array_join(F.transform(F.filter("sentences", lambda s: s["role"] == "body"), f), by)
+    title = F.coalesce(F.get(F.filter("sentences", lambda s: s["role"] == "title"), F.lit(0))["raw_string"], F.lit(""))
+    spans = body(lambda s: F.concat_ws("+", s["offset"].cast("string"), s["length"].cast("string")), ",")
+    return parsed.select("doc_id", "url", title.alias("title"), body(lambda s: s["sid"], ",").alias("ids"), body(lambda s: s["raw_string"], "\n").alias("raw_strings"), spans.alias("spans"))
 
 
 @query(f"WITH {_SENTENCES}, ids AS (SELECT *, page_id || '-' || row_number() OVER (PARTITION BY page_id, role = 'body' ORDER BY sent_no) AS sid FROM sentences) SELECT sid, raw_string FROM ids WHERE role = 'body' AND sid IN ('1-1', '1-2', '7-3', 'none')")
@@ -170,7 +198,9 @@ def sid_allow_list(spark, sf_dir):
     return standard_format.raw_strings(found, "all", sids=["1-1", "1-2", "7-3", "none"])
 
 
-@query()
+@query(f"""WITH {_SENTENCES}, {sql.ANCHORS}, {sql.KNOWN}, o AS (SELECT from_id AS id, count(DISTINCT anchor) AS n FROM named GROUP BY 1), i AS (SELECT to_id AS id, count(DISTINCT anchor) AS n FROM named GROUP BY 1)
+SELECT s.page_id AS doc_id, any_value(p.url) AS url, CAST(count(*) AS INT) AS n_sentences, CAST(coalesce(any_value(o.n), 0) AS INT) AS n_out, CAST(coalesce(any_value(i.n), 0) AS INT) AS n_in
+FROM sentences s JOIN pages p USING (page_id) LEFT JOIN o ON o.id = s.page_id LEFT JOIN i ON i.id = CAST(s.page_id AS VARCHAR) WHERE strlen(p.html) <= 5242880 AND len(regexp_extract_all(p.html, '\\r\\n|\\r|\\n')) <= 5000 GROUP BY s.page_id""")
 def document_pipeline(spark, sf_dir):
     """Nested documents of all pages with both link indexes; one line of figures for each."""
     docs = pipeline.documents(pages(spark, sf_dir))

@@ -20,7 +20,7 @@ def attribute(tag: str, name: str) -> str:
     return f"CASE WHEN {found} <> '' THEN regexp_replace(regexp_replace({found}, {q('^[\"' + chr(39) + ']')}, ''), {q('[\"' + chr(39) + ']$')}, '') END"
 
 
-TOKENS = f"""t0 AS (SELECT page_id, unnest(regexp_extract_all(html, {q(html.TOKEN)})) AS token, unnest(range(len(regexp_extract_all(html, {q(html.TOKEN)})))) AS pos FROM pages),
+TOKENS = f"""t0 AS (SELECT page_id, unnest(regexp_extract_all(html, {q(html.TOKEN)})) AS token, unnest(range(len(regexp_extract_all(html, {q(html.TOKEN)})))) AS pos FROM pages WHERE strlen(html) <= 5242880),
 t1 AS (SELECT page_id, CAST(pos AS INT) AS pos, token, CASE WHEN starts_with(token, '<!--') THEN 'C' WHEN regexp_matches(token, '^<[!?]') THEN 'D' WHEN regexp_matches(token, '(?i)^<(script|style)\\b') THEN 'X' WHEN starts_with(token, '</') THEN 'E' WHEN regexp_matches(token, '^<[a-zA-Z]') THEN 'S' ELSE 'T' END AS kind FROM t0),
 tokens AS (SELECT page_id, pos, kind, CASE WHEN kind IN ('S', 'E', 'X') THEN lower(regexp_extract(token, '^</?([a-zA-Z][a-zA-Z0-9]*)', 1)) END AS tag, token,
  CAST(coalesce(sum(strlen(token)) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS byte_off, CAST(strlen(token) AS BIGINT) AS byte_len FROM t1)"""
@@ -67,21 +67,17 @@ def clean_segment(c: str) -> str:
 
 
 def ends_sentence(w: str, n: str, a: str) -> str:
-    """The same decision as ``english.ends_sentence``, as CASE rules over SQL strings."""
-    mark = f"regexp_extract({w}, '(?s)([.?!])[^.?!]*$', 1)"
-    before, behind = f"regexp_extract({w}, '(?s)^(.*)[.?!][^.?!]*$', 1)", f"regexp_extract({w}, '(?s)[.?!]([^.?!]*)$', 1)"
-    cap = lambda x: f"regexp_matches({x}, '^[A-Z]')"
+    """Whether a sentence ends after word ``w``: its code of six letters, worked out here, is one that ends a sentence."""
+    before, mark, behind = (f"regexp_extract({w}, {q(english.MARKED)}, {i})" for i in (1, 2, 3))
     one = lambda x, words: f"{x} IN ({', '.join(map(q, words))})"
-    quote = lambda x: f"regexp_matches({x}, {q('^[' + chr(39) + '\"`]')})"
-    paren = lambda x: f"regexp_matches({x}, '^([{{(]|-LBR-)')"
-    bare, last = f"{behind} = ''", f"({n} = '' AND {a} = '')"
-    closes = f"(({one(behind, english.RIGHT_PARENS)} OR {one(behind, english.RIGHT_QUOTES)}) AND (regexp_matches({n}, '^[`\"]') OR {paren(n)} OR {cap(n)}))"
-    name = f"(({before} IN ('p.m', 'a.m') AND substr({n}, 1, 3) IN ('EDT', 'CST', 'EST')) OR {one(before + ' || ' + q('.'), english.HONORIFICS)} OR {quote(before)})"
-    loud = f"({last} OR ({bare} AND ({cap(n)} OR {quote(n)} OR ({n} IN ('--', '-RBR-') AND {cap(a)}) OR {n} = '.')) OR {closes})"
-    period = f"""CASE WHEN {last} THEN true WHEN {bare} AND ({quote(n)} OR {paren(n)}) THEN true WHEN {bare} AND {n} = '-RBR-' AND {a} = '--' THEN false WHEN {bare} AND {one(n, english.RIGHT_PARENS)} THEN true
- WHEN {bare} AND {n} = '.' THEN {before} <> '' WHEN {bare} AND {n} = '--' AND {cap(a)} AND regexp_matches({before}, {q('[' + chr(39) + '\"]$')}) THEN false WHEN {bare} AND {n} = '--' AND ({cap(a)} OR {quote(a)}) THEN true
- WHEN {bare} AND {cap(n)} AND {name} THEN false WHEN {bare} AND {cap(n)} AND {one(before, english.TERMINALS)} THEN true WHEN {bare} AND {cap(n)} AND regexp_matches({before}, '^([A-Z]\\.)*[A-Z]$') THEN false WHEN {bare} AND {cap(n)} THEN true ELSE {closes} END"""
-    return f"CASE WHEN {mark} = '' THEN false WHEN {mark} IN ('?', '!') THEN {loud} ELSE {period} END"
+    last = f"({n} = '' AND {a} = '')"
+    follower = lambda x: f"CASE WHEN {last} THEN 'N' " + " ".join(f"WHEN regexp_matches({x}, {q(p)}) THEN '{k}'" for k, p in english.FOLLOWERS.items()) + " ELSE 'o' END"
+    kind = f"CASE WHEN {behind} <> '' AND {one(behind, english.RIGHT_PARENS + english.RIGHT_QUOTES)} THEN 'c' WHEN {behind} <> '' THEN 'x' WHEN {mark} = '.' THEN 'p' ELSE 'l' END"
+    titled = f"({one(before + ' || ' + q('.'), english.HONORIFICS)} OR ({before} IN ('p.m', 'a.m') AND {one(f'left({n}, 3)', english.TIME_ZONES)}) OR regexp_matches({before}, {q('^[' + chr(39) + '"`]')}))"
+    left = f"CASE WHEN {titled} THEN 'n' WHEN {one(before, english.TERMINALS)} THEN 't' WHEN regexp_matches({before}, '^([A-Z]\\.)*[A-Z]$') THEN 'i' ELSE 'o' END"
+    quoted = f"CASE WHEN regexp_matches({before}, {q('[' + chr(39) + '"]$')}) THEN 'q' ELSE '-' END"
+    code = f"({kind}) || ({follower(n)}) || ({follower(a)}) || ({left}) || ({quoted}) || CASE WHEN {before} = '' THEN 'e' ELSE '-' END"
+    return f"CASE WHEN regexp_matches({w}, '[.?!]') THEN regexp_matches({code}, {q(english.END)}) ELSE false END"
 
 
 def split_english(source: str, key: str, column: str) -> str:
@@ -93,6 +89,17 @@ w3 AS (SELECT *, coalesce(sum(CASE WHEN e THEN 1 ELSE 0 END) OVER (PARTITION BY
 cut AS (SELECT {key}, CAST(k AS INT) AS k, string_agg(w, ' ' ORDER BY i) AS sentence FROM w3 GROUP BY {key}, k)"""
 
 
+_PIECE = text.REFERENCE + "|[ \\n]+|[\\x00-\\x09\\x0b-\\x1f\\x7f-\\x{9f}]+|[^& \\n\\x00-\\x1f\\x7f-\\x{9f}]+|&"
+
+#: Byte spans of the words of each segment, numbered from 0: pieces of text tokens between blanks, over tags where no blank stands.
+WORDS = f"""p0 AS (SELECT page_id, seg_no, pos, byte_off, unnest(regexp_extract_all(token, {q(_PIECE)})) AS piece, unnest(range(len(regexp_extract_all(token, {q(_PIECE)})))) AS j FROM flagged WHERE kind = 'T' AND NOT in_title),
+p1 AS (SELECT page_id, seg_no, pos, j, strlen(piece) AS size, byte_off + coalesce(sum(strlen(piece)) OVER (PARTITION BY page_id, pos ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off,
+ regexp_replace({decode_entities('piece')}, '[\\x00-\\x09\\x0b-\\x1f\\x7f-\\x{{9f}}]', '', 'g') AS d FROM p0),
+p2 AS (SELECT *, regexp_matches(d, '^[ \\n]+$') AS blank FROM p1 WHERE d <> ''),
+p3 AS (SELECT *, CASE WHEN NOT blank AND coalesce(lag(blank) OVER (PARTITION BY page_id, seg_no ORDER BY pos, j), true) THEN 1 ELSE 0 END AS first FROM p2),
+p4 AS (SELECT *, sum(first) OVER (PARTITION BY page_id, seg_no ORDER BY pos, j) - 1 AS wn FROM p3),
+word_spans AS (SELECT page_id, seg_no, wn, min(off) AS a, max(off + size) AS b FROM p4 WHERE NOT blank GROUP BY page_id, seg_no, wn)"""
+
 JAPANESE = "[\\p{Hiragana}\\p{Katakana}ー\\p{Han}\\p{P}]"
 
 

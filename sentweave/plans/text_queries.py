@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from sentweave.functions import english, japanese, text
-from sentweave.operators import annotate, formatter, papers, sentences
+from sentweave.operators import annotate, filters, formatter, papers, provenance, sentences
 from sentweave.plans import sql
 from sentweave.session import table
 from sentweave.sources import readers
@@ -25,18 +25,6 @@ def docs(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
-def inline(spark, rows, schema):
-    return spark.createDataFrame(rows, schema)
-
-
-def strings(spark, values):
-    return inline(spark, list(enumerate(values)), "id bigint, c string")
-
-
-def strings_sql(values) -> str:
-    return sql.values(list(enumerate(values)), "id, c")
-
-
 _LINES = "lines AS (SELECT doc_id, CAST(i AS INT) AS line_no, doc_id || '-' || i AS lk, line FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents))"
 
 
@@ -60,103 +48,127 @@ def japanese_score(spark, sf_dir):
     return docs(spark, sf_dir).select("doc_id", japanese.japanese_score(F.col("text")).alias("score"))
 
 
-SCORED = ["日本語ABC", "あー。", "", "私は学生です", "ABC def", "これは日本語の文です。", "カタカナ 123"]
+#: Letters of the documents as Japanese text: particles, kanji, half- and full-width letters, brackets, marks, faces.
+LATIN = "abcdefghijklmnopqrstuvwxyz.,?!-#%&*$'ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+KANA = "が部シ田のふカはいＡかル水にを日１ー東たう京とｱやン。、？！―■＾）｜…」「」（）（）・・１２（「■東京日水田部０。（）『』あ"
+_KANA_LINES = f"{_LINES}, kana AS (SELECT doc_id, line_no, lk, translate(line, {sql.q(LATIN)}, {sql.q(KANA)}) AS c FROM lines)"
+
+
+def kana_lines(spark, sf_dir):
+    """Lines of all documents with their letters as Japanese ones."""
+    return lines(spark, sf_dir).select("doc_id", "line_no", F.translate("line", LATIN, KANA).alias("c"))
 
 
-@query(f"SELECT id, {sql.japanese_score('c')} AS score, {sql.japanese_score('c', '[\\p{Hiragana}\\p{Katakana}ー\\p{Han}]')} AS letters FROM {strings_sql(SCORED)}")
+@query(f"WITH {_KANA_LINES} SELECT doc_id, line_no, {sql.japanese_score('c')} AS score, {sql.japanese_score('c', '[\\p{Hiragana}\\p{Katakana}ー\\p{Han}]')} AS letters FROM kana")
 def score_rules(spark, sf_dir):
-    return strings(spark, SCORED).select("id", japanese.japanese_score(F.col("c")).alias("score"), japanese.japanese_score(F.col("c"), punctuation=False).alias("letters"))
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.japanese_score(F.col("c")).alias("score"), japanese.japanese_score(F.col("c"), punctuation=False).alias("letters"))
 
 
-@query(f"SELECT id, c FROM {strings_sql(SCORED)} WHERE {sql.japanese_score('c')} > 0.3")
+@query(f"WITH {_KANA_LINES} SELECT doc_id, line_no, c FROM kana WHERE {sql.japanese_score('c')} > 0.3")
 def text_filter(spark, sf_dir):
-    return strings(spark, SCORED).filter(japanese.japanese_score(F.col("c")) > 0.3)
+    return kana_lines(spark, sf_dir).filter(japanese.japanese_score(F.col("c")) > 0.3)
 
 
-@query(f"SELECT id, round(len(regexp_extract_all(c, '[がをにはので]')) / CAST(nullif(length(c), 0) AS DOUBLE), 5) AS ratio, round(len(regexp_extract_all(c, '[がをにはので]')) / CAST(nullif(2 * length(c), 0) AS DOUBLE), 5) AS halved FROM {strings_sql(SCORED)}")
+@query(f"""WITH {_KANA_LINES}, r AS (SELECT *, len(regexp_extract_all(c, '[がをにはので]')) AS n FROM kana)
+SELECT doc_id, line_no, round(n / CAST(nullif(length(c), 0) AS DOUBLE), 5) AS ratio, round(n / CAST(nullif(2 * length(c), 0) AS DOUBLE), 5) AS halved, length(c) > 0 AND round(n / CAST(nullif(length(c), 0) AS DOUBLE), 5) > 0.005 AS japanese FROM r""")
 def particle_ratio(spark, sf_dir):
-    return strings(spark, SCORED).select("id", japanese.particle_ratio(F.col("c")).alias("ratio"), japanese.particle_ratio(F.col("c"), doubled=True).alias("halved"))
+    c = F.col("c")
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.particle_ratio(c).alias("ratio"), japanese.particle_ratio(c, doubled=True).alias("halved"), filters.has_particles(c).alias("japanese"))
 
 
-FORMATTED = ["■お知らせです。", "　■お知らせ", "ホーム｜検索", "東京都", "………", "", "宮本議長（８６）のインタビュー。", "脆（もろ）さを感じる。", "田村亮子（帝京大）に期待。", "あ。い。う。え。お。か。き。く", "長" * 260 + "い", "普通の文です。"]
+_RULE = "CAST(CASE WHEN regexp_matches(c, '^　*[□■◇◆▽△▼▲○◎●〇◯★☆・＜《【［]') THEN 1 WHEN regexp_matches(c, '^.+。.+。.+。.+。.+。.+') OR length(c) >= 256 THEN 2 WHEN regexp_matches(c, '^…+$') THEN 3 WHEN regexp_matches(c, '[｜┃]') THEN 4 WHEN regexp_matches(c, '^\\p{Han}*$') THEN 5 END AS INT)"
 
 
-@query(f"""SELECT id, CAST(CASE WHEN regexp_matches(c, '^　*[□■◇◆▽△▼▲○◎●〇◯★☆・＜《【［]') THEN 1 WHEN regexp_matches(c, '^.+。.+。.+。.+。.+。.+') OR length(c) >= 256 THEN 2 WHEN regexp_matches(c, '^…+$') THEN 3
- WHEN regexp_matches(c, '[｜┃]') THEN 4 WHEN regexp_matches(c, '^\\p{{Han}}*$') THEN 5 END AS INT) AS rule FROM {strings_sql(FORMATTED)}""")
+@query(f"WITH {_KANA_LINES} SELECT doc_id, line_no, {_RULE} AS rule FROM kana")
 def format_rules(spark, sf_dir):
-    return strings(spark, FORMATTED).select("id", japanese.deletion_rule(F.col("c")).alias("rule"))
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.deletion_rule(F.col("c")).alias("rule"))
 
 
-REMARKS = ["８６", "もろ", "帝京大", "１２３", "よみ１"]
+_KANA_WORDS = f"{_KANA_LINES}, kw AS (SELECT doc_id, line_no, unnest(regexp_extract_all(c, '[^\\x20\\x09-\\x0D]+')) AS w, unnest(range(len(regexp_extract_all(c, '[^\\x20\\x09-\\x0D]+')))) AS i FROM kana)"
 
 
-@query(f"SELECT id, CASE WHEN regexp_matches(c, '^[０-９]*$') THEN '年齢' WHEN regexp_matches(c, '^\\p{{Hiragana}}+$') THEN '読み' ELSE 'その他' END AS type FROM {strings_sql(REMARKS)}")
+@query(f"WITH {_KANA_WORDS} SELECT CASE WHEN regexp_matches(w, '^[０-９]*$') THEN '年齢' WHEN regexp_matches(w, '^\\p{{Hiragana}}+$') THEN '読み' ELSE 'その他' END AS type, count(*) AS n, count(DISTINCT w) AS words FROM kw GROUP BY 1")
 def paren_type(spark, sf_dir):
-    return strings(spark, REMARKS).select("id", japanese.bracket_type(F.col("c")).alias("type"))
+    words = kana_lines(spark, sf_dir).select(F.explode(english.words_of(F.col("c"))).alias("w"))
+    return words.groupBy(japanese.bracket_type(F.col("w")).alias("type")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("w").alias("words"))
 
 
-BRACKETED = ["宮本議長（８６）のインタビュー。", "脆（もろ）さを感じる。", "田村亮子（帝京大）に期待。", "ない文です。", "二つ（あ）と（１２）です。"]
+_FLAT = "^([^（）]*（[^（）]*）)*[^（）]*$"  # brackets closed and not nested, which SQL can follow
 
 
-@query(f"SELECT id, regexp_replace(c, '（[^（）]*）', '', 'g') AS main, array_to_string(regexp_extract_all(c, '（([^（）]*)）', 1), ',') AS remarks FROM {strings_sql(BRACKETED)}")
+@query(f"""WITH {_KANA_LINES} SELECT doc_id, line_no, regexp_replace(c, '（[^（）]*）', '', 'g') AS main, array_to_string(regexp_extract_all(c, '（([^（）]*)）', 1), ',') AS remarks
+FROM kana WHERE regexp_matches(c, '{_FLAT}') AND NOT regexp_matches(c, '（[１-９]）|＾＾')""")
 def paren_divide(spark, sf_dir):
-    done = formatter.format_sentence(F.col("c"), paren="divide")
-    return strings(spark, BRACKETED).select("id", done["sentence"].alias("main"), F.array_join(F.transform(done["parens"], lambda p: p["text"]), ",").alias("remarks"))
+    flat = kana_lines(spark, sf_dir).filter(F.col("c").rlike(_FLAT) & ~F.col("c").rlike("（[１-９]）|＾＾"))
+    return flat.select("doc_id", "line_no", japanese.without_brackets(F.col("c")).alias("main"), F.array_join(F.transform(japanese.brackets(F.col("c"))["found"], lambda p: p["text"]), ",").alias("remarks"))
 
 
 @query()
 def format_sentences(spark, sf_dir):
-    """Each option's outcome for inline sentences."""
-    rows = strings(spark, [*FORMATTED, *BRACKETED, "改革の柱として（１）甲（２）乙を挙げた。", "嬉しい（＾＿＾）です。", "「星」＝米長＝と言う"])
-    out = [rows.select("id", F.lit(p).alias("paren"), formatter.format_sentence(F.col("c"), paren=p, newspaper=True)["sentence"].alias("sentence")) for p in ("remove", "include", "divide")]
-    return out[0].unionByName(out[1]).unionByName(out[2])
+    """Each option's outcome for every line, as a digest."""
+    rows = kana_lines(spark, sf_dir)
+    formatted = lambda p: F.struct(*[formatter.format_sentence(F.col("c"), paren=p, newspaper=True)[x].cast("string").alias(x) for x in ("sentence", "log", "parens")])
+    return rows.select("doc_id", "line_no", *[F.md5(F.to_json(formatted(p))).alias(p) for p in ("remove", "include", "divide")])
 
 
-WIDTHS = ["ABC 12", "a-b_c~!", "ｱｲｳ", "東京", "－～∥￠￡￢—¥", ""]
 _FULL = "'" + text.WIDE_ASCII + "　" + text.FULL_KANA + "'"
 _HALF = sql.q(text.ASCII + " " + text.HALF_KANA)
 
 
-@query(f"SELECT id, translate(c, {_HALF}, {_FULL}) AS wide, translate(c, '{text.UNSAFE}', '{text.SAFE}') AS safe FROM {strings_sql(WIDTHS)}")
+@query(f"WITH {_KANA_LINES} SELECT k.doc_id, k.line_no, translate(l.line, {_HALF}, {_FULL}) AS wide, translate(k.c, {_HALF}, {_FULL}) AS kana, translate(translate(k.c, {_HALF}, {_FULL}), '{text.UNSAFE}', '{text.SAFE}') AS safe, translate(translate(l.line, {_HALF}, {_FULL}), {_FULL}, {_HALF}) = l.line AS back FROM kana k JOIN lines l USING (lk)")
 def widths(spark, sf_dir):
-    return strings(spark, WIDTHS).select("id", text.widen(F.col("c")).alias("wide"), text.remap_unsafe(F.col("c")).alias("safe"))
-
-
-VOICED = ["ｶﾞｷﾞ", "ﾊﾟｰﾃｨ", "ﾊﾞｽ", "データ―", "データ――", "10￣20", "1人￣2人", "東京 大阪", "東京 abc", "a  b", "a b　c"]
+    both = lines(spark, sf_dir).withColumn("c", F.translate("line", LATIN, KANA))
+    wide = text.widen(F.col("c"))
+    return both.select("doc_id", "line_no", text.widen(F.col("line")).alias("wide"), wide.alias("kana"), text.remap_unsafe(wide).alias("safe"), (text.narrow_ascii(text.widen(F.col("line"))) == F.col("line")).alias("back"))
 
 
 @query()
 def japanese_normalisation(spark, sf_dir):
-    """Voiced marks, long marks, ranges and blanks of inline strings."""
-    return strings(spark, VOICED).select("id", text.normalise_japanese(F.col("c")).alias("body"), text.normalise_japanese(F.col("c"), preformatted=False).alias("title"))
-
-
-JAPANESE = ["あまり気の毒だから「行く事は行くがじき帰る。来年の夏休みにはきっと帰る」と慰めてやった。", "今日は晴れ。（たぶん）明日は雨。", "すごい！と思った。", "本当？ですか。", "Ａ・・・Ｂ", "３．１４です。", "散歩？？かな。", "なるほど（笑）次へ", "終わり。」と言う。", "１．りんご"]
+    """Voiced marks, long marks, ranges and blanks of every line."""
+    c = F.col("c")
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", F.md5(text.normalise_japanese(c)).alias("body"), F.md5(text.normalise_japanese(c, preformatted=False)).alias("title"))
 
 
 @query()
 def japanese_sentences(spark, sf_dir):
-    return strings(spark, JAPANESE).select("id", F.posexplode(sentences.split_sentences(F.col("c"), "japanese")).alias("k", "sentence"))
+    found = kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.split_paragraphs(F.array(text.normalise_japanese(F.col("c"))), merge_items=False).alias("s"))
+    return found.select("doc_id", "line_no", F.posexplode(F.flatten("s")).alias("k", "sentence"))
 
 
 @query()
+def japanese_page_sentences(spark, sf_dir):
+    """Sentences of the pages read as Japanese ones, with their spans; the text between the tags has Japanese letters."""
+    pages = table(spark, sf_dir, "pages")
+    pieces = F.regexp_extract_all("html", F.lit("<!--[\\s\\S]*?-->|(?i)<(script|style)\\b[\\s\\S]*?</(?:script|style)\\s*>|<[^>]*>|&[#0-9a-zA-Z]+;|[^<&]+|[<&]"), F.lit(0))
+    shown = F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^[<&]."), p).otherwise(F.translate(p, LATIN, KANA))), "")
+    kana = pages.select("page_id", shown.alias("html"))
+    found = provenance.verify(sentences.sentences(kana, language="japanese"), kana, language="japanese")
+    return found.select("page_id", "sent_no", "paragraph", "raw_string", "offset", "length", "matches")
+
+
+@query(f"""WITH {_KANA_LINES}, l AS (SELECT doc_id, line_no, c, regexp_matches(c, '^[Ａ-Ｚａ-ｚ０-９]．') AS item FROM (SELECT doc_id, line_no, regexp_replace(regexp_replace(c, '^１', '１．'), '。$', '、') AS c FROM kana) WHERE c <> ''),
+o AS (SELECT *, coalesce(last_value(CASE WHEN item THEN NULL ELSE regexp_matches(c, '[、，：]$') END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS listing FROM l),
+g AS (SELECT *, sum(CASE WHEN listing THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY line_no) AS g FROM o)
+SELECT doc_id, CAST(g - 1 AS INT) AS k, string_agg(c, '　' ORDER BY line_no) AS sentence FROM g GROUP BY doc_id, g""")
 def itemised_lists(spark, sf_dir):
-    rows = inline(spark, [(0, ["以下のお店、", "１．さえずり", "２．のら酒房", "は美味しいです。"]), (1, ["以下にお店を列挙します。", "１．さえずり", "２．のら酒房"])], "id bigint, s array<string>")
-    return rows.select("id", F.posexplode(japanese.merge_items(F.col("s"))).alias("k", "sentence"))
+    """Lines of each document as sentences; many end with 、 and some open with an item header."""
+    own = F.transform(F.split("text", "\n", -1), lambda x: F.regexp_replace(F.regexp_replace(F.translate(x, LATIN, KANA), "^１", "１．"), "。$", "、"))
+    return docs(spark, sf_dir).select("doc_id", F.posexplode(japanese.merge_items(F.filter(own, lambda x: x != ""))).alias("k", "sentence"))
 
 
-FACES = ["なるほど（笑）次へ", "嬉しい（＾＿＾）です", "普通", "（爆）（笑）あ"]
+@query(f"WITH {_KANA_LINES} SELECT doc_id, line_no, regexp_matches(c, '（笑）|（爆）|（怒）|（汗）|（泣）|（涙）|＾＾|（＾＿＾）|＞＜') AS has_face FROM kana")
+def emoticons(spark, sf_dir):
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.has_emoticon(F.col("c")).alias("has_face"))
 
 
-@query(f"SELECT id, regexp_matches(c, '（笑）|（爆）|（怒）|（汗）|（泣）|（涙）|＾＾|（＾＿＾）|＞＜') AS has_face FROM {strings_sql(FACES)}")
-def emoticons(spark, sf_dir):
-    return strings(spark, FACES).select("id", japanese.has_emoticon(F.col("c")).alias("has_face"))
+_LONG = "'(?s)^(.+?)(が|であり|ており)、(.+)$'"
 
 
-@query()
+@query(f"""WITH {_KANA_LINES}, m AS (SELECT doc_id, line_no, c, length(c) AS n, regexp_extract(c, {_LONG}, 1) AS l, regexp_extract(c, {_LONG}, 2) AS m, regexp_extract(c, {_LONG}, 3) AS r FROM kana),
+cut AS (SELECT *, n >= 70 AND m <> '' AND (length(l) + length(m)) / CAST(n AS DOUBLE) BETWEEN 0.3 AND 0.7 AS two FROM m)
+SELECT doc_id, line_no, CAST(0 AS INT) AS k, CASE WHEN two THEN l || CASE m WHEN 'であり' THEN 'だ。' WHEN 'ており' THEN 'ている。' ELSE '。' END ELSE c END AS part FROM cut UNION ALL SELECT doc_id, line_no, 1, r FROM cut WHERE two""")
 def long_sentences(spark, sf_dir):
-    rows = strings(spark, ["長い文を作るためにここにたくさんの言葉を並べてみたが、それでもまだ足りないのでさらに続けて書いてみるとようやく七十文字を超えることになったのでここで終わりにする。", "短い文。"])
-    return rows.select("id", F.posexplode(japanese.split_long(F.col("c"))).alias("k", "part"))
+    return kana_lines(spark, sf_dir).select("doc_id", "line_no", F.posexplode(japanese.split_long(F.col("c"))).alias("k", "part"))
 
 
 _WORDS = "regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')"
@@ -171,13 +183,11 @@ def word_statistics(spark, sf_dir):
     return one.groupBy("doc_id").agg(F.sum("n").alias("n_words"), F.sum("t").alias("n_the"), F.sum("c").alias("n_capital"), F.count(F.lit(1)).alias("n_last"))
 
 
-TOKENISED = ["Mr. Smith isn't here.", "5,300 units, ok", "No. 5 wins.", "No. Never.", "wait... what?", "I said \"no\" (twice).", "the 1990's, e.g. now", ""]
-
-
 @query()
 def tokenizer_languages(spark, sf_dir):
-    rows = strings(spark, [*TOKENISED, "l'homme n'est pas là."])
-    return rows.select("id", *[english.tokenize(F.col("c"), lang).alias(lang) for lang in ("en", "fr", "de")])
+    """Every line by the rules of three groups of languages."""
+    digest = lambda lang: F.md5(english.tokenize(F.col("line"), lang)).alias(lang)
+    return lines(spark, sf_dir).select("doc_id", "line_no", *[digest(lang) for lang in ("en", "fr", "de")])
 
 
 @query()
@@ -202,80 +212,86 @@ def conll_rows(spark, sf_dir):
     return annotate.conll_rows(tagged, "analysis", "doc_id").select("doc_id", "tok", "form", "lemma")
 
 
-CONLL = ["1\tI\tI\tPRP\tPRP\t_\t2\tSUB\t_\t_\n2\trun\trun\tVBP\tVBP\t_\t0\tROOT\t_\t_", "1\tGo\tgo\tVB\tVB\t_\t0\tROOT\t_\t_"]
-
-
-@query(f"""WITH r AS (SELECT id, unnest(string_split(c, chr(10))) AS r FROM {strings_sql(CONLL)})
-SELECT id, 'c' || split_part(r, chr(9), 1) AS chunk, 'c' || CASE WHEN split_part(r, chr(9), 7) = '0' THEN '-1' ELSE split_part(r, chr(9), 7) END AS head, split_part(r, chr(9), 2) AS surf FROM r""")
+@query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS surf, unnest(range(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')))) AS i FROM documents)
+SELECT doc_id, 'c' || (i + 1) AS chunk, CASE WHEN i = 0 THEN 'c-1' ELSE 'c' || i END AS head, surf FROM w""")
 def conll_to_chunks(spark, sf_dir):
-    rows = strings(spark, CONLL).select("id", F.explode(annotate.chunks(F.col("c"))).alias("x"))
-    return rows.select("id", F.col("x.id").alias("chunk"), "x.head", "x.token.surf")
+    """Every word of a document hangs on the one before it."""
+    rows = F.transform(english.words_of(F.col("text")), lambda w, i: F.concat_ws("\t", (i + 1).cast("string"), w, w, F.lit("X"), F.lit("X"), F.lit("_"), i.cast("string"), F.lit("DEP"), F.lit("_"), F.lit("_")))
+    found = docs(spark, sf_dir).select("doc_id", F.explode(annotate.chunks(F.array_join(rows, "\n"))).alias("x"))
+    return found.select("doc_id", F.col("x.id").alias("chunk"), "x.head", "x.token.surf")
 
 
-DEPENDENCIES = ["nsubj(ran-2, dog-1)\nadvmod(ran-2, fast-3)", "root(ROOT-0, go-1)"]
-
-
-@query(f"""WITH d AS (SELECT id, unnest(string_split(c, chr(10))) AS d FROM {strings_sql(DEPENDENCIES)})
-SELECT id, regexp_extract(d, '^([a-z]+)', 1) AS rel, CAST(regexp_extract(d, '-(\\d+), ', 1) AS INT) AS head, CAST(regexp_extract(d, '-(\\d+)\\)', 1) AS INT) AS dep FROM d""")
+@query(f"""WITH {_LINES}, w AS (SELECT doc_id, line_no, list_filter(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), lambda x: regexp_matches(x, '^[A-Za-z]+$')) AS w FROM lines)
+SELECT doc_id, line_no, 'dep' AS rel, w[i] AS head_word, CAST(i AS INT) AS head, w[i + 1] AS word, CAST(i + 1 AS INT) AS dep FROM (SELECT doc_id, line_no, w, unnest(range(1, len(w))) AS i FROM w)""")
 def typed_dependencies(spark, sf_dir):
-    return strings(spark, DEPENDENCIES).select("id", F.explode(annotate.typed_dependencies(F.col("c"))).alias("d")).select("id", "d.rel", "d.head", "d.dep")
-
-
-ARTICLES = ["本文\n参考文献リスト\n[1] A", "本文だけ\n二行目", "序\n参考文献 の話\n続き\n参考文献\n[1]", "序 [参 考文.献 A\nB"]
+    words = F.filter(english.words_of(F.col("line")), lambda x: x.rlike("^[A-Za-z]+$"))
+    typed = F.transform(F.slice(F.col("w"), F.lit(2), F.size("w")), lambda w, i: F.concat(F.lit("dep("), F.get("w", i), F.lit("-"), (i + 1).cast("string"), F.lit(", "), w, F.lit("-"), (i + 2).cast("string"), F.lit(")")))
+    rows = lines(spark, sf_dir).select("doc_id", "line_no", words.alias("w")).filter("size(w) > 1").select("doc_id", "line_no", F.array_join(typed, "\n").alias("c"))
+    return rows.select("doc_id", "line_no", F.explode(annotate.typed_dependencies(F.col("c"))).alias("d")).select("doc_id", "line_no", "d.*")
 
 
-@query(f"""WITH l AS (SELECT id, unnest(string_split(c, chr(10))) AS line, unnest(range(len(string_split(c, chr(10))))) AS i FROM {strings_sql(ARTICLES)}),
-k AS (SELECT *, '[ <\\[〔【]*参[ .,''　]*考[ .,''　]*文[ .,''　]*献.*$' AS p FROM l),
-m AS (SELECT id, max(i) AS cut_at FROM k WHERE regexp_matches(line, p) GROUP BY id),
-s AS (SELECT k.*, cut_at, CASE WHEN i = cut_at THEN length(regexp_extract(line, '^(.*?)' || p, 1)) WHEN i > cut_at THEN 0 ELSE length(line) END AS n FROM k LEFT JOIN m USING (id))
-SELECT id, string_agg(line[:n], chr(10) ORDER BY i) FILTER (WHERE cut_at IS NULL OR i <= cut_at) AS main, coalesce(string_agg(line[n + 1:], chr(10) ORDER BY i) FILTER (WHERE i >= cut_at), '') AS rest FROM s GROUP BY id""")
+@query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
+k AS (SELECT *, '[ <\\[〔【]*T[ .,''　]*h[ .,''　]*e[ .,''　]*re.*$' AS p FROM l),
+m AS (SELECT doc_id, max(i) AS cut_at FROM k WHERE regexp_matches(line, p) GROUP BY doc_id),
+s AS (SELECT k.*, cut_at, CASE WHEN i = cut_at THEN length(regexp_extract(line, '^(.*?)' || p, 1)) WHEN i > cut_at THEN 0 ELSE length(line) END AS n FROM k LEFT JOIN m USING (doc_id))
+SELECT doc_id, md5(string_agg(line[:n], chr(10) ORDER BY i) FILTER (WHERE cut_at IS NULL OR i <= cut_at)) AS main, md5(coalesce(string_agg(line[n + 1:], chr(10) ORDER BY i) FILTER (WHERE i >= cut_at), '')) AS rest FROM s GROUP BY doc_id""")
 def paper_divide(spark, sf_dir):
-    return strings(spark, ARTICLES).select("id", papers.divide_text(F.col("c"), ["参考文献"]).alias("d")).select("id", "d.main", "d.rest")
+    """Documents cut where a spaced key stands last in a line."""
+    return docs(spark, sf_dir).select("doc_id", papers.divide_text(F.col("text"), ["There"]).alias("d")).select("doc_id", F.md5("d.main").alias("main"), F.md5("d.rest").alias("rest"))
 
 
 @query("""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM documents),
 m AS (SELECT doc_id, max(i) AS cut_at FROM l WHERE regexp_matches(line, '^The\\b') GROUP BY doc_id)
-SELECT doc_id, coalesce(cut_at, -1) AS cut_at, length(array_to_string(string_split(text, chr(10))[1:cut_at], chr(10))) AS n_main FROM documents JOIN m USING (doc_id)""")
+SELECT doc_id, CASE WHEN cut_at IS NULL THEN length(text) WHEN cut_at = 0 THEN 0 ELSE length(array_to_string(string_split(text, chr(10))[1:cut_at], chr(10))) + 1 END AS n_main, CASE WHEN cut_at IS NULL THEN 0 ELSE length(array_to_string(string_split(text, chr(10))[cut_at + 1:], chr(10))) END AS n_rest FROM documents LEFT JOIN m USING (doc_id)""")
 def document_divide(spark, sf_dir):
-    """Documents cut at their last line that opens with a key, at scale."""
-    text_lines = F.split("text", "\n", -1)
-    at = F.array_max(F.filter(F.transform(text_lines, lambda x, i: F.when(x.rlike("^The\\b"), i)), lambda i: i.isNotNull()))
-    found = docs(spark, sf_dir).select("doc_id", "text").withColumn("cut_at", at.cast("bigint")).filter("cut_at IS NOT NULL")
-    return found.select("doc_id", "cut_at", F.length(F.array_join(F.slice(text_lines, F.lit(1), F.col("cut_at").cast("int")), "\n")).cast("bigint").alias("n_main"))
+    """Documents cut at their last line that opens with a pattern."""
+    cut = docs(spark, sf_dir).select("doc_id", papers.divide_text(F.col("text"), [], ["^The\\b"]).alias("d"))
+    return cut.select("doc_id", F.length("d.main").cast("bigint").alias("n_main"), F.length("d.rest").cast("bigint").alias("n_rest"))
 
 
-HEADERS = ["HTML http://a.example/x NOCACHE\nHTTP/1.1 404 Not Found\nDate: Tue, 03 Jul 2007 10:00:00 GMT\n\n<html>1</html>", "<html>2</html>", "HTTP/1.1 200 OK\nDate: Wed, 04 Jul 2007 11:30:05 GMT\n\n<html>3</html>"]
+#: Crawler headers made from the events: their url, status, date and marks are what the queries must find again.
+_CODE = "CASE event_id % 5 WHEN 0 THEN 404 WHEN 1 THEN 503 ELSE 200 END"
 
 
-@query(f"SELECT id, CAST(regexp_extract(c, 'HTTP/1\\.1 (\\d+) ', 1) AS INT) AS code FROM {strings_sql(HEADERS)} WHERE regexp_extract(c, 'HTTP/1\\.1 (\\d+) ', 1) NOT IN ('', '200')")
-def http_status(spark, sf_dir):
-    from sentweave.operators import filters
+def crawled(spark, sf_dir):
+    e = F.col("event_id")
+    code = F.when(e % 5 == 0, 404).when(e % 5 == 1, 503).otherwise(200).cast("string")
+    date = F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss")
+    line = F.when(e % 3 > 0, F.concat(F.lit("HTML http://h.example/"), e.cast("string"), F.when(e % 3 == 1, " NOCACHE").otherwise(""), F.when(e % 7 == 0, " NOINDEX").otherwise(""), F.lit("\n"))).otherwise("")
+    head = F.concat(line, F.lit("HTTP/1.1 "), code, F.lit(" Said\nDate: "), date, F.lit(" GMT\n\n"))
+    body = F.concat(F.lit("<html>"), F.col("event_type"), F.lit("</html>"))
+    return table(spark, sf_dir, "events").select("event_id", F.concat(head, body).alias("c"), F.concat(date, F.lit(" GMT")).alias("date"))
 
-    return filters.bad_status(strings(spark, HEADERS), "id", "c")
+
+@query(f"SELECT event_id, CAST({_CODE} AS INT) AS code FROM events WHERE {_CODE} <> 200")
+def http_status(spark, sf_dir):
+    return filters.bad_status(crawled(spark, sf_dir), "event_id", "c")
 
 
-@query(f"""SELECT id, nullif(regexp_extract(c, '^HTML (\\S+)', 1), '') AS url, starts_with(c, 'HTML') AND regexp_matches(c, '^HTML [^\\n]*NOCACHE') AS no_cache, regexp_extract(c, '(?s)(<html>.*)$', 1) AS body,
- strftime(strptime(nullif(regexp_extract(c, 'Date: \\w+, (\\d+ \\w+ \\d+ [0-9:]+) GMT', 1), ''), '%d %b %Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') || ' GMT' AS crawl_time FROM {strings_sql(HEADERS)}""")
+@query("""SELECT event_id, CASE WHEN event_id % 3 > 0 THEN 'http://h.example/' || event_id END AS url, event_id % 3 = 1 AS no_cache, event_id % 3 > 0 AND event_id % 7 = 0 AS no_index, '<html>' || event_type || '</html>' AS body, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' GMT' AS crawl_time FROM events""")
 def crawl_header(spark, sf_dir):
     head = readers.crawler_header(F.col("c"))
-    return strings(spark, HEADERS).select("id", head["url"].alias("url"), head["no_cache"].alias("no_cache"), head["body"].alias("body"), head["crawl_time"].alias("crawl_time"))
+    return crawled(spark, sf_dir).select("event_id", *[head[x].alias(x) for x in ("url", "no_cache", "no_index", "body", "crawl_time")])
 
 
-DATES = ["Tue, 03 Jul 2007 10:00:00 GMT", "Sat, 1 Jan 2000 00:00:01 GMT", "yesterday"]
-
-
-@query(f"SELECT id, strftime(try_strptime(regexp_extract(c, ', (.*) GMT', 1), '%d %b %Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S') || ' GMT' AS t FROM {strings_sql(DATES)}")
+@query("SELECT event_id, CASE WHEN event_id % 9 > 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || ' GMT' END AS t FROM events")
 def http_date(spark, sf_dir):
-    return strings(spark, DATES).select("id", text.http_date(F.col("c")).alias("t"))
+    """Dates of all events; every ninth is none."""
+    return crawled(spark, sf_dir).select("event_id", text.http_date(F.when(F.col("event_id") % 9 == 0, "yesterday").otherwise(F.col("date"))).alias("t"))
 
 
-METADATA = ["<TITLE>A b</TITLE><AUTH><AUTH_NAME>山田 太郎</AUTH_NAME><AUTH_NAME>John</AUTH_NAME></AUTH><ABST>一文目。二文目。</ABST><KYWD>鍵,言葉</KYWD>"]
+def _upper_wide(x: str) -> str:
+    return f"translate(upper({x}), {_HALF}, {_FULL})"
 
 
-@query()
+@query(f"""WITH d AS (SELECT doc_id, source, lang, regexp_replace(text, '[^ -~]', '', 'g') AS t FROM documents)
+SELECT doc_id, {_upper_wide("source || ' ' || doc_id")} AS title, {_upper_wide('lang')} || '/' || {_upper_wide('source')} AS authors,
+ md5(array_to_string(list_filter(list_transform(string_split(t, '|'), lambda x: {_upper_wide('trim(x)')}), lambda x: x <> ''), '/')) AS abstract, {_upper_wide('lang')} || '/' || {_upper_wide('source')} AS keywords FROM d""")
 def paper_metadata(spark, sf_dir):
-    rows = strings(spark, METADATA).select("id", papers.parse_metadata(F.col("c")).alias("m"))
-    return rows.select("id", "m.title", F.array_join("m.authors", "|").alias("authors"), F.array_join("m.abstract", "|").alias("abstract"), F.array_join("m.keywords", "|").alias("keywords"))
+    """Metadata made from the documents: title and authors from their columns, the text as the abstract."""
+    c = F.concat(F.lit("<TITLE> "), "source", F.lit(" "), F.col("doc_id").cast("string"), F.lit("</TITLE><AUTH><AUTH_NAME>"), "lang", F.lit("</AUTH_NAME><AUTH_NAME> "), "source", F.lit("</AUTH_NAME></AUTH><ABST>"), F.regexp_replace("text", "[^ -~]", ""), F.lit("</ABST><KYWD>"), "lang", F.lit(", "), "source", F.lit("</KYWD>"))
+    rows = docs(spark, sf_dir).select("doc_id", papers.parse_metadata(c).alias("m"))
+    return rows.select("doc_id", "m.title", F.array_join("m.authors", "/").alias("authors"), F.md5(F.array_join("m.abstract", "/")).alias("abstract"), F.array_join("m.keywords", "/").alias("keywords"))
 
 
 @query("SELECT doc_id, regexp_replace(text, '[\\x00-\\x09\\x0b-\\x1f\\x7f-\\x{9f}]', '', 'g') AS a, regexp_replace(text, '\\s+', '', 'g') AS b FROM documents")

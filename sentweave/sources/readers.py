@@ -97,6 +97,12 @@ def crawl_dump(files: DataFrame, per_directory: int = 10_000) -> DataFrame:
     return pages.withColumn("directory", F.lpad(F.floor(F.col("number") / per_directory).cast("string"), 6, "0"))
 
 
+def parameter(spark: SparkSession, path: str, default: str = "") -> str:
+    """The first line of a small parameter file (a version, a crawl date)."""
+    first = spark.read.text(path, wholetext=True).first()
+    return first["value"].split("\n")[0].strip() if first else default
+
+
 def html_lines(spark: SparkSession, path: str) -> DataFrame:
     """One html page a line."""
     return spark.read.text(path).withColumnRenamed("value", "html")
@@ -109,15 +115,18 @@ def articles(spark: SparkSession, path: str) -> DataFrame:
 
 def medical_reports(spark: SparkSession, path: str) -> DataFrame:
     """Columns 0, 5, 6 and 7 of tab-separated files, each with a header line: id, findings, impression, order."""
-    raw = spark.read.csv(path, sep="\t", header=True)
-    raw = raw.toDF(*map(str, range(len(raw.columns)))).withColumn("pos", F.monotonically_increasing_id())
+    rows = numbered_lines(spark, path).filter((F.col("pos") > 0) & (F.col("value") != ""))
     wanted = {0: "fid", 5: "findings", 6: "impression", 7: "order_text"}
-    return raw.select("pos", *[F.col(str(i)).alias(n) for i, n in wanted.items()])
+    return rows.select("file", "pos", *[F.nullif(F.get(F.split("value", "\t"), F.lit(i)), F.lit("")).alias(n) for i, n in wanted.items()])
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their file and an order within it."""
-    return spark.read.text(path).select(F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("pos"), "value")
+    """Text lines with their file and their number in it, from 0.
+
+    What is read from such files belongs together over lines, so a file is read whole, by one task; large inputs come as many files.
+    """
+    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\\r?\\n$", "").alias("whole"))
+    return whole.select("file", F.posexplode(F.split("whole", "\\r?\\n")).alias("pos", "value"))
 
 
 def sid_lines(lines: DataFrame) -> DataFrame:

@@ -1,6 +1,6 @@
 """Writers of documents, links and text; each writes what a reader of this library reads again."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.operators import standard_format
@@ -13,6 +13,25 @@ def xml_documents(docs: DataFrame, path: str, compression: str = "gzip", **optio
     xml.withColumn("shard", F.lpad(F.floor(F.col("doc_id") / 10_000).cast("string"), 6, "0")).withColumn("name", F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml"))).write.partitionBy("shard").option("compression", compression).parquet(path)
 
 
+def xml_files(docs: DataFrame, path: str, **options) -> None:
+    """One file a document, in a folder by its nine-digit name, within shards of 10,000 ids; documents without sentences have none."""
+    xml = standard_format.to_xml(docs.filter(F.size("sentences") > 0), **options)
+    _files(xml.select(_shard(F.col("doc_id")).alias("shard"), F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml")).alias("name"), F.col("xml").alias("value")), path)
+
+
+def _shard(number: Column) -> Column:
+    return F.lpad(F.floor(number / 10_000).cast("string"), 6, "0")
+
+
+def _files(rows: DataFrame, path: str) -> None:
+    rows.repartition("shard", "name").write.partitionBy("shard", "name").option("lineSep", "\n").text(path)
+
+
+def utf8_files(pages: DataFrame, path: str) -> None:
+    """Decoded page files, one each, by their names."""
+    _files(pages.select(F.lit("0").alias("shard"), F.concat("name", F.lit(".html")).alias("name"), F.col("html").alias("value")), path)
+
+
 def plain_documents(docs: DataFrame, path: str, compression: str = "none") -> None:
     standard_format.plain_text(docs).select("text").write.option("compression", compression).text(path)
 
@@ -48,8 +67,9 @@ def dictionary(words: DataFrame, column: str, path: str) -> None:
 
 
 def in_link_documents(links: DataFrame, path: str) -> None:
-    """Documents of in-links alone."""
-    body = standard_format.links_xml(F.array(F.struct("anchor", "sources")), "InLink", "sources")
-    links.select(F.col("doc_id"), body.alias("xml")).write.parquet(path)
+    """Documents of in-links alone, one file each."""
+    grouped = links.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "sources"))).alias("g"))
+    body = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<StandardFormat><Header>'), standard_format.links_xml(F.col("g"), "InLink", "sources"), F.lit("</Header></StandardFormat>"))
+    _files(grouped.select(F.lit("0").alias("shard"), F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml")).alias("name"), body.alias("value")), path)
 
 

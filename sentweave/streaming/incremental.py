@@ -13,23 +13,24 @@ def page_stream(spark: SparkSession, path: str, schema, max_files: int = 1000) -
 
 
 def run_incrementally(pages: DataFrame, process, out: str, log: str, checkpoint: str, key: str = "page_id") -> StreamingQuery:
-    """Each batch: pages that the log doesn't name are processed (``process(df)``), appended to ``out``, and logged.
+    """Each batch: pages that the log doesn't name are processed (``process(df)``), written to ``out``, and logged.
 
-    A batch that is tried again after a failure finds its finished pages in the log. The query ends when no new files are left.
+    A batch's output and log lie under its number and are written over when it is tried again, so a failure between the two neither
+    loses pages nor doubles them. The query ends when no new files are left.
     """
 
-    def batch(df: DataFrame, _: int) -> None:
-        spark = df.sparkSession
-        new = not_done(df, read_log(spark, log, df.select(key)), key).dropDuplicates([key])
-        process(new).write.mode("append").parquet(out)
-        new.select(key, F.lit("success").alias("status")).write.mode("append").parquet(log)
+    def batch(df: DataFrame, number: int) -> None:
+        earlier = read_log(df.sparkSession, log, df.select(key)).filter(F.col("batch") != number)
+        new = not_done(df, earlier, key).dropDuplicates([key])
+        process(new).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        new.select(key, F.lit("success").alias("status")).write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     return pages.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_log(spark: SparkSession, path: str, keys: DataFrame) -> DataFrame:
-    """The job log ``(key, status)``; empty before the first run."""
-    schema = keys.schema.add("status", "string")
+    """The job log ``(key, status, batch)``; empty before the first run."""
+    schema = keys.schema.add("status", "string").add("batch", "long")
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     there = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
     return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)

@@ -66,9 +66,31 @@ def test_links_round_trip(spark, pages):
 
 def test_xml_round_trip(pages):
     docs = standard_format.assemble(sentences.sentence_ids(sentences.sentences(pages)), pages)
-    again = standard_format.parse_xml(standard_format.to_xml(docs)).join(docs.select("doc_id", "sentences"), "doc_id")
-    body = F.transform(F.filter("sentences", lambda s: s["role"] == "body"), lambda s: s["raw_string"])
-    assert again.filter(F.col("raw_strings") != body).count() == 0
+    again = standard_format.parse_xml(standard_format.to_xml(docs)).select("doc_id", F.col("sentences").alias("read"), F.col("url").alias("read_url"))
+    both = again.join(docs.select("doc_id", "url", "sentences"), "doc_id").collect()
+    plain = lambda s: (s["sid"], s["role"], s["paragraph"], s["block_type"], s["offset"], s["length"], s["japanese_score"], s["raw_string"])
+    assert both and all(r["read_url"] == r["url"] and sorted(map(str, map(plain, r["read"]))) == sorted(map(str, map(plain, r["sentences"]))) for r in both)
+
+
+def test_every_field_comes_back_from_xml(spark):
+    """Brackets, flags, logs, annotations with marks of their own, links, and characters that XML can't hold."""
+    from sentweave.operators import formatter
+
+    html = "<title>題</title><p>宮本議長（８６）と脆（もろ）い人。■お知らせです。</p><p>A &lt;b&gt; &amp; 次の文です。</p>"
+    pages = spark.createDataFrame([(1, "http://h/?a=1&b=2", html)], "page_id int, url string, html string")
+    found = formatter.format_sentences(sentences.sentence_ids(sentences.sentences(pages, language="japanese")), paren="divide")
+    note = F.array(F.struct(F.lit("KNP").alias("scheme"), F.lit("t\"<1>").alias("tool"), F.concat(F.lit("# S-ID:1 <&>]]>\n"), "raw_string", F.lit("\nEOS")).alias("cdata")))
+    docs = standard_format.assemble(found.withColumn("annotations", note), pages)
+    group = lambda inner: F.array(F.struct(F.lit("an & <chor>").alias("anchor"), F.array(F.struct(F.lit("http://x/?q&r").alias("url"), F.lit("999999999").alias("doc_id"))).alias(inner)))
+    docs = docs.withColumn("out_links", group("targets")).withColumn("in_links", group("sources")).withColumn("crawl_time", F.lit("2007-07-31 JST"))
+    (got,) = standard_format.parse_xml(standard_format.to_xml(docs)).collect()
+    (want,) = docs.collect()
+    assert got["url"] == want["url"] and got["crawl_time"] == want["crawl_time"] and got["out_links"] == want["out_links"] and got["in_links"] == want["in_links"]
+    for a, b in zip(got["sentences"], sorted(want["sentences"], key=lambda s: s["role"] == "body")):
+        for c in ("sid", "role", "paragraph", "block_type", "offset", "length", "japanese_score", "raw_string", "is_normal", "log", "formatted", "parens", "annotations"):
+            assert a[c] == b[c], c
+    assert any(s["parens"] for s in got["sentences"]) and any(s["is_normal"] is False for s in got["sentences"])
+    assert standard_format.parse_xml(spark.createDataFrame([("no xml <",), (None,)], "xml string")).filter("url IS NULL AND sentences IS NULL").count() == 2
 
 
 def test_annotation_is_done_once_for_each_text(spark):
@@ -184,3 +206,99 @@ def test_metadata_by_alias(spark):
     meta = spark.createDataFrame([("B2", "m")], "id string, meta string")
     aliases = spark.createDataFrame([("B2", "B")], "a string, b string")
     assert {r["doc_id"]: r["meta"] for r in papers.with_metadata(docs, meta, aliases).collect()} == {"A": None, "B": "m", "C": None}
+
+
+def test_spans_are_the_sentences_own(spark):
+    """Sentences of one segment have disjoint spans; references, tags within words, controls, wide characters, br options."""
+    from sentweave.operators import spans
+
+    html = "<html><title> A &amp; B </title><p>One  fish is&nbsp;here. Tw<b>o fi</b>sh &eacute;t&#xe9; are\there! Café &lt;x&gt; &foo; done.\n\nNew para 漢字 here</p>Tail<br>\nend"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    raw = html.encode()
+    for options in ({}, {"ignore_br": True}, {"uniq_br": True}):
+        found = sentences.sentences(pages, **options)
+        rows = provenance.verify(found, pages).orderBy("offset").collect()
+        assert rows and all(r["matches"] for r in rows)
+        assert all(a["offset"] + a["length"] <= b["offset"] for a, b in zip(rows, rows[1:]))
+    own = {r["raw_string"]: raw[r["offset"] : r["offset"] + r["length"]].decode() for r in sentences.sentences(pages).collect()}
+    assert own["One fish is here."] == "One  fish is&nbsp;here." and own["Two fish été arehere!"] == "Tw<b>o fi</b>sh &eacute;t&#xe9; are\there!"
+    assert own["A & B"] == "A &amp; B" and own["Café <x> &foo; done."] == "Café &lt;x&gt; &foo; done."
+    assert spans.spans_of([(0, "abc")], ["ab"], False) == [None]  # what doesn't add up has no span
+
+
+def test_spans_of_japanese_sentences(spark):
+    html = "<p>ｶﾞｷﾞﾊﾟ です。 次の ABC&#12354;文　！（笑）終わり。 以下の、</p><p>１．あ<br>2人</p>"
+    pages = spark.createDataFrame([(1, html)], "page_id int, html string")
+    found = sentences.sentences(pages, language="japanese")
+    rows = provenance.verify(found, pages, language="japanese").orderBy("offset").collect()
+    assert len(rows) >= 5 and all(r["matches"] for r in rows)
+    assert all(a["offset"] + a["length"] <= b["offset"] for a, b in zip(rows, rows[1:]))
+    raw = html.encode()
+    assert raw[rows[0]["offset"] : rows[0]["offset"] + rows[0]["length"]].decode() == "ｶﾞｷﾞﾊﾟ です。"
+
+
+def test_a_large_japanese_page_is_linear(spark):
+    import time
+
+    page = "「これは長い文です。」と言った。（１）次へ！" * 50_000  # over a million characters, one paragraph
+    pages = spark.createDataFrame([(1, f"<p>{page}</p>")], "page_id int, html string")
+    began = time.time()
+    assert sentences.sentences(pages, language="japanese", max_chars=None).count() > 50_000
+    assert time.time() - began < 120
+
+
+def test_numbered_lines_keep_their_order(spark, tmp_path):
+    from sentweave.sources import readers
+
+    for name in "ab":
+        (tmp_path / f"{name}.txt").write_text("".join(f"# S-ID:{name}-{i} c{i}\n{name} sentence {i}\n" for i in range(500)))
+    rows = readers.sid_lines(readers.numbered_lines(spark, str(tmp_path))).collect()
+    assert {(r["sid"], r["comment"], r["str"]) for r in rows} == {(f"{n}-{i}", f"c{i}", f"{n} sentence {i}") for n in "ab" for i in range(500)}
+    (tmp_path / "r.tsv").write_text("\t".join("abcdefgh") + "\n" + "\t".join("ID1,1,2,3,4,find,imp,order".split(",")) + "\nID2\t\t\t\t\tf2\t\to2\n")
+    got = readers.medical_reports(spark, str(tmp_path / "r.tsv")).orderBy("pos").collect()
+    assert [(r["fid"], r["findings"], r["impression"], r["order_text"]) for r in got] == [("ID1", "find", "imp", "order"), ("ID2", "f2", None, "o2")]
+
+
+def test_analyses_are_limited_and_restarted(spark):
+    def make():
+        import time
+
+        uses = []
+
+        def analyze(t):
+            uses.append(t)
+            if t == "slow":
+                time.sleep(5)
+            return f"{len(uses)}"
+
+        return analyze
+
+    annotate.register_annotator("counting", make)
+    texts = spark.createDataFrame([("a",), ("b",), ("slow",), ("c",), ("d",), ("e",)], "text string").coalesce(1)
+    got = {r["text"]: (r["analysis"], r["error"]) for r in annotate.analyses(texts, "counting", seconds=0.5, restart_after=2).collect()}
+    assert got == {"a": ("1", None), "b": ("2", None), "slow": (None, "TimeLimit"), "c": ("1", None), "d": ("2", None), "e": ("1", None)}
+    rows = spark.createDataFrame([("title", "x y", "n1"), ("body", "x y", None), ("body", None, "n2")], "role string, raw_string string, note string")
+    assert {(r["role"], r["analysis"] is None) for r in annotate.annotate(rows, roles=["title"]).collect()} == {("title", False), ("body", True)}
+    noted = rows.withColumn("annotations", F.when(F.col("note").isNotNull(), F.array(F.struct(F.lit("A").alias("scheme"), F.lit("t").alias("tool"), F.col("note").alias("cdata")))).otherwise(F.array().cast("array<struct<scheme:string,tool:string,cdata:string>>")))
+    added = annotate.annotate_annotations(noted, "A", "B", "counting").collect()
+    assert sorted(len(r["annotations"]) for r in added) == [0, 2, 2]
+    xml = '<Result><Chunk Id="c0" Head="c1" Type="D"><Token Id="t0" Surf="a" Orig="a" Pos="N"/></Chunk><Chunk Id="c1" Head="c-1" Type="D"><Token Id="t1" Surf="b" Orig="b" Pos="V"/></Chunk></Result>'
+    (r,) = spark.createDataFrame([(xml,)], "x string").select(annotate.xml_chunks(F.col("x")).alias("c")).collect()
+    assert [(c["id"], c["head"], c["tokens"][0]["surf"]) for c in r["c"]] == [("c0", "c1", "a"), ("c1", "c-1", "b")]
+
+
+def test_files_for_each_document(spark, tmp_path):
+    pages = spark.createDataFrame([(7, "u", "<p>One. Two.</p>"), (8, "v", "<p></p>")], "page_id int, url string, html string")
+    docs = standard_format.assemble(sentences.sentence_ids(sentences.sentences(pages)), pages)
+    writers.xml_files(docs, str(tmp_path / "x"))
+    (one,) = (tmp_path / "x").glob("shard=000000/name=*/part-*")
+    assert one.parent.name == "name=000000007.xml" and one.read_text().startswith("<?xml") and one.read_text().count("<S ") == 2
+    links_ = spark.createDataFrame([(7, "a&b", [("http://x", "3")])], "doc_id int, anchor string, sources array<struct<url:string,doc_id:string>>")
+    writers.in_link_documents(links_, str(tmp_path / "i"))
+    (own,) = (tmp_path / "i").glob("shard=0/name=*/part-*")
+    assert "<InLink><RawString>a&amp;b</RawString>" in own.read_text()
+    (tmp_path / "VERSION").write_text("1.2\nmore")
+    assert readers.parameter(spark, str(tmp_path / "VERSION")) == "1.2"
+    from sentweave.functions import encoding
+
+    assert spark.createDataFrame([("ｱ①Ａ",), (None,)], "c string").select(encoding.normalise_nfkc(F.col("c")).alias("n")).collect()[0]["n"] == "ア1A"
