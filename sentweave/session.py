@@ -19,5 +19,9 @@ def get_spark(app: str = "sentweave", master: str | None = None, **conf: str) ->
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """A parquet table of the input folder."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A parquet table of the input folder.
+
+    One that is read by a single task (one row group, 128 MB at most) is dealt to all cores before the work on it begins.
+    """
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return found.repartition(spark.sparkContext.defaultParallelism) if found.rdd.getNumPartitions() == 1 else found
