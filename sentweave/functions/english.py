@@ -94,7 +94,7 @@ _REST = "''|\\S"
 #: One pattern for each group of languages: English contractions go with what follows the apostrophe, French and Italian ones with what
 #: precedes it, and elsewhere an apostrophe stands alone. Runs of periods stay together.
 TOKENS = {
-    "en": f"\\.{{2,}}|(?:(?<={_LETTER})'(?={_LETTER})|(?<={_NUMBER})'(?=s))?(?:{_INNER}|(?<=\\p{{Nd}})'(?={_LETTER})(?!'s))+|{_REST}",
+    "en": f"\\.{{2,}}|(?:(?<={_LETTER})'(?={_LETTER})|(?<={_NUMBER})'(?=s))?(?:{_INNER}|(?<=\\p{{Nd}})'(?!s)(?={_LETTER}))+|{_REST}",
     "fr": f"\\.{{2,}}|(?:{_INNER})+(?:(?<={_LETTER})'(?={_LETTER}))?|{_REST}",
     "other": f"\\.{{2,}}|(?:{_INNER})+|{_REST}",
 }
