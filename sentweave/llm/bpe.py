@@ -34,14 +34,14 @@ def ids_of(tokenizer, pre_token: str) -> list[int]:
 
 
 class Cache(dict):
-    """A dict that works out what it misses and starts again from its fixed entries beyond ``MAX_CACHED``."""
+    """A dict that works out what it misses and starts again from its fixed entries beyond ``most``."""
 
-    def __init__(self, work_out, fixed: dict | None = None):
+    def __init__(self, work_out, fixed: dict | None = None, most: int = MAX_CACHED):
         super().__init__(fixed or {})
-        self.work_out, self.fixed = work_out, fixed or {}
+        self.work_out, self.fixed, self.most = work_out, fixed or {}, most
 
     def __missing__(self, key):
-        if len(self) >= MAX_CACHED + len(self.fixed):
+        if len(self) >= self.most + len(self.fixed):
             self.clear()
             self.update(self.fixed)
         value = self[key] = self.work_out(key)

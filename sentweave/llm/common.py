@@ -1,5 +1,6 @@
 """Helpers that the operators share: the shared folder, materialised tables, row keys and free column names."""
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -49,6 +50,12 @@ def remove(spark: SparkSession, *paths: str) -> None:
             _WRITTEN.remove(path)
 
 
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished jobs now: it does so when the driver collects garbage, by itself every half hour."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """What is materialised within the block is deleted after it; results must have been written by then."""

@@ -7,8 +7,8 @@ classes share, so that a rare expression scores nearly alike in both. The discou
 or a single text says (``WORD_DISCOUNTS``, ``PAIR_DISCOUNT``): only repeated evidence sets the classes apart.
 
 The log-likelihood ratio of a word then comes from three tables: of its pair where that is known well enough, or else of
-the word and of the word before it. They are gathered over every labelled training row, keyed by 64-bit hashes of the
-words and as large as the corpus makes them; nothing is put in a fixed number of buckets. They are broadcast up to
+the word and of the word before it. They are gathered over every labelled training row, keyed by 48-bit hashes of the
+words (of ten million words, one pair or none meets) and as large as the corpus makes them; nothing is put in buckets. They are broadcast up to
 ``BROADCAST_KEYS`` keys; beyond, the words of the texts are joined to them by a shuffle.
 
 A text's evidence is the sum of its words' ratios beyond ``MARGIN``, over the square root of its length. A logistic
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.llm import bpe
-from sentweave.llm.common import free, materialise, remove, row_key, text_of, without
+from sentweave.llm.common import forget_shuffles, free, materialise, remove, row_key, text_of, without
 
 #: Discounts of continuation counts of 1, 2, and 3 or more; discount of the texts that hold a pair; least ratio that counts.
 WORD_DISCOUNTS, PAIR_DISCOUNT, MARGIN = (1.0, 1.5, 2.0), 3, 2.0
@@ -37,7 +37,12 @@ MAX_FITTED = 50_000
 BROADCAST_LABELS, BROADCAST_KEYS = 2_000_000, 3_000_000
 #: Parts of the texts that the curve's models leave out in turn; variant 0 of a model leaves none out.
 PARTS = 3
-_FLUSH = 2_000_000
+#: Pairs that a task counts before it hands them on, characters that a worker scores at once.
+_FLUSH, _AT_ONCE = 1_000_000, 1_000_000
+#: Buckets of word pairs in a shuffle partition.
+BUNDLES = 8
+#: Hashes of words that a worker remembers.
+_CACHED = 50_000
 _WORDS = re.compile(r"[^\W_]+").findall
 _COUNTS = [f"c{toxic}{part}" for toxic in (0, 1) for part in range(PARTS)]
 
@@ -49,7 +54,7 @@ def held_out(id_col: Column | str = "doc_id") -> Column:
 
 
 def _hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word) - (1 << 63)
+    return xxhash.xxh64_intdigest(word) >> 16
 
 
 def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -70,33 +75,73 @@ def _hashed(texts: list[str], hashes: bpe.Cache) -> tuple[np.ndarray, np.ndarray
 
 
 def pair_counts(rows: DataFrame) -> DataFrame:
-    """``(v, w, c00 …)`` of ``(text, toxic, part)`` rows: for each word pair, the texts that hold it by class and part."""
-    schema = "v bigint, w bigint, " + ", ".join(f"{c} int" for c in _COUNTS)
+    """``(v, w, c00 …)`` of ``(text, toxic, part)`` rows: for each word pair, the texts that hold it by class and part.
+
+    A task counts its pairs before they move, and moves them by the bundle: a row for each of many buckets of pairs, with their words in
+    twelve bytes each (``a``: the first and 16 bits of the second, ``b``: the rest) and their class, part and count (``c``). A
+    bucket's bundles come together sorted by bucket, so that one bucket at a time is added up.
+    """
+    buckets = BUNDLES * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def summed(parts: list[np.ndarray]) -> list[np.ndarray]:
+        """Distinct (a, b, column) and their counts, from such with counts."""
+        a, b, column, n = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((column, b, a))
+        a, b, column, n = (x[order] for x in (a, b, column, n))
+        first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (column[1:] != column[:-1])]))
+        return [a[first], b[first], column[first], np.add.reduceat(n, first)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, n = bpe.Cache(_hash), [], 0
+        hashes, held, n = bpe.Cache(_hash, most=_CACHED), [], 0
 
-        def counted() -> pa.RecordBatch:
-            key, v, w, column = (np.concatenate(x) for x in zip(*held))
-            _, first, place = np.unique(key, return_index=True, return_inverse=True)
-            found = np.bincount(place * len(_COUNTS) + column, minlength=len(first) * len(_COUNTS)).reshape(-1, len(_COUNTS)).astype(np.int32)
-            return pa.RecordBatch.from_arrays([pa.array(v[first]), pa.array(w[first]), *map(pa.array, found.T)], names=["v", "w", *_COUNTS])
+        def bundled() -> pa.RecordBatch:
+            a, b, column, times = summed(held)
+            bucket = (_pair(a, b).view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            names, first = np.unique(bucket[order], return_index=True)
+            cut = lambda x, kind: [part.tobytes() for part in np.split(x[order].astype(kind), first[1:])]
+            kinds = [pa.binary()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(names), *[pa.array(x, k) for x, k in zip((cut(a, np.int64), cut(b, np.uint32), cut(column + 8 * times, np.int32)), kinds)]], names=["bucket", "a", "b", "c"])
 
         for batch in batches:
             for text, toxic, part in zip(*(c.to_pylist() for c in batch.columns)):
                 v, w, _ = _hashed([text], hashes)
                 if len(w):
-                    key, first = np.unique(_pair(v, w), return_index=True)
-                    held.append((key, v[first], w[first], np.full(len(key), toxic * PARTS + part)))
-                    n += len(key)
+                    _, one = np.unique(_pair(v, w), return_index=True)
+                    v, w = v[one], w[one]
+                    held.append(((v << 16) | (w >> 32), w & 0xFFFFFFFF, np.full(len(one), toxic * PARTS + part), np.ones(len(one), np.int64)))
+                    n += len(one)
                 if n > _FLUSH:
-                    yield counted()
+                    yield bundled()
                     held, n = [], 0
+        if held:
+            yield bundled()
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+
+        def counted() -> pa.RecordBatch:
+            a, b, column, times = summed(held)
+            first = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])]))
+            counts = np.zeros((len(first), len(_COUNTS)), np.int64)
+            counts[np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(a)]]))), column] = times
+            a, b = a[first].view(np.uint64), b[first]
+            words = [(a >> np.uint64(16)).view(np.int64), ((a & np.uint64(0xFFFF)) << np.uint64(32)).view(np.int64) | b]
+            return pa.RecordBatch.from_arrays([*map(pa.array, words), *[pa.array(x.astype(np.int32)) for x in counts.T]], names=["v", "w", *_COUNTS])
+
+        for batch in batches:
+            for name, a, b, c in zip(*(x.to_pylist() for x in batch.columns)):
+                if name != bucket and held:
+                    yield counted()
+                    held = []
+                code = np.frombuffer(c, np.int32).astype(np.int64)
+                held.append((np.frombuffer(a, np.int64), np.frombuffer(b, np.uint32).astype(np.int64), code % 8, code // 8))
+                bucket = name
         if held:
             yield counted()
 
-    seen = rows.select("text", "toxic", "part").mapInArrow(count, schema)
-    return seen.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _COUNTS])
+    bundles = rows.select("text", "toxic", "part").mapInArrow(count, "bucket bigint, a binary, b binary, c binary")
+    return bundles.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(add_up, "v bigint, w bigint, " + ", ".join(f"{c} int" for c in _COUNTS))
 
 
 @dataclass
@@ -141,35 +186,37 @@ def ratios(pairs: DataFrame) -> Ratios:
     probable = words.select("w", *[word(y, k).alias(f"p{y}{k}") for y in (0, 1) for k in variants], F.greatest(*[F.col(f"n{y}0") for y in (0, 1)]).alias("most"))
     told = probable.filter("most > 1").select("w", all_(lambda k: F.log(F.col(f"p1{k}") / F.col(f"p0{k}"))).alias("l"))
 
-    often = counted.filter(F.greatest("c00", "c10") > PAIR_DISCOUNT)
+    often, at_often = materialise(counted.filter(F.greatest("c00", "c10") > PAIR_DISCOUNT), "toxic-often")
+    opened = often.select("v").distinct()
+    opened = F.broadcast(opened) if opened.count() <= BROADCAST_KEYS else opened
     kept = lambda x: F.least(F.col(f"c{x}"), F.lit(PAIR_DISCOUNT))
     # a context without any such pair hands all of its mass on in both classes and says nothing
-    contexts = counted.groupBy("v").agg(*[F.sum(f"c{x}").alias(f"n{x}") for x in columns], *[F.sum(kept(x)).alias(f"r{x}") for x in columns]).filter(" OR ".join(f"n{y}0 > r{y}0" for y in (0, 1)))
+    contexts = counted.join(opened, "v", "left_semi").groupBy("v").agg(*[F.sum(f"c{x}").alias(f"n{x}") for x in columns], *[F.sum(kept(x)).alias(f"r{x}") for x in columns])
     contexts, at_contexts = materialise(contexts, "toxic-contexts")
     handed_on = lambda x: (F.col(f"r{x}") + 1) / (F.col(f"n{x}") + 1)
-    opened = contexts.select("v", all_(lambda k: F.log(handed_on(f"1{k}") / handed_on(f"0{k}"))).alias("l"))
+    handed = contexts.select("v", all_(lambda k: F.log(handed_on(f"1{k}") / handed_on(f"0{k}"))).alias("l"))
     met = often.join(contexts, "v").join(probable, "w")
     both = lambda x: (F.col(f"c{x}") - kept(x) + (F.col(f"r{x}") + 1) * F.col(f"p{x}")) / (F.col(f"n{x}") + 1)
     paired, at_pairs = materialise(met.select("v", "w", all_(lambda k: F.log(both(f"1{k}") / both(f"0{k}"))).alias("l")), "toxic-ratios")
-    return Ratios(told, opened, paired, [float(np.log(left[f"1{k}"] / left[f"0{k}"])) for k in variants], [at_words, at_contexts, at_pairs])
+    remove(pairs.sparkSession, at_often)
+    return Ratios(told, handed, paired, [float(np.log(left[f"1{k}"] / left[f"0{k}"])) for k in variants], [at_words, at_contexts, at_pairs])
 
 
 class Lookup:
-    """The tables of ratios as sorted arrays, for a Python worker."""
+    """The tables of ratios of some variants as sorted arrays, for a Python worker."""
 
-    def __init__(self, found: Ratios):
-        self.unknown = np.array(found.unknown)
+    def __init__(self, found: Ratios, variants: int):
+        self.unknown, self.variants = np.array(found.unknown[:variants]), variants
         self.words = self._sorted(found.words, "w")
         self.contexts = self._sorted(found.contexts, "v")
         self.pairs = self._sorted(found.pairs, "v", "w")
 
-    @staticmethod
-    def _sorted(table: DataFrame, *keys: str) -> tuple[np.ndarray, np.ndarray]:
-        got = table.toArrow()
+    def _sorted(self, table: DataFrame, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+        got = table.select(*keys, F.slice("l", 1, self.variants).alias("l")).toArrow()
         own = [got.column(k).to_numpy() for k in keys]
         key = own[0] if len(own) == 1 else _pair(*own)
         order = np.argsort(key)
-        values = np.stack(got.column("l").to_numpy()) if len(key) else np.zeros((0, PARTS + 1))
+        values = got.column("l").combine_chunks().flatten().to_numpy().reshape(-1, self.variants)
         return key[order], values[order]
 
     @staticmethod
@@ -211,22 +258,30 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip(self.base + self.slope * self._z(x), -35, 35)))
 
 
-def _with_evidence(rows: DataFrame, found: Ratios, text: Column, variant: Column, name: str, key: list[Column], most_keys: int) -> DataFrame:
-    """``rows`` and their evidence as column ``name``: by a broadcast of the tables, or by joining the words to them."""
+def _with_evidence(rows: DataFrame, found: Ratios, text: Column, variant: Column, name: str, key: list[Column], most_keys: int, variants: int = 1) -> DataFrame:
+    """``rows`` and their evidence as column ``name``: by a broadcast of the tables (of the first ``variants``), or by joining the words to them."""
     context = rows.sparkSession.sparkContext
     if found.keys() <= most_keys:
-        sent = context.broadcast(Lookup(found))
+        sent = context.broadcast(Lookup(found, variants))
 
         def judge(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-            hashes = bpe.Cache(_hash)
+            hashes = bpe.Cache(_hash, most=_CACHED)
             for texts, variants in batches:
-                yield pa.array(sent.value.evidence(*_hashed(texts.to_pylist(), hashes), variants.to_numpy(zero_copy_only=False)))
+                own, kinds, out, i = texts.to_pylist(), variants.to_numpy(zero_copy_only=False), [np.zeros(0)], 0
+                while i < len(own):
+                    j, size = i, 0
+                    while j < len(own) and (j == i or size + len(own[j]) <= _AT_ONCE):
+                        size += len(own[j])
+                        j += 1
+                    out.append(sent.value.evidence(*_hashed(own[i:j], hashes), kinds[i:j]))
+                    i = j
+                yield pa.array(np.concatenate(out))
 
         judge.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
         return rows.withColumn(name, F.arrow_udf(judge, "double")(text, variant.cast("int")))
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = bpe.Cache(_hash)
+        hashes = bpe.Cache(_hash, most=_CACHED)
         for batch in batches:
             for k1, k2, k, t in zip(*(c.to_pylist() for c in batch.columns)):
                 v, w, _ = _hashed([t], hashes)
@@ -262,10 +317,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     first = F.broadcast(first) if n_marks <= BROADCAST_LABELS else first
     once = own.join(first, ["t", "toxic", "id"], "left_semi").select("text", "toxic", "part")
     counts, at_counts = materialise(pair_counts(once), "toxic-pairs")
+    forget_shuffles(docs.sparkSession)
     found = ratios(counts)
     remove(docs.sparkSession, at_counts)
+    forget_shuffles(docs.sparkSession)
     some = own.filter(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < 1_000_000 * MAX_FITTED // max(n_marks, MAX_FITTED)).select("id", "text", "toxic", "part")
-    got = _with_evidence(some, found, F.col("text"), F.col("part") + 1, "x", row_key(some, "id"), most_keys).select("toxic", "x").toArrow()
+    got = _with_evidence(some, found, F.col("text"), F.col("part") + 1, "x", row_key(some, "id"), most_keys, PARTS + 1).select("toxic", "x").toArrow()
     return found, Curve(got.column("x").to_numpy(), got.column("toxic").to_numpy().astype(float))
 
 
