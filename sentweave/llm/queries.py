@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sentweave.llm import decontaminate, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter
+from sentweave.llm import alignment, conversations, decontaminate, exact_dedup, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter
 from sentweave.llm.license_texts import NOTICES, SPELLINGS
 from sentweave.plans.sql import attribute, clean_path, decode_entities
 from sentweave.session import table
@@ -63,8 +63,23 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = table(spark, sf_dir, "conversations")
+    turns = conversations.damage(whole)
+    return conversations.digests(turns, conversations.audits(turns, whole))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict:
-    found = [op1_token_counts, op2_toxicity, op3_license_scan, op4_line_dedup, op5_decontamination, op6_kd_sharding, op7_packing, op8_url_filter, op9_quality, op10_simhash]
+    found = [op1_token_counts, op2_toxicity, op3_license_scan, op4_line_dedup, op5_decontamination, op6_kd_sharding, op7_packing, op8_url_filter, op9_quality, op10_simhash, op11_exact_dedup, op12_conversation_repair, op13_token_alignment]
     return {f.__name__: f for f in found}
 
 
@@ -186,5 +201,11 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND n_words - n_boilerplate_words >= {quality.MIN_KEPT} * n_words AS kept FROM base"""
 
 
+OP11_SQL = """
+WITH docs AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, first(doc_id) OVER (PARTITION BY t ORDER BY doc_id NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+ row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256 FROM docs"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_license_scan": OP3_SQL, "op4_line_dedup": OP4_SQL, "op5_decontamination": OP5_SQL, "op8_url_filter": OP8_SQL, "op9_quality": OP9_SQL}
+    return {"op3_license_scan": OP3_SQL, "op4_line_dedup": OP4_SQL, "op5_decontamination": OP5_SQL, "op8_url_filter": OP8_SQL, "op9_quality": OP9_SQL, "op11_exact_dedup": OP11_SQL}
