@@ -1,5 +1,6 @@
 """Charset decisions and transcoding: the declared charset natively, guesses and Japanese codecs over Arrow batches."""
 
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,7 @@ CHARSETS = {
     "iso-2022-jp": ("japanese", "7bit-jis"), "utf-8": ("japanese", "utf8"), "utf8": ("japanese", "utf8"),
 }
 CODECS = {"ascii": "ascii", "iso-8859-1": "cp1252", "euc-jp": "euc_jp", "shiftjis": "cp932", "7bit-jis": "iso2022_jp", "utf8": "utf-8"}
+MAGIC = b"\x1f\x8b"
 META = "(?is)<meta[^>]*charset\\s*=\\s*[\"']?\\s*([a-z0-9_-]+)"
 
 
@@ -88,19 +90,31 @@ def decode(raw: Column, encoding: Column) -> Column:
     return F.when(encoding.isin("utf8", "ascii"), F.make_valid_utf8(raw.cast("string"))).otherwise(F.arrow_udf(_decodes, "string")(raw, encoding))
 
 
-def _unzips(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    import zlib
+def unzip(raw: bytes | None) -> bytes | None:
+    """All members of gzip bytes; other bytes as they are; null for a member that is broken or cut off.
+
+    What follows the last member and isn't another one (zeros that pad a file, say) is left out.
+    """
+    if not raw or raw[:2] != MAGIC:
+        return raw
+    out, rest = [], raw
+    while rest[:2] == MAGIC:
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(rest))
+        except zlib.error:
+            return None
+        if not member.eof:
+            return None
+        rest = member.unused_data.lstrip(b"\0")
+    return b"".join(out)
+
 
+def _unzips(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
-        out = []
-        for raw in batch.to_pylist():
-            try:
-                out.append(zlib.decompress(raw, 31) if raw and raw[:2] == b"\x1f\x8b" else raw)
-            except zlib.error:
-                out.append(None)
-        yield pa.array(out, pa.binary())
+        yield pa.array([unzip(raw) for raw in batch.to_pylist()], pa.binary())
 
 
 def gunzip(raw: Column) -> Column:
-    """The content of gzip bytes; other bytes as they are; null for broken ones."""
+    """The content of gzip bytes; see :func:`unzip`."""
     return F.arrow_udf(_unzips, "binary")(raw)

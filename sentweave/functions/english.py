@@ -92,11 +92,12 @@ _LETTER, _NUMBER = "\\p{IsAlphabetic}", "[\\p{Nd}\\p{Nl}]"
 _INNER = f"[{_LETTER}\\p{{Nd}}-]|(?<!\\.)\\.(?!\\.)|(?<={_NUMBER}),(?={_NUMBER})"
 _REST = "''|\\S"
 #: One pattern for each group of languages: English contractions go with what follows the apostrophe, French and Italian ones with what
-#: precedes it, and elsewhere an apostrophe stands alone. Runs of periods stay together.
+#: precedes it, and elsewhere an apostrophe stands alone. Runs of periods stay together. The loops are possessive: nothing after
+#: them asks for a character back, and Java follows them without a call for each, so that a token may have any length.
 TOKENS = {
-    "en": f"\\.{{2,}}|(?:(?<={_LETTER})'(?={_LETTER})|(?<={_NUMBER})'(?=s))?(?:{_INNER}|(?<=\\p{{Nd}})'(?!s)(?={_LETTER}))+|{_REST}",
-    "fr": f"\\.{{2,}}|(?:{_INNER})+(?:(?<={_LETTER})'(?={_LETTER}))?|{_REST}",
-    "other": f"\\.{{2,}}|(?:{_INNER})+|{_REST}",
+    "en": f"\\.{{2,}}+|(?:(?<={_LETTER})'(?={_LETTER})|(?<={_NUMBER})'(?=s))?(?:{_INNER}|(?<=\\p{{Nd}})'(?!s)(?={_LETTER}))++|{_REST}",
+    "fr": f"\\.{{2,}}+|(?:{_INNER})++(?:(?<={_LETTER})'(?={_LETTER}))?|{_REST}",
+    "other": f"\\.{{2,}}+|(?:{_INNER})++|{_REST}",
 }
 _GROUPS = {"en": "en", "fr": "fr", "it": "fr"}
 

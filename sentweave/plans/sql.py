@@ -103,8 +103,13 @@ word_spans AS (SELECT page_id, seg_no, wn, min(off) AS a, max(off + size) AS b F
 JAPANESE = "[\\p{Hiragana}\\p{Katakana}ー\\p{Han}\\p{P}]"
 
 
+def share(found: str, of: str) -> str:
+    """A share to five decimals by whole numbers; null of nothing."""
+    return f"((200000 * {found} + {of}) // nullif(2 * {of}, 0)) / CAST(100000 AS DOUBLE)"
+
+
 def japanese_score(c: str, pattern: str = JAPANESE) -> str:
-    return f"CASE WHEN length({c}) = 0 THEN 0.0 ELSE round(len(regexp_extract_all({c}, {q(pattern)})) / CAST(length({c}) AS DOUBLE), 5) END"
+    return f"CASE WHEN length({c}) = 0 THEN 0.0 ELSE {share(f'len(regexp_extract_all({c}, {q(pattern)}))', f'length({c})')} END"
 
 
 def clean_path(path: str) -> str:

@@ -70,7 +70,7 @@ def text_filter(spark, sf_dir):
 
 
 @query(f"""WITH {_KANA_LINES}, r AS (SELECT *, len(regexp_extract_all(c, '[がをにはので]')) AS n FROM kana)
-SELECT doc_id, line_no, round(n / CAST(nullif(length(c), 0) AS DOUBLE), 5) AS ratio, round(n / CAST(nullif(2 * length(c), 0) AS DOUBLE), 5) AS halved, length(c) > 0 AND round(n / CAST(nullif(length(c), 0) AS DOUBLE), 5) > 0.005 AS japanese FROM r""")
+SELECT doc_id, line_no, {sql.share('n', 'length(c)')} AS ratio, {sql.share('n', '(2 * length(c))')} AS halved, length(c) > 0 AND {sql.share('n', 'length(c)')} > 0.005 AS japanese FROM r""")
 def particle_ratio(spark, sf_dir):
     c = F.col("c")
     return kana_lines(spark, sf_dir).select("doc_id", "line_no", japanese.particle_ratio(c).alias("ratio"), japanese.particle_ratio(c, doubled=True).alias("halved"), filters.has_particles(c).alias("japanese"))

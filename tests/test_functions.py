@@ -1,5 +1,6 @@
 """Unit cases of the column functions."""
 
+import gzip
 import random
 import re
 
@@ -32,6 +33,30 @@ def test_japanese_sentences(spark):
         assert found == ([given] if want == 1 else want)
 
 
+def test_very_long_words_and_runs_of_marks(spark):
+    n = 1_000_000
+    lines = ["a" * n, "a." * (n // 2), "1,2" * (n // 3), "it's" * (n // 4), "." * n, "'" * 999 + "a-" * n, "see " + "Zm9vYmFy" * (n // 8) + " end"]
+    for language in ("en", "fr", "de"):
+        got = run(spark, lambda c: F.transform(english.tokens(c, language), F.length), lines)
+        assert [sum(x) for x in got] == [len(x.replace(" ", "")) - (499 if x[0] == "'" else 0) for x in lines]
+        assert got[0] == [n] and got[-1] == [3, n, 3]
+    faces = run(spark, lambda c: F.transform(japanese.split_at_emoticons(c), F.length), ["（笑）" * n + "あ"])
+    assert faces == [[3 * n, 1]]
+
+
+def test_shares_round_halves_upwards(spark):
+    assert run(spark, japanese.particle_ratio, ["が" * 51 + "x" * 269, "が" + "x" * 63_999, "が" * 3, ""]) == [0.15938, 0.00002, 1.0, None]
+    assert run(spark, japanese.japanese_score, ["か" * 51 + "x" * 269, ""]) == [0.15938, 0.0]
+
+
+def test_every_member_of_a_gzip_file(spark):
+    one, two, three = (gzip.compress(x) for x in (b"one\n", b"two\n" * 9999, b""))
+    raw = [one + two + three, one + b"\0" * 512, one + b"\0" * 5 + two, one + b"garbage", one + two[:-4], one[:-9], b"plain", b"", None]
+    want = [b"one\n" + b"two\n" * 9999, b"one\n", b"one\n" + b"two\n" * 9999, b"one\n", None, None, b"plain", b"", None]
+    got = spark.createDataFrame(list(enumerate(raw)), "i int, raw binary").select("i", encoding.gunzip(F.col("raw")).alias("b")).orderBy("i").collect()
+    assert [None if r["b"] is None else bytes(r["b"]) for r in got] == want
+
+
 def test_emoticons_and_items(spark):
     assert run(spark, japanese.split_at_emoticons, ["なるほど（笑）次へ", "（爆）（笑）あ"]) == [["なるほど（笑）", "次へ"], ["（爆）（笑）", "あ"]]
     rows = spark.createDataFrame([(0, ["以下のお店、", "１．さえずり", "２．のら酒房", "は美味しいです。"]), (1, ["以下にお店を列挙します。", "１．さえずり", "２．のら酒房"])], "i int, s array<string>")
