@@ -159,7 +159,9 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, max_tokens: int = 409
     ``max_segments`` pieces and ``max_loss`` ids that bear loss. Null ids and repeated rows are documents of their own; an empty
     table gives no piece; other columns never enter.
     """
-    limits = (max_tokens, max_segments, max_loss or max_tokens)
+    limits = (max_tokens, max_segments, max_tokens if max_loss is None else max_loss)
+    if min(limits) < 1:
+        raise ValueError("limits are 1 at least")
     end = np.array([end_id], "<u4").tobytes()
 
     def whole(encode: Encoder, value) -> tuple[bytes, bytes | None]:

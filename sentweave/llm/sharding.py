@@ -5,7 +5,7 @@ each leaf is one shard of the target bytes. Dimensions are numbers worked out fr
 coordinates. Every split point is found exactly, level by level for all nodes together: bytes are summed in at most
 1,024 bins of a node, the bin with the point is picked and refined, and one row a node reaches the driver. What holds for a
 node (its dimension, its point) is joined to the rows as a small table, so that plans don't grow with the tree. The order within a
-dimension goes on through a hash of the text and a hash of the row, so ties never leave a split without a point; a cut
+dimension goes on through a hash of the text, a hash of the row and its number, so ties and repeated rows never leave a split without a point; a cut
 stays at the edge of a group of equal texts if the group is small beside a shard, and passes through it only if it is large.
 """
 
@@ -118,7 +118,9 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     t = text_of(docs, text)
     meta = _metadata(docs, text)
     rows = docs.select(docs[id_col].alias("doc_id"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t).alias("text_crc32"), F.xxhash64(t).bitwiseAND(F.lit((1 << 63) - 1)).alias("b"), *[meta[d].alias(f"d_{d}") for d in DIMENSIONS])
-    rows = rows.withColumn("c", F.xxhash64("doc_id", "b").bitwiseAND(F.lit((1 << 63) - 1)))
+    # 31 bits of the row's hash, then 32 of its number, so that a cut can pass between repeated rows; both are written once
+    number = F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit((1 << 32) - 1))
+    rows = rows.withColumn("c", F.shiftleft(F.xxhash64("doc_id", "b").bitwiseAND(F.lit((1 << 31) - 1)), 32).bitwiseOR(number))
     spark = docs.sparkSession
     now, path = materialise(rows.withColumn("node", F.lit(0).cast("bigint")), "shard-rows")
     total, n_rows = now.agg(F.sum("size"), F.count(F.lit(1))).first()

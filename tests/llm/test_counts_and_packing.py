@@ -3,7 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
-from tests.llm.conftest import odd_texts
+from tests.llm.conftest import odd_texts, sentence
 from sentweave.llm import bpe, packing, sharding, token_counts
 from sentweave.llm.queries import op6_kd_sharding, tokenizer_path
 
@@ -179,6 +179,20 @@ def test_many_shards_by_target_bytes(spark):
     assert len(rows) == 3000 and len(size) == -(-sum(size.values()) // 2000) and max(size.values()) < 2400
 
 
+@pytest.mark.parametrize("own", [5, None])
+def test_repeated_rows_larger_than_a_shard(spark, own):
+    """800 of 1,000 rows are one row again and again: they are dealt out like others."""
+    rows = [(own, "one and the same")] * 800 + [(i, sentence(i, 4)) for i in range(200)]
+    placed = sharding.kd_shards(spark.createDataFrame(rows, "doc_id int, text string").repartition(4), shards=16).collect()
+    size, same = defaultdict(int), defaultdict(int)
+    for r in placed:
+        size[r["shard"]] += r["size"]
+        same[r["shard"]] += r["size"] == 17
+    fair = sum(size.values()) / 16
+    assert len(placed) == 1000 and len(size) == 16 and all(abs(n - fair) <= 0.1 * fair + 20 for n in size.values())
+    assert max(same.values()) <= fair / 17 + 2
+
+
 def test_shards_of_odd_rows(odd, empty):
     rows = sharding.kd_shards(odd, shards=3).collect()
     assert len(rows) == odd.count() and {r["shard"] for r in rows} <= {0, 1, 2}
