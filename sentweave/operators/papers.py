@@ -1,10 +1,10 @@
 """Papers, their metadata and tags, and medical reports."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.functions import text
-
+from sentweave.sources import ordered
 
 #: Keys of reference lists and acknowledgements; what follows a + must come later in the line.
 REFERENCE_KEYS = ["参考文献", "引用文献", "文献＋pp", "文献＋pages", "文献＋Proc"]
@@ -91,13 +91,12 @@ def tags_by_both_names(tags: DataFrame, aliases: DataFrame, key: str = "fid") ->
     return tags.unionByName(named.select(*tags.columns)).distinct()
 
 
-def tag_lines(lines: DataFrame, order: str = "pos", column: str = "value") -> DataFrame:
-    """``(fid, type, pattern, string)`` of match lines, each under the paper line before it in its ``file``."""
-    upto = Window.partitionBy("file").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    fid = F.nullif(F.regexp_extract(column, "^<PAPER\\b.*source=\"?([^\".>\\s]+)", 1), F.lit(""))
-    marked = lines.withColumn("fid", F.last(fid, ignorenulls=True).over(upto)).filter(F.col(column).startswith("<MATCH"))
-    part = lambda name: F.regexp_extract(column, f"\\b{name}=\"?([^\"\\s>]+)", 1)
-    return marked.select("fid", part("type").alias("type"), part("pattern_type").alias("pattern"), F.regexp_extract(column, ">(.*)</MATCH>", 1).alias("string"))
+def tag_lines(lines: DataFrame) -> DataFrame:
+    """``(fid, type, pattern, string)`` of the match lines among ``ordered.lines``, each under the paper line before it in its file."""
+    fid = F.nullif(F.regexp_extract("value", "^<PAPER\\b.*source=\"?([^\".>\\s]+)", 1), F.lit(""))
+    marked = ordered.carry(lines.withColumn("fid", fid), last=("fid",)).filter(F.col("value").startswith("<MATCH"))
+    part = lambda name: F.regexp_extract("value", f"\\b{name}=\"?([^\"\\s>]+)", 1)
+    return marked.select("fid", part("type").alias("type"), part("pattern_type").alias("pattern"), F.regexp_extract("value", ">(.*)</MATCH>", 1).alias("string"))
 
 
 def tag_spans(tokens: Column, tag: Column) -> Column:

@@ -1,13 +1,11 @@
 """Readers of pages, crawls, articles and dictionaries; all of them are plain DataFrames."""
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sentweave.functions import encoding, text
 from sentweave.operators.filters import is_text
+from sentweave.sources import ordered
 
 HEADER_END = "(?is)\\r?\\n\\r?\\n|(?=<html)"
 
@@ -59,44 +57,6 @@ def split_pages(files: DataFrame, html: str = "html") -> DataFrame:
     return files.select(*[c for c in files.columns if c != html], F.posexplode(F.filter(F.split(html, "(?m)^(?=HTML https?://)"), lambda p: p != "")).alias("page_in_file", html))
 
 
-def _records(raw: bytes) -> Iterator[dict]:
-    """Pages of a crawl dump: ``:::URL:::``, ``:::HDR:::`` and ``:::CON:::`` records; contents are counted in bytes."""
-    at, page = 0, None
-    while at < len(raw):
-        end = raw.find(b"\n", at)
-        end = len(raw) if end < 0 else end
-        kind, _, rest = raw[at:end].partition(b" ")
-        fields = rest.split(b" ", 1)
-        at = end + 1
-        if kind == b":::URL:::":
-            page = {"url": fields[-1].decode("utf-8", "replace"), "header": "", "content": b""}
-        elif kind == b":::HDR:::" and page is not None:
-            page["header"] += fields[-1].decode("utf-8", "replace") + "\n"
-        elif kind == b":::CON:::" and page is not None and fields[0].isdigit():
-            size = int(fields[0])
-            body = fields[1] + b"\n" if len(fields) > 1 else b""
-            body += raw[at : at + max(0, size - len(body))]
-            at += max(0, size - len(fields[1]) - 1 if len(fields) > 1 else size)
-            page["content"] = body[:size]
-            yield page
-            page = None
-
-
-def crawl_dump(files: DataFrame, per_directory: int = 10_000) -> DataFrame:
-    """Pages of crawl dumps (``path``, ``content``): number in the dump, directory number, url, header, content."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("path", pa.string()), ("number", pa.int64()), ("url", pa.string()), ("header", pa.string()), ("content", pa.binary())])
-        for batch in batches:
-            for path, raw in zip(*(c.to_pylist() for c in batch.columns)):
-                rows = [{"path": path, "number": n} | page for n, page in enumerate(_records(raw or b""))]
-                for i in range(0, len(rows), 500):
-                    yield pa.RecordBatch.from_pylist(rows[i : i + 500], schema=schema)
-
-    pages = files.select("path", encoding.gunzip(F.col("content")).alias("content")).mapInArrow(split, "path string, number bigint, url string, header string, content binary")
-    return pages.withColumn("directory", F.lpad(F.floor(F.col("number") / per_directory).cast("string"), 6, "0"))
-
-
 def parameter(spark: SparkSession, path: str, default: str = "") -> str:
     """The first line of a small parameter file (a version, a crawl date)."""
     first = spark.read.text(path, wholetext=True).first()
@@ -121,28 +81,27 @@ def medical_reports(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text lines with their file and their number in it, from 0.
-
-    What is read from such files belongs together over lines, so a file is read whole, by one task; large inputs come as many files.
-    """
-    whole = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.regexp_replace("value", "\\r?\\n$", "").alias("whole"))
-    return whole.select("file", F.posexplode(F.split("whole", "\\r?\\n")).alias("pos", "value"))
+    """Text lines with their file and their number in it, from 0; a large file is read by many tasks."""
+    lines = ordered.lines(spark, path).withColumn("pos", F.lit(1).cast("bigint"))
+    return ordered.carry(lines, counts=("pos",)).select("file", (F.col("pos") - 1).alias("pos"), "value")
 
 
 def sid_lines(lines: DataFrame) -> DataFrame:
-    """``(file, pos, sid, comment, str)``: each sentence with the ``# S-ID:`` line right before it."""
-    before = F.lag("value").over(Window.partitionBy("file").orderBy("pos"))
-    rows = lines.withColumn("_h", before).filter(~F.col("value").startswith("# S-ID:") & F.col("_h").startswith("# S-ID:"))
-    return rows.select("file", "pos", F.regexp_extract("_h", "^# S-ID:(\\S+)", 1).alias("sid"), F.trim(F.regexp_replace("_h", "^# S-ID:\\S+", "")).alias("comment"), F.col("value").alias("str"))
+    """``(file, pos, sid, comment, str)`` of ``ordered.lines``: each sentence with the ``# S-ID:`` line right before it."""
+    is_header = F.col("value").startswith("# S-ID:")
+    marked = lines.withColumn("header", F.when(is_header, F.col("value"))).withColumn("pos", F.lit(1).cast("bigint"))
+    rows = ordered.carry(marked, before=("header",), counts=("pos",)).filter(~is_header & F.col("header").isNotNull())
+    return rows.select("file", (F.col("pos") - 1).alias("pos"), F.regexp_extract("header", "^# S-ID:(\\S+)", 1).alias("sid"), F.trim(F.regexp_replace("header", "^# S-ID:\\S+", "")).alias("comment"), F.col("value").alias("str"))
 
 
 def page_lines(lines: DataFrame) -> DataFrame:
-    """``(file, page, url, pos, str)`` of text with ``<PAGE URL=…>`` lines."""
+    """``(file, page, url, pos, str)`` of ``ordered.lines`` that hold ``<PAGE URL=…>`` lines."""
     is_page = F.col("value").rlike("^<PAGE URL=")
-    upto = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     url = F.when(is_page, F.regexp_extract("value", "URL=\"?([^\">]+)", 1))
-    rows = lines.withColumn("page", F.sum(is_page.cast("int")).over(upto)).withColumn("url", F.last(url, ignorenulls=True).over(upto))
-    return rows.filter(~is_page & (F.col("value") != "") & ~F.col("value").startswith("</PAGE")).select("file", "page", "url", "pos", F.col("value").alias("str"))
+    marked = lines.withColumns({"url": url, "page": is_page.cast("bigint"), "pos": F.lit(1).cast("bigint")})
+    rows = ordered.carry(marked, last=("url",), counts=("page", "pos"))
+    kept = rows.filter(~is_page & (F.col("value") != "") & ~F.col("value").startswith("</PAGE"))
+    return kept.select("file", "page", "url", (F.col("pos") - 1).alias("pos"), F.col("value").alias("str"))
 
 
 def analyzer_blocks(spark: SparkSession, path: str, charset: str = "utf8") -> DataFrame:

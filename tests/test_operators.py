@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sentweave.operators import annotate, corpus, filters, html, links, papers, provenance, sentences, standard_format
 from sentweave.plans import pipeline
-from sentweave.sources import readers, writers
+from sentweave.sources import ordered, readers, writers
 from sentweave.streaming import incremental
 
 
@@ -143,14 +143,6 @@ def test_files_and_sidecars(spark, tmp_path):
     assert {r["name"]: r["linenum"] for r in readers.archive(files).collect()} == {"a": 1, "b": 1}
 
 
-def test_crawl_dump(spark):
-    body = "<html>あ\n:::URL::: not a record</html>\n".encode()
-    dump = b":::URL::: 12 http://a/\n:::HDR::: 1 Date: Tue, 03 Jul 2007 10:00:00 GMT\n:::CON::: %d\n" % len(body) + body + b":::URL::: 9 http://b/\n:::CON::: 3\nxyz\n"
-    files = spark.createDataFrame([("f1", bytearray(dump)), ("f2", bytearray(gzip.compress(dump))), ("f3", None)], "path string, content binary")
-    got = readers.crawl_dump(files, per_directory=1).orderBy("path", "number").collect()
-    assert [(r["path"], r["url"], bytes(r["content"]), r["directory"]) for r in got] == [(f, *p) for f in ("f1", "f2") for p in (("http://a/", body, "000000"), ("http://b/", b"xyz", "000001"))]
-
-
 def test_headers_and_split_pages(spark):
     whole = "HTML http://a/ NOINDEX\nDate: Tue, 03 Jul 2007 10:00:00 GMT\n\n<html>1</html>\nHTML http://b/\n\n<html>2</html>"
     parts = readers.split_pages(spark.createDataFrame([("f", whole)], "name string, html string"))
@@ -160,18 +152,18 @@ def test_headers_and_split_pages(spark):
 
 def test_line_readers(spark, tmp_path):
     (tmp_path / "s.txt").write_text("# S-ID:1-1 note\n一文目。\n# S-ID:1-2\n二文目。\n")
-    got = readers.sid_lines(readers.numbered_lines(spark, str(tmp_path / "s.txt"))).orderBy("pos").collect()
+    got = readers.sid_lines(ordered.lines(spark, str(tmp_path / "s.txt"))).orderBy("pos").collect()
     assert [(r["sid"], r["comment"], r["str"]) for r in got] == [("1-1", "note", "一文目。"), ("1-2", "", "二文目。")]
     (tmp_path / "p.txt").write_text('<PAGE URL="http://a/">\nx\ny\n</PAGE>\n<PAGE URL="http://b/">\nz\n')
-    got = readers.page_lines(readers.numbered_lines(spark, str(tmp_path / "p.txt"))).orderBy("pos").collect()
+    got = readers.page_lines(ordered.lines(spark, str(tmp_path / "p.txt"))).orderBy("pos").collect()
     assert [(r["page"], r["url"], r["str"]) for r in got] == [(1, "http://a/", "x"), (1, "http://a/", "y"), (2, "http://b/", "z")]
     (tmp_path / "k.txt").write_text("# S-ID:1-1\nA\nEOS\n# S-ID:1-2\nB\nEOS\n", "euc_jp")
     blocks = readers.analyzer_blocks(spark, str(tmp_path / "k.txt"), "euc-jp").orderBy("sid").collect()
     assert [(r["sid"], r["blob"]) for r in blocks] == [("1-1", "# S-ID:1-1\nA\nEOS"), ("1-2", "# S-ID:1-2\nB\nEOS")]
     (tmp_path / "pre.txt").write_text("#c\nMr\nNo #NUMERIC_ONLY#\n")
     assert {(r["prefix"], r["kind"]) for r in readers.prefixes(spark, str(tmp_path / "pre.txt")).collect()} == {("Mr", 1), ("No", 2)}
-    tags = spark.createDataFrame([("f", 1, '<PAPER id=1 source=P1.txt>'), ("f", 2, "<MATCH type=T pattern_type=P>abc</MATCH>")], "file string, pos int, value string")
-    assert [tuple(r) for r in papers.tag_lines(tags).collect()] == [("P1", "T", "P", "abc")]
+    (tmp_path / "tags.txt").write_text("<PAPER id=1 source=P1.txt>\n<MATCH type=T pattern_type=P>abc</MATCH>\n")
+    assert [tuple(r) for r in papers.tag_lines(ordered.lines(spark, str(tmp_path / "tags.txt"))).collect()] == [("P1", "T", "P", "abc")]
     (tmp_path / "m.tsv").write_text("h\t1\t2\t3\t4\tf\ti\to\nA\t1\t2\t3\t4\tfind\timp\tord\n")
     assert [(r["fid"], r["findings"], r["impression"], r["order_text"]) for r in readers.medical_reports(spark, str(tmp_path / "m.tsv")).collect()] == [("A", "find", "imp", "ord")]
 
@@ -252,7 +244,7 @@ def test_numbered_lines_keep_their_order(spark, tmp_path):
 
     for name in "ab":
         (tmp_path / f"{name}.txt").write_text("".join(f"# S-ID:{name}-{i} c{i}\n{name} sentence {i}\n" for i in range(500)))
-    rows = readers.sid_lines(readers.numbered_lines(spark, str(tmp_path))).collect()
+    rows = readers.sid_lines(ordered.lines(spark, str(tmp_path))).collect()
     assert {(r["sid"], r["comment"], r["str"]) for r in rows} == {(f"{n}-{i}", f"c{i}", f"{n} sentence {i}") for n in "ab" for i in range(500)}
     (tmp_path / "r.tsv").write_text("\t".join("abcdefgh") + "\n" + "\t".join("ID1,1,2,3,4,find,imp,order".split(",")) + "\nID2\t\t\t\t\tf2\t\to2\n")
     got = readers.medical_reports(spark, str(tmp_path / "r.tsv")).orderBy("pos").collect()
