@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.operators import standard_format
+from sentweave.sources import named_files
 
 
 def xml_documents(docs: DataFrame, path: str, compression: str = "gzip", **options) -> None:
@@ -13,23 +14,23 @@ def xml_documents(docs: DataFrame, path: str, compression: str = "gzip", **optio
     xml.withColumn("shard", F.lpad(F.floor(F.col("doc_id") / 10_000).cast("string"), 6, "0")).withColumn("name", F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml"))).write.partitionBy("shard").option("compression", compression).parquet(path)
 
 
-def xml_files(docs: DataFrame, path: str, **options) -> None:
-    """One file a document, in a folder by its nine-digit name, within shards of 10,000 ids; documents without sentences have none."""
+def xml_files(docs: DataFrame, path: str, compress: bool = False, mode: str = "append", **options) -> None:
+    """One file a document by its nine-digit name (``.xml`` or ``.xml.gz``), in shards of 10,000 ids; documents without sentences have none."""
     xml = standard_format.to_xml(docs.filter(F.size("sentences") > 0), **options)
-    _files(xml.select(_shard(F.col("doc_id")).alias("shard"), F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml")).alias("name"), F.col("xml").alias("value")), path)
+    named_files.write(xml, _shard(F.col("doc_id")), _file_name(F.col("doc_id"), compress), F.col("xml"), path, mode)
 
 
 def _shard(number: Column) -> Column:
     return F.lpad(F.floor(number / 10_000).cast("string"), 6, "0")
 
 
-def _files(rows: DataFrame, path: str) -> None:
-    rows.repartition("shard", "name").write.partitionBy("shard", "name").option("lineSep", "\n").text(path)
+def _file_name(number: Column, compress: bool = False) -> Column:
+    return F.concat(F.lpad(number.cast("string"), 9, "0"), F.lit(".xml.gz" if compress else ".xml"))
 
 
-def utf8_files(pages: DataFrame, path: str) -> None:
-    """Decoded page files, one each, by their names."""
-    _files(pages.select(F.lit("0").alias("shard"), F.concat("name", F.lit(".html")).alias("name"), F.col("html").alias("value")), path)
+def utf8_files(pages: DataFrame, path: str, shards: int = 64, mode: str = "append") -> None:
+    """Decoded page files, one each, by their names, in shards by the name's hash."""
+    named_files.write(pages, F.lpad(F.pmod(F.crc32("name"), F.lit(shards)).cast("string"), 6, "0"), F.concat("name", F.lit(".html")), F.col("html"), path, mode)
 
 
 def plain_documents(docs: DataFrame, path: str, compression: str = "none") -> None:
@@ -70,6 +71,6 @@ def in_link_documents(links: DataFrame, path: str) -> None:
     """Documents of in-links alone, one file each."""
     grouped = links.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("anchor", "sources"))).alias("g"))
     body = F.concat(F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<StandardFormat><Header>'), standard_format.links_xml(F.col("g"), "InLink", "sources"), F.lit("</Header></StandardFormat>"))
-    _files(grouped.select(F.lit("0").alias("shard"), F.concat(F.lpad(F.col("doc_id").cast("string"), 9, "0"), F.lit(".xml")).alias("name"), body.alias("value")), path)
+    named_files.write(grouped, _shard(F.col("doc_id")), _file_name(F.col("doc_id")), body, path)
 
 

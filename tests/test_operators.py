@@ -283,11 +283,11 @@ def test_files_for_each_document(spark, tmp_path):
     pages = spark.createDataFrame([(7, "u", "<p>One. Two.</p>"), (8, "v", "<p></p>")], "page_id int, url string, html string")
     docs = standard_format.assemble(sentences.sentence_ids(sentences.sentences(pages)), pages)
     writers.xml_files(docs, str(tmp_path / "x"))
-    (one,) = (tmp_path / "x").glob("shard=000000/name=*/part-*")
-    assert one.parent.name == "name=000000007.xml" and one.read_text().startswith("<?xml") and one.read_text().count("<S ") == 2
+    (one,) = (tmp_path / "x").glob("*/*")
+    assert one.parent.name == "000000" and one.name == "000000007.xml" and one.read_text().startswith("<?xml") and one.read_text().count("<S ") == 2
     links_ = spark.createDataFrame([(7, "a&b", [("http://x", "3")])], "doc_id int, anchor string, sources array<struct<url:string,doc_id:string>>")
     writers.in_link_documents(links_, str(tmp_path / "i"))
-    (own,) = (tmp_path / "i").glob("shard=0/name=*/part-*")
+    (own,) = (tmp_path / "i").glob("000000/000000007.xml")
     assert "<InLink><RawString>a&amp;b</RawString>" in own.read_text()
     (tmp_path / "VERSION").write_text("1.2\nmore")
     assert readers.parameter(spark, str(tmp_path / "VERSION")) == "1.2"
