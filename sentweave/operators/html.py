@@ -9,6 +9,7 @@ window never holds more than that.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentweave.functions.text import bind
 from sentweave.operators.filters import within_bytes
 
 #: Tags that end a segment, in either form.
@@ -170,28 +171,44 @@ def mark_link_breaks(toks: DataFrame, compound_nouns: DataFrame, id_col: str = "
     return toks.join(breaks, [id_col, "pos"], "left").withColumn("break", F.coalesce("break", F.lit(False)))
 
 
-def drop_blog_template(html: Column) -> Column:
-    """Without what a common blog template puts around an entry: head, banner, navigation, footer and side blocks."""
+def blank(removed: Column) -> Column:
+    """A declaration of as many bytes as what it takes the place of (three at least): it shows nothing, and what follows keeps its place."""
+    return F.concat(F.lit("<!"), F.repeat(F.lit(" "), F.octet_length(removed) - 3), F.lit(">"))
+
+
+def drop_blog_template(html: Column, keep_places: bool = False) -> Column:
+    """Without what a common blog template puts around an entry: head, banner, navigation, footer and side blocks.
+
+    ``keep_places``: a blank declaration stands for each of them, so that offsets are those of the page as it lies.
+    """
     for pattern in ("(?is)<head\\b.*?</head>", "(?is)<div id=\"banner\">.*?</div>", "(?is)<p class=\"content-nav\">.*?</p>", "(?is)<p class=\"entry-footer\">.*?</p>"):
-        html = F.regexp_replace(html, pattern, "")
+        if keep_places:
+            removed = F.regexp_extract_all(html, F.lit(pattern), F.lit(0))
+            html = F.array_join(F.zip_with(F.split(html, pattern, -1), removed, lambda k, r: F.concat(k, F.coalesce(blank(r), F.lit("")))), "")
+        else:
+            html = F.regexp_replace(html, pattern, "")
     for name in ("trackbacks", "comments", "beta-inner"):
-        html = drop_balanced_div(html, name)
+        html = drop_balanced_div(html, name, keep_places)
     return html
 
 
-def drop_balanced_div(html: Column, name: str) -> Column:
+def drop_balanced_div(html: Column, name: str, keep_places: bool = False) -> Column:
     """Without the first div of this id or class, up to the end tag that closes it (to the end if none does)."""
     opening = f"(?is)<div\\b[^>]*(?:id|class)=[\"']{name}[\"'][^>]*>"
     at = F.regexp_instr(html, F.lit(opening))
-    pieces = F.regexp_extract_all(html.substr(at, F.length(html)), F.lit("(?is)<div\\b[^>]*>|</div\\s*>|(?:(?!</?div\\b).)+"), F.lit(0))
-    start = F.struct(F.lit(0).alias("level"), F.lit(False).alias("done"), F.lit("").alias("rest"))
+    pieces = F.regexp_extract_all(html.substr(at, F.length(html)), F.lit("(?is)<div\\b[^>]*>|</div\\s*>|[^<]+|<"), F.lit(0))
+    start = F.struct(F.lit(0).alias("level"), F.lit(0).alias("length"))
 
     def step(s: Column, p: Column) -> Column:
-        level = s["level"] + F.when(p.rlike("(?i)^<div"), 1).when(p.rlike("(?i)^</div"), -1).otherwise(0)
-        return F.struct(level.alias("level"), (s["done"] | (level == 0)).alias("done"), F.when(s["done"], F.concat(s["rest"], p)).otherwise(s["rest"]).alias("rest"))
+        level = s["level"] + F.when(p.rlike("(?i)^<div\\b"), 1).when(p.rlike("(?i)^</div"), -1).otherwise(0)
+        closed = (s["level"] == 0) & (s["length"] > 0)
+        return F.struct(F.when(closed, 0).otherwise(level).alias("level"), F.when(closed, s["length"]).otherwise(s["length"] + F.length(p)).alias("length"))
+
+    def cut(n: Column) -> Column:
+        kept = blank(html.substr(at, n)) if keep_places else F.lit("")
+        return F.concat(html.substr(F.lit(1), at - 1), kept, html.substr(at + n, F.length(html)))
 
-    rest = F.aggregate(pieces, start, step)["rest"]
-    return F.when(at > 0, F.concat(html.substr(F.lit(1), at - 1), rest)).otherwise(html)
+    return F.when(at > 0, bind(F.aggregate(pieces, start, step)["length"], cut)).otherwise(html)
 
 
 def strip_outside(html: Column) -> Column:

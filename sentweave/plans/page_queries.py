@@ -205,3 +205,29 @@ def document_pipeline(spark, sf_dir):
     """Nested documents of all pages with both link indexes; one line of figures for each."""
     docs = pipeline.documents(pages(spark, sf_dir))
     return docs.select("doc_id", "url", F.size("sentences").alias("n_sentences"), F.size("out_links").alias("n_out"), F.size("in_links").alias("n_in"))
+
+
+#: A crawler's header before each page, of several lengths; its url is another host's.
+_HEAD = "'HTML http://crawl.example/' || page_id || '/x' || repeat('é', CAST(page_id % 5 AS INT)) || chr(10) || 'Date: Tue, 03 Jul 2007 10:00:00 GMT' || chr(10) || chr(10)"
+
+
+@query(f"""WITH {_SENTENCES}, h AS (SELECT page_id, html, {_HEAD} AS head FROM pages)
+SELECT s.page_id, s.sent_no, s.raw_string, s."offset" + CASE WHEN s."offset" IS NOT NULL THEN strlen(h.head) END AS "offset", s.length,
+ decode(CAST(encode(h.head || h.html) AS BLOB)[CAST(s."offset" + strlen(h.head) AS INT) + 1:CAST(s."offset" + strlen(h.head) + s.length AS INT)]) AS source FROM sentences s JOIN h USING (page_id)""")
+def headed_provenance(spark, sf_dir):
+    """Sentences of pages that open with a crawler's header: their spans are those of the file as it lies."""
+    files = pages(spark, sf_dir).select("page_id", F.concat(F.expr(_HEAD.replace("repeat('é', CAST(page_id % 5 AS INT))", "repeat('é', int(page_id % 5))").replace("chr(10)", "'\n'")), "html").alias("html"))
+    found = pipeline.page_sentences(files, pipeline.PipelineOptions(crawler_header=True)).join(files, "page_id")
+    return found.select("page_id", "sent_no", "raw_string", "offset", "length", provenance.span(F.col("html"), F.col("offset"), F.col("length")).alias("source"))
+
+
+@query(f"""WITH {_SENTENCES}, h AS (SELECT page_id, {_HEAD} AS head FROM pages), {sql.ANCHORS.replace('FROM pages', "FROM (SELECT page_id, html, 'http://crawl.example/' || page_id || '/x' || repeat('é', CAST(page_id % 5 AS INT)) AS url FROM pages) AS pages")},
+o AS (SELECT from_id AS id, count(DISTINCT anchor) AS n, max(to_url) AS last_url FROM anchors GROUP BY 1)
+SELECT s.page_id AS doc_id, 'http://crawl.example/' || s.page_id || '/x' || repeat('é', CAST(s.page_id % 5 AS INT)) AS url, CAST(count(*) AS INT) AS n_sentences, CAST(coalesce(any_value(o.n), 0) AS INT) AS n_out, any_value(o.last_url) AS last_url
+FROM sentences s LEFT JOIN o ON o.id = s.page_id GROUP BY s.page_id""")
+def headed_documents(spark, sf_dir):
+    """Documents of such pages: the header's url is theirs, and their links are resolved against it."""
+    files = pages(spark, sf_dir).select("page_id", F.concat(F.expr(_HEAD.replace("repeat('é', CAST(page_id % 5 AS INT))", "repeat('é', int(page_id % 5))").replace("chr(10)", "'\n'")), "html").alias("html"))
+    docs = pipeline.documents(files, pipeline.PipelineOptions(crawler_header=True))
+    targets = F.flatten(F.transform("out_links", lambda o: F.transform(o["targets"], lambda t: t["url"])))
+    return docs.select("doc_id", "url", F.size("sentences").alias("n_sentences"), F.size("out_links").alias("n_out"), F.array_max(targets).alias("last_url"))

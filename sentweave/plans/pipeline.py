@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sentweave.functions import japanese
 from sentweave.operators import annotate, filters, formatter, html, links, sentences, standard_format
+from sentweave.session import unused
 from sentweave.sources import readers
 
 
@@ -34,23 +35,28 @@ class PipelineOptions:
 
 
 def prepare(pages: DataFrame, options: PipelineOptions, html_col: str = "html") -> DataFrame:
-    """Pages within the limits, without crawler headers and blog templates where these are asked for."""
+    """Pages within the limits; crawler headers and blog templates, where they are asked for, give way to blanks of as many bytes.
+
+    So every offset in a prepared page is one in the file as it lies. The header's url counts before the table's own.
+    """
     h = F.col(html_col)
     kept = pages.filter(filters.within_bytes(h, options.max_bytes) & filters.within_lines(h, options.max_lines))
     if options.crawler_header:
-        head = kept.withColumn("_h", readers.crawler_header(h))
-        url = F.coalesce("_h.url", *(["url"] if "url" in kept.columns else []))
-        kept = head.withColumn("url", url).withColumn("crawl_time", F.col("_h.crawl_time")).withColumn(html_col, F.col("_h.body")).drop("_h")
+        (own,) = unused(kept, "header")
+        kept = kept.withColumn(own, readers.crawler_header(h))
+        url, body = F.coalesce(f"{own}.url", *([F.col("url")] if "url" in kept.columns else [])), F.col(f"{own}.body")
+        removed = h.substr(F.lit(1), F.length(h) - F.length(body))
+        blanked = F.when(F.length(removed) > 0, F.concat(html.blank(removed), body)).otherwise(h)
+        kept = kept.withColumns({"url": url, "crawl_time": F.col(f"{own}.crawl_time"), html_col: blanked}).drop(own)
     if options.check_particles:
         kept = kept.filter(filters.has_particles(html.visible_text(h), options.particle_threshold))
     if options.blog:
-        kept = kept.withColumn(html_col, html.drop_blog_template(h))
+        kept = kept.withColumn(html_col, html.drop_blog_template(h, keep_places=True))
     return kept
 
 
-def page_sentences(pages: DataFrame, options: PipelineOptions = PipelineOptions(), id_col: str = "page_id") -> DataFrame:
-    """Numbered, scored and formatted sentences of the pages; annotated where an annotator is named."""
-    found = sentences.sentences(prepare(pages, options), id_col, language=options.language, max_chars=options.max_chars, ignore_br=options.ignore_br, uniq_br=options.uniq_br, compound_nouns=options.compound_nouns)
+def _prepared_sentences(ready: DataFrame, options: PipelineOptions, id_col: str) -> DataFrame:
+    found = sentences.sentences(ready, id_col, language=options.language, max_chars=options.max_chars, ignore_br=options.ignore_br, uniq_br=options.uniq_br, compound_nouns=options.compound_nouns)
     if options.min_score is not None:
         found = found.filter(F.col("japanese_score") >= options.min_score)
     found = sentences.sentence_ids(found, id_col)
@@ -61,11 +67,16 @@ def page_sentences(pages: DataFrame, options: PipelineOptions = PipelineOptions(
     return found
 
 
+def page_sentences(pages: DataFrame, options: PipelineOptions = PipelineOptions(), id_col: str = "page_id") -> DataFrame:
+    """Numbered, scored and formatted sentences of the pages; annotated where an annotator is named."""
+    return _prepared_sentences(prepare(pages, options), options, id_col)
+
+
 def documents(pages: DataFrame, options: PipelineOptions = PipelineOptions(), id_col: str = "page_id") -> DataFrame:
-    """Nested documents with their sentences and both link indexes."""
-    found = page_sentences(pages, options, id_col)
-    docs = standard_format.assemble(found, pages, id_col)
-    named = links.with_ids(links.anchors(pages, id_col), pages.select("url", F.col(id_col).alias("doc_id")))
+    """Nested documents with their sentences and both link indexes, all of the prepared pages."""
+    ready = prepare(pages, options)
+    docs = standard_format.assemble(_prepared_sentences(ready, options, id_col), ready, id_col)
+    named = links.with_ids(links.anchors(ready, id_col), ready.select("url", F.col(id_col).alias("doc_id")))
     return links.embed_links(docs, links.out_links(named), links.in_links(named))
 
 

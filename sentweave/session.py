@@ -1,6 +1,8 @@
 """Session defaults shared by the bench, the tests and the examples."""
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(app: str = "sentweave", master: str | None = None, **conf: str) -> SparkSession:
@@ -25,3 +27,25 @@ def table(spark: SparkSession, sf_dir: str, name: str):
     """
     found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return found.repartition(spark.sparkContext.defaultParallelism) if found.rdd.getNumPartitions() == 1 else found
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder, ``spark.checkpoint.dir``; a local session without one gets a temporary folder."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="sentweave-")
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names, with underscores added until no column of ``df`` has them."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
