@@ -1,18 +1,24 @@
 """Where a sentence comes from: byte spans of the page, their check, and alignment for sentences that came without."""
 
+import re
+import unicodedata
+from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sentweave.functions import text
-from sentweave.operators.html import strip_tags
+from sentweave.operators.html import TOKEN, strip_tags
 from sentweave.operators.sentences import clean_segment
 
 ROLES = ["title", "keywords", "description", "body"]
-#: Steps that an alignment may take for one sentence, and characters it may skip to find the next match.
-MAX_STEPS, MAX_SKIP = 100_000, 10
+#: Characters that the page may have more at one place of a sentence.
+MAX_SKIP = 10
+#: Lengths of the runs that anchor an alignment; the width of the band between them, and the cells that a rest may have.
+GRAMS, BAND, MAX_CELLS = (16, 8, 4), 24, 200_000
 
 
 def span(html: Column, offset: Column, length: Column) -> Column:
@@ -39,48 +45,209 @@ def padded_entities(c: Column) -> Column:
     return F.array_join(F.transform(pieces, lambda p: F.when(p.rlike("^&."), pad(p)).otherwise(p)), "")
 
 
-def _same(raw: str, page: str) -> bool:
-    return raw == page or raw == "?" or (len(page) == 1 and "!" <= page <= "~" and raw == chr(ord(page) + 0xFEE0))
+def blanked_tags(html: Column) -> Column:
+    """The page with blanks for the bytes of all that isn't text, so that the text keeps its place."""
+    toks = F.regexp_extract_all(html, F.lit(TOKEN), F.lit(0))
+    return F.array_join(F.transform(toks, lambda t: F.when(t.startswith("<") & (t != "<"), F.repeat(F.lit(" "), F.octet_length(t))).otherwise(t)), "")
+
+
+def _key(c: str) -> str:
+    """A character as alignment compares it: compatibility forms as plain ones, all dashes and long marks as one, blanks and controls as nothing."""
+    found = _KEYS.get(c)
+    if found is None:
+        plain = unicodedata.normalize("NFKC", c).translate(_FOLD)
+        found = _KEYS[c] = "".join(x for x in plain if not x.isspace() and unicodedata.category(x) != "Cc")
+    return found
+
+
+_KEYS: dict[str, str] = {}
+_FOLD = str.maketrans({**dict.fromkeys("ー―−─━‐—–ｰ", "-"), "〜": "~", "‖": "|", "∥": "|"})
+_HALF = re.compile("[ｦ-ﾝ][ﾞﾟ]|.", re.S)
+
+
+def keyed(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Comparable characters of a text with the bytes where each begins and ends; a half-width letter goes with its voicing mark."""
+    if text.isascii():
+        raw = np.frombuffer(text.encode(), np.uint8)
+        at = np.flatnonzero((raw > 32) & (raw != 127))
+        return raw[at].astype(np.uint32), at, at + 1
+    keys, starts, ends, at = [], [], [], 0
+    for m in _HALF.finditer(text):
+        size = len(m[0].encode("utf-8", "surrogatepass"))
+        for k in _key(m[0]):
+            keys.append(ord(k))
+            starts.append(at)
+            ends.append(at + size)
+        at += size
+    return np.array(keys, np.uint32), np.array(starts, np.int64), np.array(ends, np.int64)
+
+
+def _grams(x: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each run of ``k`` numbers."""
+    out = np.zeros(max(len(x) - k + 1, 0), np.uint64)
+    for i in range(k):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + (x[i : i + len(out)].astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)
+    return out
+
+
+def _unique(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Grams that occur once, in order, and where."""
+    found, at, n = np.unique(grams, return_index=True, return_counts=True)
+    return found[n == 1], at[n == 1]
+
+
+def _chain(x: np.ndarray, y: np.ndarray) -> list[int]:
+    """Places of a longest chain in which both grow; ``x`` grows already."""
+    tails, last, before = [], [], [-1] * len(y)
+    for i, v in enumerate(y.tolist()):
+        k = bisect_left(tails, v)
+        before[i] = last[k - 1] if k else -1
+        tails[k : k + 1], last[k : k + 1] = [v], [i]
+    out, i = [], last[-1] if last else -1
+    while i >= 0:
+        out.append(i)
+        i = before[i]
+    return out[::-1]
+
+
+def _banded(x: list[int], y: list[int], band: int) -> list[tuple[int, int]]:
+    """Pairs of an alignment with as many equal characters as there can be, within ``band`` of the diagonal; ``?`` in ``x`` is equal to any."""
+    m, n = len(x), len(y)
+    slope = n / m
+    low = [max(0, int(i * slope) - band) for i in range(m + 1)]
+    high = [min(n, int(i * slope) + band) for i in range(m + 1)]
+    rows = [[0] * (high[0] - low[0] + 1)]
+    at = lambda i, j: rows[i][j - low[i]] if low[i] <= j <= high[i] else -1
+    for i in range(1, m + 1):
+        row = []
+        for j in range(low[i], high[i] + 1):
+            best = at(i - 1, j)
+            if j and row:
+                best = max(best, row[-1])
+            if j and (x[i - 1] == y[j - 1] or x[i - 1] == WILD):
+                best = max(best, at(i - 1, j - 1) + 1)
+            row.append(max(best, 0))
+        rows.append(row)
+    out, i, j = [], m, high[m]
+    while i and j >= low[i]:
+        here = at(i, j)
+        if j > low[i] and at(i, j - 1) == here:
+            j -= 1
+        elif at(i - 1, j) == here and low[i - 1] <= j <= high[i - 1]:
+            i -= 1
+        elif j:
+            i, j = i - 1, j - 1
+            out.append((i, j))
+        else:
+            break
+    return out[::-1]
+
+
+WILD = ord("?")
+
+
+def _matched(x: np.ndarray, y: np.ndarray, sizes: tuple[int, ...] = GRAMS) -> np.ndarray:
+    """For each character of ``x`` its place in ``y``, -1 without one; places grow.
+
+    Runs that are unique on both sides anchor it, long ones first, then shorter ones between them; small rests are aligned within a band.
+    """
+    to = np.full(len(x), -1, np.int64)
+    todo = [(0, len(x), 0, len(y), 0)]
+    while todo:
+        xa, xb, ya, yb, level = todo.pop()
+        while xa < xb and ya < yb and x[xa] == y[ya]:
+            to[xa] = ya
+            xa, ya = xa + 1, ya + 1
+        while xa < xb and ya < yb and x[xb - 1] == y[yb - 1]:
+            xb, yb = xb - 1, yb - 1
+            to[xb] = yb
+        if xa == xb or ya == yb:
+            continue
+        if level == len(sizes):
+            if (xb - xa) * (yb - ya) <= MAX_CELLS or abs((yb - ya) - (xb - xa)) <= BAND:
+                for i, j in _banded(x[xa:xb].tolist(), y[ya:yb].tolist(), max(BAND, min(yb - ya, MAX_CELLS // (xb - xa)))):
+                    to[xa + i] = ya + j
+            else:
+                at = y[ya:yb].tobytes().find(x[xa:xb].tobytes())
+                if at >= 0 and at % 4 == 0:
+                    to[xa:xb] = np.arange(xb - xa) + ya + at // 4
+            continue
+        k = sizes[level]
+        (gx, px), (gy, py) = _unique(_grams(x[xa:xb], k)), _unique(_grams(y[ya:yb], k))
+        _, ix, iy = np.intersect1d(gx, gy, assume_unique=True, return_indices=True)
+        px, py = px[ix], py[iy]
+        order = np.argsort(px)
+        px, py = px[order] + xa, py[order] + ya
+        at_x, at_y = xa, ya
+        for c in _chain(px, py):
+            i, j = int(px[c]), int(py[c])
+            if i < at_x and j - i == at_y - at_x:  # goes on along the same diagonal
+                i, j = at_x, at_y
+            elif i < at_x or j < at_y:
+                continue
+            till = int(px[c]) + k
+            if i > at_x or j > at_y:
+                todo.append((at_x, i, at_y, j, level + 1))
+            to[i:till] = np.arange(j, j + till - i)
+            at_x, at_y = till, j + till - i
+        todo.append((at_x, xb, at_y, yb, level + 1))
+    return to
 
 
 def align(raws: list[str], page: str) -> list[tuple[int, int]]:
     """Byte ``(offset, length)`` of each sentence in the page text, in order; ``(-1, -1)`` where it isn't found.
 
-    Blanks count on neither side; a half-width page character matches its full-width form; the page may have up to
-    ``MAX_SKIP`` characters more at one place.
+    Blanks count on neither side, widths, long marks and dashes are as one, ``?`` stands for any character. Within a sentence the page
+    may have up to ``MAX_SKIP`` characters more at a place, and at most one character in a row may lack there. Empty sentences aren't found.
     """
-    sizes = [0]
-    for ch in page:
-        sizes.append(sizes[-1] + len(ch.encode()))
-    out, at = [], 0
-    for raw in raws:
-        want = [c for c in raw if not c.isspace()]
-        start = end = None
-        i, k, steps = at, 0, 0
-        while k < len(want) and i < len(page) and steps < MAX_STEPS:
-            steps += 1
-            if page[i].isspace():
-                i += 1
-            elif _same(want[k], page[i]):
-                start = i if start is None else start
-                end = i = i + 1
-                k += 1
-            elif start is None:
-                i += 1
-            else:
-                ahead = next((j for j in range(i + 1, min(i + 1 + MAX_SKIP, len(page))) if _same(want[k], page[j])), None)
-                if ahead is None:
-                    i, k, start = start + 1, 0, None
-                else:
-                    i = ahead
-        if want and k == len(want):
-            out.append((sizes[start], sizes[end] - sizes[start]))
-            at = end
+    y, starts, ends = keyed(page)
+    parts = [keyed(r)[0] for r in raws]
+    to = _matched(np.concatenate([np.zeros(0, np.uint32), *parts]), y)
+    firsts = np.concatenate([[0], np.cumsum([len(p) for p in parts])]).astype(np.int64)
+    out, low = [], 0
+    for p, a, b in zip(parts, firsts[:-1], firsts[1:]):
+        own = to[a:b]
+        if len(p) and (own >= 0).any() and not _whole(own):
+            after = to[b:][to[b:] >= 0][:1]
+            own = _gathered(p.tolist(), own, y, low, int(after[0]) if len(after) else len(y))
+        if _whole(own):
+            places = own[own >= 0]
+            low = int(places[-1]) + 1
+            out.append((int(starts[places[0]]), int(ends[places[-1]] - starts[places[0]])))
         else:
             out.append((-1, -1))
     return out
 
 
+def _whole(own: np.ndarray) -> bool:
+    """A sentence's places are all there, but for single characters, and near each other."""
+    have = np.flatnonzero(own >= 0)
+    if 2 * len(have) <= len(own):
+        return False
+    return bool(have[0] <= 1 and have[-1] >= len(own) - 2 and (np.diff(have) <= 2).all() and (np.diff(own[have]) <= MAX_SKIP + 1).all())
+
+
+def _gathered(x: list[int], own: np.ndarray, y: np.ndarray, low: int, high: int) -> np.ndarray:
+    """The sentence's places again, step by step from its longest part that lies together, between its neighbours' places.
+
+    Before or after a stretch that only the page has, single characters may have been taken from that stretch's other end.
+    """
+    have = np.flatnonzero(own >= 0)
+    cuts = np.flatnonzero((np.diff(own[have]) > MAX_SKIP + 1) | (np.diff(have) > 2)) + 1
+    core = max(np.split(have, cuts), key=len)
+    out = np.full(len(x), -1, np.int64)
+    out[core] = own[core]
+    for step, first, edge in ((-1, int(core[0]), low - 1), (1, int(core[-1]), high)):
+        i, j = first + step, int(own[first]) + step
+        while 0 <= i < len(x) and j != edge and (edge - j) * step > 0:
+            ahead = next((k for k in range(j, j + step * (MAX_SKIP + 1), step) if (edge - k) * step > 0 and (y[k] == x[i] or x[i] == WILD)), None)
+            if ahead is not None:
+                out[i] = ahead
+                j = ahead + step
+            i += step
+    return out
+
+
 def _aligned(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
     kind = pa.list_(pa.struct([("offset", pa.int64()), ("length", pa.int64())]))
     for raws, pages in batches:

@@ -1,8 +1,8 @@
 """All queries over the reference's operations, by name, and their SQL."""
 
-from sentweave.plans import corpus_queries, link_queries, page_queries, text_queries
+from sentweave.plans import corpus_queries, file_queries, link_queries, page_queries, text_queries
 
-MODULES = (page_queries, text_queries, link_queries, corpus_queries)
+MODULES = (page_queries, text_queries, link_queries, corpus_queries, file_queries)
 
 
 def queries() -> dict:
