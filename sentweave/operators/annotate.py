@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentweave.functions.text import bind
+from sentweave.session import unused
 
 MAX_CHARS = 130
 DIGITS = "[０-９0-9　 ]{10,}"
@@ -115,6 +116,72 @@ def analyses(texts: DataFrame, name: str = "rules", column: str = "text", second
     return texts.select(F.col(column).alias("text")).mapInArrow(run, "text string, analysis string, error string")
 
 
+def bisected(analyze: Callable[[list[str]], list[str]], again: Callable[[], Callable], sentences: list[str], seconds: float | None = None) -> tuple[list[str | None], list[tuple[int, str]], int]:
+    """Analyses of a document's sentences by an analyser that takes them together: ``(analyses, [(place, error)], runs)``.
+
+    A run that fails is halved until the one sentence is found that it fails on, which is cut out and logged; where the first half is well,
+    the fault is in the second, which isn't tried whole again. After a failure the analyser is made anew by ``again``.
+    """
+    done: list[str | None] = [None] * len(sentences)
+    failed: list[tuple[int, str]] = []
+    runs, todo = 0, [(0, len(sentences), None)]
+    while todo:
+        a, b, error = todo.pop()
+        if a == b:
+            continue
+        if error is None:
+            runs += 1
+            try:
+                with _limited(seconds):
+                    found = analyze(sentences[a:b])
+                if len(found) != b - a:
+                    raise ValueError("an analysis is missing")
+                done[a:b] = found
+                continue
+            except Exception as e:  # noqa: BLE001  an analyser may raise anything; the log says what
+                error, analyze = type(e).__name__, again()
+        if b - a == 1:
+            failed.append((a, error))
+            continue
+        mid, before = (a + b) // 2, runs
+        first, wrong, n = bisected(analyze, again, sentences[a:mid], seconds)
+        runs = before + n
+        done[a:mid] = first
+        failed += [(a + i, e) for i, e in wrong]
+        todo.append((mid, b, None if wrong else error))
+    return done, failed, runs
+
+
+def analyse_documents(docs: DataFrame, name: str, sentences: str = "sentences", seconds: float | None = 60, restart_after: int | None = 250) -> DataFrame:
+    """Adds ``analyses`` (null for a sentence that was cut out), ``failed`` (``place``, ``error``) and ``runs`` to documents with an array of sentences.
+
+    The analyser of this name takes all sentences of a document at once, a list, and gives as many analyses; see :func:`bisected`. A run may
+    take ``seconds``. Null sentences are empty ones, a null array has no analyses.
+    """
+    make = annotator(name)
+    (made,) = unused(docs, "made")
+    log = pa.list_(pa.struct([("place", pa.int32()), ("error", pa.string())]))
+    kind = pa.struct([("analyses", pa.list_(pa.string())), ("failed", log), ("runs", pa.int32())])
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        analyze, used = make(), 0
+        for batch in batches:
+            out = []
+            for said in batch.to_pylist():
+                if restart_after and used >= restart_after:
+                    analyze, used = make(), 0
+                done, failed, n = bisected(analyze, make, [x or "" for x in said or []], seconds)
+                used += n
+                if failed:
+                    analyze, used = make(), 0
+                out.append({"analyses": None if said is None else done, "failed": [{"place": i, "error": e} for i, e in failed], "runs": n})
+            yield pa.array(out, kind)
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    found = F.arrow_udf(run, "struct<analyses:array<string>,failed:array<struct<place:int,error:string>>,runs:int>")(F.col(sentences))
+    return docs.withColumn(made, found).select(*docs.columns, f"{made}.analyses", f"{made}.failed", f"{made}.runs")
+
+
 def annotate(found: DataFrame, name: str = "rules", column: str = "raw_string", cache: DataFrame | None = None, condition: Column | None = None, roles: list[str] | None = None, **limits) -> DataFrame:
     """Adds ``analysis`` and ``error``: each distinct wanted text is analysed once, texts of ``cache`` (text, analysis) not at all.
 
