@@ -252,29 +252,6 @@ def lemmatize(forms: DataFrame, table: DataFrame, form: str = "form", pos: str =
     return forms.join(known, [form, pos], "left").withColumn("lemma", F.coalesce("_lemma", F.lower(F.col(form)))).drop("_lemma")
 
 
-def knp_chunks(blob: Column) -> Column:
-    """Chunks of dependency-analyser text: ``* <head><type>`` lines open a chunk, other lines are its tokens."""
-    lines = F.filter(F.split(blob, "\n"), lambda x: ~x.rlike("^(#|EOS|\\+|$)"))
-    empty = F.array().cast("array<struct<id:string,head:string,type:string,tokens:array<struct<surf:string,read:string,orig:string,pos:string>>>>")
-    part = lambda x, i: F.coalesce(F.get(F.split(x, " "), F.lit(i)), F.lit(""))
-
-    def add(out: Column, x: Column) -> Column:
-        opened = F.struct(F.concat(F.lit("c"), F.size(out).cast("string")).alias("id"), F.concat(F.lit("c"), F.regexp_extract(x, "^\\* (-?\\d+)", 1)).alias("head"), F.regexp_extract(x, "^\\* -?\\d+([A-Z])", 1).alias("type"), F.array().cast("array<struct<surf:string,read:string,orig:string,pos:string>>").alias("tokens"))
-        token = F.struct(part(x, 0).alias("surf"), part(x, 1).alias("read"), part(x, 2).alias("orig"), part(x, 3).alias("pos"))
-        last = F.get(out, F.size(out) - 1)
-        more = F.struct(last["id"].alias("id"), last["head"].alias("head"), last["type"].alias("type"), F.array_append(last["tokens"], token).alias("tokens"))
-        return F.when(x.startswith("* "), F.array_append(out, opened)).when(F.size(out) == 0, out).otherwise(F.array_append(F.slice(out, F.lit(1), F.greatest(F.size(out) - 1, F.lit(0))), more))
-
-    return F.aggregate(lines, empty, add)
-
-
-def case_arguments(feature: Column) -> Column:
-    """``map<case, argument>`` of a case-analysis feature such as ``ガ/C/太郎/0;ヲ/C/本/1``; unknown cases are left out."""
-    parts = F.filter(F.split(feature, ";"), lambda x: F.get(F.split(x, "/"), F.lit(0)).isin(*CASES) & (F.size(F.split(x, "/")) >= 3))
-    names = F.create_map(*[F.lit(x) for p in CASES.items() for x in p])
-    return F.map_from_entries(F.transform(parts, lambda x: F.struct(names[F.get(F.split(x, "/"), F.lit(0))], F.get(F.split(x, "/"), F.lit(2)))))
-
-
 def add_annotation(annotations: Column, scheme: str, tool: str, cdata: Column, replace: bool = True) -> Column:
     """Annotations with one more; one of the same scheme is replaced, or (``replace=False``) kept as it is."""
     new = F.struct(F.lit(scheme).alias("scheme"), F.lit(tool).alias("tool"), cdata.alias("cdata"))

@@ -1,0 +1,202 @@
+"""Dependency-analyser text as a chunk tree: chunks and tokens, predicates with their arguments, synonym nodes, XML and long sentences.
+
+A text's lines are read once, in order. Heads are followed by pointer jumping: each round doubles how far every chunk sees, so
+that the roots of a tree are known after the logarithm of its chunks; what then still has no root is in a circle.
+"""
+
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from sentweave.operators.annotate import CASES
+from sentweave.operators.standard_format import _attributes
+
+#: The case names beside CASES that predicates have; features that say what a chunk or a word is.
+CASE_NAMES = CASES | {"ガ２": "ga2"}
+_CHUNK = re.compile(r"^([*+]) (-?\d+)([A-Z])(?: (.*))?$")
+_SYNONYM = re.compile(r"^! (\d+(?:,\d+)*) .*?<SYNID:([^>]+)>(?:.*?<スコア:([^>]+)>)?")
+_CASE_RESULT, _CONTENT = re.compile(r'<格解析結果:([^\s">]+)'), re.compile("<(?:準)?内容語>")
+_REPRESENTED, _CATEGORY = re.compile(r'<(?:疑似)?代表表記:([^\s">]+)'), re.compile("<((?:用言|体言)[^>]*)>")
+#: Marks of strong boundaries, with the word that opens what goes (its base form and part of speech) and what is put in its place.
+BOUNDARIES = {"<ID:〜が>": ("が", "助詞", ""), "<ID:〜であり>": ("だ", "判定詞", "だ"), "<ID:〜ており>": ("おる", "接尾辞", "いる")}
+
+_SYN = "struct<synid:string,wordid:string,score:string>"
+_TOKEN = f"struct<id:string,surf:string,orig:string,read:string,rep:string,pos1:string,pos2:string,pos3:string,pos4:string,content:boolean,feature:string,predicate:array<struct<case:string,token:string>>,synnodes:array<{_SYN}>>"
+_TREE = f"struct<score:double,chunks:array<struct<id:string,head:string,type:string,category:string,feature:string,root:string,tokens:array<{_TOKEN}>>>>"
+_STR = pa.string()
+_PA_SYN = pa.list_(pa.struct([("synid", _STR), ("wordid", _STR), ("score", _STR)]))
+_PA_TOKEN = pa.struct([*((c, _STR) for c in ("id", "surf", "orig", "read", "rep", "pos1", "pos2", "pos3", "pos4")), ("content", pa.bool_()), ("feature", _STR), ("predicate", pa.list_(pa.struct([("case", _STR), ("token", _STR)]))), ("synnodes", _PA_SYN)])
+_PA_TREE = pa.struct([("score", pa.float64()), ("chunks", pa.list_(pa.struct([*((c, _STR) for c in ("id", "head", "type", "category", "feature", "root")), ("tokens", pa.list_(_PA_TOKEN))])))])
+
+
+def roots(heads: list[int]) -> list[int]:
+    """The root of each node by pointer jumping; a head outside the nodes makes a root, a node whose way ends in a circle has -1."""
+    n = len(heads)
+    own = np.arange(n)
+    at = np.array(heads, np.int64)
+    at = np.where((at < 0) | (at >= n), own, at)
+    top = at == own
+    top &= (np.array(heads) != own) if n else top  # who hangs on itself is a circle
+    for _ in range(max(n - 1, 0).bit_length() + 1):
+        at = at[at]
+    return np.where(top[at], at, -1).tolist() if n else []
+
+
+def _word(line: str, number: int) -> dict:
+    fields = line.split(" ")
+    feature = line[line.index(" <") + 1 :] if " <" in line else ""
+    get = lambda i: fields[i] if i < len(fields) and not fields[i].startswith("<") else ""
+    star = lambda i: None if get(i) in ("", "*") else get(i)
+    rep = _REPRESENTED.search(feature)
+    return {
+        "id": f"t{number}", "surf": fields[0], "read": get(1), "orig": get(2), "pos1": get(3), "pos2": star(5), "pos3": star(7), "pos4": star(9),
+        "rep": rep[1] if rep else f"{get(2)}/{get(2)}", "content": bool(_CONTENT.search(feature)), "feature": feature, "predicate": [], "synnodes": [],
+    }
+
+
+def _cases(feature: str) -> list[tuple[str, int]]:
+    """``(case, chunk)`` of a case analysis's filled cases."""
+    found = _CASE_RESULT.search(feature)
+    parts = found[1].split(":", 2)[2] if found and found[1].count(":") > 1 else ""
+    out = {}
+    for c in parts.split(";"):
+        fields = c.split("/")
+        if len(fields) > 3 and fields[3].isdigit() and fields[0] in CASE_NAMES:
+            out[CASE_NAMES[fields[0]]] = int(fields[3])
+    return list(out.items())
+
+
+def tree_of(blob: str) -> dict:
+    """An analysis as its tree. Chunks are the ``+`` lines, or the ``*`` lines where there are none; an argument is the last content word of its chunk.
+
+    Arguments that name no chunk, or one without a content word, are left out; so are lines before the first chunk. What follows EOS isn't read.
+    """
+    lines = blob.split("\n")
+    lines = lines[: lines.index("EOS")] if "EOS" in lines else lines
+    mark = "+" if any(_CHUNK.match(x) and x[0] == "+" for x in lines) else "*"
+    score, chunks, words, synonyms, heads = None, [], [], [], []
+    for x in lines:
+        m = _CHUNK.match(x)
+        if m:
+            if m[1] == mark:
+                feature = m[4] or ""
+                category = _CATEGORY.search(feature)
+                heads.append(int(m[2]))
+                chunks.append({"id": f"c{len(chunks)}", "type": m[3], "category": category[1] if category else "NONE", "feature": feature.replace(category[0], "", 1) if category else feature, "tokens": []})
+        elif x.startswith("#"):
+            found = re.search(r"SCORE:(-?[\d.]+)", x)
+            score = float(found[1]) if found and found[1].count(".") < 2 and found[1] != "." else score
+        elif x.startswith("!! "):
+            continue
+        elif (m := _SYNONYM.match(x)) and chunks:
+            synonyms.append((m[1].split(","), m[2], m[3]))
+        elif x and chunks:
+            words.append(_word(x, len(words)))
+            chunks[-1]["tokens"].append(words[-1])
+    head_word = {i: next((t["id"] for t in reversed(c["tokens"]) if t["content"]), None) for i, c in enumerate(chunks)}
+    for i, (c, top) in enumerate(zip(chunks, roots(heads))):
+        c["head"] = f"c{heads[i]}" if 0 <= heads[i] < len(chunks) else "c-1"
+        c["root"] = f"c{top}" if top >= 0 else None
+        found = [{"case": k, "token": head_word[j]} for k, j in _cases(c["feature"]) if head_word.get(j)]
+        for t in c["tokens"]:
+            t["predicate"] = found if t["content"] else []
+    for ids, synid, points in synonyms:
+        if int(ids[-1]) < len(words):
+            words[int(ids[-1])]["synnodes"].append({"synid": synid, "wordid": ",".join(f"t{i}" for i in ids), "score": points})
+    return {"score": score, "chunks": chunks}
+
+
+def _over(work, kind: pa.DataType):
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if v is None else work(v) for v in batch.to_pylist()], kind)
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return run
+
+
+def tree(blob: Column) -> Column:
+    """The chunk tree of an analysis; null for null. See :func:`tree_of`."""
+    return F.arrow_udf(_over(tree_of, _PA_TREE), _TREE)(blob)
+
+
+def predicates(parsed: Column) -> Column:
+    """``array<struct<token,case,argument>>`` of a tree: every predicate's filled cases with the words that fill them."""
+    words = F.flatten(F.transform(parsed["chunks"], lambda c: c["tokens"]))
+    return F.flatten(F.transform(words, lambda t: F.transform(t["predicate"], lambda p: F.struct(t["id"].alias("token"), p["case"].alias("case"), p["token"].alias("argument")))))
+
+
+def to_xml(parsed: Column, simple: bool = False) -> Column:
+    """The tree as an ``Annotation`` element: chunks, tokens, predicates and synonym nodes; ``simple`` leaves categories and features out."""
+
+    def token(t: Column) -> Column:
+        cases = F.array_join(F.transform(t["predicate"], lambda p: F.concat(F.lit(" "), p["case"], F.lit('="'), p["token"], F.lit('"'))), "")
+        inner = F.concat(
+            F.when(F.size(t["predicate"]) > 0, F.concat(F.lit("<Predicate"), cases, F.lit("/>"))).otherwise(""),
+            F.array_join(F.transform(t["synnodes"], lambda s: F.concat(F.lit("<synnode"), _attributes(synid=s["synid"], wordid=s["wordid"], score=s["score"]), F.lit("/>"))), ""),
+        )
+        more = {} if simple else {"content_p": t["content"].cast("int"), "feature": t["feature"]}
+        names = _attributes(id=t["id"], surf=t["surf"], orig=t["orig"], read=t["read"], repname=t["rep"], pos1=t["pos1"], pos2=t["pos2"], pos3=t["pos3"], pos4=t["pos4"], **more)
+        return F.concat(F.lit("<Token"), names, F.lit(">"), inner, F.lit("</Token>"))
+
+    def chunk(c: Column) -> Column:
+        more = {} if simple else {"category": c["category"], "feature": c["feature"]}
+        return F.concat(F.lit("<Chunk"), _attributes(id=c["id"], head=c["head"], type=c["type"], **more), F.lit(">"), F.array_join(F.transform(c["tokens"], token), ""), F.lit("</Chunk>"))
+
+    score = _attributes() if simple else _attributes(score=parsed["score"])
+    return F.concat(F.lit("<Annotation"), score, F.lit(">"), F.array_join(F.transform(parsed["chunks"], chunk), ""), F.lit("</Annotation>"))
+
+
+def from_xml(xml: Column) -> Column:
+    """``array<struct<id,head,type,tokens<id,surf,predicate map,synids>>>`` of such an element; null for what is no XML."""
+    cases = ", ".join(f"_{c}: STRING" for c in CASE_NAMES.values())
+    tokens = f"ARRAY<STRUCT<_id: STRING, _surf: STRING, Predicate: STRUCT<{cases}>, synnode: ARRAY<STRUCT<_synid: STRING, _wordid: STRING, _score: STRING>>>>"
+    read = F.from_xml(xml, f"Chunk ARRAY<STRUCT<_id: STRING, _head: STRING, _type: STRING, Token: {tokens}>>", {"mode": "PERMISSIVE"})["Chunk"]
+
+    def token(t: Column) -> Column:
+        filled = F.array(*[F.struct(F.lit(c).alias("case"), t["Predicate"][f"_{c}"].alias("token")) for c in CASE_NAMES.values()])
+        return F.struct(t["_id"].alias("id"), t["_surf"].alias("surf"), F.map_from_entries(F.filter(filled, lambda p: p["token"].isNotNull())).alias("predicate"), F.coalesce(F.transform(t["synnode"], lambda s: s["_synid"]), F.array().cast("array<string>")).alias("synids"))
+
+    return F.transform(read, lambda c: F.struct(c["_id"].alias("id"), c["_head"].alias("head"), c["_type"].alias("type"), F.transform(c["Token"], token).alias("tokens")))
+
+
+def long_parts(sentence: str, blob: str | None, least: int = 70, low: float = 0.3, high: float = 0.7) -> list[str]:
+    """A sentence of ``least`` characters or more in two, at the first strong boundary whose chunk begins within the middle part.
+
+    The first half ends before the boundary's word, with what stands for it and a full stop; the rest of that chunk goes. Otherwise the sentence as it is.
+    """
+    n = len(sentence)
+    if n < least or blob is None:
+        return [sentence]
+    at, said = 0, []
+    chunks = tree_of(blob)["chunks"]
+    for k, c in enumerate(chunks):
+        if at > n * high:
+            break
+        mark = next((b for name, b in BOUNDARIES.items() if name in c["feature"]), None) if at > n * low else None
+        if mark:
+            orig, pos, instead = mark
+            for t in c["tokens"]:
+                if t["orig"] == orig and t["pos1"] == pos:
+                    break
+                said.append(t["surf"])
+            rest = "".join(t["surf"] for later in chunks[k + 1 :] for t in later["tokens"])
+            return ["".join(said) + instead + "。", rest]
+        said += [t["surf"] for t in c["tokens"]]
+        at += sum(len(t["surf"]) for t in c["tokens"])
+    return [sentence]
+
+
+def split_long(sentence: Column, blob: Column, least: int = 70) -> Column:
+    """The parts of a sentence by its analysis; see :func:`long_parts`. Without an analysis, or a short one, the sentence alone."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for said, found in batches:
+            yield pa.array([None if s is None else long_parts(s, b, least) for s, b in zip(said.to_pylist(), found.to_pylist())], pa.list_(_STR))
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "array<string>")(sentence, blob)

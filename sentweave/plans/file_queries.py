@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sentweave.functions import encoding, text
-from sentweave.operators import formatter, html, links, papers, provenance, sentences
+from sentweave.operators import formatter, html, knp, links, papers, provenance, sentences
 from sentweave.operators.dictionary import Dictionary
 from sentweave.plans import sql
 from sentweave.plans.page_queries import _SENTENCES
@@ -311,3 +311,42 @@ def dictionary_marks(spark, sf_dir):
     """Where the longest entries of a dictionary of phrases stand in the documents; tested by brute force."""
     marks = Dictionary(phrases(spark, sf_dir), kind="kind").marks(F.lower(F.coalesce("text", F.lit(""))))
     return table(spark, sf_dir, "documents").select("doc_id", F.explode(marks).alias("m")).select("doc_id", "m.*")
+
+
+# ---- trees of analyser text ----
+
+_WORDS_OF = "regexp_extract_all(translate(line, '#*+!<>/:;\"', '＃＊＋！＜＞／：；”'), '[^\\x{3000}\\s]+')"
+_TREES = f"""{_LINES}, w AS (SELECT doc_id, i AS line_no, {_WORDS_OF} AS w FROM lines), k AS (SELECT doc_id, line_no, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS j FROM w)"""
+
+
+def trees(spark, sf_dir):
+    """Lines of the documents as if analysed: a word a chunk that hangs on the next one, every fourth a predicate with two cases."""
+    marks = F.translate("line", '#*+!<>/:;"', "＃＊＋！＜＞／：；”")
+    words = F.regexp_extract_all(marks, F.lit("[^\\u3000\\s]+"), F.lit(0))
+
+    def chunk(w, j):
+        head = F.when(j + 1 < F.size("w"), j + 1).otherwise(-1).cast("string")
+        cases = F.concat(F.lit("<用言:動><格解析結果:x/x:動1:ガ/C/x/"), (j - 1).cast("string"), F.lit("/0/1;ヲ/U/-/-/-/-;ニ/C/y/"), (j - 3).cast("string"), F.lit("/0/2;？/C/z/0/0/1>"))
+        content = F.when(j % 5 != 0, "<内容語>").otherwise("<付属>")
+        return F.concat(F.lit("+ "), head, F.lit("D "), F.when(j % 4 == 3, cases).otherwise("<体言>"), F.lit("\n"), w, F.lit(" x "), w, F.lit(" 名詞 6 * 0 * 0 * 0 NIL "), content)
+
+    rows = lines(spark, sf_dir).select("doc_id", F.col("i").alias("line_no"), words.alias("w"))
+    blob = F.concat(F.lit("# S-ID:1 SCORE:-1.5\n"), F.array_join(F.transform("w", chunk), "\n"), F.lit("\nEOS"))
+    return rows.select("doc_id", "line_no", blob.alias("blob"))
+
+
+@query(f"""WITH {_TREES}, p AS (SELECT doc_id, line_no, j, unnest(['ga', 'ni']) AS "case", unnest([j - 1, j - 3]) AS a FROM k WHERE j % 4 = 3 AND j % 5 <> 0)
+SELECT doc_id, line_no, 't' || j AS token, "case", 't' || a AS argument FROM p WHERE a % 5 <> 0""")
+def knp_predicates(spark, sf_dir):
+    """Predicates and the words that fill their cases, over the whole chunk tree."""
+    found = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(knp.predicates(knp.tree(F.col("blob")))).alias("p"))
+    return found.select("doc_id", "line_no", "p.token", "p.case", "p.argument")
+
+
+@query(f"""WITH {_TREES} SELECT doc_id, line_no, 'c' || j AS id, CASE WHEN j + 1 < n THEN 'c' || (j + 1) ELSE 'c-1' END AS head, 't' || j AS token, word AS surf,
+ CAST(CASE WHEN j % 4 = 3 AND j % 5 <> 0 THEN (CASE WHEN (j - 1) % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN (j - 3) % 5 <> 0 THEN 1 ELSE 0 END) ELSE 0 END AS INT) AS cases FROM k""")
+def knp_xml(spark, sf_dir):
+    """The trees as XML with Chunk, Token and Predicate elements, read again."""
+    read = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(knp.from_xml(knp.to_xml(knp.tree(F.col("blob"))))).alias("c"))
+    rows = read.select("doc_id", "line_no", "c.id", "c.head", F.explode("c.tokens").alias("t"))
+    return rows.select("doc_id", "line_no", "id", "head", F.col("t.id").alias("token"), F.col("t.surf").alias("surf"), F.size("t.predicate").alias("cases"))

@@ -176,8 +176,6 @@ def test_chunks_and_dependencies(spark):
     assert [(c["id"], c["head"], c["token"]["id"]) for c in got] == [("c1", "c2", "t1"), ("c2", "c-1", "t2")]
     deps = run(spark, lambda c: annotate.predicates(annotate.typed_dependencies(c)), ["nsubj(ran-2, dog-1)\nroot(ROOT-0, ran-2)"])[0]
     assert [(d["rel"], d["head_word"], d["dep"]) for d in deps] == [("nsubj", "ran", 1)]
-    assert [c["head"] for c in run(spark, annotate.knp_chunks, ["# S-ID:1\n* 1D\nA a A n\n* -1D\nB b B v\nEOS"])[0]] == ["c1", "c-1"]
-    assert run(spark, annotate.case_arguments, ["ガ/C/太郎/0;ヲ/C/本/1;？/x"])[0] == {"ga": "太郎", "wo": "本"}
 
 
 def test_papers(spark):
