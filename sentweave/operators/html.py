@@ -6,11 +6,17 @@ shuffle by page id, which the aggregation to segments reuses. Pages beyond the s
 window never holds more than that.
 """
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentweave.functions.text import bind
 from sentweave.operators.filters import within_bytes
+from sentweave.session import unused
 
 #: Tags that end a segment, in either form.
 DELIMITERS = "address blockquote br caption center dd dir div dl dt fieldset form h1 h2 h3 h4 h5 h6 hr isindex li listing menu multicol noframes noscript ol option p plaintext pre select table tbody td tfoot th thead tr ul xmp".split()
@@ -142,6 +148,22 @@ def segments(pages: DataFrame, id_col: str = "page_id", html: str = "html", igno
     )
 
 
+def page_links(marked: DataFrame, id_col: str = "page_id") -> DataFrame:
+    """``(id, link_no, tag, text, offset, seg_no)``: the closed links among ``flagged`` tokens, from 1 in each page, with the text between their own tags.
+
+    A link that another one opens within ends there and is no link, as one that nothing closes. ``offset`` is that of its first text, null without any.
+    """
+    shown = F.col("link") & (F.col("kind") == "T")
+    opens, closes = (F.col("tag") == "a") & (F.col("kind") == "S"), (F.col("tag") == "a") & (F.col("kind") == "E")
+    kept = marked.filter((F.col("link_no") > 0) & (shown | opens | closes))
+    pieces = F.sort_array(F.collect_list(F.when(shown, F.struct("pos", "token"))))
+    found = kept.groupBy(id_col, "link_no").agg(
+        F.max(F.when(opens, F.col("token"))).alias("tag"), F.array_join(F.transform(pieces, lambda x: x["token"]), "").alias("text"),
+        F.min(F.when(shown, F.col("byte_off"))).alias("offset"), F.min(F.when(opens, F.col("seg_no"))).alias("seg_no"), F.max(closes).alias("closed"),
+    )
+    return found.filter("closed").drop("closed")
+
+
 def header_segments(pages: DataFrame, id_col: str = "page_id", html: str = "html") -> DataFrame:
     """Title, keywords and description as segments with a role; only those there are. The title has its place in the page (``pieces``)."""
     h = F.col(html)
@@ -216,6 +238,82 @@ def strip_outside(html: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(html, "(?is)^.*?(?=<html\\b)", ""), "(?is)(</html\\s*>).*$", "$1")
 
 
+def density_regions(sizes: list[int], linked: list[int], price: float = 40.0) -> list[tuple[int, str]]:
+    """``(first block, type)`` of the regions of a page, from the characters of each block and those of them that are link text.
+
+    Regions are the runs of blocks for which the squared differences of the blocks' link shares from their region's share, by characters, and
+    ``price`` a region sum up to the least; of equal sums the one with the later last cut counts. A region is a menu where more than half is link
+    text, else main text; a menu that ends the page is a footer. The optimum is found over all cuts by dynamic programming.
+    """
+    n = len(sizes)
+    if not n:
+        return []
+    w = np.array(sizes, float)
+    share = np.divide(np.array(linked, float), w, out=np.zeros(n), where=w > 0)
+    sums = [np.concatenate([[0.0], np.cumsum(v)]) for v in (w, w * share, w * share * share)]
+    best, back = np.zeros(n + 1), np.zeros(n + 1, int)
+    for j in range(1, n + 1):
+        all_, of_links, squares = (s[j] - s[:j] for s in sums)
+        spread = squares - np.divide(of_links * of_links, all_, out=np.zeros(j), where=all_ > 0)
+        costs = np.round(best[:j] + np.maximum(spread, 0.0) + price, 9)
+        back[j] = j - 1 - int(np.argmin(costs[::-1]))
+        best[j] = costs[back[j]]
+    out, j = [], n
+    while j:
+        i = int(back[j])
+        dense = 2 * (sums[1][j] - sums[1][i]) > sums[0][j] - sums[0][i]
+        out.append((i, ("footer" if j == n and i else "menu") if dense else "maintext"))
+        j = i
+    return out[::-1]
+
+
+_NAME = re.compile("<[a-zA-Z0-9]+")
+
+
+def marked_regions(page: str, blocks: list[dict], price: float = 40.0) -> str:
+    """The page with ``myblocktype`` in every start tag of its regions; ``blocks``: ``size``, ``linked`` and ``starts`` of its segments, in order."""
+    shown = [i for i, b in enumerate(blocks) if b["size"]]
+    regions = density_regions([blocks[i]["size"] for i in shown], [blocks[i]["linked"] for i in shown], price)
+    out, at = [], 0
+    for (k, name), (till, _) in zip(regions, [*regions[1:], (len(shown), "")]):
+        first = shown[k] if k else 0
+        for b in blocks[first : shown[till] if till < len(shown) else len(blocks)]:
+            for start in sorted(b["starts"]):
+                end = start + len(_NAME.match(page, start)[0])
+                out += [page[at:end], f' myblocktype="{name}"']
+                at = end
+    return "".join([*out, page[at:]])
+
+
+def with_regions(pages: DataFrame, id_col: str = "page_id", html: str = "html", price: float = 40.0) -> DataFrame:
+    """Pages whose body tags carry the types of their regions by text and link density (:func:`density_regions`), so that segments get them.
+
+    Blocks are the segments of the body; a segment without text goes with the region before it. A page without text, or beyond the
+    size filter's bound, stays as it is.
+    """
+    toks = tokens(pages, id_col, html)
+    before = Window.partitionBy(id_col).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    placed = toks.withColumn("char_off", F.coalesce(F.sum(F.length("token")).over(before), F.lit(0)).cast("int"))
+    marked = flagged(placed, id_col)
+    text = (F.col("kind") == "T") & ~F.col("in_title") & ~F.col("token").rlike("^\\s*$")
+    size = F.length(F.regexp_replace("token", "\\s+", ""))
+    opens = (F.col("kind") == "S") & ~F.col("tag").isin("html", "head", "title", "meta", "link", "base", "body")
+    segs = marked.groupBy(id_col, "seg_no").agg(
+        F.sum(F.when(text, size).otherwise(0)).cast("int").alias("size"), F.sum(F.when(text & F.col("link"), size).otherwise(0)).cast("int").alias("linked"),
+        F.collect_list(F.when(opens, F.col("char_off"))).alias("starts"),
+    )
+    (blocks,) = unused(pages, "blocks")
+    of_page = segs.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("seg_no", "size", "linked", "starts"))).alias(blocks))
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for told, found in batches:
+            yield pa.array([p if b is None or p is None else marked_regions(p, b, price) for p, b in zip(told.to_pylist(), found.to_pylist())], pa.string())
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    joined = pages.join(of_page, id_col, "left")
+    return joined.withColumn(html, F.arrow_udf(run, "string")(F.col(html), F.col(blocks))).select(*pages.columns)
+
+
 def embed_regions(pages: DataFrame, detect: Column | None = None, html: str = "html") -> DataFrame:
     """Pages whose tags carry ``myblocktype`` as a plugged-in detector says; without one, as they are.
 
@@ -223,14 +321,14 @@ def embed_regions(pages: DataFrame, detect: Column | None = None, html: str = "h
     """
     if detect is None:
         return pages
-    marks = F.array_sort(detect)
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    h = F.col(html)
+    marks, h = F.array_sort(detect), F.col(html)
+    name = lambda m: F.regexp_extract(h.substr(m["start"] + 1, F.lit(40)), "^(<[a-zA-Z0-9]+)", 1)
 
-    def put(s: Column, m: Column) -> Column:
-        head = h.substr(s["at"] + 1, m["start"] - s["at"])
-        name = F.regexp_extract(h.substr(m["start"] + 1, F.lit(40)), "^(<[a-zA-Z0-9]+)", 1)
-        return F.struct((m["start"] + F.length(name)).alias("at"), F.concat(s["text"], head, name, F.lit(' myblocktype="'), m["block_type"], F.lit('"')).alias("text"))
+    def piece(m: Column, i: Column) -> Column:
+        """The opening of a marked tag and what follows it up to the next one."""
+        at = m["start"] + F.length(name(m))
+        till = F.coalesce(F.get(marks, i + 1)["start"], F.length(h))
+        return F.concat(name(m), F.lit(' myblocktype="'), m["block_type"], F.lit('"'), h.substr(at + 1, till - at))
 
-    done = F.aggregate(marks, begin, put)
-    return pages.withColumn(html, F.concat(done["text"], h.substr(done["at"] + 1, F.length(h))))
+    first = F.coalesce(F.get(marks, F.lit(0))["start"], F.length(h))
+    return pages.withColumn(html, F.concat(h.substr(F.lit(1), first), F.array_join(F.transform(marks, piece), "")))

@@ -4,10 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sentweave.functions import text, urls
-from sentweave.operators.filters import within_bytes
-from sentweave.operators.html import attribute, strip_tags
-
-ANCHOR = "(?is)<a\\b[^>]*>(?:(?!<a\\b).)*?</a\\s*>"
+from sentweave.operators.html import attribute, flagged, page_links, strip_tags, tokens
 
 
 def anchor_text(c: Column, widen: bool = False) -> Column:
@@ -17,15 +14,16 @@ def anchor_text(c: Column, widen: bool = False) -> Column:
 
 
 def anchors(pages: DataFrame, id_col: str = "page_id", url: str = "url", html: str = "html", widen: bool = False) -> DataFrame:
-    """``(from_id, from_url, pos, href, to_url, anchor)``: the links worth following, with their texts, in page order.
+    """``(from_id, from_url, pos, href, to_url, anchor)``: the links worth following, with their texts, in page order (from the pass that cuts segments).
 
     Mail, scripts, in-page links and images are left out, and so are empty texts, targets that aren't http and pages beyond the size filter's bound.
     """
-    found = pages.filter(within_bytes(F.col(html))).select(F.col(id_col).alias("from_id"), F.col(url).alias("from_url"), F.posexplode(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0))).alias("pos", "a"))
-    tag = F.regexp_extract("a", "(?is)^(<a\\b[^>]*>)", 1)
-    rows = found.select("from_id", "from_url", "pos", attribute(tag, "href").alias("href"), anchor_text(F.col("a"), widen).alias("anchor"))
-    rows = rows.filter(urls.wanted_href(F.col("href")) & (F.col("anchor") != ""))
-    return rows.withColumn("to_url", urls.absolute(F.col("from_url"), F.col("href"))).filter(F.col("to_url").isNotNull()).select("from_id", "from_url", "pos", "href", "to_url", "anchor")
+    toks = flagged(tokens(pages.select(F.col(id_col).alias("from_id"), F.col(html).alias("html")), "from_id"), "from_id")
+    found = page_links(toks, "from_id").select("from_id", (F.col("link_no") - 1).alias("pos"), attribute(F.col("tag"), "href").alias("href"), anchor_text(F.col("text"), widen).alias("anchor"))
+    wanted = found.filter(urls.wanted_href(F.col("href")) & (F.col("anchor") != ""))
+    named = wanted.join(pages.select(F.col(id_col).alias("from_id"), F.col(url).alias("from_url")), "from_id")
+    rows = named.withColumn("to_url", urls.absolute(F.col("from_url"), F.col("href"))).filter(F.col("to_url").isNotNull())
+    return rows.select("from_id", "from_url", "pos", "href", "to_url", "anchor")
 
 
 def with_ids(links: DataFrame, dictionary: DataFrame) -> DataFrame:

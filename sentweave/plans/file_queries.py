@@ -350,3 +350,13 @@ def knp_xml(spark, sf_dir):
     read = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(knp.from_xml(knp.to_xml(knp.tree(F.col("blob"))))).alias("c"))
     rows = read.select("doc_id", "line_no", "c.id", "c.head", F.explode("c.tokens").alias("t"))
     return rows.select("doc_id", "line_no", "id", "head", F.col("t.id").alias("token"), F.col("t.surf").alias("surf"), F.size("t.predicate").alias("cases"))
+
+
+# ---- regions ----
+
+
+@query()
+def page_regions(spark, sf_dir):
+    """Segments of the pages with the types of their regions, found by text and link density; the cuts are tested by brute force."""
+    told = html.with_regions(table(spark, sf_dir, "pages"))
+    return html.segments(told).select("page_id", "seg_no", "block_type", F.length("text").alias("size"))
