@@ -6,7 +6,8 @@ import corpus_pipeline
 import pytest
 import xxhash
 from tests.llm.conftest import odd_texts, sentence
-from sentweave.llm import components, line_dedup, quality, simhash
+from pyspark.sql import functions as F
+from sentweave.llm import components, line_dedup, quality, simhash, wide_fingerprints
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -222,6 +223,24 @@ def test_near_copies_are_those_that_share_their_shingles(spark):
     assert {r["doc_id"] for r in simhash.keep_one_fingerprint(docs).collect()} != want  # the four bits of fingerprints say less
 
 
+@pytest.mark.parametrize("block", [5, 40])
+def test_near_copies_in_crowds_dealt_into_parts(spark, monkeypatch, block):
+    """A passage that many else different texts share fills a block's keys; groups of near copies are among them."""
+    monkeypatch.setattr(wide_fingerprints, "BLOCK", block)
+    shared = sentence(7, 60)
+    texts = [shared + " " + sentence(100 + i // 3, 22) + f" own{i % 3}" for i in range(150)] + [sentence(8, 90) + f" tail{i}" for i in range(70)] + [shared + " " + sentence(900 + i, 70) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3)
+    want = set(brute_near(texts))
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == want and 40 < len(want) < 200
+
+
+def test_texts_of_one_name_are_told_apart(spark):
+    rows = spark.createDataFrame([(1, 5, 7, "a"), (2, 5, 8, "b"), (3, 5, 8, "b"), (4, 6, 9, "c")], "doc_id int, node bigint, second bigint, sig string")
+    rows = rows.withColumns({"bands": F.array(F.lit(1)), "k1": F.lit(1), "k2": F.col("doc_id")})
+    got = wide_fingerprints._nodes(rows).collect()
+    assert sorted((r["first"]["doc_id"], r["sig"]) for r in got) == [(1, "a"), (2, "b"), (4, "c")] and len({r["node"] for r in got}) == 3
+
+
 def test_near_copies_on_documents_are_brute_force(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
     docs = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(rows)], "doc_id bigint, text string")
