@@ -90,6 +90,18 @@ def decode(raw: Column, encoding: Column) -> Column:
     return F.when(encoding.isin("utf8", "ascii"), F.make_valid_utf8(raw.cast("string"))).otherwise(F.arrow_udf(_decodes, "string")(raw, encoding))
 
 
+def encode(c: Column, name: str) -> Column:
+    """Text as bytes of this charset; what it doesn't have becomes a question mark."""
+    codec = CODECS[name]
+
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([None if t is None else t.encode(codec, "replace") for t in batch.to_pylist()], pa.binary())
+
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.encode(c, "UTF-8") if name == "utf8" else F.arrow_udf(run, "binary")(c)
+
+
 def unzip(raw: bytes | None) -> bytes | None:
     """All members of gzip bytes; other bytes as they are; null for a member that is broken or cut off.
 

@@ -67,6 +67,37 @@ def absolute(base: Column, href: Column) -> Column:
     return canonical(full)
 
 
+def resolved(base: Column, href: Column) -> Column:
+    """``href`` seen from ``base`` as RFC 3986 resolves references, of any scheme, fragment and all; control characters go from the result.
+
+    An empty reference is the base without its fragment; a null base leaves the reference as it is. Unlike :func:`absolute` it makes nothing canonical.
+    """
+    head = "^([a-zA-Z][a-zA-Z0-9+.-]*:)"
+    scheme, rest = F.regexp_extract(base, head, 1), F.regexp_replace(base, head, "")
+    authority = F.regexp_extract(rest, "^(//[^/?#]*)", 1)
+    path, query = F.regexp_extract(rest, "^(?://[^/?#]*)?([^?#]*)", 1), F.regexp_extract(rest, "^[^?#]*(\\?[^#]*)", 1)
+    own, tail = F.regexp_extract(href, "^([^?#]*)", 1), F.regexp_extract(href, "^[^?#]*(.*)$", 1)
+    folder = F.when((authority != "") & (path == ""), "/").otherwise(F.regexp_replace(path, "[^/]*$", ""))
+    merged = F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))
+    found = (
+        F.when(base.isNull() | href.rlike(head), href)
+        .when(href.startswith("//"), F.concat(scheme, href))
+        .when(own == "", F.concat(scheme, authority, path, F.when(tail.startswith("?"), tail).otherwise(F.concat(query, tail))))
+        .otherwise(F.concat(scheme, authority, bind(merged, _without_dots), tail))
+    )
+    return F.regexp_replace(found, "[\\x00-\\x1f\\x7f-\\x9f]", "")
+
+
+def _without_dots(path: Column) -> Column:
+    """The path without ``.`` and ``..`` steps; empty steps stay, as the RFC has it."""
+    rooted = path.startswith("/")
+    steps = F.split(F.when(rooted, F.substring(path, F.lit(2), F.length(path))).otherwise(path), "/")
+    up = lambda done: F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, s: F.when(s == "..", up(done)).when(s == ".", done).otherwise(F.concat(done, F.array(s))))
+    closing = F.when(path.rlike("(^|/)\\.{1,2}$") & (F.size(kept) > 0), "/").otherwise("")
+    return F.concat(F.when(rooted, "/").otherwise(""), F.array_join(kept, "/"), closing)
+
+
 def without_scheme(url: Column) -> Column:
     """The name that dictionaries of page ids know a url by."""
     return F.regexp_replace(url, "^https?://", "")

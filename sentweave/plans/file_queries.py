@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sentweave.functions import encoding, text
-from sentweave.operators import formatter, html, knp, links, papers, provenance, sentences
+from sentweave.operators import annotate, formatter, html, knp, links, papers, provenance, sentences, standard_format
 from sentweave.operators.dictionary import Dictionary
 from sentweave.plans import sql
 from sentweave.plans.page_queries import _SENTENCES
@@ -360,3 +360,120 @@ def page_regions(spark, sf_dir):
     """Segments of the pages with the types of their regions, found by text and link density; the cuts are tested by brute force."""
     told = html.with_regions(table(spark, sf_dir, "pages"))
     return html.segments(told).select("page_id", "seg_no", "block_type", F.length("text").alias("size"))
+
+
+# ---- variants, annotations, papers ----
+
+
+@query("SELECT page_id, 'inprocess' AS style, 'http://h/' || page_id AS url, md5(html) AS digest FROM pages UNION ALL SELECT page_id, 'wget', NULL, md5(html) FROM pages")
+def header_variants(spark, sf_dir):
+    """Headers that end at a blank line alone, with HTML right before it, and headers as wget saves them."""
+    pages = table(spark, sf_dir, "pages")
+    number = F.col("page_id").cast("string")
+    inprocess = F.concat(F.lit("HTML http://h/"), number, F.lit(" NOCACHE\nDate: x\nX: <html>\r\n\r\n"), "html")
+    wget = F.concat(F.lit("HTTP/1.1 200 OK\r\nDate: y\r\n\r\n"), "html")
+    styled = lambda name, c: pages.select("page_id", F.lit(name).alias("style"), readers.crawler_header(c, name).alias("h"))
+    return styled("inprocess", inprocess).unionByName(styled("wget", wget)).select("page_id", "style", "h.url", F.md5("h.body").alias("digest"))
+
+
+@query("SELECT page_id, unnest(['euc-jp', 'shiftjis', '7bit-jis', 'utf8']) AS encoding, t AS html FROM (SELECT page_id, '日本語の文です。ページ' || page_id || '、かなとカナ。' AS t FROM pages)")
+def japanese_bytes(spark, sf_dir):
+    """Japanese pages in four charsets that declare none: the bytes tell which it is."""
+    told = table(spark, sf_dir, "pages").select("page_id", F.concat(F.lit("日本語の文です。ページ"), F.col("page_id").cast("string"), F.lit("、かなとカナ。")).alias("t"))
+    coded = told.select("page_id", F.explode(F.array(*[F.struct(encoding.encode(F.col("t"), n).alias("content")) for n in ("euc-jp", "shiftjis", "7bit-jis", "utf8")])).alias("x")).select("page_id", "x.content")
+    return readers.decoded(coded).select("page_id", "encoding", "html")
+
+
+@query("SELECT doc_id, 'Ａ１ｱﾞ㍻' || 'A1' AS wide, 'A1ア' || chr(12441) || '平成A1' AS plain FROM documents")
+def plain_forms(spark, sf_dir):
+    """Compatibility forms of decoded files as plain characters."""
+    told = table(spark, sf_dir, "documents").select("doc_id", F.lit("Ａ１ｱﾞ㍻A1").alias("wide"))
+    files = told.withColumn("content", F.encode("wide", "UTF-8"))
+    return readers.decoded(files, forced="utf8", nfkc=True).select("doc_id", "wide", F.col("html").alias("plain"))
+
+
+_TOK = "regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')"
+
+
+@query(f"WITH {_LINES}, w AS (SELECT doc_id, i, unnest({_TOK}) AS form FROM lines) SELECT form, CASE WHEN length(form) % 2 = 0 THEN 'E' ELSE 'O' END AS pos, CASE WHEN length(form) = 4 THEN 'four' ELSE lower(form) END AS lemma, count(*) AS n FROM w GROUP BY ALL")
+def lemmatised(spark, sf_dir):
+    """Words with their lemmas from a table of forms; others are their own."""
+    words = lines(spark, sf_dir).select(F.explode(F.regexp_extract_all("line", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))).alias("form"))
+    tagged = words.withColumn("pos", F.when(F.length("form") % 2 == 0, "E").otherwise("O"))
+    known = tagged.filter(F.length("form") == 4).select("form", "pos", F.lit("four").alias("lemma"))
+    return annotate.lemmatize(tagged, known).groupBy("form", "pos", "lemma").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_LINES} SELECT doc_id AS doc, doc_id || '-' || i AS sid, line AS conll FROM lines")
+def sids_by_position(spark, sf_dir):
+    """Analyses and ids that come as parallel lists, put together by position."""
+    rows = lines(spark, sf_dir).select(F.col("doc_id").alias("doc"), "i", F.col("line").alias("conll"))
+    sids = rows.select("doc", "i", F.concat_ws("-", F.col("doc").cast("string"), F.col("i").cast("string")).alias("sid"))
+    return annotate.attach_sids(rows.drop("sid"), sids, "i").select("doc", "sid", "conll")
+
+
+@query("SELECT doc_id, 'A:one' AS first_, CASE WHEN doc_id % 2 = 0 THEN 'B:two' END AS second, CASE WHEN doc_id % 2 = 0 THEN 'kept' ELSE 'new' END AS third FROM documents")
+def annotations_added(spark, sf_dir):
+    """Annotations added, replaced, recycled and left as they are."""
+    note = lambda scheme, data: F.struct(F.lit(scheme).alias("scheme"), F.lit("t").alias("tool"), F.lit(data).alias("cdata"))
+    even = F.col("doc_id") % 2 == 0
+    told = table(spark, sf_dir, "documents").select("doc_id", F.when(even, F.array(note("A", "old"), note("C", "kept"))).otherwise(F.array(note("A", "old"))).alias("a"))
+    a = annotate.add_annotation(F.col("a"), "A", "t", F.lit("A:one"))
+    a = annotate.add_annotation(a, "B", "t", F.when(even, F.lit("B:two")))
+    a = annotate.add_annotation(a, "C", "t", F.lit("new"), replace=False)
+    of = lambda scheme: F.get(F.filter("x", lambda n: n["scheme"] == scheme), F.lit(0))["cdata"]
+    return told.select("doc_id", a.alias("x")).select("doc_id", of("A").alias("first_"), of("B").alias("second"), of("C").alias("third"))
+
+
+@query("SELECT doc_id, 'c' || k AS id, CASE WHEN k = 1 THEN 'c-1' ELSE 'c1' END AS head, 'w' || doc_id || '&' || k AS surf FROM documents, (VALUES (0), (1)) AS v(k)")
+def grafted_chunks(spark, sf_dir):
+    """Chunks of an analyser that answers in XML."""
+    number = F.col("doc_id").cast("string")
+    one = lambda k, head: F.concat(F.lit(f"<Chunk Id='c{k}' Head='{head}' Type='D'><Token Id='t{k}' Surf='w"), number, F.lit(f"&amp;{k}' Orig='o' Pos='n'/></Chunk>"))
+    told = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.lit("<Result>"), one(0, "c1"), one(1, "c-1"), F.lit("</Result>")).alias("xml"))
+    rows = told.select("doc_id", F.explode(annotate.xml_chunks(F.col("xml"))).alias("c"))
+    return rows.select("doc_id", "c.id", "c.head", F.get("c.tokens", F.lit(0))["surf"].alias("surf"))
+
+
+@query("SELECT doc_id || '-' || s AS sid, 'data ' || doc_id || s AS cdata FROM documents, (VALUES ('T'), ('D'), ('K'), ('4')) AS v(s)")
+def cdata_by_role(spark, sf_dir):
+    """Annotation texts with ids by the role of what they annotate."""
+    roles = [("title", "T", 1), ("description", "D", 2), ("keywords", "K", 3), ("body", "4", 4)]
+    number = F.col("doc_id").cast("string")
+    said = lambda role, mark, n: F.struct(F.lit(role).alias("role"), F.lit(n).alias("sent_no"), F.array(F.struct(F.lit("S").alias("scheme"), F.lit("t").alias("tool"), F.concat(F.lit("data "), number, F.lit(mark)).alias("cdata")), F.struct(F.lit("other").alias("scheme"), F.lit("t").alias("tool"), F.lit("x").alias("cdata"))).alias("annotations"))
+    return annotate.cdata_lines(table(spark, sf_dir, "documents").select("doc_id", F.array(*[said(*r) for r in roles]).alias("sentences")), "S")
+
+
+@query("SELECT DISTINCT fid, tag FROM (SELECT 'a' || p_partkey AS fid, p_brand AS tag FROM part UNION ALL SELECT 'b' || p_partkey, p_brand FROM part WHERE p_partkey % 2 = 0)")
+def tags_by_both_names(spark, sf_dir):
+    """Tags under the name they came with and under its alias."""
+    part = table(spark, sf_dir, "part")
+    name = lambda letter: F.concat(F.lit(letter), F.col("p_partkey").cast("string"))
+    tags = part.select(name("a").alias("fid"), F.col("p_brand").alias("tag"))
+    aliases = part.filter("p_partkey % 2 = 0").select(name("a").alias("a"), name("b").alias("b"))
+    return papers.tags_by_both_names(tags.distinct(), aliases)
+
+
+@query(f"WITH {_SENTENCES} SELECT page_id, CASE WHEN role = 'body' THEN 'body' ELSE 'header' END AS part, count(*) AS n FROM sentences GROUP BY ALL")
+def header_and_body(spark, sf_dir):
+    """Header parts and body sentences told apart."""
+    head, body = standard_format.split_header(sentences.sentences(table(spark, sf_dir, "pages")))
+    count = lambda df, part: df.groupBy("page_id").agg(F.count(F.lit(1)).alias("n")).select("page_id", F.lit(part).alias("part"), "n")
+    return count(head, "header").unionByName(count(body, "body"))
+
+
+@query(f"WITH {_LINES} SELECT CAST(length(line) AS BIGINT) AS size, count(*) AS n FROM lines WHERE line <> '' GROUP BY 1")
+def length_bucket_files(spark, sf_dir):
+    """Lines in gzip files by length, read again: every line is there."""
+    path = shelf(spark, "buckets")
+    writers.length_buckets(lines(spark, sf_dir).filter("line <> ''").withColumn("value", F.col("line")), "value", path)
+    return spark.read.option("lineSep", "\n").text(path).groupBy(F.length("value").cast("bigint").alias("size")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {_SENTENCES}, ids AS (SELECT *, page_id || '-' || row_number() OVER (PARTITION BY page_id, role = 'body' ORDER BY sent_no) AS sid FROM sentences) SELECT sid, raw_string AS str FROM ids WHERE role = 'body'")
+def sid_documents(spark, sf_dir):
+    """Documents as text with an id before each sentence, gzip, read by the reader of such files."""
+    pages = table(spark, sf_dir, "pages")
+    path = shelf(spark, "sid-documents")
+    writers.sid_documents(standard_format.assemble(sentences.sentence_ids(sentences.sentences(pages)), pages), path, "gzip")
+    return readers.sid_lines(ordered.lines(spark, path)).select("sid", "str")

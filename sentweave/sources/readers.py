@@ -32,24 +32,40 @@ def archive(files: DataFrame) -> DataFrame:
     return files.select("name", "size", F.size(F.split(F.decode("content", "ISO-8859-1"), "\r\n|\r|\n")).alias("linenum"), "content")
 
 
-def decoded(files: DataFrame, language: str = "japanese", forced: str | None = None, given: str | None = None, retry_utf8: bool = True, content: str = "content") -> DataFrame:
-    """Adds ``encoding`` and ``html``; what can't be resolved is read as UTF-8 (``retry_utf8``) or gets a null html."""
+def decoded(files: DataFrame, language: str = "japanese", forced: str | None = None, given: str | None = None, retry_utf8: bool = True, content: str = "content", nfkc: bool = False) -> DataFrame:
+    """Adds ``encoding`` and ``html``; what can't be resolved is read as UTF-8 (``retry_utf8``) or gets a null html. ``nfkc``: compatibility forms become plain ones."""
     found = files.withColumn("encoding", encoding.resolve_encoding(F.col(content), forced, F.col(given) if given else None, language))
     html = encoding.decode(F.col(content), F.col("encoding"))
-    return found.withColumn("html", F.coalesce(html, F.make_valid_utf8(F.col(content).cast("string"))) if retry_utf8 else html)
+    html = F.coalesce(html, F.make_valid_utf8(F.col(content).cast("string"))) if retry_utf8 else html
+    return found.withColumn("html", encoding.normalise_nfkc(html) if nfkc else html)
 
 
-def crawler_header(html: Column) -> Column:
+#: Where a header ends, by style: at a blank line or where the html starts, at a blank line alone, at a line of one character at most.
+_HEADS = {"crawler": ("^(HTML \\S+|HTTP/1)", "(?is)^(.*?)(?:\\r?\\n\\r?\\n|(?=<html))"), "inprocess": ("^HTML \\S+", "(?s)^(.*?\\n)\\r?(?:\\n|$)"), "wget": ("", "(?s)^(.*?\\n|)[^\\n]?\\n")}
+
+
+def crawler_header(html: Column, style: str = "crawler") -> Column:
     """``struct<url, crawl_time, no_cache, no_index, body>`` of a page that may open with ``HTML <url> …`` and HTTP headers.
 
-    The header ends at a blank line or where the html starts; a page without one is all body.
+    ``crawler``: the header ends at a blank line or where the html starts; a page without one is all body. ``inprocess``: it ends at a blank line
+    only, flags don't count, and a header that never ends leaves no body. ``wget`` (``--save-headers``): whatever stands before the first
+    line of at most one character is the header, without a url; a page without such a line is all body.
     """
-    has = html.rlike("^(HTML \\S+|HTTP/1)")
-    head = F.when(has, F.regexp_extract(html, "(?is)^(.*?)(?:\\r?\\n\\r?\\n|(?=<html))", 1)).otherwise(F.lit(""))
-    first = F.regexp_extract(head, "^HTML ([^\\r\\n]+)", 1)
-    body = F.when(has, F.regexp_replace(F.substring(html, F.length(head) + 1, F.length(html)), "^(\\r?\\n){1,2}", "")).otherwise(html)
+    opens, ends = _HEADS[style]
+    has = html.rlike(opens) if style != "wget" else html.rlike(ends)
+    flags = style == "crawler"
+    if flags:
+        head = F.when(has, F.regexp_extract(html, ends, 1)).otherwise(F.lit(""))
+        body = F.when(has, F.regexp_replace(F.substring(html, F.length(head) + 1, F.length(html)), "^(\\r?\\n){1,2}", "")).otherwise(html)
+    else:
+        whole = F.regexp_extract(html, ends, 0)
+        head = F.when(has, F.regexp_extract(html, ends, 1)).otherwise(F.lit(""))
+        body = F.when(~has, html).when(whole == "", F.lit("")).otherwise(F.substring(html, F.length(whole) + 1, F.length(html)))
+        head = F.when(has & (whole == ""), html).otherwise(head)
+    first = F.regexp_extract(head, "^HTML ([^\\r\\n]+)", 1) if style != "wget" else F.lit("")
     date = F.regexp_extract(head, "(?im)^Date: *([^\\r\\n]+)", 1)
-    return F.struct(F.nullif(F.regexp_extract(first, "^(\\S+)", 1), F.lit("")).alias("url"), text.http_date(date).alias("crawl_time"), first.contains("NOCACHE").alias("no_cache"), first.contains("NOINDEX").alias("no_index"), body.alias("body"))
+    no = lambda name: first.contains(name) if flags else F.lit(False)
+    return F.struct(F.nullif(F.regexp_extract(first, "^(\\S+)", 1), F.lit("")).alias("url"), text.http_date(date).alias("crawl_time"), no("NOCACHE").alias("no_cache"), no("NOINDEX").alias("no_index"), body.alias("body"))
 
 
 def split_pages(files: DataFrame, html: str = "html") -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sentweave.functions import encoding, english, japanese, text, urls
 from sentweave.operators import annotate, formatter, html, papers, provenance
+from sentweave.sources import readers
 
 
 def run(spark, f, values):
@@ -57,6 +58,32 @@ def test_every_member_of_a_gzip_file(spark):
     assert [None if r["b"] is None else bytes(r["b"]) for r in got] == want
 
 
+def test_header_styles(spark):
+    crawler = "HTML http://a/ NOCACHE\nDate: Tue, 03 Jul 2007 10:00:00 GMT\n<html>x</html>\n\nlater"
+    blank = "HTML http://a/ NOCACHE\r\nDate: Tue, 03 Jul 2007 10:00:00 GMT\r\n\r\n<html>y</html>"
+    wget = "HTTP/1.1 200 OK\nDate: Tue, 03 Jul 2007 10:00:00 GMT\nX: 1\n\r\n<html>z</html>\n\n"
+    plain = "<html>\nno header</html>"
+    endless = "HTML http://b/\nDate: x\n<html>"
+    pages = [crawler, blank, wget, plain, endless]
+    got = {style: [tuple(r) for r in run(spark, lambda c: readers.crawler_header(c, style), pages)] for style in ("crawler", "inprocess", "wget")}
+    when = "2007-07-03 10:00:00 GMT"
+    assert got["crawler"][:2] == [("http://a/", when, True, False, "<html>x</html>\n\nlater"), ("http://a/", when, True, False, "<html>y</html>")] and got["crawler"][4][4] == "<html>"
+    assert got["inprocess"] == [("http://a/", when, False, False, "later"), ("http://a/", when, False, False, "<html>y</html>"), (None, None, False, False, wget), (None, None, False, False, plain), ("http://b/", None, False, False, "")]
+    assert got["wget"][2] == (None, when, False, False, "<html>z</html>\n\n") and got["wget"][3] == (None, None, False, False, plain)
+
+
+def test_references_are_resolved_as_the_rfc_has_it(spark):
+    from urllib.parse import urljoin
+
+    bases = ["http://a/b/c/d;p?q", "http://a", "http://a/", "https://h:8080/x/y/?z#f", "http://a/b"]
+    hrefs = ["g", "./g", "g/", "/g", "//g/h", "?y", "g?y", "#s", "g#s", "g?y#s", ";x", "", ".", "./", "..", "../", "../g", "../..", "../../g", "../../../g", "/./g", "/../g", "g.", "..g", "./../g", "./g/.", "g/./h", "g/../h", "http://o/p/../q", "mailto:x@y"]
+    rows = spark.createDataFrame([(b, h) for b in bases for h in hrefs], "b string, h string").select("b", "h", urls.resolved(F.col("b"), F.col("h")).alias("r")).collect()
+    wrong = [(r["b"], r["h"], r["r"], urljoin(r["b"], r["h"])) for r in rows if r["r"] != (urljoin(r["b"], r["h"]) if r["h"] else r["b"].split("#")[0])]
+    assert not [w for w in wrong if w[1] != "http://o/p/../q"], wrong
+    odd = spark.createDataFrame([("http://a/", "x\x01\ty"), (None, "x\ny"), ("http://a/", None), ("http://a/b/c", "d//e"), ("http://a/b", "/c//../d")], "b string, h string").select(urls.resolved(F.col("b"), F.col("h")).alias("r")).collect()
+    assert [r["r"] for r in odd] == ["http://a/xy", "xy", None, "http://a/b/d//e", "http://a/c/d"]
+
+
 def test_emoticons_and_items(spark):
     assert run(spark, japanese.split_at_emoticons, ["なるほど（笑）次へ", "（爆）（笑）あ"]) == [["なるほど（笑）", "次へ"], ["（爆）（笑）", "あ"]]
     rows = spark.createDataFrame([(0, ["以下のお店、", "１．さえずり", "２．のら酒房", "は美味しいです。"]), (1, ["以下にお店を列挙します。", "１．さえずり", "２．のら酒房"])], "i int, s array<string>")
