@@ -70,6 +70,25 @@ def matched(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def with_rules(rows: DataFrame, rules=RULES) -> DataFrame:
+    """``rows`` (``host``, ``path`` and others) with ``rule_``, the longest fitting rule's name and verdict, else null.
+
+    A few rules are an expression. A list of any size comes as a table ``(name, verdict)``: the distinct hosts' suffixes are joined to the rules' hosts, and
+    of those whose path fits the longest stays, of equal names an allow. Null names fit nothing.
+    """
+    if not isinstance(rules, DataFrame):
+        return rows.withColumn("rule_", matched(F.col("host"), F.col("path"), rules))
+    name = F.col("name").cast("string")
+    host = F.regexp_extract(name, "^([^/]*)", 1)
+    known = rules.filter(name.isNotNull()).groupBy(name.alias("name")).agg(F.min("verdict").alias("verdict")).select(host.alias("suffix"), F.substring(name, F.length(host) + 1, F.length(name)).alias("start"), "name", "verdict")
+    labels = F.split("host", "[.]")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    seen = rows.select("host", "path").distinct().withColumn("suffix", F.explode(suffixes))
+    fits = seen.join(known, "suffix").filter(F.col("path").startswith(F.col("start")))
+    longest = fits.groupBy("host", "path").agg(F.max_by(F.struct("name", "verdict"), F.struct(F.length("name"), "name")).alias("rule_"))
+    return rows.join(longest, ["host", "path"], "left")
+
+
 def target_of(url: Column, target: Column) -> Column:
     """A link's target seen from its page; a mere fragment is the page itself, an empty target and other schemes such as mailto: are null."""
     path = path_of(url)
@@ -107,7 +126,8 @@ def alias_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataF
 
 
 def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url: str = "url", html: str = "html", links: DataFrame | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``page_id, host, path, rule, verdict, decided_by`` for each row; ``links`` adds known redirects as ``(u, v)`` urls.
+    """``page_id, host, path, rule, verdict, decided_by`` for each row; ``links`` adds known redirects as ``(u, v)`` urls,
+    ``rules`` may be a table of any size (``with_rules``).
 
     A null url and one without ``://`` have an empty host and path and no aliases: they are allowed unless a rule fits.
     A url that only links name speaks for its aliases too. Null ids and html, repeated rows and loops of redirects do no harm; an empty table gives an empty result; other columns
@@ -116,12 +136,12 @@ def judge_urls(pages: DataFrame, rules=RULES, id_col: str = "page_id", url: str
     """
     own = pages[f"`{url}`"]
     rows = pages.select(pages[f"`{id_col}`"].alias(id_col), host_of(own).alias("host"), path_of(own).alias("path"), node_of(own).alias("node"))
-    rows = rows.withColumn("rule_", matched(F.col("host"), F.col("path"), rules))
+    rows = with_rules(rows, rules)
     edges = alias_links(pages, url, html)
     if links is not None:
         edges = edges.unionByName(links.select(node_of(F.col("u")).alias("u"), node_of(F.col("v")).alias("v")))
     groups, _ = materialise(components(edges), "url-groups")
-    said = groups.withColumn("verdict", matched(host_of(F.col("node")), path_of(F.col("node")), rules)["verdict"])
+    said = with_rules(groups.withColumns({"host": host_of(F.col("node")), "path": path_of(F.col("node"))}), rules).withColumn("verdict", F.col("rule_.verdict"))
     ruled = said.filter(F.col("verdict").isNotNull()).groupBy("component").agg(F.max((F.col("verdict") == "allow").cast("int")).alias("allowed"))
     decided, _ = materialise(said.filter(F.col("verdict").isNull()).join(ruled, "component").select("node", "allowed"), "url-aliases")
     decided = F.broadcast(decided) if decided.count() <= most else decided

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 from pathlib import Path
@@ -96,6 +97,19 @@ def test_aliases_take_decisions(spark):
     assert {r["page_id"]: r["verdict"] for r in url_filter.judge_urls(table.filter("page_id <> 5"), links=links).collect()}[10] == "block"
 
 
+
+def test_a_table_of_rules_judges_as_the_expression_does(spark):
+    rng = random.Random(4)
+    hosts = ["example.com", "com", "a.example.com", "badexample.com", "org", "x.org", "", "example.com.", "net"]
+    rules = {f"{h}{p}": rng.choice(["allow", "block"]) for h in hosts for p in ["/en/", "/en/7", "/", "", "/d"] if rng.random() < 0.5}
+    listed = tuple(url_filter.Rule(v, n) for n, v in rules.items() if n)
+    table = spark.createDataFrame([(n, v) for n, v in rules.items() if n] + [(None, "block")], "name string, verdict string")
+    urls = [f"http://{h}{p}" for h in hosts + ["b.a.example.com", "EXAMPLE.com", "y.net"] for p in ["", "/", "/en/", "/en/70", "/de?x#y", "/d"]] + [None, "no url"]
+    pages = spark.createDataFrame([(i, u, f'<link rel=canonical href="{rng.choice(urls) or "x"}">' if i % 3 else None) for i, u in enumerate(urls)], "page_id int, url string, html string").repartition(3)
+    got, want = (Counter(map(tuple, url_filter.judge_urls(pages, r).select("page_id", "host", "path", "rule", "verdict", "decided_by").collect())) for r in (table, listed))
+    assert got == want and len({x[3] for x in got}) > 4
+
+
 def test_relative_targets_are_aliases(spark):
     link = '<link rel="canonical" href="{}">'
     pages = [
