@@ -35,6 +35,7 @@ def _alternatives(words: list[str]) -> str:
 
 
 FACES = _alternatives(EMOTICONS + MARKS)
+FACES_BY_LENGTH = sorted(set(EMOTICONS + MARKS), key=lambda f: (-len(f), f))
 _FACES = re.compile(f"(?:{FACES})+")
 
 
@@ -183,7 +184,7 @@ def has_emoticon(c: Column) -> Column:
 
 def mask_emoticons(c: Column) -> Column:
     """Faces and marks as private characters, one for each of their characters, so that positions stay."""
-    for face in sorted(set(EMOTICONS + MARKS), key=len, reverse=True):
+    for face in FACES_BY_LENGTH:
         c = F.replace(c, F.lit(face), F.lit("\ue001" * len(face)))
     return c
 
@@ -204,34 +205,59 @@ def drop_leading_blank(c: Column) -> Column:
     return F.regexp_replace(c, "^　(――)?", "")
 
 
+def brackets_of(text: str) -> tuple[list[tuple[int, str]], int]:
+    """Bracketed remarks outside faces, as ``(position, text)``, and how many enumerations （１）（２）… in order there are, which are none."""
+    masked = _faces_masked(text)
+    found, level, at, number = [], 0, 0, 0
+    for m in _ROUND.finditer(masked):
+        if m[0] == "（":
+            at = m.start() if not level else at
+            level += 1
+        elif level:
+            level -= 1
+            if not level:
+                inner = masked[at + 1 : m.start()]
+                if number < len(ENUMERATION) and inner == ENUMERATION[number]:
+                    number += 1
+                else:
+                    found.append((at, inner))
+    return found, number
+
+
+def _faces_masked(text: str) -> str:
+    for face in FACES_BY_LENGTH:
+        text = text.replace(face, "\ue001" * len(face))
+    return text
+
+
+_ROUND = re.compile("[（）]")
+_REMARKS = pa.struct([("found", pa.list_(pa.struct([("at", pa.int32()), ("text", pa.string())]))), ("enumerated", pa.int32())])
+
+
+def _remarks(text: str) -> dict:
+    found, number = brackets_of(text)
+    return {"found": [{"at": at, "text": t} for at, t in found], "enumerated": number}
+
+
+def _bare(text: str) -> str:
+    out, at = [], 0
+    for start, inner in brackets_of(text)[0]:
+        out.append(text[at:start])
+        at = start + len(inner) + 2
+    return "".join([*out, text[at:]])
+
+
 def brackets(c: Column) -> Column:
     """Bracketed remarks outside faces, in order: ``(position, text)``; a nested one is part of the outer one.
 
-    Enumerations （１）（２）… in order are not remarks. ``enumerated`` says how many of them there are.
+    Enumerations （１）（２）… in order are not remarks. ``enumerated`` says how many of them there are. One pass a text, over Arrow batches.
     """
-    start = F.struct(F.lit(0).alias("i"), F.lit(0).alias("level"), F.lit(0).alias("at"), F.lit("").alias("text"), F.lit(1).alias("next"), F.array().cast("array<struct<at:int,text:string>>").alias("out"))
-    numbers = F.array(*[F.lit(n) for n in ENUMERATION])
-
-    def add(s: Column, ch: Column) -> Column:
-        opens, closes = ch == "（", (ch == "）") & (s["level"] > 0)
-        level = s["level"] + F.when(opens, 1).when(closes, -1).otherwise(0)
-        ends = closes & (level == 0)
-        counted = ends & (s["text"] == F.coalesce(F.get(numbers, s["next"] - 1), F.lit("")))
-        inner = F.when(opens & (s["level"] == 0), "").when(ends | (s["level"] == 0), s["text"]).otherwise(F.concat(s["text"], ch))
-        found = F.array(F.struct(s["at"].alias("at"), s["text"].alias("text")))
-        return F.struct((s["i"] + 1).alias("i"), level.alias("level"), F.when(opens & (s["level"] == 0), s["i"]).otherwise(s["at"]).alias("at"), inner.alias("text"), (s["next"] + counted.cast("int")).alias("next"), F.when(ends & ~counted, F.concat(s["out"], found)).otherwise(s["out"]).alias("out"))
-
-    chars = F.filter(F.split(mask_emoticons(c), ""), lambda ch: ch != "")
-    done = F.aggregate(chars, start, add)
-    return F.struct(done["out"].alias("found"), (done["next"] - 1).alias("enumerated"))
+    return F.arrow_udf(_over(_remarks, _REMARKS), "struct<found:array<struct<at:int,text:string>>,enumerated:int>")(c)
 
 
 def without_brackets(c: Column) -> Column:
     """The sentence without its bracketed remarks."""
-    found = brackets(c)["found"]
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
-    end = F.aggregate(found, start, lambda s, b: F.struct((b["at"] + F.length(b["text"]) + 2).alias("at"), F.concat(s["text"], F.substring(c, s["at"] + 1, b["at"] - s["at"])).alias("text")))
-    return F.concat(end["text"], F.substring(c, end["at"] + 1, F.length(c)))
+    return F.arrow_udf(_over(_bare, pa.string()), "string")(c)
 
 
 def drop_newspaper_asides(c: Column) -> Column:

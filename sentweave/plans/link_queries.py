@@ -112,7 +112,7 @@ def embed_links(spark, sf_dir):
     return docs.select("page_id", F.size("out_links").cast("bigint").alias("n_out"), F.size("in_links").cast("bigint").alias("n_in"))
 
 
-@query(f"{_LINKED} SELECT from_id AS page_id, anchor, to_url, to_id FROM named WHERE anchor = 'next'")
+@query(f"{_LINKED} SELECT from_id AS page_id, anchor, to_url, to_id FROM named")
 def resolve_out_links(spark, sf_dir):
     """Ids of embedded out-links forgotten and looked up anew."""
     found = linked(spark, sf_dir)
@@ -120,7 +120,7 @@ def resolve_out_links(spark, sf_dir):
     known = pages(spark, sf_dir).select("url", F.col("page_id").alias("doc_id"))
     again = links.resolve_out_links(docs, known, "page_id")
     rows = again.select("page_id", F.explode("out_links").alias("o")).select("page_id", "o.anchor", F.explode("o.targets").alias("t"))
-    return rows.filter("anchor = 'next'").select("page_id", "anchor", F.col("t.url").alias("to_url"), F.col("t.doc_id").alias("to_id"))
+    return rows.select("page_id", "anchor", F.col("t.url").alias("to_url"), F.col("t.doc_id").alias("to_id"))
 
 
 @query("SELECT page_id, 'HTML ' || url || chr(10) || chr(10) || html AS html FROM pages")

@@ -93,14 +93,38 @@ def paren_type(spark, sf_dir):
     return words.groupBy(japanese.bracket_type(F.col("w")).alias("type")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("w").alias("words"))
 
 
-_FLAT = "^([^（）]*（[^（）]*）)*[^（）]*$"  # brackets closed and not nested, which SQL can follow
-
-
-@query(f"""WITH {_KANA_LINES} SELECT doc_id, line_no, regexp_replace(c, '（[^（）]*）', '', 'g') AS main, array_to_string(regexp_extract_all(c, '（([^（）]*)）', 1), ',') AS remarks
-FROM kana WHERE regexp_matches(c, '{_FLAT}') AND NOT regexp_matches(c, '（[１-９]）|＾＾')""")
+def _masked(c: str) -> str:
+    """Faces as private characters, longest first."""
+    for face in japanese.FACES_BY_LENGTH:
+        c = f"replace({c}, {sql.q(face)}, {sql.q(chr(0xE001) * len(face))})"
+    return c
+
+
+#: Where the enumerated remarks of a list stand: each number's first place after the one before it; 0 from the first that is missing on.
+_NUMBERED = "p0 AS (SELECT doc_id, line_no, texts, 0 AS place, [0] AS found FROM lists),\n" + "".join(
+    f"q{i} AS (SELECT *, CASE WHEN {'place > 0' if i > 1 else 'true'} THEN coalesce(list_position(texts[place + 1:], {sql.q(n)}), 0) ELSE 0 END AS step FROM p{i - 1}),\n"
+    f"p{i} AS (SELECT doc_id, line_no, texts, CASE WHEN step > 0 THEN place + step ELSE 0 END AS place, list_append(found, CASE WHEN step > 0 THEN place + step ELSE 0 END) AS found FROM q{i}),\n"
+    for i, n in enumerate(japanese.ENUMERATION, 1)
+)
+
+
+@query(f"""WITH {_KANA_LINES}, m AS (SELECT doc_id, line_no, c, {_masked('c')} AS k FROM kana),
+ch AS (SELECT doc_id, line_no, unnest(string_split(k, '')) AS x, unnest(range(length(k))) AS i FROM m WHERE c <> ''),
+s AS (SELECT *, sum(CASE x WHEN '（' THEN 1 WHEN '）' THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id, line_no ORDER BY i) AS s FROM ch),
+v AS (SELECT *, s - least(0, min(s) OVER (PARTITION BY doc_id, line_no ORDER BY i)) AS level FROM s),
+w AS (SELECT *, coalesce(lag(level) OVER (PARTITION BY doc_id, line_no ORDER BY i), 0) AS before FROM v),
+e AS (SELECT doc_id, line_no, i, level, row_number() OVER (PARTITION BY doc_id, line_no, level ORDER BY i) AS n FROM w WHERE (x = '（' AND level = 1 AND before = 0) OR (x = '）' AND level = 0 AND before = 1)),
+pairs AS (SELECT a.doc_id, a.line_no, a.n, a.i AS a, b.i AS b, substr(m.k, CAST(a.i + 2 AS BIGINT), CAST(b.i - a.i - 1 AS BIGINT)) AS t FROM e a JOIN e b ON a.doc_id = b.doc_id AND a.line_no = b.line_no AND a.n = b.n AND a.level = 1 AND b.level = 0 JOIN m ON m.doc_id = a.doc_id AND m.line_no = a.line_no),
+lists AS (SELECT doc_id, line_no, list(t ORDER BY n) AS texts FROM pairs GROUP BY ALL),
+{_NUMBERED}kept AS (SELECT pairs.* FROM pairs JOIN p9 USING (doc_id, line_no) WHERE NOT list_contains(found, n)),
+shown AS (SELECT doc_id, line_no, string_agg(t, ',' ORDER BY n) AS remarks, list(struct_pack(a := a, b := b) ORDER BY n) AS spans FROM kept GROUP BY ALL),
+cut AS (SELECT doc_id, line_no, unnest(string_split(c, '')) AS x, unnest(range(length(c))) AS i FROM kana WHERE c <> ''),
+mains AS (SELECT c.doc_id, c.line_no, string_agg(c.x, '' ORDER BY c.i) FILTER (WHERE shown.spans IS NULL OR len(list_filter(shown.spans, lambda p: c.i BETWEEN p.a AND p.b)) = 0) AS main FROM cut c LEFT JOIN shown USING (doc_id, line_no) GROUP BY ALL)
+SELECT kana.doc_id, kana.line_no, coalesce(mains.main, '') AS main, coalesce(shown.remarks, '') AS remarks FROM kana LEFT JOIN mains USING (doc_id, line_no) LEFT JOIN shown USING (doc_id, line_no)""")
 def paren_divide(spark, sf_dir):
-    flat = kana_lines(spark, sf_dir).filter(F.col("c").rlike(_FLAT) & ~F.col("c").rlike("（[１-９]）|＾＾"))
-    return flat.select("doc_id", "line_no", japanese.without_brackets(F.col("c")).alias("main"), F.array_join(F.transform(japanese.brackets(F.col("c"))["found"], lambda p: p["text"]), ",").alias("remarks"))
+    """Every line without its bracketed remarks, and these; nested ones are part of the outer one, enumerations stay, faces are none."""
+    rows = kana_lines(spark, sf_dir)
+    return rows.select("doc_id", "line_no", japanese.without_brackets(F.col("c")).alias("main"), F.array_join(F.transform(japanese.brackets(F.col("c"))["found"], lambda p: p["text"]), ",").alias("remarks"))
 
 
 @query()
@@ -221,10 +245,10 @@ def conll_to_chunks(spark, sf_dir):
     return found.select("doc_id", F.col("x.id").alias("chunk"), "x.head", "x.token.surf")
 
 
-@query(f"""WITH {_LINES}, w AS (SELECT doc_id, line_no, list_filter(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'), lambda x: regexp_matches(x, '^[A-Za-z]+$')) AS w FROM lines)
+@query(f"""WITH {_LINES}, w AS (SELECT doc_id, line_no, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') AS w FROM lines)
 SELECT doc_id, line_no, 'dep' AS rel, w[i] AS head_word, CAST(i AS INT) AS head, w[i + 1] AS word, CAST(i + 1 AS INT) AS dep FROM (SELECT doc_id, line_no, w, unnest(range(1, len(w))) AS i FROM w)""")
 def typed_dependencies(spark, sf_dir):
-    words = F.filter(english.words_of(F.col("line")), lambda x: x.rlike("^[A-Za-z]+$"))
+    words = english.words_of(F.col("line"))
     typed = F.transform(F.slice(F.col("w"), F.lit(2), F.size("w")), lambda w, i: F.concat(F.lit("dep("), F.get("w", i), F.lit("-"), (i + 1).cast("string"), F.lit(", "), w, F.lit("-"), (i + 2).cast("string"), F.lit(")")))
     rows = lines(spark, sf_dir).select("doc_id", "line_no", words.alias("w")).filter("size(w) > 1").select("doc_id", "line_no", F.array_join(typed, "\n").alias("c"))
     return rows.select("doc_id", "line_no", F.explode(annotate.typed_dependencies(F.col("c"))).alias("d")).select("doc_id", "line_no", "d.*")
@@ -281,15 +305,15 @@ def http_date(spark, sf_dir):
 
 
 def _upper_wide(x: str) -> str:
-    return f"translate(upper({x}), {_HALF}, {_FULL})"
+    return f"translate(replace(replace(upper({x}), 'ß', 'SS'), 'ẞ', 'SS'), {_HALF}, {_FULL})"
 
 
-@query(f"""WITH d AS (SELECT doc_id, source, lang, regexp_replace(text, '[^ -~]', '', 'g') AS t FROM documents)
+@query(f"""WITH d AS (SELECT doc_id, source, lang, text AS t FROM documents)
 SELECT doc_id, {_upper_wide("source || ' ' || doc_id")} AS title, {_upper_wide('lang')} || '/' || {_upper_wide('source')} AS authors,
  md5(array_to_string(list_filter(list_transform(string_split(t, '|'), lambda x: {_upper_wide('trim(x)')}), lambda x: x <> ''), '/')) AS abstract, {_upper_wide('lang')} || '/' || {_upper_wide('source')} AS keywords FROM d""")
 def paper_metadata(spark, sf_dir):
     """Metadata made from the documents: title and authors from their columns, the text as the abstract."""
-    c = F.concat(F.lit("<TITLE> "), "source", F.lit(" "), F.col("doc_id").cast("string"), F.lit("</TITLE><AUTH><AUTH_NAME>"), "lang", F.lit("</AUTH_NAME><AUTH_NAME> "), "source", F.lit("</AUTH_NAME></AUTH><ABST>"), F.regexp_replace("text", "[^ -~]", ""), F.lit("</ABST><KYWD>"), "lang", F.lit(", "), "source", F.lit("</KYWD>"))
+    c = F.concat(F.lit("<TITLE> "), "source", F.lit(" "), F.col("doc_id").cast("string"), F.lit("</TITLE><AUTH><AUTH_NAME>"), "lang", F.lit("</AUTH_NAME><AUTH_NAME> "), "source", F.lit("</AUTH_NAME></AUTH><ABST>"), "text", F.lit("</ABST><KYWD>"), "lang", F.lit(", "), "source", F.lit("</KYWD>"))
     rows = docs(spark, sf_dir).select("doc_id", papers.parse_metadata(c).alias("m"))
     return rows.select("doc_id", "m.title", F.array_join("m.authors", "/").alias("authors"), F.md5(F.array_join("m.abstract", "/")).alias("abstract"), F.array_join("m.keywords", "/").alias("keywords"))
 
