@@ -41,7 +41,8 @@ _FACES = re.compile(f"(?:{FACES})+")
 
 def _share(found: Column, of: Column) -> Column:
     """``found / of`` to five decimals, an exact half upwards; rounded as a whole number, so that no machine's fractions decide. Null of nothing."""
-    return F.floor((found * 200_000 + of) / F.nullif(of * 2, F.lit(0))) / 100_000
+    n, of = found.cast("bigint"), of.cast("bigint")
+    return F.floor((n * 200_000 + of) / F.nullif(of * 2, F.lit(0))) / 100_000
 
 
 def japanese_score(c: Column, punctuation: bool = True) -> Column:
