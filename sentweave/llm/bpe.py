@@ -24,7 +24,9 @@ LETTERS = byte_letters()
 
 
 def shown(pre_token: str) -> str:
-    """A pre-token as the letters that stand for its bytes."""
+    """A pre-token as the letters that stand for its bytes; printable ASCII stands for itself."""
+    if pre_token.isascii() and pre_token.isprintable() and " " not in pre_token:
+        return pre_token
     return pre_token.encode().decode("latin-1").translate(LETTERS)
 
 

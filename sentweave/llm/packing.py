@@ -9,6 +9,7 @@ the task and the running number.
 """
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,11 @@ NAMES = ["doc_id", *(c.split(" ")[0] for c in _REST.split(", "))]
 _WHOLE = re.compile(r"[^\x20-\x7e\n\t\r\xa1-ɏ‐-‧‰-⁞]")
 
 
+def _four_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class Encoder:
     """Little-endian 32-bit ids of whole texts, as ``encode(text, add_special_tokens=False)`` gives them."""
 
@@ -38,8 +44,12 @@ class Encoder:
         self.tokenizer = bpe.load(path)
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words = bpe.Cache(lambda p: np.array(bpe.ids_of(self.tokenizer, p), "<u4").tobytes())
-        self.pieces = bpe.Cache(lambda piece: b"".join(map(self.words.__getitem__, self.split(piece))))
+        self.words = bpe.Cache(lambda p: _four_bytes(bpe.ids_of(self.tokenizer, p)))
+        self.pieces = bpe.Cache(self.piece)
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of what stands between blanks; letters alone are one word."""
+        return self.words[piece] if piece.isalpha() else b"".join(map(self.words.__getitem__, self.split(piece)))
 
     def __call__(self, text: str) -> bytes:
         if _WHOLE.search(text) or any(s in text for s in self.special):

@@ -5,10 +5,10 @@ import re
 
 import pytest
 from tests.llm.conftest import sentence
-from sentweave.llm import common, decontaminate, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter, wide_fingerprints
+from sentweave.llm import alignment, common, conversations, decontaminate, exact_dedup, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter, wide_fingerprints
 from sentweave.llm.queries import tokenizer_path
 
-MODULES = (common, decontaminate, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter, wide_fingerprints)
+MODULES = (alignment, common, conversations, decontaminate, exact_dedup, licenses, line_dedup, packing, quality, sharding, simhash, token_counts, toxicity, url_filter, wide_fingerprints)
 OWN = {"doc_id", "text", "source", "page_id", "url", "html"}
 
 
@@ -49,12 +49,17 @@ def test_names_pass_through(spark, docs):
     passes(licenses.scan_licenses(docs), docs, {"text_digest", "license_id", "n_notices", "notices"})
     passes(simhash.keep_one_of_each(docs), docs, set(), 30)
     passes(simhash.keep_one_fingerprint(docs), docs, set(), 30)
+    passes(exact_dedup.drop_copies(docs), docs, set(), 30)
     assert toxicity.drop_toxic(docs, labels).columns == docs.columns
     assert quality.keep_good(docs).columns == docs.columns
 
 
 def test_names_never_enter(spark, docs):
     assert token_counts.count_tokens(docs, tokenizer_path("byte_bpe_50k.json")).count() == 36
+    assert exact_dedup.find_copies(docs).count() == 36
+    assert alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).count() == 36
+    turns = docs.drop("conv_id", "turn", "role").selectExpr("*", "doc_id AS conv_id", "doc_id AS turn", "source AS role")
+    assert conversations.repaired(conversations.damage(turns)).count() > 30
     assert packing.pack(docs, tokenizer_path("word_bpe_49k.json")).count() >= 36
     assert sharding.kd_shards(docs, shards=3).count() == 36 and simhash.near_groups(docs).count() == 36
     pages = docs.drop("text").withColumnsRenamed({"doc_id": "page_id", "source": "url"}).withColumn("html", docs["key"])
