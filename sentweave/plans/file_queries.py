@@ -5,7 +5,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from sentweave.functions import encoding, text
-from sentweave.operators import annotate, formatter, html, knp, links, papers, provenance, sentences, standard_format
+from sentweave.operators import annotate, dependency_trees, formatter, html, links, papers, provenance, sentences, standard_format
 from sentweave.operators.dictionary import Dictionary
 from sentweave.plans import sql
 from sentweave.plans.page_queries import _SENTENCES
@@ -337,17 +337,17 @@ def trees(spark, sf_dir):
 
 @query(f"""WITH {_TREES}, p AS (SELECT doc_id, line_no, j, unnest(['ga', 'ni']) AS "case", unnest([j - 1, j - 3]) AS a FROM k WHERE j % 4 = 3 AND j % 5 <> 0)
 SELECT doc_id, line_no, 't' || j AS token, "case", 't' || a AS argument FROM p WHERE a % 5 <> 0""")
-def knp_predicates(spark, sf_dir):
+def tree_predicates(spark, sf_dir):
     """Predicates and the words that fill their cases, over the whole chunk tree."""
-    found = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(knp.predicates(knp.tree(F.col("blob")))).alias("p"))
+    found = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(dependency_trees.predicates(dependency_trees.tree(F.col("blob")))).alias("p"))
     return found.select("doc_id", "line_no", "p.token", "p.case", "p.argument")
 
 
 @query(f"""WITH {_TREES} SELECT doc_id, line_no, 'c' || j AS id, CASE WHEN j + 1 < n THEN 'c' || (j + 1) ELSE 'c-1' END AS head, 't' || j AS token, word AS surf,
  CAST(CASE WHEN j % 4 = 3 AND j % 5 <> 0 THEN (CASE WHEN (j - 1) % 5 <> 0 THEN 1 ELSE 0 END) + (CASE WHEN (j - 3) % 5 <> 0 THEN 1 ELSE 0 END) ELSE 0 END AS INT) AS cases FROM k""")
-def knp_xml(spark, sf_dir):
+def tree_xml(spark, sf_dir):
     """The trees as XML with Chunk, Token and Predicate elements, read again."""
-    read = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(knp.from_xml(knp.to_xml(knp.tree(F.col("blob"))))).alias("c"))
+    read = trees(spark, sf_dir).select("doc_id", "line_no", F.explode(dependency_trees.from_xml(dependency_trees.to_xml(dependency_trees.tree(F.col("blob"))))).alias("c"))
     rows = read.select("doc_id", "line_no", "c.id", "c.head", F.explode("c.tokens").alias("t"))
     return rows.select("doc_id", "line_no", "id", "head", F.col("t.id").alias("token"), F.col("t.surf").alias("surf"), F.size("t.predicate").alias("cases"))
 

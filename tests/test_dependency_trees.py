@@ -4,9 +4,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from sentweave.operators import annotate, knp
+from sentweave.operators import annotate, dependency_trees
 
-BLOB = """# S-ID:1 KNP:4.0 SCORE:-12.5
+BLOB = """# S-ID:1 SCORE:-12.5
 * 1D <体言>
 + 1D <体言><係:ガ格>
 太郎 たろう 太郎 名詞 6 人名 5 * 0 * 0 "代表表記:太郎/たろう" <代表表記:太郎/たろう><内容語>
@@ -28,7 +28,7 @@ after the end"""
 
 
 def test_tree_and_predicates(spark):
-    t = knp.tree_of(BLOB)
+    t = dependency_trees.tree_of(BLOB)
     assert t["score"] == -12.5 and [c["id"] for c in t["chunks"]] == ["c0", "c1", "c2", "c3"]
     assert [c["head"] for c in t["chunks"]] == ["c1", "c3", "c3", "c-1"] and [c["root"] for c in t["chunks"]] == ["c3"] * 4
     assert [c["category"] for c in t["chunks"]] == ["体言", "体言", "用言:動", "用言:形"] and "体言" not in t["chunks"][0]["feature"]
@@ -36,20 +36,20 @@ def test_tree_and_predicates(spark):
     assert [w["surf"] for w in words] == ["太郎", "が", "*", "を", "読んだ", "よ"] and words[0]["rep"] == "太郎/たろう" and words[3]["rep"] == "を/を"
     assert words[4]["predicate"] == [{"case": "ga", "token": "t0"}, {"case": "wo", "token": "t2"}] and words[5]["predicate"] == [{"case": "ga", "token": "t4"}]
     assert words[0]["synnodes"] == [{"synid": "太郎/たろう", "wordid": "t0", "score": "1"}] and words[1]["synnodes"][0]["wordid"] == "t0,t1"
-    df = spark.createDataFrame([(BLOB,), ("",), (None,), ("no chunks\nEOS",)], "b string").select(knp.tree(F.col("b")).alias("t"))
-    xml = df.select(knp.to_xml(F.col("t")).alias("x"), knp.predicates(F.col("t")).alias("p")).collect()
+    df = spark.createDataFrame([(BLOB,), ("",), (None,), ("no chunks\nEOS",)], "b string").select(dependency_trees.tree(F.col("b")).alias("t"))
+    xml = df.select(dependency_trees.to_xml(F.col("t")).alias("x"), dependency_trees.predicates(F.col("t")).alias("p")).collect()
     assert [tuple(p) for p in xml[0]["p"]] == [("t4", "ga", "t0"), ("t4", "wo", "t2"), ("t5", "ga", "t4")]
     assert '<Predicate ga="t0" wo="t2"/>' in xml[0]["x"] and xml[1]["x"] == "<Annotation></Annotation>" and xml[2]["x"] is None and xml[3]["p"] == []
-    back = df.select(knp.from_xml(knp.to_xml(F.col("t"))).alias("c")).first()["c"]
+    back = df.select(dependency_trees.from_xml(dependency_trees.to_xml(F.col("t"))).alias("c")).first()["c"]
     assert [(c["id"], c["head"]) for c in back] == [(c["id"], c["head"]) for c in t["chunks"]]
     again = [w for c in back for w in c["tokens"]]
     assert [(w["id"], w["surf"], dict(w["predicate"]), list(w["synids"])) for w in again] == [(w["id"], w["surf"], {p["case"]: p["token"] for p in w["predicate"]}, [s["synid"] for s in w["synnodes"]]) for w in words]
-    assert "feature" not in df.select(knp.to_xml(F.col("t"), simple=True).alias("x")).first()["x"]
+    assert "feature" not in df.select(dependency_trees.to_xml(F.col("t"), simple=True).alias("x")).first()["x"]
 
 
 def test_roots_by_pointer_jumping():
     rng = random.Random(2)
-    assert knp.roots([]) == [] and knp.roots([0]) == [-1] and knp.roots([-1]) == [0] and knp.roots([5]) == [0]
+    assert dependency_trees.roots([]) == [] and dependency_trees.roots([0]) == [-1] and dependency_trees.roots([-1]) == [0] and dependency_trees.roots([5]) == [0]
     for _ in range(400):
         n = rng.randrange(1, 40)
         heads = [rng.randrange(-1, n + 2) for _ in range(n)]
@@ -60,9 +60,9 @@ def test_roots_by_pointer_jumping():
                 seen.add(i)
                 i = heads[i]
             want.append(-1 if i in seen else i)
-        assert knp.roots(heads) == want
+        assert dependency_trees.roots(heads) == want
     chain = [i + 1 for i in range(100_000)]
-    assert knp.roots(chain) == [99_999] * 100_000
+    assert dependency_trees.roots(chain) == [99_999] * 100_000
 
 
 def made(words: list[tuple[str, str, str, str]]) -> str:
@@ -92,10 +92,10 @@ def test_long_sentences_by_the_tree(spark):
     cases += [(early, None), (late, None), (short, None), (looks, None), (two, ["あ" * 30 + "走る。", "あ" * 5 + "走るが、" + "あ" * 30])]
     said = ["".join(w[0] for w in words) for words, _ in cases]
     want = [[s] if w is None else w for s, (_, w) in zip(said, cases)]
-    assert [knp.long_parts(s, made(words)) for s, (words, _) in zip(said, cases)] == want
+    assert [dependency_trees.long_parts(s, made(words)) for s, (words, _) in zip(said, cases)] == want
     table = dict(zip(said, [made(w) for w, _ in cases]))
     annotate.register_annotator("made", lambda: table.__getitem__)
     rows = spark.createDataFrame([(i, s) for i, s in enumerate(said)] + [(99, None), (100, "x" * 90)], "i int, raw_string string")
     found = annotate.annotate(rows, "made", condition=F.length("raw_string") > 0)
-    got = {r["i"]: r["p"] for r in found.select("i", knp.split_long(F.col("raw_string"), F.col("analysis")).alias("p")).collect()}
+    got = {r["i"]: r["p"] for r in found.select("i", dependency_trees.split_long(F.col("raw_string"), F.col("analysis")).alias("p")).collect()}
     assert got == dict(enumerate(want)) | {99: None, 100: ["x" * 90]}
