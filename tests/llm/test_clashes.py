@@ -59,7 +59,7 @@ def test_names_never_enter(spark, docs):
     assert exact_dedup.find_copies(docs).count() == 36
     assert alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")).count() == 36
     turns = docs.drop("conv_id", "turn", "role").selectExpr("*", "doc_id AS conv_id", "doc_id AS turn", "source AS role")
-    assert conversations.repaired(conversations.damage(turns)).count() > 30
+    assert conversations.digests(conversations.damage(turns), conversations.audits(conversations.damage(turns), turns)).count() == 36
     assert packing.pack(docs, tokenizer_path("word_bpe_49k.json")).count() >= 36
     assert sharding.kd_shards(docs, shards=3).count() == 36 and simhash.near_groups(docs).count() == 36
     pages = docs.drop("text").withColumnsRenamed({"doc_id": "page_id", "source": "url"}).withColumn("html", docs["key"])
