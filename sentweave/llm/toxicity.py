@@ -9,7 +9,7 @@ or a single text says (``WORD_DISCOUNTS``, ``PAIR_DISCOUNT``): only repeated evi
 The log-likelihood ratio of a word then comes from three tables: of its pair where that is known well enough, or else of
 the word and of the word before it. They are gathered over every labelled training row, keyed by 48-bit hashes of the
 words (of ten million words, one pair or none meets) and as large as the corpus makes them; nothing is put in buckets. They are broadcast up to
-``BROADCAST_KEYS`` keys; beyond, the words of the texts are joined to them by a shuffle.
+``BROADCAST_KEYS`` keys; beyond, without the words that can't matter to the texts at hand; beyond that, the words of the texts are joined to them by a shuffle.
 
 A text's evidence is the sum of its words' ratios beyond ``MARGIN``, over the square root of its length. A logistic
 curve in this one number, never falling, gives the score; it is fitted on at most ``MAX_FITTED`` training rows (drawn by a hash
@@ -18,7 +18,7 @@ of the id) with the evidence of models that haven't seen their third of the text
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,8 @@ from sentweave.llm.common import forget_shuffles, free, materialise, remove, row
 
 #: Discounts of continuation counts of 1, 2, and 3 or more; discount of the texts that hold a pair; least ratio that counts.
 WORD_DISCOUNTS, PAIR_DISCOUNT, MARGIN = (1.0, 1.5, 2.0), 3, 2.0
+#: Words of no greater ratio count only after contexts that make up for what they lack.
+QUIET = 1.0
 #: Rows that the curve is fitted on, at most; the counts have no bound.
 MAX_FITTED = 50_000
 #: Labels are broadcast up to so many rows, the tables of ratios up to so many keys; beyond, they are joined by a shuffle.
@@ -164,8 +166,17 @@ def _discounted(n: Column) -> Column:
     return F.when(n == 0, 0.0).when(n == 1, one).when(n == 2, two).otherwise(more)
 
 
+def _counts(ratio: Column) -> Column:
+    """True for a ratio that adds to a text's evidence."""
+    return ratio > MARGIN
+
+
 def ratios(pairs: DataFrame) -> Ratios:
-    """The tables of ratios from :func:`pair_counts`; keys that all models treat alike are left out of them."""
+    """The tables of ratios from :func:`pair_counts`; keys that all models treat alike are left out of them.
+
+    So are keys that can't add to any text's evidence: pairs whose ratio stays within the margin and would do so without them, and words that
+    stay within it after every context. The evidence is the same to the bit, and the tables grow with what is toxic, not with the corpus.
+    """
     variants = range(PARTS + 1)
     in_class = {(y, k): sum((F.col(f"c{y}{p}") for p in range(PARTS) if p != k - 1), F.lit(0)) for y in (0, 1) for k in variants}
     columns = [f"{y}{k}" for y in (0, 1) for k in variants]
@@ -184,7 +195,9 @@ def ratios(pairs: DataFrame) -> Ratios:
 
     all_ = lambda f: F.array(*[f(k) for k in variants])
     probable = words.select("w", *[word(y, k).alias(f"p{y}{k}") for y in (0, 1) for k in variants], F.greatest(*[F.col(f"n{y}0") for y in (0, 1)]).alias("most"))
-    told = probable.filter("most > 1").select("w", all_(lambda k: F.log(F.col(f"p1{k}") / F.col(f"p0{k}"))).alias("l"))
+    of_word = all_(lambda k: F.log(F.col(f"p1{k}") / F.col(f"p0{k}")))
+    told = probable.filter("most > 1").select("w", of_word.alias("l"))
+    unknown = [float(np.log(left[f"1{k}"] / left[f"0{k}"])) for k in variants]
 
     often, at_often = materialise(counted.filter(F.greatest("c00", "c10") > PAIR_DISCOUNT), "toxic-often")
     opened = often.select("v").distinct()
@@ -194,12 +207,19 @@ def ratios(pairs: DataFrame) -> Ratios:
     contexts = counted.join(opened, "v", "left_semi").groupBy("v").agg(*[F.sum(f"c{x}").alias(f"n{x}") for x in columns], *[F.sum(kept(x)).alias(f"r{x}") for x in columns])
     contexts, at_contexts = materialise(contexts, "toxic-contexts")
     handed_on = lambda x: (F.col(f"r{x}") + 1) / (F.col(f"n{x}") + 1)
-    handed = contexts.select("v", all_(lambda k: F.log(handed_on(f"1{k}") / handed_on(f"0{k}"))).alias("l"))
+    of_context = all_(lambda k: F.log(handed_on(f"1{k}") / handed_on(f"0{k}")))
+    handed = contexts.select("v", of_context.alias("l"))
     met = often.join(contexts, "v").join(probable, "w")
     both = lambda x: (F.col(f"c{x}") - kept(x) + (F.col(f"r{x}") + 1) * F.col(f"p{x}")) / (F.col(f"n{x}") + 1)
-    paired, at_pairs = materialise(met.select("v", "w", all_(lambda k: F.log(both(f"1{k}") / both(f"0{k}"))).alias("l")), "toxic-ratios")
+    backed_off = F.zip_with(F.when(F.col("most") > 1, of_word).otherwise(F.array(*map(F.lit, unknown))), of_context, lambda a, b: a + b)
+    said = met.select("v", "w", all_(lambda k: F.log(both(f"1{k}") / both(f"0{k}"))).alias("l"), backed_off.alias("apart"))
+    paired, at_pairs = materialise(said.filter(F.exists("l", _counts) | F.exists("apart", _counts)).select("v", "w", "l"), "toxic-ratios")
+    loudest = handed.agg(*[F.max(F.get("l", F.lit(k))) for k in variants]).first()
+    most = [max(0.0, x or 0.0) for x in loudest]
+    if all(u + m <= MARGIN for u, m in zip(unknown, most)):
+        told = told.filter(F.exists(F.zip_with("l", F.array(*map(F.lit, most)), lambda a, b: a + b), _counts))
     remove(pairs.sparkSession, at_often)
-    return Ratios(told, handed, paired, [float(np.log(left[f"1{k}"] / left[f"0{k}"])) for k in variants], [at_words, at_contexts, at_pairs])
+    return Ratios(told, handed, paired, unknown, [at_words, at_contexts, at_pairs])
 
 
 class Lookup:
@@ -258,9 +278,38 @@ class Curve:
         return 1 / (1 + np.exp(-np.clip(self.base + self.slope * self._z(x), -35, 35)))
 
 
+def _needed(rows: DataFrame, found: Ratios, text: Column) -> Ratios:
+    """The tables without words whose ratios can't matter to these texts.
+
+    A ratio of at most ``QUIET`` adds to the evidence only after a context that takes it beyond the margin. So of such words
+    only those stay that follow such a context somewhere in the texts; the evidence is the same to the bit.
+    """
+    if max(found.unknown) > QUIET:
+        return found
+    spark = rows.sparkSession
+    opening = found.contexts.filter(F.exists("l", lambda x: x > MARGIN - QUIET)).select("v").toArrow().column("v").to_numpy()
+    sent = spark.sparkContext.broadcast(np.sort(opening))
+
+    def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = bpe.Cache(_hash, most=_CACHED)
+        for batch in batches:
+            for i in range(0, batch.num_rows, 500):
+                v, w, _ = _hashed(batch.column(0).slice(i, 500).to_pylist(), hashes)
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(w[np.isin(v, sent.value)]))], names=["w"])
+
+    after, at = materialise(rows.select(text.alias("text")).mapInArrow(follow, "w bigint").distinct(), "toxic-needed")
+    sent.destroy()
+    loud = F.exists("l", lambda x: x > QUIET)
+    words, at_words = materialise(found.words.join(after.withColumn("met", F.lit(True)), "w", "left").filter(loud | F.col("met")).select("w", "l"), "toxic-heard")
+    remove(spark, at)
+    return replace(found, words=words, paths=[*found.paths, at_words])
+
+
 def _with_evidence(rows: DataFrame, found: Ratios, text: Column, variant: Column, name: str, key: list[Column], most_keys: int, variants: int = 1) -> DataFrame:
     """``rows`` and their evidence as column ``name``: by a broadcast of the tables (of the first ``variants``), or by joining the words to them."""
     context = rows.sparkSession.sparkContext
+    if found.keys() > most_keys:
+        found = _needed(rows, found, text)
     if found.keys() <= most_keys:
         sent = context.broadcast(Lookup(found, variants))
 

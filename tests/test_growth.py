@@ -1,5 +1,8 @@
 """What must not grow faster than the tables: plans that work a page out once, tables that hold only what can matter."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from sentweave.operators import html
 
 
@@ -9,3 +12,17 @@ def test_blog_template_works_the_page_out_once(spark):
         found = rows.select("id", html.drop_blog_template(rows["html"], keep_places).alias("x"))
         assert {r["id"]: r["x"] for r in found.collect()} == {1: want, 2: None}
         assert found._jdf.queryExecution().optimizedPlan().toString().lower().count("instr") <= 3
+
+
+def test_toxicity_keeps_only_ratios_that_can_count(spark, sf_dir):
+    """Pairs of ordinary words aren't in the tables; where these are still too large, words that no text needs go, and the evidence stays."""
+    toxicity = pytest.importorskip("sentweave.llm.toxicity")
+    docs, labels = spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/documents.parquet"), spark.read.parquet(f"{sf_dir.replace('0.001', '0.01')}/labels.parquet")
+    found, _ = toxicity.train(docs, labels)
+    quiet = F.forall("l", lambda x: x <= toxicity.MARGIN)
+    alone = found.words.join(found.pairs.filter(quiet), "w", "right").join(found.contexts.select("v", F.col("l").alias("before")), "v", "left")
+    assert found.pairs.count() and not alone.filter(~F.exists(F.zip_with(F.coalesce(found.words["l"], F.array(*map(F.lit, found.unknown))), "before", lambda a, b: a + b), lambda x: x > toxicity.MARGIN)).count()
+    needed = toxicity._needed(docs, found, F.col("text"))
+    assert 0 < needed.words.count() < found.words.count()
+    evidence = lambda own, most: {r["doc_id"]: r["x"] for r in toxicity._with_evidence(docs, own, F.col("text"), F.lit(0), "x", toxicity.row_key(docs), most).select("doc_id", "x").collect()}
+    assert evidence(found, 10**9) == evidence(found, found.keys() - 1) == evidence(needed, 10**9)
