@@ -66,6 +66,18 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         remove(spark, *[p for p in _WRITTEN if p not in there])
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Actions within the block send at most so many rows at once to a Python worker: each batch is held several times, there and in the executor."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows if int(before) <= 0 else min(rows, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 @contextmanager
 def broadcast(spark: SparkSession, value: object) -> Iterator:
     """A broadcast variable for actions within the block; freed everywhere afterwards."""

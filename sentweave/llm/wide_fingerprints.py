@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentweave.llm.common import free, materialise, remove, row_key, text_of
+from sentweave.llm.common import arrow_batches, free, materialise, remove, row_key, text_of
 from sentweave.llm.components import components
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
@@ -32,6 +32,8 @@ TOGETHER, BEST = 12, 8
 #: Texts under one key that a task compares at once; larger crowds are dealt into parts of about so many.
 BLOCK = 4096
 _AT_ONCE = 1024
+#: Rows that a Python worker gets at once.
+BATCH = 1000
 #: Places of the finer fingerprints of texts in crowds, and those in which a candidate agrees: of pairs at 0.8 about one in a million has fewer.
 FINE, FINE_LOOSE = 512, 366
 _SIZE = BANDS * ROWS
@@ -298,7 +300,8 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     key = row_key(docs)
     keyed = docs.withColumn(k1, key[0]).withColumn(k2, key[1])
     own = docs.select(docs["doc_id"], key[0].alias("k1"), key[1].alias("k2"), text_of(docs).alias("text"))
-    rows, at_rows = materialise(signatures(own, shingle, keep=("doc_id", "k1", "k2")), "signatures")
+    with arrow_batches(docs.sparkSession, BATCH):
+        rows, at_rows = materialise(signatures(own, shingle, keep=("doc_id", "k1", "k2")), "signatures")
     nodes, _ = materialise(_nodes(rows), "nodes")
     remove(docs.sparkSession, at_rows)
 
@@ -306,7 +309,8 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float
         named = nodes.join(wanted, "node", "left_semi").select("node", "first.k1", "first.k2")
         return own.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text")
 
-    linked = near_components(nodes.select("node", "bands", "sig"), texts, shingle, similarity)
+    with arrow_batches(docs.sparkSession, BATCH):
+        linked = near_components(nodes.select("node", "bands", "sig"), texts, shingle, similarity)
     named = nodes.select("node", "first").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
     return keyed.join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*[keyed[f"`{c}`"] for c in docs.columns])
