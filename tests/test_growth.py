@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from sentweave.operators import html
+from sentweave.operators import html, provenance
 
 
 def test_blog_template_works_the_page_out_once(spark):
@@ -26,3 +26,16 @@ def test_toxicity_keeps_only_ratios_that_can_count(spark, sf_dir):
     assert 0 < needed.words.count() < found.words.count()
     evidence = lambda own, most: {r["doc_id"]: r["x"] for r in toxicity._with_evidence(docs, own, F.col("text"), F.lit(0), "x", toxicity.row_key(docs), most).select("doc_id", "x").collect()}
     assert evidence(found, 10**9) == evidence(found, found.keys() - 1) == evidence(needed, 10**9)
+
+
+def test_short_sentences_stand_where_all_of_them_stands(spark):
+    """What lies between two sentences opens like the short one after it; a reference without a semicolon ends a sentence whole."""
+    page = "Orti eronnd in bleat. And ha " + "so on " * 40 + "went. And. Ereae it thnd ou th the."
+    raws = ["Ortieronndinbleat.", "And.", "Ereaeitthndouththe."]
+    assert [page[o : o + n] for o, n in provenance.align(raws, page)] == ["Orti eronnd in bleat.", "And.", "Ereae it thnd ou th the."]
+    shown = spark.range(1).select(provenance.padded_entities(F.lit("One &amp;&amp</p>&amp;<b>\x7f")).alias("x")).first()["x"]
+    assert provenance.align(["One&&", "&"], shown.replace("</p>", "    ").replace("<b>", "   ")) == [(0, 13), (17, 1)]
+    block = "BY!! AND!! THE HEATOU ONONAT TO TO THE ANOR SHHEED ERONNTEN ONNT THIN NDONSH, OF. IS THE WAS THAT OF.!! "
+    lines = ["BY!!", "AND!!", "THEHEATOUONONATTOTOTHEANORSHNNTENONNTTHINNDONSH,OF.", "ISTHEWASTHATOF.!!"]
+    found = provenance.align(lines * 40, block * 40)
+    assert [o - i // 4 * len(block) for i, (o, _) in enumerate(found)] == [0, 5, 11, 82] * 40
