@@ -222,9 +222,10 @@ def tagged_conll(words: Column, tags: Column) -> Column:
 
 def chunks(conll: Column) -> Column:
     """Chunks of CoNLL text: id ``c<n>``, head ``c<m>`` (``c-1`` at the root) and its token."""
-    part = lambda r, i: F.split_part(r, F.lit("\t"), F.lit(i))
-    head = lambda r: F.when(part(r, 7) == "0", "c-1").otherwise(F.concat(F.lit("c"), part(r, 7)))
-    return F.transform(F.filter(F.split(conll, "\n"), lambda r: r != ""), lambda r: F.struct(F.concat(F.lit("c"), part(r, 1)).alias("id"), head(r).alias("head"), part(r, 8).alias("type"), F.struct(F.concat(F.lit("t"), part(r, 1)).alias("id"), part(r, 2).alias("surf"), part(r, 3).alias("orig"), part(r, 5).alias("pos")).alias("token")))
+    part = lambda p, i: F.coalesce(F.get(p, F.lit(i - 1)), F.lit(""))
+    head = lambda p: F.when(part(p, 7) == "0", "c-1").otherwise(F.concat(F.lit("c"), part(p, 7)))
+    rows = F.transform(F.filter(F.split(conll, "\n"), lambda r: r != ""), lambda r: F.split(r, "\t"))  # each line is cut once
+    return F.transform(rows, lambda p: F.struct(F.concat(F.lit("c"), part(p, 1)).alias("id"), head(p).alias("head"), part(p, 8).alias("type"), F.struct(F.concat(F.lit("t"), part(p, 1)).alias("id"), part(p, 2).alias("surf"), part(p, 3).alias("orig"), part(p, 5).alias("pos")).alias("token")))
 
 
 def typed_dependencies(text: Column) -> Column:
