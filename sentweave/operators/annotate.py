@@ -9,11 +9,13 @@ import re
 import signal
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sentweave.functions.batches import sliced
 from sentweave.functions.text import bind
 from sentweave.session import unused
 
@@ -42,9 +44,13 @@ def rule_tagger() -> Callable[[str], str]:
     rules = [(r"^[0-9][0-9.,]*$", "CD"), (r"^[.!?]$", "."), (r"^[,;:]$", ","), (r"^(the|a|an)$", "DT"), (r"^(of|in|on|to|for|with|by|from)$", "IN"), (r".ing$", "VBG"), (r".ed$", "VBD"), (r".ly$", "RB"), (r"^[A-Z]", "NNP"), (r".s$", "NNS")]
     compiled = [(re.compile(p), t) for p, t in rules]
 
+    @lru_cache(1 << 16)
+    def tag_of(token: str) -> str:
+        return next((tag for p, tag in compiled if p.search(token)), "NN")
+
     def analyze(sentence: str) -> str:
         tokens = [POS_NAMES.get(t, t) for t in sentence.split(" ") if t]
-        tags = [next((tag for p, tag in compiled if p.search(t)), "NN") for t in tokens]
+        tags = [tag_of(t) for t in tokens]
         root = next((i for i, t in enumerate(tags) if t.startswith("VB")), 0)
         rows = [[str(i + 1), t, t.lower(), tag, tag, "_", "0" if i == root else str(root + 1), "ROOT" if i == root else "DEP", "_", "_"] for i, (t, tag) in enumerate(zip(tokens, tags))]
         return "\n".join("\t".join(r) for r in rows)
@@ -97,7 +103,7 @@ def analyses(texts: DataFrame, name: str = "rules", column: str = "text", second
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         analyze, used = make(), 0
-        for batch in batches:
+        for batch in sliced(batches):
             done, errors = [], []
             for t in batch.column(0).to_pylist():
                 if restart_after and used >= restart_after:
@@ -165,7 +171,7 @@ def analyse_documents(docs: DataFrame, name: str, sentences: str = "sentences",
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         analyze, used = make(), 0
-        for batch in batches:
+        for batch in sliced(batches):
             out = []
             for said in batch.to_pylist():
                 if restart_after and used >= restart_after:
@@ -207,15 +213,17 @@ def annotate(found: DataFrame, name: str = "rules", column: str = "raw_string",
 
 def conll_rows(found: DataFrame, analysis: str = "analysis", *keep: str) -> DataFrame:
     """One row a token of CoNLL text: number, form, lemma, pos, head, relation."""
-    rows = found.filter(F.col(analysis).isNotNull() & (F.col(analysis) != "")).select(*keep, F.explode(F.split(analysis, "\n")).alias("line"))
-    part = lambda i: F.split_part("line", F.lit("\t"), F.lit(i))
+    # a filter on the analysis would be pushed below what makes it, which would be done again for each of its conditions
+    cut = bind(F.col(analysis), lambda a: F.when(a != "", F.split(a, "\n")))
+    rows = found.select(*keep, F.explode(F.transform(cut, lambda line: F.split(line, "\t"))).alias("fields"))
+    part = lambda i: F.coalesce(F.get("fields", F.lit(i - 1)), F.lit(""))
     return rows.select(*keep, part(1).cast("int").alias("tok"), part(2).alias("form"), part(3).alias("lemma"), part(5).alias("pos"), part(7).cast("int").alias("head"), part(8).alias("rel"))
 
 
 def tagged_conll(words: Column, tags: Column) -> Column:
     """CoNLL text of parallel word and tag arrays; brackets get their treebank names; no heads."""
     names = F.create_map(*[F.lit(x) for p in POS_NAMES.items() for x in p])
-    name = lambda w: F.coalesce(F.try_element_at(names, w), w)
+    name = lambda w: F.when(w.isin(*POS_NAMES), F.try_element_at(names, w)).otherwise(w)
     row = lambda p, i: F.concat_ws("\t", (i + 1).cast("string"), name(p["0"]), F.lower(name(p["0"])), name(p["1"]), name(p["1"]), F.lit("_"), F.lit("0"), F.lit("_"), F.lit("_"), F.lit("_"))
     return F.array_join(F.transform(F.arrays_zip(words.alias("0"), tags.alias("1")), row), "\n")
 

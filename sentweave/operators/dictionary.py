@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sentweave.functions.batches import sliced
+
 #: Characters of all entries together that are sent to the workers; a node of the automaton takes about 50 bytes.
 MAX_CHARS = 4_000_000
 _KIND = "array<struct<start:int,length:int,kind:int>>"
@@ -63,7 +65,7 @@ class Dictionary:
                 found.add_word(w, (len(w), kinds))
             found.make_automaton()
             empty = not sent.value
-            for batch in batches:
+            for batch in sliced(batches):
                 yield pa.array([None if t is None else [] if empty else longest(list(found.iter(t))) for t in batch.to_pylist()], _MARK)
 
         run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -79,7 +81,7 @@ class Dictionary:
 
 
 def _flag(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for texts, marks in batches:
+    for texts, marks in sliced(batches):
         out = []
         for t, own in zip(texts.to_pylist(), marks.to_pylist()):
             if t is None:
