@@ -8,6 +8,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sentweave.functions.batches import sliced
+
 #: Charset names that pages declare, with the language they speak for and the codec.
 CHARSETS = {
     "iso-8859-1": ("english", "iso-8859-1"), "iso8859-1": ("english", "iso-8859-1"), "latin1": ("english", "iso-8859-1"), "windows-1252": ("english", "iso-8859-1"), "us-ascii": ("english", "ascii"), "ascii": ("english", "ascii"),
@@ -47,7 +49,7 @@ def guess(raw: bytes | None) -> str | None:
 
 
 def _guesses(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
+    for batch in sliced(batches):
         yield pa.array([guess(b) for b in batch.to_pylist()], pa.string())
 
 
@@ -81,7 +83,7 @@ def normalise_nfkc(c: Column) -> Column:
 
 
 def _decodes(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-    for raw, name in batches:
+    for raw, name in sliced(batches):
         yield pa.array([None if r is None or n not in CODECS else r.decode(CODECS[n], "replace") for r, n in zip(raw.to_pylist(), name.to_pylist())], pa.string())
 
 
@@ -95,7 +97,7 @@ def encode(c: Column, name: str) -> Column:
     codec = CODECS[name]
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
+        for batch in sliced(batches):
             yield pa.array([None if t is None else t.encode(codec, "replace") for t in batch.to_pylist()], pa.binary())
 
     run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
@@ -123,7 +125,7 @@ def unzip(raw: bytes | None) -> bytes | None:
 
 
 def _unzips(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in batches:
+    for batch in sliced(batches):
         yield pa.array([unzip(raw) for raw in batch.to_pylist()], pa.binary())
 
 
