@@ -89,6 +89,11 @@ def articles(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), "([^/]+?)(\\.txt)?$", 1).alias("name"), F.col("value").alias("text"))
 
 
+def named_articles(files: DataFrame) -> DataFrame:
+    """The same of ``named_files.read``: for more files than the driver should list."""
+    return files.select(F.regexp_extract("name", "(.+?)(\\.txt)?$", 1).alias("name"), F.col("content").cast("string").alias("text"))
+
+
 def medical_reports(spark: SparkSession, path: str) -> DataFrame:
     """Columns 0, 5, 6 and 7 of tab-separated files, each with a header line: id, findings, impression, order."""
     rows = numbered_lines(spark, path).filter((F.col("pos") > 0) & (F.col("value") != ""))
@@ -121,11 +126,14 @@ def page_lines(lines: DataFrame) -> DataFrame:
 
 
 def analyzer_blocks(spark: SparkSession, path: str, charset: str = "utf8") -> DataFrame:
-    """``(sid, blob)`` of analyzer output: blocks that open with ``# S-ID:`` and end with EOS."""
-    raw = spark.read.format("binaryFile").load(path)
-    text_ = encoding.decode(F.col("content"), F.lit(charset))
-    blocks = raw.select(F.explode(F.split(text_, "(?m)^EOS\\r?\\n?")).alias("b")).filter(F.col("b").contains("# S-ID:"))
-    return blocks.select(F.regexp_extract("b", "# S-ID:(\\S+)", 1).alias("sid"), F.concat(F.regexp_replace("b", "^\\s+", ""), F.lit("EOS")).alias("blob"))
+    """``(sid, blob)`` of analyzer output: blocks that open with ``# S-ID:`` and end with EOS.
+
+    A large file is read by splits and decoded block by block: no charset here has a line feed within a character. A last block without
+    its EOS gets one, on a line of its own.
+    """
+    raw = spark.read.option("lineSep", "\nEOS").text(path).filter(F.col("value").contains("# S-ID:"))
+    b = F.regexp_replace(encoding.decode(F.col("value").cast("binary"), F.lit(charset)), "^(EOS\\r?\\n)?\\s+|^EOS\\r?\\n", "")
+    return raw.select(b.alias("b")).select(F.regexp_extract("b", "# S-ID:(\\S+)", 1).alias("sid"), F.concat("b", F.lit("\nEOS")).alias("blob"))
 
 
 def standard_format(spark: SparkSession, path: str) -> DataFrame:
