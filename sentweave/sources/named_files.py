@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyarrow import fs as stores
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
@@ -43,7 +43,7 @@ class _Writer(DataSourceArrowWriter):
         fs, root = store(self.path)
         done, shards = Written(f"{root}/{STAGING}/{self.job}/{uuid.uuid4().hex}"), set()
         for batch in iterator:
-            for shard, name, content in zip(*(batch.column(c).to_pylist() for c in ("shard", "name", "content")), strict=True):
+            for shard, name, content in zip(*((x.as_py() for x in batch.column(c)) for c in ("shard", "name", "content")), strict=True):
                 if not name or not shard or {"/", "\\"} & set(name + shard) or shard.startswith("_") or {name, shard} & {".", ".."}:
                     raise ValueError(f"not a name for a file: {shard!r}, {name!r}")
                 if shard not in shards:
@@ -106,3 +106,38 @@ def write(rows: DataFrame, shard: Column, name: Column, content: Column, path: s
     rows.sparkSession.dataSource.register(NamedFiles)
     files = rows.select(shard.cast("string").alias("shard"), name.cast("string").alias("name"), content.cast("binary").alias("content"))
     files.repartition("shard").write.format("named_files").mode(mode).save(path)
+
+
+#: Bytes of files, and how many of them, that a reader hands to Spark at once (one at least).
+READ_BYTES, READ_FILES = 4 << 20, 512
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """``(path, shard, name, content)`` of the files that :func:`write` left in the folders under ``path``.
+
+    The driver lists the shards alone; each is listed and read by a task of its own, so no list of files goes to the driver. Folders and files
+    whose names begin with ``_`` or ``.`` are left out, and so is what lies deeper.
+    """
+    fs, root = store(path.rstrip("/"))
+    shards = sorted(i.base_name for i in fs.get_file_info(stores.FileSelector(root)) if i.type == stores.FileType.Directory and i.base_name[0] not in "_.")
+    schema = "path string, shard string, name string, content binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = store(path.rstrip("/"))
+        kinds = [("path", pa.string()), ("shard", pa.string()), ("name", pa.string()), ("content", pa.binary())]
+        rows, held = [], 0
+        for shard in (s for b in batches for s in b.column(0).to_pylist()):
+            for f in fs.get_file_info(stores.FileSelector(f"{root}/{shard}")):
+                if f.type == stores.FileType.File and f.base_name[0] not in "_.":
+                    with fs.open_input_stream(f.path, compression=None) as content:
+                        rows.append((f.path, shard, f.base_name, content.read()))
+                    held += len(rows[-1][3])
+                    if held >= READ_BYTES or len(rows) >= READ_FILES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
+                        rows, held = [], 0
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows), kinds)], schema=pa.schema(kinds))
+
+    # a slice of the list a shard: hashing the names would put several into one task and none into others
+    dealt = spark.sparkContext.parallelize([(s,) for s in shards], max(len(shards), 1))
+    return spark.createDataFrame(dealt, "shard string").mapInArrow(run, schema)

@@ -6,6 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from sentweave.functions import encoding
 from sentweave.sources import named_files, readers, writers
 
 
@@ -68,3 +69,31 @@ def test_documents_are_read_again_by_name(spark, tmp_path):
     got = {r["name"]: r["xml"] for r in readers.standard_format(spark, str(tmp_path / "x")).collect()}
     assert set(got) == {"000000001", "000000002", "000012346"} and "sentence 2" in got["000000002"]
     assert {p.parent.name for p in (tmp_path / "x").rglob("*.gz")} == {"000000", "000001"}
+
+
+def test_shards_are_read_by_their_tasks(spark, tmp_path):
+    rows = spark.createDataFrame([(i, f"{i % 3:02d}", f"n{i}.txt" + ".gz" * (i % 2), "x" * i if i else None) for i in range(700)], "i int, s string, n string, c string")
+    named_files.write(rows, F.col("s"), F.col("n"), F.col("c"), str(tmp_path / "d"))
+    (tmp_path / "d" / "_temporary").mkdir()
+    (tmp_path / "d" / "00" / ".hidden").write_text("no")
+    files = named_files.read(spark, str(tmp_path / "d"))
+    assert files.rdd.getNumPartitions() == 3
+    got = files.select("shard", "name", encoding.gunzip(F.col("content")).cast("string").alias("c")).collect()
+    assert sorted(map(tuple, got)) == sorted((r["s"], r["n"], r["c"] or "") for r in rows.collect())
+    assert {r["name"] for r in readers.named_articles(files.filter("shard = '00' AND name LIKE '%.txt'")).collect()} == {f"n{i}" for i in range(0, 700, 6)}
+    (tmp_path / "none").mkdir()
+    assert named_files.read(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_blocks_are_read_by_splits(spark, tmp_path):
+    blobs = {f"{i}": f"# S-ID:{i}\n日本 {i}\n\nEOS" for i in range(300)}
+    (tmp_path / "k.txt").write_text("EOS\n" + "\n".join(blobs.values()) + "\r\n# S-ID:last\nx", "euc_jp")
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1000")
+    try:
+        found = readers.analyzer_blocks(spark, str(tmp_path / "k.txt"), "euc-jp")
+        assert found.rdd.getNumPartitions() > 4
+        assert {r["sid"]: r["blob"] for r in found.collect()} == blobs | {"last": "# S-ID:last\nx\nEOS"}
+    finally:
+        spark.conf.set(name, before)
