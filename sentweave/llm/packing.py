@@ -17,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sentweave.functions.batches import sliced
 from sentweave.llm import bpe
-from sentweave.llm.common import materialise, text_of
+from sentweave.llm.common import arrow_batches, materialise, text_of
 
 POOL = 256
 #: Tasks whose left-over pieces are packed together, and bits for the running number in a sequence id.
 TASKS_TOGETHER, NUMBER_BITS = 16, 36
-_TOKENS_AT_ONCE = 1_000_000
+_TOKENS_AT_ONCE = 250_000
+#: Rows that a Python worker gets at once.
+BATCH = 1000
 _REST = "start bigint, length bigint, ids binary, loss binary, doc_tokens bigint, sequence_id bigint, offset bigint, task int"
 NAMES = ["doc_id", *(c.split(" ")[0] for c in _REST.split(", "))]
 #: Texts with other characters go whole to the library; of these, lower case, composition and classes agree everywhere.
@@ -196,7 +199,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, max_tokens: int = 409
                 for found in packer.full(POOL):
                     yield from found
 
-        for batch in batches:
+        for batch in sliced(batches):
             kind = batch.schema.field(0).type
             yield from _batches(rows(batch), kind)
         if kind is not None:
@@ -218,7 +221,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, max_tokens: int = 409
                 for found in packer.full(POOL):
                     yield from found
 
-        for batch in batches:
+        for batch in sliced(batches):
             kind = batch.schema.field("doc_id").type
             yield from _batches(rows(batch), kind)
         if packer:
@@ -226,7 +229,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 2, max_tokens: int = 409
 
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, {_REST}"
     value = docs[f"`{parts}`"] if parts else text_of(docs, text)
-    first, _ = materialise(docs.select(docs[f"`{id_col}`"].alias("doc_id"), value.alias("value")).mapInArrow(map_side, schema), "packed")
+    with arrow_batches(docs.sparkSession, BATCH):
+        first, _ = materialise(docs.select(docs[f"`{id_col}`"].alias("doc_id"), value.alias("value")).mapInArrow(map_side, schema), "packed")
     left = first.filter(F.col("task").isNotNull()).withColumn("g", F.floor(F.col("task") / TASKS_TOGETHER).cast("bigint"))
     left = left.select("g", "task", "doc_id", "start", "ids", "loss", "doc_tokens").repartition("g").sortWithinPartitions("g", "task", "doc_id", "start")
     return first.filter(F.col("task").isNull()).unionByName(left.mapInArrow(again, schema)).drop("task")

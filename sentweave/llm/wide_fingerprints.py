@@ -1,21 +1,22 @@
-"""The near-dedup stage of simhash: wider fingerprints, the same pigeonhole blocks and Hamming check, and the texts themselves.
+"""The near-dedup stage of simhash: wider SimHash fingerprints, blocks of their bits, Hamming checks, and the texts themselves.
 
-The 64 sign bits of a SimHash can't tell texts that share 0.8 of their word shingles from others: such pairs differ in 5 to 13
-bits, and blocks that allow for 13 have four bits each. Here a fingerprint has ``BANDS * ROWS`` bytes, each the last byte
-of a permuted shingle hash's minimum, and two texts agree in a place as often as they share shingles. The fingerprint is
-split into ``BANDS`` blocks; texts are joined on equal blocks, and a pair whose fingerprints agree in ``LOOSE`` places or more (the
-Hamming check) is a candidate. Of pairs at similarity 0.8, about two in a million share no block, and as few agree
-in less than ``LOOSE`` places; of closer pairs, fewer. Each candidate is verified by its texts' whole sets of shingles.
+A fingerprint has ``BITS`` sign bits of a text's shingles (each once). Texts that share 0.8 of their
+shingles differ in about 15 % of them, others in up to half. Each fingerprint is filed under blocks of its bits, fixed
+random choices of them, and those under one key are compared: in ``ROUGH`` bits at once, then, joined, in all. What
+differs in ``FAR`` bits at most is a candidate and is verified by the texts' whole sets of shingles.
 
-Under a block of at most ``TOGETHER`` texts all candidates are written. Under fuller ones (groups of near copies) at most one
+A block has as many bits as leave two to four chance texts under a key, whatever the table's size, and there are so many blocks that a
+pair which differs in 16 % of its bits shares none with a chance of ``MISS``. They are worked off ``KEYS_AT_ONCE`` at a time, so
+that disk holds the rows of so many only.
+
+Under a key of at most ``TOGETHER`` texts all close pairs are written. Under fuller ones (groups of near copies) at most one
 a text is; once these are verified, only candidates between texts that are not yet connected follow, first the best
 ``BEST`` a text, then all that are left. So the components are those of all verified candidates. A crowd of more than ``BLOCK``
-texts is dealt into parts, by another hash under each key; what isn't connected then asks all parts of the crowd. Texts in crowds that
-hold several components get finer fingerprints, so that texts that share a passage and not much more are no candidates.
+texts is taken in parts, dealt by another hash under each key; what isn't connected then asks all parts of the crowd.
 """
 
+import math
 from collections.abc import Callable, Iterator
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,29 +24,23 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sentweave.llm.common import arrow_batches, free, materialise, remove, row_key, text_of
+from sentweave.llm.common import arrow_batches, forget_shuffles, free, materialise, remove, row_key, text_of
 from sentweave.llm.components import components
 
 SHINGLE, SIMILARITY, SEED = 5, 0.8, 42
-BANDS, ROWS, LOOSE = 25, 4, 60
-TOGETHER, BEST = 12, 8
+#: Bits of a fingerprint and in how many of them candidates differ at most; the same of the part that goes with every key, and what differs less is linked first in crowds.
+BITS, FAR = 1024, 240
+ROUGH, ROUGH_FAR, TREE_FAR = 128, 42, 20
+#: Share of equal bits of the pairs that are not to be missed (0.849 at a similarity of 0.8, a little less for short texts), and the chance to miss one.
+EQUAL, MISS = 0.84, 1e-6
+TOGETHER, BEST, KEYS_AT_ONCE = 24, 8, 48
 #: Texts under one key that a task compares at once; larger crowds are dealt into parts of about so many.
 BLOCK = 4096
-_AT_ONCE = 1024
 #: Rows that a Python worker gets at once.
 BATCH = 1000
-#: Places of the finer fingerprints of texts in crowds, and those in which a candidate agrees: of pairs at 0.8 about one in a million has fewer.
-FINE, FINE_LOOSE = 512, 366
-_SIZE = BANDS * ROWS
-
-
-def _permutations(seed: int, n: int) -> np.ndarray:
-    mix = np.random.default_rng(seed).integers(0, 2**64, (2, n), np.uint64)
-    mix[0] |= np.uint64(1)
-    return mix
-
-
-_MIX, _FINE_MIX = _permutations(SEED, _SIZE), _permutations(SEED + 1, FINE)
+#: Texts of fewer shingles have ties broken; those of so many are filed under their shingles too, as four out of five differ in 19 % of the bits.
+_FEW, _TINY = 64, (4, 5)
+_MIX = np.random.default_rng(SEED).integers(0, 2**64, (3, BITS // 64), np.uint64) | np.array([[1], [0], [1]], np.uint64)
 
 
 def shingles(text: str, shingle: int = SHINGLE) -> tuple[int, int, np.ndarray]:
@@ -61,17 +56,38 @@ def shingles(text: str, shingle: int = SHINGLE) -> tuple[int, int, np.ndarray]:
     return digest(joined), digest(joined, ~SEED & 0xFFFF), np.sort(np.fromiter(own, np.uint64, len(own)))
 
 
-def minima(hashes: np.ndarray, mix: np.ndarray = _MIX) -> np.ndarray:
-    """The least value of each permutation of these hashes."""
-    least = np.full(mix.shape[1], 2**64 - 1, np.uint64)
-    for i in range(0, len(hashes), _AT_ONCE):
-        np.minimum(least, (hashes[i : i + _AT_ONCE, None] * mix[0] + mix[1]).min(axis=0), out=least)
-    return least
+def _bits(hashes: np.ndarray) -> np.ndarray:
+    """``BITS`` bits, 0 or 1, of each hash."""
+    words = hashes[:, None] * _MIX[0] + _MIX[1]
+    words ^= words >> np.uint64(29)
+    words *= np.uint64(0xBF58476D1CE4E5B9)
+    words ^= words >> np.uint64(32)
+    return np.unpackbits(words.view(np.uint8).reshape(-1)).reshape(len(hashes), BITS)
 
 
-def places(least: np.ndarray) -> bytes:
-    """A byte of each minimum."""
-    return (least >> np.uint64(32)).astype(np.uint8).tobytes()
+def simhash(hashes: np.ndarray) -> bytes:
+    """The sign bits of these hashes: 1 where most of them have 1.
+
+    Where as many of a few hashes have 0, one hash's bit decides, the least by another permutation for each 64 bits: 0
+    there would make all short texts alike.
+    """
+    n, counts = len(hashes), np.zeros(BITS, np.int64)
+    for i in range(0, n, 255):  # a byte holds the sum of so many
+        bits = _bits(hashes[i : i + 255])
+        counts += bits.sum(axis=0, dtype=np.uint8)
+    ones = 2 * counts > n
+    if n % 2 == 0 and n < _FEW:
+        one = bits.reshape(n, -1, 64)[(hashes[:, None] * _MIX[2]).argmin(axis=0), np.arange(BITS // 64)].reshape(-1)
+        ones |= (2 * counts == n) & (one == 1)
+    return np.packbits(ones).tobytes()
+
+
+def blocks_for(n: int) -> np.ndarray:
+    """Which bits make up each block, for ``n`` texts: a row a block."""
+    bits = max(8, math.ceil(math.log2(max(n, 1))) - 2)
+    blocks = math.ceil(math.log(MISS) / math.log(1 - EQUAL**bits))
+    rng, each = np.random.default_rng(SEED), BITS // bits
+    return np.concatenate([rng.permutation(BITS)[: each * bits].reshape(each, bits) for _ in range(-(-blocks // each))])[:blocks]
 
 
 def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
@@ -82,89 +98,157 @@ def _sliced(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 
 
 def signatures(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(*keep, node, second, bands, sig)`` for each row; texts without words have node 0 and no band."""
+    """``(*keep, node, second, bands, sig)`` for each row; texts without words have node 0 and no fingerprint. ``bands`` are keys beside the blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
             nodes, seconds, bands, sigs = [], [], [], []
             for text in batch.column("_text").to_pylist():
                 node, second, hashes = shingles(text, shingle)
-                least = minima(hashes)
                 nodes.append(node)
                 seconds.append(second)
-                bands.append([xxhash.xxh64_intdigest(least[i : i + ROWS].tobytes(), i) for i in range(0, _SIZE, ROWS)] if len(hashes) else [])
-                sigs.append(places(least))
-            keys = np.array([k for own in bands for k in own], np.uint64).view(np.int64)
-            offsets = np.concatenate([[0], np.cumsum([len(own) for own in bands])]).astype(np.int32)
-            made = [*(pa.array(np.array(n, np.uint64).view(np.int64)) for n in (nodes, seconds)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)), pa.array(sigs, pa.binary())]
+                bands.append(hashes.view(np.int64) if len(hashes) in _TINY else [])
+                sigs.append(simhash(hashes) if len(hashes) else None)
+            made = [*(pa.array(np.array(n, np.uint64).view(np.int64)) for n in (nodes, seconds)), pa.array(bands, pa.list_(pa.int64())), pa.array(sigs, pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], names=[*batch.schema.names[:-1], "node", "second", "bands", "sig"])
 
     rows = docs.select(*keep, text_of(docs).alias("_text"))
     return rows.mapInArrow(work, "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in rows.schema.fields[:-1]) + "node bigint, second bigint, bands array<bigint>, sig binary")
 
 
-def _agree(sigs: np.ndarray, sig: np.ndarray) -> np.ndarray:
-    return (sigs == sig).sum(axis=1)
+def _sigs(column: pa.Array, kind: type = np.uint64) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1)
+
+
+def _filed(nodes: DataFrame, blocks: np.ndarray, first: int) -> DataFrame:
+    """``(k, node, a, b)``: each fingerprint under its key in each of these blocks, numbered from ``first``, with its ``ROUGH`` bits. Keys of its own come with the first block."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = (np.arange(first, first + len(blocks), dtype=np.int64) << 40)[None, :]
+        for batch in _sliced(batches):
+            if not batch.num_rows:
+                continue
+            sigs = _sigs(batch.column("sig"), np.uint8)
+            own = np.packbits(np.unpackbits(sigs, axis=1)[:, blocks], axis=2).astype(np.int64)
+            keys = numbers + sum(own[:, :, i] << (8 * i) for i in range(own.shape[2]))
+            rough = np.ascontiguousarray(sigs[:, : ROUGH // 8]).view(np.int64)
+            k, times = keys.reshape(-1), len(blocks)
+            if not first:
+                bands = [np.array(x, np.int64) for x in batch.column("bands").to_pylist()]
+                k, times = np.concatenate([x for pair in zip(keys, bands) for x in pair]), [len(blocks) + len(x) for x in bands]
+            columns = [k, *(np.repeat(x, times) for x in (batch.column("node").to_numpy(), rough[:, 0], rough[:, 1]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "node", "a", "b"])
+
+    return nodes.select("node", "bands", "sig").mapInArrow(work, "k bigint, node bigint, a bigint, b bigint")
+
+
+def _differ(sigs: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """In how many bits fingerprints (rows of 64-bit words) differ."""
+    return np.bitwise_count(sigs ^ others).sum(axis=1, dtype=np.int64)
 
 
 def _tree(nodes: np.ndarray, sigs: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Links that connect what agrees in as many places as similar texts do: at most one a text."""
+    """Links that connect what differs in as few bits as similar texts do: at most one a text."""
     while len(nodes):
         front = [(nodes[0], sigs[0])]
         nodes, sigs = nodes[1:], sigs[1:]
         while front and len(nodes):
             node, sig = front.pop()
-            close = _agree(sigs, sig) >= SIMILARITY * _SIZE
+            close = _differ(sigs, sig) <= TREE_FAR
             if close.any():
                 yield from ((node, x) for x in nodes[close])
                 front.extend(zip(nodes[close], sigs[close]))
                 nodes, sigs = nodes[~close], sigs[~close]
 
 
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The work of a task on its sorted ``_filed`` rows: links ``(u, v, null)``, and ``(node, null, k)`` for all under crowded keys."""
+
+    def links(rows: list[np.ndarray], full: int | None) -> pa.RecordBatch:
+        k, nodes, sigs = rows[0], rows[1], np.stack(rows[2:], axis=1).view(np.uint64)
+        u, v, crowded = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        bounds = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
+        sizes = np.diff(bounds)
+        crowd = (sizes > TOGETHER) | (k[bounds[:-1]] == full if full is not None else False)
+        small = ~np.repeat(crowd, sizes)
+        for d in range(1, min(TOGETHER, len(k))):
+            at = np.flatnonzero((k[d:] == k[:-d]) & small[d:])
+            if not len(at):
+                break
+            at = at[_differ(sigs[at], sigs[at + d]) <= ROUGH_FAR]
+            u.append(nodes[at])
+            v.append(nodes[at + d])
+        for n in np.flatnonzero(crowd):
+            crowded.append(np.arange(bounds[n], bounds[n + 1]))
+            for start in range(bounds[n], bounds[n + 1], BLOCK):
+                own = np.arange(start, min(start + BLOCK, bounds[n + 1]))
+                own = own[np.argsort(nodes[own])]  # the same texts begin under many keys, so links are the same
+                if pairs := list(_tree(nodes[own], sigs[own])):
+                    a, b = np.array(pairs, np.int64).T
+                    u.append(a)
+                    v.append(b)
+        u, v, crowded = np.concatenate(u), np.concatenate(v), np.concatenate(crowded)
+        columns = [[np.minimum(u, v), nodes[crowded]], [np.maximum(u, v), None], [None, k[crowded]]]
+        lengths = [len(u), len(crowded)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(n, pa.int64()) if x is None else pa.array(x) for x, n in zip(c, lengths)]) for c in columns], names=["u", "v", "k"])
+
+    held, full = [np.zeros(0, np.int64)] * 4, None
+    for batch in batches:
+        rows = [np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for x, c in zip(held, ("k", "node", "a", "b"))]
+        k = rows[0]
+        if not len(k):
+            continue
+        cut, going = int(np.searchsorted(k, k[-1])), None  # the last key may go on in the next batch
+        if len(k) - cut > max(BLOCK, TOGETHER):
+            cut, going = len(k), k[-1]
+        if cut:
+            yield links([x[:cut] for x in rows], full)
+        held, full = [x[cut:] for x in rows], going or full
+    if len(held[0]):
+        yield links(held, full)
+
+
+def _close(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs ``(u, v)`` whose whole fingerprints differ in ``FAR`` bits at most."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.select(["u", "v"]).filter(pa.array(_differ(_sigs(batch.column("a")), _sigs(batch.column("b"))) <= FAR))
+
+    end = lambda c, sig: nodes.select(F.col("node").alias(c), F.col("sig").alias(sig))
+    return pairs.join(end("u", "a"), "u").join(end("v", "b"), "v").select("u", "v", "a", "b").mapInArrow(work, "u bigint, v bigint")
+
+
 def _across(nodes: np.ndarray, sigs: np.ndarray, comps: np.ndarray, asks: np.ndarray, most: int | None) -> Iterator[tuple[int, int]]:
     """Candidates between the texts that ask and others of different components, the ``most`` best of each that asks."""
     there = np.flatnonzero(~asks)
-    nodes_, comps_, fine, sigs, fine_ = nodes[there], comps[there], sigs[:, _SIZE:], sigs[:, :_SIZE], sigs[there, _SIZE:]
-    sigs_ = sigs[there]
+    nodes_, comps_, sigs_ = nodes[there], comps[there], sigs[there]
+    rough = np.ascontiguousarray(sigs_[:, : ROUGH // 64])
     for i in np.flatnonzero(asks):
-        agree = np.where(comps_ != comps[i], _agree(sigs_, sigs[i]), 0)
-        at = np.flatnonzero(agree >= LOOSE)
-        at = at[_agree(fine_[at], fine[i]) >= FINE_LOOSE]
-        for j in at[np.argsort(-agree[at], kind="stable")[:most]]:
+        at = np.flatnonzero((comps_ != comps[i]) & (_differ(rough, sigs[i, : ROUGH // 64]) <= ROUGH_FAR))
+        apart = _differ(sigs_[at], sigs[i])
+        at, apart = at[apart <= FAR], apart[apart <= FAR]
+        for j in at[np.argsort(apart, kind="stable")[:most]]:
             yield nodes[i], nodes_[j]
 
 
-def _comparer(round_: int):
-    """The work of a task on its sorted ``(k, node, sig, component, crowd, asks)`` rows: candidates ``(u, v)``."""
+def _asker(most: int | None):
+    """The work of a task on its sorted ``(k, node, sig, component, asks)`` rows: candidates ``(u, v)``."""
 
-    def links(k: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, comps: np.ndarray, crowd: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
-        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    def links(k: np.ndarray, nodes: np.ndarray, sigs: np.ndarray, comps: np.ndarray, asks: np.ndarray) -> pa.RecordBatch:
         bounds = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
-        sizes = np.diff(bounds)
-        small = ~crowd[bounds[:-1]] & (sizes <= TOGETHER)
-        for size in range(2, TOGETHER + 1) if not round_ else ():
-            at = bounds[:-1][small & (sizes == size)]
-            for i, j in combinations(range(size), 2) if len(at) else ():
-                close = (sigs[at + i] == sigs[at + j]).sum(axis=1) >= LOOSE
-                u.append(nodes[at + i][close])
-                v.append(nodes[at + j][close])
-        for n in np.flatnonzero(~small):
-            own = slice(bounds[n], bounds[n + 1])
-            if pairs := list(_across(nodes[own], sigs[own], comps[own], asks[own], BEST if round_ == 1 else None) if round_ else _tree(nodes[own], sigs[own])):
-                a, b = np.array(pairs, np.int64).T
-                u.append(a)
-                v.append(b)
-        u, v = np.concatenate(u), np.concatenate(v)
-        return pa.RecordBatch.from_arrays([pa.array(f(u, v)) for f in (np.minimum, np.maximum)], names=["u", "v"])
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs = [p for a, b in zip(bounds[:-1], bounds[1:]) for p in _across(nodes[a:b], sigs[a:b], comps[a:b], asks[a:b], most)]
+        ends = np.array(pairs, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], names=["u", "v"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []  # of the last key, which may go on in the next batch
         for batch in batches:
             if not batch.num_rows:
                 continue
-            k, node, comp, crowd, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "node", "component", "crowd", "asks"))
-            sig = np.frombuffer(b"".join(batch.column("sig").to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            rows = [k, node, sig, comp, crowd.astype(bool), asks.astype(bool)]
+            k, node, comp, asks = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("k", "node", "component", "asks"))
+            rows = [k, node, _sigs(batch.column("sig")), comp, asks.astype(bool)]
             if held and k[0] == k[-1] == held[0][0][0]:
                 held.append(rows)
                 continue
@@ -176,7 +260,7 @@ def _comparer(round_: int):
         if held:
             yield links(*(np.concatenate(x) for x in zip(*held)))
 
-    return compare
+    return ask
 
 
 def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int, similarity: float) -> DataFrame:
@@ -188,7 +272,8 @@ def _verified(pairs: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "own"])
 
     ends = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    sets, at = materialise(texts(ends).mapInArrow(work, "node bigint, own array<bigint>").dropDuplicates(["node"]), "shingles")
+    with arrow_batches(pairs.sparkSession, BATCH):
+        sets, at = materialise(texts(ends).mapInArrow(work, "node bigint, own array<bigint>").dropDuplicates(["node"]), "shingles")
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("own").alias("a")), "u").join(sets.select(F.col("node").alias("v"), F.col("own").alias("b")), "v")
     common, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
     near, _ = materialise(both.filter(common >= similarity * (total - common)).select("u", "v"), "near")
@@ -205,17 +290,6 @@ def _part(n: Column, salt: str | Column) -> Column:
     return F.pmod(F.xxhash64("node", salt), n)
 
 
-def _fine(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int) -> DataFrame:
-    """``(node, fine)``: finer fingerprints of these nodes, written."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _sliced(batches):
-            made = [places(minima(shingles(t, shingle)[2], _FINE_MIX)) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(made, pa.binary())], names=["node", "fine"])
-
-    return materialise(texts(nodes).mapInArrow(work, "node bigint, fine binary").dropDuplicates(["node"]), "fine")[0]
-
-
 def _in_crowds(filed: DataFrame, named: DataFrame) -> DataFrame:
     """Of the rows of crowded keys those whose keys hold several components: with the component, the largest one, and into how many parts to deal them."""
     own, _ = materialise(filed.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")), "crowd-components")
@@ -225,46 +299,40 @@ def _in_crowds(filed: DataFrame, named: DataFrame) -> DataFrame:
     return materialise(own.join(told, "k"), "crowd-rows")[0]
 
 
-def _asked(rows: DataFrame, fine: DataFrame) -> DataFrame:
-    """Rows for ``_comparer`` of ``_in_crowds``: the texts, and once more, as such that ask, those outside a key's largest component.
+def _asked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows for ``_asker`` of ``_in_crowds``: the texts, and once more, as such that ask, those outside a key's largest component.
 
     Both are dealt into parts, and each part of the askers meets each part of the texts under a key of its own: no task
     holds more than two parts, and who asks nothing is sent once.
     """
-    rows, _ = materialise(rows.join(fine, "node").withColumn("sig", F.concat("sig", "fine")), "asked-rows")
+    rows, _ = materialise(rows.join(nodes.select("node", "sig"), "node"), "asked-rows")
     p, q = _part(F.col("parts"), F.lit(1)).cast("int"), _part(F.col("askers"), F.lit(2)).cast("int")
-    columns = ["node", "sig", "component", F.lit(True).alias("crowd")]
+    columns = ["node", "sig", "component"]
     texts = rows.select("k", *columns, F.lit(False).alias("asks"), p.alias("p"), F.explode(F.sequence(F.lit(0), F.col("askers") - 1)).alias("q"))
     ask = rows.filter("component <> top").select("k", *columns, F.lit(True).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("p"), q.alias("q"))
-    return texts.unionByName(ask).select(F.xxhash64("k", "p", "q").alias("k"), "node", "sig", "component", "crowd", "asks")
+    return texts.unionByName(ask).select(F.xxhash64("k", "p", "q").alias("k"), "node", "sig", "component", "asks")
 
 
 def near_components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``(node, component)`` of the distinct ``nodes`` ``(node, bands, sig)`` that verified links connect; ``texts`` gives ``(node, text)`` of a table's nodes."""
-    filed = nodes.select("node", "sig", F.posexplode("bands").alias("n", "band")).select(F.xxhash64("n", "band").alias("k"), "node", "sig")
-    crowds, _ = materialise(filed.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > TOGETHER), "crowds")
-    some = not crowds.isEmpty()
-    large = crowds.filter(F.col("n") > BLOCK)
-    now = filed.withColumn("crowd", F.lit(False))
-    if some and not large.isEmpty():
-        dealt = F.when(F.col("n").isNotNull(), F.xxhash64("k", _part(_parts(F.col("n")), "k"))).otherwise(F.col("k"))
-        now = filed.join(large, "k", "left").select(dealt.alias("k"), "node", "sig", F.col("n").isNotNull().alias("crowd"))
-    now = now.select("k", "node", "sig", F.col("node").alias("component"), "crowd", F.lit(False).alias("asks"))
-    named = fine = crowded = None
-    for round_ in range(3):
-        dealt = now.repartition("k").sortWithinPartitions("k", "asks", "node")
-        pairs, _ = materialise(dealt.mapInArrow(_comparer(round_), "u bigint, v bigint").distinct(), "candidates")
-        if round_ and pairs.isEmpty():
+    nodes = nodes.filter(F.col("sig").isNotNull())
+    blocks, found = blocks_for(nodes.count()), None
+    for first in range(0, len(blocks), KEYS_AT_ONCE):
+        dealt = _filed(nodes, blocks[first : first + KEYS_AT_ONCE], first).repartition("k").sortWithinPartitions("k", F.xxhash64("k", "node"))
+        own, _ = materialise(dealt.mapInArrow(_compared, "u bigint, v bigint, k bigint").distinct(), "links")
+        found = own if found is None else found.unionByName(own)
+        forget_shuffles(nodes.sparkSession)
+    pairs, _ = materialise(_close(found.filter(F.col("v").isNotNull()).select("u", "v").distinct(), nodes), "candidates")
+    named = _joined_components(None, _verified(pairs, texts, shingle, similarity))
+    crowded = found.filter(F.col("v").isNull()).select("k", F.col("u").alias("node"))
+    for most in (BEST, None) if not crowded.isEmpty() else ():
+        rows = _in_crowds(crowded, named)
+        crowded = rows.select("k", "node")  # keys of one component have no more to ask
+        dealt = _asked(rows, nodes).repartition("k").sortWithinPartitions("k", "asks", "node")
+        pairs, _ = materialise(dealt.mapInArrow(_asker(most), "u bigint, v bigint").distinct(), "candidates")
+        if pairs.isEmpty():
             break
         named = _joined_components(named, _verified(pairs, texts, shingle, similarity))
-        if not some or round_ == 2:
-            break
-        if crowded is None:
-            crowded, _ = materialise(filed.join(crowds.select("k"), "k", "left_semi"), "crowded")
-        rows = _in_crowds(crowded, named)
-        crowded = rows.select("k", "node", "sig")  # keys of one component have no more to ask
-        fine = _fine(rows.select("node").distinct(), texts, shingle) if fine is None else fine  # who is in a crowd later is in it now
-        now = _asked(rows, fine)
     return named
 
 
@@ -309,8 +377,7 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float
         named = nodes.join(wanted, "node", "left_semi").select("node", "first.k1", "first.k2")
         return own.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text")
 
-    with arrow_batches(docs.sparkSession, BATCH):
-        linked = near_components(nodes.select("node", "bands", "sig"), texts, shingle, similarity)
+    linked = near_components(nodes.select("node", "bands", "sig"), texts, shingle, similarity)
     named = nodes.select("node", "first").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))
     kept = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.k1").alias(k1), F.col("first.k2").alias(k2))
     return keyed.join(kept, [k1, k2], "left_semi").dropDuplicates([k1, k2]).select(*[keyed[f"`{c}`"] for c in docs.columns])

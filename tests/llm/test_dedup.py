@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import corpus_pipeline
+import numpy as np
 import pytest
 import xxhash
 from tests.llm.conftest import odd_texts, sentence
@@ -245,3 +246,27 @@ def test_near_copies_on_documents_are_brute_force(spark):
     rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").collect()
     docs = spark.createDataFrame([(i, r["text"]) for i, r in enumerate(rows)], "doc_id bigint, text string")
     assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == set(brute_near([r["text"] for r in rows]))
+
+
+def test_wide_fingerprints_are_sign_bits():
+    """Each bit is the majority of its shingles' bits, unrelated short texts differ in half of them, similar ones share a block."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 4, 255, 256, 700):
+        hashes = rng.integers(0, 2**64, n, np.uint64)
+        votes, ones = wide_fingerprints._bits(hashes).sum(axis=0, dtype=np.int64), np.unpackbits(np.frombuffer(wide_fingerprints.simhash(hashes), np.uint8))
+        assert (ones[2 * votes > n] == 1).all() and (ones[2 * votes < n] == 0).all()
+    sign = lambda x: np.unpackbits(np.frombuffer(wide_fingerprints.simhash(x), np.uint8))
+    a, b = (sign(rng.integers(0, 2**64, 4, np.uint64)) for _ in range(2))
+    assert 0.42 < (a != b).mean() < 0.58
+    all_ = rng.integers(0, 2**64, 100, np.uint64)
+    a, b = sign(all_[:90]), sign(all_[10:])
+    for n in (100, 200_000, 10_000_000):
+        blocks = wide_fingerprints.blocks_for(n)
+        assert (a[blocks] == b[blocks]).all(axis=1).any() and n / 4 <= 2 ** max(blocks.shape[1], 8) and (np.sort(blocks)[:, 1:] > np.sort(blocks)[:, :-1]).all()
+
+
+def test_texts_of_four_and_five_shingles_meet(spark):
+    texts = [sentence(3000 + i, 9) for i in range(60)]
+    texts += [t.rsplit(" ", 1)[0] for t in texts]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == set(brute_near(texts))
