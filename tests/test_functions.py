@@ -265,3 +265,13 @@ def test_tokens_of_documents_are_brute_force(spark, sf_dir):
     assert len(plain) > 0.5 * len(rows)
     wrong = [(r["line"], r["t"], brute_tokens(r["line"])) for r in plain if r["t"] != brute_tokens(r["line"])]
     assert not wrong, wrong[:3]
+
+
+def test_japanese_normalisation_works_each_step_out_once(spark):
+    """Widths are changed in one place of the plan; runs of blanks and of long marks come out as single ones do."""
+    from pyspark.sql import functions as F
+    from sentweave.functions import text
+
+    rows = spark.createDataFrame([("ア―−ー‐イ 亜  a  b 亜 c",), ("―ア１￣２",)], "c string").select(text.normalise_japanese(F.col("c")).alias("n"))
+    assert [r["n"] for r in rows.collect()] == ["アーーーーイ亜ａ　ｂ亜ｃ", "―ア１〜２"]
+    assert rows._jdf.queryExecution().analyzed().toString().count(text.WIDE_ASCII) == 1
