@@ -207,3 +207,10 @@ def test_one_text_fills_all_shards(spark):
     """A group of copies larger than a shard is cut by its rows."""
     rows = sharding.kd_shards(spark.createDataFrame([(i, "same text") for i in range(400)], "doc_id bigint, text string"), shards=4).collect()
     assert [sum(r["shard"] == s for r in rows) for s in range(4)] == pytest.approx([100] * 4, abs=6)
+
+
+def test_packing_hands_workers_few_rows_at_once(spark, monkeypatch):
+    seen, real = [], packing.materialise
+    monkeypatch.setattr(packing, "materialise", lambda df, name: (seen.append(int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))), real(df, name))[1])
+    docs = spark.createDataFrame([(i, f"word {i}") for i in range(3000)], "doc_id bigint, text string").coalesce(1)
+    assert packing.pack(docs, WORD).select("doc_id").distinct().count() == 3000 and max(seen) <= 1000
