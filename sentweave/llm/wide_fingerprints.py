@@ -5,14 +5,15 @@ shingles differ in about 15 % of them, others in up to half. Each fingerprint is
 random choices of them, and those under one key are compared: in ``ROUGH`` bits at once, then, joined, in all. What
 differs in ``FAR`` bits at most is a candidate and is verified by the texts' whole sets of shingles.
 
-A block has as many bits as leave two to four chance texts under a key, whatever the table's size, and there are so many blocks that a
-pair which differs in 16 % of its bits shares none with a chance of ``MISS``. They are worked off ``KEYS_AT_ONCE`` at a time, so
-that disk holds the rows of so many only.
-
-Under a key of at most ``TOGETHER`` texts all close pairs are written. Under fuller ones (groups of near copies) at most one
-a text is; once these are verified, only candidates between texts that are not yet connected follow, first the best
-``BEST`` a text, then all that are left. So the components are those of all verified candidates. A crowd of more than ``BLOCK``
-texts is taken in parts, dealt by another hash under each key; what isn't connected then asks all parts of the crowd.
+A block has as many bits as leave two to four chance texts under a key, but no more than ``BITS_ENOUGH`` while that leaves ``CHANCE`` at
+most (16 million texts): so rows filed grow with the texts. There are so many blocks that a pair which differs in 16 % of its bits
+shares none with a chance of ``MISS``. The first ``FIRST`` blocks are worked off and verified alone: they connect nearly all near
+copies, and what they connect is not compared again. The others follow ``KEYS_AT_ONCE`` at a time, so that disk holds the rows of so many only.
+
+A text that is close to at most ``TOGETHER`` unconnected ones under a key has all these pairs written. Among texts close to more
+(crowds: groups of near copies) at most one a text is; once these are verified, only candidates between texts that are not yet connected
+follow, first the best ``BEST`` a text, then all that are left. So the components are those of all verified candidates. More than ``BLOCK``
+texts under a key are taken in parts, dealt by another hash under each key; what isn't connected then asks all parts of the crowd.
 """
 
 import math
@@ -33,9 +34,13 @@ BITS, FAR = 1024, 240
 ROUGH, ROUGH_FAR, TREE_FAR = 128, 42, 20
 #: Share of equal bits of the pairs that are not to be missed (0.849 at a similarity of 0.8, a little less for short texts), and the chance to miss one.
 EQUAL, MISS = 0.84, 1e-6
-TOGETHER, BEST, KEYS_AT_ONCE = 24, 8, 48
-#: Texts under one key that a task compares at once; larger crowds are dealt into parts of about so many.
-BLOCK = 4096
+TOGETHER, BEST, FIRST, KEYS_AT_ONCE = 4, 8, 8, 48
+#: Bits of a block that are enough for all but huge tables, and chance texts under a key from which on a block has more.
+BITS_ENOUGH, CHANCE = 14, 1024
+#: Texts under one key that a task compares at once; larger crowds are dealt into parts of about so many. Groups of up to ``SMALL`` are compared side by side.
+BLOCK, SMALL, _CELLS = 4096, 64, 1 << 19
+#: Texts to be verified whose keys are sent to all tasks, so that the other texts are not shuffled.
+MOST_SENT = 2_000_000
 #: Rows that a Python worker gets at once.
 BATCH = 1000
 #: Texts of fewer shingles have ties broken; those of so many are filed under their shingles too, as four out of five differ in 19 % of the bits.
@@ -82,9 +87,11 @@ def simhash(hashes: np.ndarray) -> bytes:
     return np.packbits(ones).tobytes()
 
 
-def blocks_for(n: int) -> np.ndarray:
-    """Which bits make up each block, for ``n`` texts: a row a block."""
+def blocks_for(n: int, enough: int | None = None) -> np.ndarray:
+    """Which bits make up each block, for ``n`` texts: a row a block. Two to four chance texts share a key, or with ``enough`` bits up to ``CHANCE``."""
     bits = max(8, math.ceil(math.log2(max(n, 1))) - 2)
+    if enough:
+        bits = min(bits, max(enough, math.ceil(math.log2(max(n, 1) / CHANCE))))
     blocks = math.ceil(math.log(MISS) / math.log(1 - EQUAL**bits))
     rng, each = np.random.default_rng(SEED), BITS // bits
     return np.concatenate([rng.permutation(BITS)[: each * bits].reshape(each, bits) for _ in range(-(-blocks // each))])[:blocks]
@@ -121,7 +128,7 @@ def _sigs(column: pa.Array, kind: type = np.uint64) -> np.ndarray:
 
 
 def _filed(nodes: DataFrame, blocks: np.ndarray, first: int) -> DataFrame:
-    """``(k, node, a, b)``: each fingerprint under its key in each of these blocks, numbered from ``first``, with its ``ROUGH`` bits. Keys of its own come with the first block."""
+    """``(k, node, component, a, b)``: each fingerprint under its key in each of these blocks, numbered from ``first``, with its ``ROUGH`` bits. Keys of its own come with the first block."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = (np.arange(first, first + len(blocks), dtype=np.int64) << 40)[None, :]
@@ -136,10 +143,10 @@ def _filed(nodes: DataFrame, blocks: np.ndarray, first: int) -> DataFrame:
             if not first:
                 bands = [np.array(x, np.int64) for x in batch.column("bands").to_pylist()]
                 k, times = np.concatenate([x for pair in zip(keys, bands) for x in pair]), [len(blocks) + len(x) for x in bands]
-            columns = [k, *(np.repeat(x, times) for x in (batch.column("node").to_numpy(), rough[:, 0], rough[:, 1]))]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "node", "a", "b"])
+            columns = [k, *(np.repeat(x, times) for x in (batch.column("node").to_numpy(), batch.column("component").to_numpy(), rough[:, 0], rough[:, 1]))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["k", "node", "component", "a", "b"])
 
-    return nodes.select("node", "bands", "sig").mapInArrow(work, "k bigint, node bigint, a bigint, b bigint")
+    return nodes.select("node", "component", "bands", "sig").mapInArrow(work, "k bigint, node bigint, component bigint, a bigint, b bigint")
 
 
 def _differ(sigs: np.ndarray, others: np.ndarray) -> np.ndarray:
@@ -161,49 +168,83 @@ def _tree(nodes: np.ndarray, sigs: np.ndarray) -> Iterator[tuple[int, int]]:
                 nodes, sigs = nodes[~close], sigs[~close]
 
 
+def _near_in_small(k: np.ndarray, sigs: np.ndarray, comps: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places ``(i, j)``, i < j, of all close texts of different components under one key, where no key has more than ``most`` rows."""
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for d in range(1, min(most, len(k))):
+        at = np.flatnonzero(k[d:] == k[:-d])
+        if not len(at):
+            break
+        at = at[(_differ(sigs[at], sigs[at + d]) <= ROUGH_FAR) & (comps[at] != comps[at + d])]
+        i.append(at)
+        j.append(at + d)
+    return np.concatenate(i), np.concatenate(j)
+
+
+def _near_in_large(sigs: np.ndarray, comps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts under one key to how many of other components each is close, and the pairs ``(i, j)`` of those that are to ``TOGETHER`` at most, each once."""
+    n, i, j, degrees = len(sigs), [], [], []
+    for start in range(0, n, step := max(1, _CELLS // n)):
+        rows = sigs[start : start + step, :, None]
+        apart = sum(np.bitwise_count(rows[:, w] ^ sigs[None, :, w]) for w in range(sigs.shape[1]))
+        near = (apart <= ROUGH_FAR) & (comps[start : start + step, None] != comps[None, :])
+        degrees.append(near.sum(axis=1))
+        few = np.flatnonzero(degrees[-1] <= TOGETHER)
+        at, other = np.nonzero(near[few])
+        i.append(few[at] + start)
+        j.append(other)
+    i, j, degrees = (np.concatenate(x) for x in (i, j, degrees))
+    once = (i < j) | (degrees[j] > TOGETHER)
+    return i[once], j[once], degrees
+
+
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The work of a task on its sorted ``_filed`` rows: links ``(u, v, null)``, and ``(node, null, k)`` for all under crowded keys."""
+    """The work of a task on its sorted ``_filed`` rows: links ``(u, v, null)``, and ``(node, null, k)`` for all in crowds."""
 
     def links(rows: list[np.ndarray], full: int | None) -> pa.RecordBatch:
-        k, nodes, sigs = rows[0], rows[1], np.stack(rows[2:], axis=1).view(np.uint64)
-        u, v, crowded = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        k, nodes, comps, sigs = *rows[:3], np.stack(rows[3:], axis=1).view(np.uint64)
         bounds = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1], [True]]))
         sizes = np.diff(bounds)
-        crowd = (sizes > TOGETHER) | (k[bounds[:-1]] == full if full is not None else False)
-        small = ~np.repeat(crowd, sizes)
-        for d in range(1, min(TOGETHER, len(k))):
-            at = np.flatnonzero((k[d:] == k[:-d]) & small[d:])
-            if not len(at):
-                break
-            at = at[_differ(sigs[at], sigs[at + d]) <= ROUGH_FAR]
-            u.append(nodes[at])
-            v.append(nodes[at + d])
-        for n in np.flatnonzero(crowd):
-            crowded.append(np.arange(bounds[n], bounds[n + 1]))
-            for start in range(bounds[n], bounds[n + 1], BLOCK):
-                own = np.arange(start, min(start + BLOCK, bounds[n + 1]))
+        crowd = np.repeat((sizes > BLOCK) | (k[bounds[:-1]] == full if full is not None else False), sizes)
+        small = np.flatnonzero(~crowd & np.repeat(sizes <= SMALL, sizes))
+        i, j = (small[x] for x in _near_in_small(k[small], sigs[small], comps[small], min(SMALL, sizes.max())))
+        crowd |= np.bincount(np.concatenate([i, j]), minlength=len(k)) > TOGETHER
+        few = ~(crowd[i] & crowd[j])
+        i, j = [i[few]], [j[few]]
+        for n in np.flatnonzero((sizes > SMALL) & ~crowd[bounds[:-1]]):
+            start, end = bounds[n], bounds[n + 1]
+            a, b, degrees = _near_in_large(sigs[start:end], comps[start:end])
+            i.append(a + start)
+            j.append(b + start)
+            crowd[start:end] |= degrees > TOGETHER
+        crowded = np.flatnonzero(crowd)
+        cuts = np.flatnonzero(np.diff(k[crowded])) + 1
+        for group in np.split(crowded, cuts) if len(crowded) else ():
+            for start in range(0, len(group), BLOCK):
+                own = group[start : start + BLOCK]
                 own = own[np.argsort(nodes[own])]  # the same texts begin under many keys, so links are the same
-                if pairs := list(_tree(nodes[own], sigs[own])):
+                if pairs := list(_tree(own, sigs[own])):
                     a, b = np.array(pairs, np.int64).T
-                    u.append(a)
-                    v.append(b)
-        u, v, crowded = np.concatenate(u), np.concatenate(v), np.concatenate(crowded)
+                    apart = comps[a] != comps[b]
+                    i.append(a[apart])
+                    j.append(b[apart])
+        u, v = nodes[np.concatenate(i)], nodes[np.concatenate(j)]
         columns = [[np.minimum(u, v), nodes[crowded]], [np.maximum(u, v), None], [None, k[crowded]]]
         lengths = [len(u), len(crowded)]
         return pa.RecordBatch.from_arrays([pa.concat_arrays([pa.nulls(n, pa.int64()) if x is None else pa.array(x) for x, n in zip(c, lengths)]) for c in columns], names=["u", "v", "k"])
 
-    held, full = [np.zeros(0, np.int64)] * 4, None
+    held, full = [np.zeros(0, np.int64)] * 5, None
     for batch in batches:
-        rows = [np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for x, c in zip(held, ("k", "node", "a", "b"))]
+        rows = [np.concatenate([x, batch.column(c).to_numpy(zero_copy_only=False)]) for x, c in zip(held, ("k", "node", "component", "a", "b"))]
         k = rows[0]
         if not len(k):
             continue
         cut, going = int(np.searchsorted(k, k[-1])), None  # the last key may go on in the next batch
-        if len(k) - cut > max(BLOCK, TOGETHER):
+        if len(k) - cut > BLOCK:
             cut, going = len(k), k[-1]
         if cut:
             yield links([x[:cut] for x in rows], full)
-        held, full = [x[cut:] for x in rows], going or full
+        held, full = [x[cut:] for x in rows], full if going is None else going
     if len(held[0]):
         yield links(held, full)
 
@@ -316,15 +357,20 @@ def _asked(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 def near_components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """``(node, component)`` of the distinct ``nodes`` ``(node, bands, sig)`` that verified links connect; ``texts`` gives ``(node, text)`` of a table's nodes."""
     nodes = nodes.filter(F.col("sig").isNotNull())
-    blocks, found = blocks_for(nodes.count()), None
-    for first in range(0, len(blocks), KEYS_AT_ONCE):
-        dealt = _filed(nodes, blocks[first : first + KEYS_AT_ONCE], first).repartition("k").sortWithinPartitions("k", F.xxhash64("k", "node"))
-        own, _ = materialise(dealt.mapInArrow(_compared, "u bigint, v bigint, k bigint").distinct(), "links")
-        found = own if found is None else found.unionByName(own)
-        forget_shuffles(nodes.sparkSession)
-    pairs, _ = materialise(_close(found.filter(F.col("v").isNotNull()).select("u", "v").distinct(), nodes), "candidates")
-    named = _joined_components(None, _verified(pairs, texts, shingle, similarity))
-    crowded = found.filter(F.col("v").isNull()).select("k", F.col("u").alias("node"))
+    blocks, named, crowds = blocks_for(nodes.count(), BITS_ENOUGH), None, None
+    for firsts in ([0], range(FIRST, len(blocks), KEYS_AT_ONCE)):
+        known = nodes.withColumn("component", F.col("node")) if named is None else _with_components(nodes, named)
+        found = None
+        for first in firsts:
+            own = _filed(known, blocks[first : first + KEYS_AT_ONCE if first else FIRST], first).repartition("k").sortWithinPartitions("k", F.xxhash64("k", "node"))
+            own, _ = materialise(own.mapInArrow(_compared, "u bigint, v bigint, k bigint").distinct(), "links")
+            found = own if found is None else found.unionByName(own)
+            forget_shuffles(nodes.sparkSession)
+        pairs, _ = materialise(_close(found.filter(F.col("v").isNotNull()).select("u", "v").distinct(), nodes), "candidates")
+        named = _joined_components(named, _verified(pairs, texts, shingle, similarity))
+        crowded = found.filter(F.col("v").isNull()).select("k", F.col("u").alias("node"))
+        crowds = crowded if crowds is None else crowds.unionByName(crowded)
+    crowded = crowds
     for most in (BEST, None) if not crowded.isEmpty() else ():
         rows = _in_crowds(crowded, named)
         crowded = rows.select("k", "node")  # keys of one component have no more to ask
@@ -336,6 +382,11 @@ def near_components(nodes: DataFrame, texts: Callable[[DataFrame], DataFrame], s
     return named
 
 
+def _with_components(nodes: DataFrame, named: DataFrame) -> DataFrame:
+    """The nodes with their components' names, which are their own where nothing is linked to them."""
+    return materialise(nodes.join(named, "node", "left").withColumn("component", F.coalesce("component", "node")), "nodes")[0]
+
+
 def _joined_components(named: DataFrame | None, near: DataFrame) -> DataFrame:
     """Components after more links: of the links' ends, by the names that they have, and the names carried on to all that had them."""
     if named is None:
@@ -356,13 +407,13 @@ def _nodes(rows: DataFrame) -> DataFrame:
     return own.groupBy("node").agg(first, F.first("bands").alias("bands"), F.first("sig").alias("sig"))
 
 
-def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, most_sent: int = MOST_SENT) -> DataFrame:
     """``docs`` with one row of each group of near copies: the one with the least id (a null one only where all are null).
 
     Near copies share ``similarity`` or more of their word shingles (Jaccard, each shingle once), a text of fewer words than a
     shingle is one shingle; a group is what such pairs connect. Texts of the same words are one throughout, and so are all
     texts without any. Rows of one id with different texts are rows of their own; of repeated rows one stays. Rows are known
-    by two hashes of id and text, on which they are shuffled once, and once more to meet their candidates. Columns may have any names.
+    by two hashes of id and text, on which they are shuffled once; up to ``most_sent`` texts are verified without shuffling the others. Columns may have any names.
     """
     k1, k2 = free(docs, "k1", "k2")
     key = row_key(docs)
@@ -374,8 +425,11 @@ def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, similarity: float
     remove(docs.sparkSession, at_rows)
 
     def texts(wanted: DataFrame) -> DataFrame:
-        named = nodes.join(wanted, "node", "left_semi").select("node", "first.k1", "first.k2")
-        return own.select("k1", "k2", "text").join(named, ["k1", "k2"]).select("node", "text")
+        named, _ = materialise(nodes.join(wanted, "node", "left_semi").select("node", "first.k1", "first.k2"), "wanted")
+        rows = own.select("k1", "k2", "text")
+        if named.count() <= most_sent:  # texts that nobody wants are not shuffled
+            rows = rows.join(F.broadcast(named.select("k1").distinct()), "k1", "left_semi")
+        return rows.join(named, ["k1", "k2"]).select("node", "text")
 
     linked = near_components(nodes.select("node", "bands", "sig"), texts, shingle, similarity)
     named = nodes.select("node", "first").join(linked, "node", "left").withColumn("component", F.coalesce("component", "node"))

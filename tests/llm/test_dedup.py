@@ -270,3 +270,38 @@ def test_texts_of_four_and_five_shingles_meet(spark):
     texts += [t.rsplit(" ", 1)[0] for t in texts]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert {r["doc_id"] for r in simhash.keep_one_of_each(docs).collect()} == set(brute_near(texts))
+
+
+def test_rows_filed_grow_with_the_texts():
+    """From 41,000 texts to 16 million each is filed under as many keys, and beyond that blocks have more bits."""
+    shapes = {wide_fingerprints.blocks_for(n, wide_fingerprints.BITS_ENOUGH).shape for n in (41_000, 206_000, 13_500_000)}
+    assert len(shapes) == 1 and wide_fingerprints.blocks_for(10**9, wide_fingerprints.BITS_ENOUGH).shape[1] == 20
+
+
+def _compare(k, comps, sigs, step):
+    import pyarrow as pa
+
+    columns = [np.array(k, np.int64), np.arange(len(k)), np.array(comps, np.int64), *np.array(sigs, np.uint64).view(np.int64).reshape(-1, 2).T]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + step]) for c in columns], names=["k", "node", "component", "a", "b"]) for i in range(0, len(k), step)]
+    rows = pa.Table.from_batches(wide_fingerprints._compared(iter(batches))).to_pylist()
+    return {(r["u"], r["v"]) for r in rows if r["v"] is not None}, {r["u"] for r in rows if r["v"] is None}
+
+
+@pytest.mark.parametrize("n", [20, 100, 300])
+def test_chance_texts_under_a_key_are_no_crowd(monkeypatch, n):
+    """Unlike texts under a full key write nothing, and near copies among them at most a link each, also where they are many; what is linked is not compared."""
+    rng = np.random.default_rng(n)
+    chance, base = rng.integers(0, 2**63, (n, 2)).astype(np.uint64), rng.integers(0, 2**63, 2).astype(np.uint64)
+    near = [base ^ np.array([1 << i, 0], np.uint64) for i in range(wide_fingerprints.TOGETHER + 3)]
+    sigs = [*chance, *near, *near[:2]]
+    k = [1] * (n + len(near)) + [2] * 2
+    crowd = set(range(n, n + len(near)))
+    for step in (7, 1000):
+        links, crowded = _compare(k, range(len(k)), sigs, step)
+        assert crowded == crowd and len({x for x in links if x[1] >= n}) == len(near) - 1 + 1 and (len(k) - 2, len(k) - 1) in links
+        links, crowded = _compare(k, [*range(n)] + [-1] * (len(k) - n), sigs, step)
+        assert not crowded and all(v < n for _, v in links)  # close by chance
+    small = [*chance[:5], *near[:3]]
+    assert _compare([1] * 8, range(8), small, 100) == ({(5, 6), (5, 7), (6, 7)}, set())
+    monkeypatch.setattr(wide_fingerprints, "SMALL", 4)  # the other way finds the same
+    assert _compare([1] * 8, range(8), small, 100) == ({(5, 6), (5, 7), (6, 7)}, set())
