@@ -74,3 +74,26 @@ def test_lines_fill_as_many_files_as_partitions(spark, tmp_path):
             spark.conf.set(n, v)
     files = [f.read_text().split() for f in (tmp_path / "lines").glob("part-*")]
     assert len(files) == 8 and sorted(int(x) for f in files for x in f) == list(range(1000))
+
+
+def test_one_row_group_is_dealt_to_all_cores(spark, tmp_path):
+    """Spark cuts such a file into several splits, of which one holds all rows."""
+    import random
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from sentweave.session import table
+
+    rng = random.Random(4)
+    rows = pa.table({"doc_id": list(range(9000)), "text": [rng.randbytes(1000).hex() for _ in range(9000)]})
+    pq.write_table(rows, tmp_path / "a b%20c.parquet")
+    plain = spark.read.parquet(str(tmp_path / "a b%20c.parquet"))
+    used = lambda df: df.select(F.spark_partition_id().alias("p")).distinct().count()
+    found = table(spark, str(tmp_path), "a b%20c")
+    assert plain.rdd.getNumPartitions() > 1 and used(plain) == 1 and used(found) >= 4
+    assert found.agg(F.count("*"), F.sum("doc_id")).first() == (9000, 8999 * 4500)
+    pq.write_table(rows, tmp_path / "many.parquet", row_group_size=1000)
+    assert "Exchange" not in table(spark, str(tmp_path), "many")._jdf.queryExecution().executedPlan().toString()
+    pq.write_table(rows.slice(0, 0), tmp_path / "none.parquet")
+    assert table(spark, str(tmp_path), "none").count() == 0
