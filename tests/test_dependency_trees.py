@@ -110,3 +110,17 @@ def test_xml_without_the_tree_as_a_column(spark):
     files = [("<A><Chunk id=' c0 ' head='c-1'/><B><Chunk id='no'/></B></A>",), ("<A/>",), ("no xml",), (None,)]
     read = [r["c"] for r in spark.createDataFrame(files, "x string").select(dependency_trees.from_xml(F.col("x")).alias("c")).collect()]
     assert [(c["id"], c["head"], c["type"], c["tokens"]) for c in read[0]] == [("c0", "c-1", None, None)] and read[1:] == [None, None, None]
+
+
+def test_xml_of_lines_is_remembered_and_read_by_the_builder():
+    """A line is cut once; XML that the builder can't take as it stands is read as before."""
+    blob = made([("a&b", "a", "名詞", "<体言>"), ("a&b", "a", "名詞", "<体言>"), ("a&b", "a", "名詞", "")])
+    before = dependency_trees._written_often.cache_info()
+    again = [dependency_trees.xml_of(blob) for _ in range(3)]
+    after = dependency_trees._written_often.cache_info()
+    assert len(set(again)) == 1 and after.misses - before.misses <= 1 and after.hits - before.hits >= 8
+    token = '<Token id="t0" surf="x"><Predicate ga=" t1 " other="t9"/><Predicate ni="t2"/><synnode synid="s"/><synnode/></Token>'
+    want = [({"id": "c0"}, [({"id": "t0", "surf": "x"}, {"ni": "t2"}, ["s", None])])]
+    for xml in (f'<A><Chunk id="c0">{token}</Chunk></A>', f'<A><!-- x --><Chunk id="c0">{token}</Chunk><p:Chunk/></A>', f'<!DOCTYPE A><A><p:x/><Chunk id="c0">{token}</Chunk></A>', f'<A xmlns="u"><Chunk id="c0">{token}</Chunk></A>'):
+        assert dependency_trees.chunks_of(xml) == want, xml
+    assert dependency_trees.chunks_of("<A><Chunk></A>") is None and dependency_trees.chunks_of("<Chunk/>") is None
