@@ -1,6 +1,7 @@
 """Queries that SQL can't express against plain Python, over whole tables."""
 
 import hashlib
+import random
 import re
 
 import pytest
@@ -153,3 +154,39 @@ def test_annotation_is_the_taggers(spark, sf_dir):
         s = rows[r["doc_id"], r["line_no"], r["k"]]
         wanted = 0 < len(s) <= 130 and not re.search("[０-９0-9　 ]{10,}", s)
         assert r["analysis"] == (digest(tag(s)) if wanted else None) and r["error"] is None
+
+
+def test_repeated_blocks_stand_where_they_were_taken_from():
+    """Each repeat lacks other characters, so none of its runs tells which repeat it is."""
+    from sentweave.operators import provenance
+
+    for seed in range(60):
+        rng = random.Random(seed)
+        word = lambda: rng.choice("the and of to in ha th er on that it was".split())
+        block = [" ".join(word() for _ in range(rng.choice((1, 2, 3, 20)))).capitalize() + "." for _ in range(rng.randrange(3, 9))]
+        lines, at, raws, want = block * 12, 0, [], []
+        for i, s in enumerate(lines):
+            half = len(s) // 2
+            raws.append((s[:half] + s[half + i % 11 :] if len(s) > 40 else s).replace(" ", ""))
+            want.append((at, len(s)))
+            at += len(s) + 1
+        assert provenance.align(raws, " ".join(lines)) == want, seed
+    opening, long = "One two. ", "erhantor " * 40 + "Reention. "
+    found = provenance.align(["Onetwo.", *["Reention."] * 9], opening + long + "Reention. " * 9)
+    assert found[1:] == [(len(opening + long) + 10 * i, 9) for i in range(9)]
+
+
+def test_keys_are_those_of_each_character():
+    from sentweave.operators import provenance
+
+    rng, signs = random.Random(3), "abz ?.,　ａＢ？ー―−‐㍻…½ｶﾞｱﾟ\x07\n\x7féÁ日本語😀™ﾞ"
+    for _ in range(500):
+        texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(12))) for _ in range(3)]
+        for t, found in zip(texts, provenance.keys_of(texts)):
+            want, at = [], 0
+            for m in re.finditer("[ｦ-ﾝ][ﾞﾟ]|.", t, re.S):
+                end = at + len(m[0].encode())
+                want += [(k, at, end) for k in provenance._key(m[0])]
+                at = end
+            assert found == "".join(k for k, *_ in want), t
+            assert [(chr(k), int(a), int(b)) for k, a, b in zip(*provenance.keyed(t))] == want, t
