@@ -97,3 +97,26 @@ def test_one_row_group_is_dealt_to_all_cores(spark, tmp_path):
     assert "Exchange" not in table(spark, str(tmp_path), "many")._jdf.queryExecution().executedPlan().toString()
     pq.write_table(rows.slice(0, 0), tmp_path / "none.parquet")
     assert table(spark, str(tmp_path), "none").count() == 0
+
+
+def test_check_of_spans_reads_each_span_once(spark):
+    """The page isn't coded anew for every sentence, and its span is cut out and stripped in one place of the plan."""
+    pages = spark.createDataFrame([(1, "<p>é &amp; a</p>")], "page_id int, html string")
+    found = spark.createDataFrame([(1, "é＆ａ", 3, 10), (1, "ａ", 12, 1), (1, "é", 3, 2), (1, "x", None, None)], "page_id int, raw_string string, offset bigint, length bigint")
+    checked = provenance.verify(found, pages, language="japanese")
+    assert sorted((r["source"].replace("　", ""), r["matches"]) for r in checked.collect()) == [("é", True), ("é＆ａ", True), ("ａ", True)]
+    plan = checked._jdf.queryExecution().optimizedPlan().toString()
+    assert "encode(html" not in plan and plan.count("<script") == 1
+
+
+def test_spans_of_many_segments_are_those_of_each():
+    import numpy as np
+
+    from sentweave.operators import spans
+
+    segments = [([(5, "ab é&amp;"), (40, "　x")], ["ab é&", "x"]), ([], []), ([(0, "abc")], ["ab"]), ([(7, "ｶﾞ&nbsp;&fjlig;\x07日")], ["ガfj", " ", "日"]), ([(9, "z")], ["z"])]
+    each = [spans.spans_of(p, s, True) for p, s in segments]
+    assert each[0] == [{"offset": 5, "length": 10}, {"offset": 43, "length": 1}] and each[2] == [None] and each[3][1] is None
+    tokens = (np.array([len(p) for p, _ in segments]), np.array([a for p, _ in segments for a, _ in p]), [t for p, _ in segments for _, t in p])
+    offset, length, there = spans.places(tokens, np.array([len(s) for _, s in segments]), [x for _, s in segments for x in s], True)
+    assert [{"offset": o, "length": n} if t else None for o, n, t in zip(offset.tolist(), length.tolist(), there.tolist())] == [x for own in each for x in own]
