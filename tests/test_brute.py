@@ -174,6 +174,13 @@ def test_repeated_blocks_stand_where_they_were_taken_from():
     opening, long = "One two. ", "erhantor " * 40 + "Reention. "
     found = provenance.align(["Onetwo.", *["Reention."] * 9], opening + long + "Reention. " * 9)
     assert found[1:] == [(len(opening + long) + 10 * i, 9) for i in range(9)]
+    page = "One. " + "The " * 60 + "end. </p>Mid. " + "The " * 5 + "</p>Last."  # the long one goes, and opens like the short one
+    shown = page.replace("</p>", "    ")
+    found = provenance.align(["One.", "Mid.", "The" * 5, "Last."], shown)
+    assert [shown[o : o + n] for o, n in found] == ["One.", "Mid.", "The The The The The", "Last."] and found[2][0] == page.index("Mid.") + 5
+    page = "One. " + "The " * 60 + "eronnd. " * 30 + "</p>" + "The " * 5 + "</p>Last."
+    found = provenance.align(["One.", "The" * 5, "Last."], page.replace("</p>", "    "))
+    assert found[1] == (page.index("</p>") + 4, 19) and found[2][0] == page.index("Last.")
 
 
 def test_keys_are_those_of_each_character():
